@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import euclidean, metric_distance, seeded_key
 from tessera.plans.blocks import block_pair_max, block_pair_sums, farthest_pair
-from tessera.plans.centers import DRIVER_LIMIT, nearest, vector_dim
+from tessera.plans.centers import DRIVER_LIMIT, max_distance_to, nearest, vector_dim
 
 
 def pair_distance(points: DataFrame, pairs: DataFrame, a_col: str = "id_a", b_col: str = "id_b",
@@ -64,11 +64,10 @@ def pruned_survivors(points: DataFrame, dim: int | None = None) -> DataFrame:
         raise ValueError("dimension too large")
     cen = points.agg(*[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).collect()[0]
     c = [float(cen[f"c{i}"]) for i in range(dim)]
-    with_r = nearest(points, {0: [c]}, dim, None, d_name="r", cid_name=None)
+    with_r = nearest(points, {0: [c]}, dim, None, d_name="r", cid_name=None, keep=["id", "v"])
     far = with_r.agg(F.max_by(F.struct("id", "v", "r"), F.struct("r", -F.col("id"))).alias("p")).collect()[0]["p"]
     r_max, p_vec = float(far["r"]), list(far["v"])
-    lb = nearest(points, {0: [p_vec]}, dim, None, d_name="dp", cid_name=None).agg(
-        F.max("dp").alias("lb")).collect()[0]["lb"]
+    lb = max_distance_to(points, [p_vec], dim).collect()[0]["m"]
     lb = float(lb or 0.0)
     tol = 1e-9 * max(lb, 1.0)
     return with_r.where(F.col("r") + F.lit(r_max) >= F.lit(lb - tol)).drop("r")
@@ -93,17 +92,15 @@ def sample_k(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
 def two_approx_mpd(points: DataFrame, k: int, seed: int = 42, dim: int | None = None) -> DataFrame:
     """One row ``mpd_lb``: max over x in S and s in a k-sample of d(x, s).
 
-    At least half the diameter. The sample (k vectors, size-checked) becomes a
-    literal of the distance expression, so the pass over S is one scan.
+    At least half the diameter. The sample (k vectors, size-checked) travels
+    in the task closure of an Arrow kernel, so the pass over S is one scan.
     """
     if dim is None:
         dim = vector_dim(points)
     sample = [list(r["v"]) for r in sample_k(points, k, seed).select("v").collect()]
     if not sample:
         return points.sparkSession.createDataFrame([(0.0,)], "mpd_lb double")
-    from tessera.functions.vectors import distances_to_centers, nested_literal
-    dists = distances_to_centers(F.col("v"), nested_literal(sample), dim, len(sample))
-    return points.agg(F.coalesce(F.max(F.array_max(dists)), F.lit(0.0)).alias("mpd_lb"))
+    return max_distance_to(points, sample, dim).select(F.coalesce("m", F.lit(0.0)).alias("mpd_lb"))
 
 
 def avg_pairwise_distance(points: DataFrame, blocks: int | None = None,

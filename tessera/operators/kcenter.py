@@ -1,9 +1,10 @@
 """Farthest-first traversal (k-center), its coreset, greedy matching, diversity.
 
 The traversal is a loop of k rounds over the whole point table. Each round is
-one scan: the distance to the nearest centre so far is a Catalyst expression,
-and the next centre per shard is a ``max_by`` aggregate with a map-side
-partial step, so only one row per shard reaches the driver. Shard-local
+one scan: an Arrow-batched kernel lowers each point's distance to the nearest
+centre so far and emits one candidate per shard and batch, and a ``max_by``
+aggregate picks the next centre per shard, so only one row per shard reaches
+the driver. Shard-local
 coresets run the same loop with the shard as the grouping key, so no shard is
 ever gathered into one task, however large.
 """
@@ -14,9 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.plans.blocks import farthest_pair
-from tessera.plans.centers import (
-    argmax_by_shard, center_rounds, centers_frame, nearest, vector_dim,
-)
+from tessera.plans.centers import center_rounds, centers_frame, nearest, vector_dim
 
 
 def _prep(points: DataFrame, shards: int | None, id_col: str = "id", v_col: str = "v") -> DataFrame:
@@ -29,10 +28,6 @@ def _first_by_min_id(df: DataFrame, _r: int) -> DataFrame:
             .select("shard", "p.id", "p.v"))
 
 
-def _next_farthest(df: DataFrame, _r: int) -> DataFrame:
-    return argmax_by_shard(df, F.col("d"))
-
-
 def farthest_first(points: DataFrame, k: int, shards: int | None = None, dim: int | None = None,
                    metric: str = "euclidean", checkpoint_every: int = 8,
                    id_col: str = "id", v_col: str = "v"):
@@ -45,8 +40,8 @@ def farthest_first(points: DataFrame, k: int, shards: int | None = None, dim: in
     pts = _prep(points, shards, id_col, v_col)
     if dim is None:
         dim = vector_dim(pts)
-    return center_rounds(pts, k, _first_by_min_id, _next_farthest, dim, metric=metric,
-                         checkpoint_every=checkpoint_every, sharded=bool(shards))
+    return center_rounds(pts, k, _first_by_min_id, "farthest", dim, metric=metric,
+                         checkpoint_every=checkpoint_every)
 
 
 def k_center(points: DataFrame, k: int, **kw) -> DataFrame:
@@ -61,7 +56,7 @@ def k_center_distances(points: DataFrame, k: int, dim: int | None = None, **kw)
         dim = vector_dim(points)
     chosen = farthest_first(points, k, None, dim=dim, **kw)
     centers = {0: [v for _, v in chosen.get(0, [])]}
-    return nearest(points.select("id", "v"), centers, dim, None, cid_name=None).select("id", "d")
+    return nearest(points, centers, dim, None, cid_name=None, keep=["id"])
 
 
 def k_center_mpd(points: DataFrame, k: int, **kw) -> DataFrame:

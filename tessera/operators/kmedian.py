@@ -1,7 +1,8 @@
 """Weighted k-median: distance-proportional seeding, Lloyd rounds, coresets.
 
-Every round is one scan of the points with a partial aggregate; the k (or k·L)
-centres are the only rows that reach the driver. Seeding draws with
+Every round is one scan of the points: an Arrow-batched kernel compares each
+batch with the centres and pre-aggregates it, and a Spark aggregate finishes
+the job; the k (or k·L) centres are the only rows that reach the driver. Seeding draws with
 probability proportional to ``w·d`` by exponential keys: the point with the
 smallest ``-ln(u)/(w·d)`` wins, ``u`` a seeded md5 uniform of
 ``seed:round:id`` — no prefix sums, no ordering, reproducible in SQL.
@@ -12,13 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import seeded_key, seeded_uniform
-from tessera.plans.centers import (
-    argmin_by_shard, center_rounds, nearest, vector_dim,
-)
-
-# Up to this dimension the Lloyd sums are one aggregate column per coordinate.
-UNROLLED_SUM_DIM = 1024
+from tessera.functions.vectors import seeded_key
+from tessera.plans.centers import argmin_by_shard, center_rounds, lloyd_sums, nearest, vector_dim
+from tessera.plans.kernels import COUNT, SUM_W
 
 
 def prepare(points: DataFrame, shards: int | None = None, w_col: str | None = None,
@@ -36,14 +33,6 @@ def _first_uniform(seed: int):
     return pick
 
 
-def _next_weighted(seed: int):
-    def pick(df: DataFrame, r: int) -> DataFrame:
-        u = seeded_uniform(seed, F.lit(r), F.col("id"))
-        key = -F.ln(u) / (F.col("w") * F.col("d"))
-        return argmin_by_shard(df.where((F.col("d") > 0) & (F.col("w") > 0)), key)
-    return pick
-
-
 def kmedian_seed(points: DataFrame, k: int, seed: int = 42, shards: int | None = None,
                  dim: int | None = None, checkpoint_every: int = 8, prepared: bool = False):
     """Seeds per shard ``{shard: [(id, v), ...]}``.
@@ -54,9 +43,8 @@ def kmedian_seed(points: DataFrame, k: int, seed: int = 42, shards: int | None =
     pts = points if prepared else prepare(points, shards)
     if dim is None:
         dim = vector_dim(pts)
-    return center_rounds(pts, k, _first_uniform(seed), _next_weighted(seed), dim,
-                         checkpoint_every=checkpoint_every, extra_cols=("w",),
-                         sharded=bool(shards))
+    return center_rounds(pts, k, _first_uniform(seed), "seed", dim,
+                         checkpoint_every=checkpoint_every, extra_cols=("w",), seed=seed)
 
 
 def _vectors(chosen) -> dict[int, list[list[float]]]:
@@ -68,22 +56,8 @@ def assign_nearest(points: DataFrame, centers: dict[int, list[list[float]]], dim
     """``(id, cid, d)``: nearest centre, ties to the lowest centre index."""
     if dim is None:
         dim = vector_dim(points)
-    cols = ["id", "v"] + ([shard_col] if shard_col else [])
-    out = nearest(points.select(*cols), centers, dim, shard_col)
-    return out.select(*(["shard"] if shard_col else []), "id", "cid", "d")
-
-
-def _weighted_sums(assigned: DataFrame, dim: int) -> DataFrame:
-    w = F.col("w")
-    if dim <= UNROLLED_SUM_DIM:
-        aggs = [F.sum(w).alias("sw"), F.count(F.lit(1)).alias("n")]
-        aggs += [F.sum(w * F.col("v")[i]).alias(f"s{i}") for i in range(dim)]
-        return assigned.groupBy("shard", "cid").agg(*aggs)
-    ex = assigned.select("shard", "cid", "w", F.posexplode("v").alias("i", "x"))
-    per = ex.groupBy("shard", "cid", "i").agg(F.sum(w * F.col("x")).alias("s"))
-    tot = assigned.groupBy("shard", "cid").agg(F.sum(w).alias("sw"), F.count(F.lit(1)).alias("n"))
-    return tot.join(per.groupBy("shard", "cid").agg(
-        F.sort_array(F.collect_list(F.struct("i", "s"))).alias("ss")), ["shard", "cid"])
+    keep = (["shard"] if shard_col else []) + ["id"]
+    return nearest(points, centers, dim, shard_col, keep=keep)
 
 
 def lloyd_step(points: DataFrame, centers: dict[int, list[list[float]]], dim: int,
@@ -93,18 +67,17 @@ def lloyd_step(points: DataFrame, centers: dict[int, list[list[float]]], dim: in
     Returns ``(new_centers, sizes)``: weighted means per (shard, centre) and
     ``{(shard, cid): (sum_w, n)}``. An empty cluster keeps its previous centre.
     """
-    assigned = nearest(points, centers, dim, "shard" if sharded else None)
-    rows = _weighted_sums(assigned, dim).collect()
+    rows = lloyd_sums(points, centers, dim, "shard" if sharded else None).collect()
+    sums: dict[tuple[int, int], dict[int, float]] = {}
+    for row in rows:
+        sums.setdefault((int(row["shard"]), int(row["cid"])), {})[int(row["j"])] = float(row["s"])
     new = {s: [list(v) for v in vs] for s, vs in centers.items()}
     sizes = {}
-    for row in rows:
-        s, c, sw = int(row["shard"]), int(row["cid"]), float(row["sw"])
-        sizes[(s, c)] = (sw, int(row["n"]))
+    for (s, c), vals in sums.items():
+        sw = vals.get(SUM_W, 0.0)
+        sizes[(s, c)] = (sw, int(vals.get(COUNT, 0)))
         if sw > 0:
-            if dim <= UNROLLED_SUM_DIM:
-                new[s][c] = [float(row[f"s{i}"]) / sw for i in range(dim)]
-            else:
-                new[s][c] = [float(t["s"]) / sw for t in row["ss"]]
+            new[s][c] = [vals[i] / sw for i in range(dim)]
     return new, sizes
 
 
@@ -137,7 +110,7 @@ def kmedian_objective(points: DataFrame, centers: dict[int, list[list[float]]],
     """One row ``objective``: mean distance of every point to its nearest centre."""
     if dim is None:
         dim = vector_dim(points)
-    d = nearest(points.select("id", "v"), centers, dim, None, cid_name=None)
+    d = nearest(points, centers, dim, None, cid_name=None, keep=[])
     return d.agg(F.avg("d").alias("objective"))
 
 
@@ -147,7 +120,7 @@ def center_weights(points: DataFrame, centers: dict[int, list[list[float]]],
     pts = prepare(points, shards)
     if dim is None:
         dim = vector_dim(pts)
-    assigned = nearest(pts, centers, dim, "shard" if shards else None)
+    assigned = nearest(pts, centers, dim, "shard" if shards else None, keep=["shard"])
     counts = assigned.groupBy("shard", "cid").agg(F.count(F.lit(1)).alias("n"))
     allc = points.sparkSession.createDataFrame(
         [(s, c) for s, vs in sorted(centers.items()) for c in range(len(vs))], "shard int, cid int")

@@ -36,8 +36,10 @@ def choose_blocks(n: int, parallelism: int, block_rows: int = BLOCK_ROWS) -> int
     return max(1, by_size, min(by_par, by_min))
 
 
-def _vectors(tbl: pa.Table, v_col: str) -> tuple[np.ndarray, np.ndarray]:
-    ids = tbl.column("id").to_numpy()
+def _vectors(tbl: pa.Table, v_col: str, id_col: str = "id") -> tuple[np.ndarray, np.ndarray]:
+    if tbl.num_rows == 0:
+        return np.zeros(0, dtype=np.int64), np.zeros((0, 0))
+    ids = tbl.column(id_col).to_numpy()
     if tbl.num_rows == 0:
         return ids, np.zeros((0, 0))
     arr = tbl.column(v_col).combine_chunks()
@@ -90,7 +92,7 @@ def _pairs_max_kernel(metric: str, v_col: str):
         bi, bj = int(key[0].as_py()), int(key[1].as_py())
         ids_x, X = _vectors(left, v_col)
         diagonal = bi == bj
-        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, "v2" if v_col == "v" else v_col)
+        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, "v2", "id2")
         best = None  # (sq, id_a, id_b)
         if len(ids_x) and len(ids_y):
             for s, Xc, mask in _pair_chunks(X, Y, diagonal):
@@ -122,7 +124,7 @@ def _pairs_sum_kernel(metric: str, v_col: str):
         bi, bj = int(key[0].as_py()), int(key[1].as_py())
         ids_x, X = _vectors(left, v_col)
         diagonal = bi == bj
-        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, "v2")
+        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, "v2", "id2")
         total, count = 0.0, 0
         if len(ids_x) and len(ids_y):
             for s, Xc, mask in _pair_chunks(X, Y, diagonal):
@@ -144,7 +146,7 @@ def _block_sides(points: DataFrame, B: int, id_col: str, v_col: str):
                        F.explode(F.sequence(F.col("b"), F.lit(B - 1))).alias("bj"), "id", "v")
     right = base.where(F.col("b") > 0).select(
         F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("bi2"),
-        F.col("b").alias("bj2"), "id", F.col("v").alias("v2"))
+        F.col("b").alias("bj2"), F.col("id").alias("id2"), F.col("v").alias("v2"))
     return left, right
 
 

@@ -1,29 +1,29 @@
 """Point-versus-centres plans and the round loop of the centre-picking operators.
 
-Centres are few (k per shard, bounded by the caller's parameters) and are the
-only thing that reaches the driver: one row per shard per round. They return to
-the executors either as a literal inside the expression (small sets) or as a
-centres table joined on the shard key (larger sets; Spark broadcasts it when
-its known size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
-otherwise, with AQE splitting a hot shard). Distances are Catalyst expressions,
-so each round is one scan with a map-side partial aggregate and L rows of
-shuffle.
+Centres are few (k per shard, bounded by the caller's parameters and checked
+against ``DRIVER_LIMIT``) and are the only thing that reaches the driver: one
+row per shard per round. They go back to the executors inside the task closure
+of an Arrow-batched numpy kernel, which compares every batch of points with the
+centres of the row's shard. Each round is one scan with per-batch partial
+results and L rows of shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.functions.vectors import distances_to_centers, nested_literal
+from tessera.functions.vectors import seeded_uniform
+from tessera.plans import kernels as K
 from tessera.session import ensure_checkpoint_dir
 
-# Centres up to this many doubles travel as a plan literal (8 MB).
-LITERAL_LIMIT = 1 << 20
-# Centres beyond this many doubles are refused: the driver holds them.
+# Centres beyond this many doubles (256 MB) are refused: the driver holds them
+# and every task receives them.
 DRIVER_LIMIT = 1 << 25
 
 
@@ -34,85 +34,75 @@ def vector_dim(points: DataFrame, v_col: str = "v") -> int | None:
 
 
 def _size(centers: dict[int, list]) -> int:
-    return sum(len(vs) * (len(vs[0]) if vs else 0) for vs in centers.values())
+    return sum(len(vs) * (len(vs[0]) if len(vs) else 0) for vs in centers.values())
 
 
-def attach_centers(points: DataFrame, centers: dict[int, list[list[float]]],
-                   shard_col: str | None, name: str = "_cs") -> DataFrame:
-    """Add column ``name`` = the centre vectors of the row's shard.
-
-    ``centers`` maps shard -> list of vectors (shard 0 only when ``shard_col``
-    is None).
-    """
+def center_arrays(centers: dict[int, list[list[float]]]) -> dict[int, np.ndarray]:
+    """Centre vectors as numpy matrices, refused past ``DRIVER_LIMIT`` doubles."""
     total = _size(centers)
     if total > DRIVER_LIMIT:
-        raise ValueError(f"{total} centre coordinates exceed the driver bound {DRIVER_LIMIT}")
-    if shard_col is None:
-        return points.withColumn(name, nested_literal([list(map(float, v)) for v in centers.get(0, [])])
-                                 if centers.get(0) else F.array().cast("array<array<double>>"))
-    if total <= LITERAL_LIMIT:
-        L = (max(centers) + 1) if centers else 0
-        dense = [[list(map(float, v)) for v in centers.get(s, [])] for s in range(L)]
-        if L == 0:
-            return points.withColumn(name, F.array().cast("array<array<double>>"))
-        lit = nested_literal(dense)
-        col = F.when((F.col(shard_col) >= 0) & (F.col(shard_col) < L),
-                     F.element_at(lit, F.col(shard_col) + 1))
-        return points.withColumn(name, F.coalesce(col, F.array().cast("array<array<double>>")))
-    spark = points.sparkSession
-    cdf = spark.createDataFrame(
-        [(int(s), [list(map(float, v)) for v in vs]) for s, vs in centers.items()],
-        f"_cshard int, {name} array<array<double>>")
-    joined = points.join(cdf, F.col(shard_col) == F.col("_cshard"), "left").drop("_cshard")
-    return joined.withColumn(name, F.coalesce(F.col(name), F.array().cast("array<array<double>>")))
+        raise ValueError(f"{total} centre coordinates exceed the bound {DRIVER_LIMIT}; "
+                         "use fewer centres or shards")
+    return {int(s): np.asarray(vs, dtype=np.float64).reshape(len(vs), -1)
+            for s, vs in centers.items() if len(vs)}
 
 
 def nearest(points: DataFrame, centers: dict[int, list[list[float]]], dim: int | None,
             shard_col: str | None = None, v_col: str = "v", metric: str = "euclidean",
-            d_name: str = "d", cid_name: str | None = "cid") -> DataFrame:
-    """Add the distance to the nearest centre (and its index, ties to the lowest).
+            d_name: str = "d", cid_name: str | None = "cid", keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns plus the distance to the nearest centre of the row's
+    shard and its index (ties to the lowest). No centre gives NULLs.
 
-    No centres gives ``d = NULL`` and ``cid = NULL``.
+    One Arrow-batched pass (``mapInArrow``); nothing is shuffled.
     """
-    k_max = max((len(v) for v in centers.values()), default=0)
-    with_c = attach_centers(points, centers, shard_col)
-    dists = distances_to_centers(F.col(v_col), F.col("_cs"), dim, k_max, metric)
-    out = with_c.withColumn("_ds", dists).withColumn(d_name, F.array_min("_ds"))
-    if cid_name:
-        out = out.withColumn(cid_name, (F.array_position("_ds", F.col(d_name)) - 1).cast("int"))
-    return out.drop("_cs", "_ds")
+    if keep is None:
+        keep = list(points.columns)
+    arrays = center_arrays(centers)
+    need = list(dict.fromkeys(keep + [v_col] + ([shard_col] if shard_col else [])))
+    src = points.select(*need)
+    fields = [src.schema[c] for c in keep]
+    schema = T.StructType(fields + [T.StructField(d_name, T.DoubleType())] +
+                          ([T.StructField(cid_name, T.IntegerType())] if cid_name else []))
+    return src.mapInArrow(K.nearest_kernel(arrays, shard_col, v_col, keep, d_name, cid_name,
+                                           metric, dim), schema)
 
 
 PickFn = Callable[[DataFrame, int], DataFrame]
 
+PICK_SCHEMA = "shard int, id long, v array<double>, score double"
 
-def center_rounds(points: DataFrame, k: int, first_pick: PickFn, next_pick: PickFn,
+
+def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
                   dim: int | None, shard_col: str = "shard", v_col: str = "v",
                   metric: str = "euclidean", checkpoint_every: int = 8,
-                  extra_cols: tuple[str, ...] = (), sharded: bool = True,
+                  extra_cols: tuple[str, ...] = (), seed: int = 0,
                   ) -> dict[int, list[tuple[int, list[float]]]]:
     """Pick up to k centres per shard, one per round.
 
-    ``points`` has ``id``, ``v_col``, ``shard_col`` (and ``extra_cols``).
-    ``first_pick(df, 0)`` and ``next_pick(df_with_d, r)`` return rows
-    ``(shard, id, v)``, at most one per shard; ``next_pick`` sees column ``d``,
-    the distance to the nearest centre picked so far. A shard whose rows all
-    have ``d = 0`` gets no more centres, so equal points are picked once.
-
-    The carried distance ``d0`` is recomputed from the centres picked since the
-    last reliable checkpoint, which is taken every ``checkpoint_every`` rounds:
-    the plan never nests, and a lost executor recomputes from the last
+    ``points`` has ``id``, ``v``, ``shard`` (and ``extra_cols``, e.g. ``w``).
+    ``first_pick(df, 0)`` returns rows ``(shard, id, v)``. Later rounds use
+    ``mode``: ``'farthest'`` (largest distance to the centres so far, ties to
+    the smallest id) or ``'seed'`` (smallest ``-ln(u)/(w·d)``, a draw with
+    probability proportional to ``w·d``). Only points at positive distance
+    qualify, so a shard whose points all equal its centres stops.
+
+    Each round is one scan: the kernel lowers the carried distance ``d0`` by
+    the centres picked since the last checkpoint and emits one candidate per
+    shard and batch; a ``max_by``/``min_by`` aggregate picks the winner. Every
+    ``checkpoint_every`` rounds ``d0`` is written with a reliable checkpoint,
+    so the plan never nests and a lost executor recomputes from the last
     checkpoint or the source.
     """
     if k <= 0:
         raise ValueError("k must be positive")
-    by = shard_col if sharded else None
-    cols = ["id", v_col, shard_col, *extra_cols]
-    pts = points.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    if mode not in ("farthest", "seed"):
+        raise ValueError(mode)
+    cols = ["id", "v", "shard", *extra_cols]
+    pts = points.select(F.col("id"), F.col(v_col).alias("v"), F.col(shard_col).alias("shard"),
+                        *extra_cols).persist(StorageLevel.MEMORY_AND_DISK)
     chosen: dict[int, list[tuple[int, list[float]]]] = {}
     pending: dict[int, list[list[float]]] = {}
     base = pts.withColumn("d0", F.lit(float("inf")))
-    checkpoints = []
     try:
         for row in first_pick(pts, 0).collect():
             s = int(row["shard"])
@@ -121,9 +111,15 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, next_pick: Pick
         for r in range(1, k):
             if not chosen:
                 break
-            cur = nearest(base, pending, dim, by, v_col, metric, d_name="_dp", cid_name=None)
-            cur = cur.withColumn("d", F.least(F.col("d0"), F.coalesce(F.col("_dp"), F.col("d0")))).drop("_dp")
-            rows = next_pick(cur, r).collect()
+            src = base
+            if mode == "seed":
+                src = base.withColumn("u", seeded_uniform(seed, F.lit(r), F.col("id")))
+            cand = src.mapInArrow(K.pick_kernel(center_arrays(pending), mode, metric, dim), PICK_SCHEMA)
+            if mode == "farthest":
+                best = F.max_by(F.struct("id", "v"), F.struct(F.col("score"), -F.col("id")))
+            else:
+                best = F.min_by(F.struct("id", "v"), F.struct(F.col("score"), F.col("id")))
+            rows = cand.groupBy("shard").agg(best.alias("p")).select("shard", "p.id", "p.v").collect()
             if not rows:
                 break
             for row in rows:
@@ -132,10 +128,10 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, next_pick: Pick
                 pending.setdefault(s, []).append(list(row["v"]))
             if checkpoint_every and r % checkpoint_every == 0 and r < k - 1:
                 ensure_checkpoint_dir(points.sparkSession)
-                nxt = nearest(base, pending, dim, by, v_col, metric, d_name="_dp", cid_name=None)
-                nxt = nxt.select(*cols, F.least(F.col("d0"), F.coalesce(F.col("_dp"), F.col("d0"))).alias("d0"))
+                schema = T.StructType([base.schema[c] for c in cols] + [T.StructField("d0", T.DoubleType())])
+                nxt = base.select(*cols, "d0").mapInArrow(
+                    K.update_kernel(center_arrays(pending), metric, dim, cols), schema)
                 base = nxt.checkpoint(eager=True)
-                checkpoints.append(base)
                 pending = {}
     finally:
         pts.unpersist()
@@ -153,16 +149,33 @@ def centers_frame(spark, chosen, with_shard: bool = True) -> DataFrame:
     return df if with_shard else df.drop("shard")
 
 
-def argmax_by_shard(df: DataFrame, value: Column, shard_col: str = "shard") -> DataFrame:
-    """Per shard the row with the largest ``value``; ties to the smallest id."""
-    return (df.where(value > 0)
-            .groupBy(F.col(shard_col).alias("shard"))
-            .agg(F.max_by(F.struct("id", "v"), F.struct(value, -F.col("id"))).alias("p"))
-            .select("shard", "p.id", "p.v"))
-
-
 def argmin_by_shard(df: DataFrame, key: Column, shard_col: str = "shard") -> DataFrame:
     """Per shard the row with the smallest ``key``; ties to the smallest id."""
     return (df.groupBy(F.col(shard_col).alias("shard"))
             .agg(F.min_by(F.struct("id", "v"), F.struct(key, F.col("id"))).alias("p"))
             .select("shard", "p.id", "p.v"))
+
+
+def max_distance_to(points: DataFrame, centers: list[list[float]], dim: int | None,
+                    metric: str = "euclidean") -> DataFrame:
+    """One row ``m``: the largest distance from any point to any of ``centers``."""
+    arr = center_arrays({0: centers}).get(0)
+    if arr is None:
+        return points.sparkSession.createDataFrame([], "m double").agg(F.max("m").alias("m"))
+    part = points.select("v").mapInArrow(K.max_dist_kernel(arr, metric, dim), "m double")
+    return part.agg(F.max("m").alias("m"))
+
+
+def lloyd_sums(points: DataFrame, centers: dict[int, list[list[float]]], dim: int | None,
+               shard_col: str | None, metric: str = "euclidean") -> DataFrame:
+    """``(shard, cid, j, s)`` totals: weighted coordinate sums (j >= 0), weight
+    sum (j = ``SUM_W``), count (j = ``COUNT``) per cluster.
+
+    The kernel pre-aggregates each batch, so a cluster holding a third of all
+    points still ships one row per coordinate per batch.
+    """
+    arrays = center_arrays(centers)
+    cols = ["v", "w"] + ([shard_col] if shard_col else [])
+    part = points.select(*cols).mapInArrow(K.lloyd_kernel(arrays, shard_col, metric, dim),
+                                           "shard int, cid int, j int, s double")
+    return part.groupBy("shard", "cid", "j").agg(F.sum("s").alias("s"))
