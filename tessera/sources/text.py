@@ -21,7 +21,7 @@ def parse_points(lines: DataFrame, sep: str = ",", col: str = "value",
     The id is ``monotonically_increasing_id()``: stable for a given file and
     split size. Bad numbers raise (ANSI cast) unless ``permissive``.
     """
-    cast = (lambda x: F.try_cast(x, "double")) if permissive else (lambda x: x.cast("double"))
+    cast = (lambda x: x.try_cast("double")) if permissive else (lambda x: x.cast("double"))
     parts = F.split(F.trim(F.col(col)), F.lit(sep) if sep != " " else F.lit(" +"))
     return (lines.where(F.length(F.trim(F.col(col))) > 0)
             .select(F.monotonically_increasing_id().alias("id"),
@@ -49,7 +49,7 @@ def parse_pairs(lines: DataFrame, mode: str = "rest", col: str = "value",
     else:
         raise ValueError(f"mode must be 'rest' or 'token', not {mode!r}")
     if permissive:
-        ident = F.try_cast(F.try_element_at(parts, F.lit(1)), "long")
+        ident = F.try_element_at(parts, F.lit(1)).try_cast("long")
         klass = F.try_element_at(parts, F.lit(2))
         return lines.select(ident.alias("id"), klass.alias("class")).where(
             F.col("id").isNotNull() & F.col("class").isNotNull())
