@@ -63,11 +63,14 @@ def class_count_with_max(pairs: DataFrame, K: int, id_col: str = "id",
     ``kind`` is ``'class'`` or ``'max_partition_size'`` (class NULL), so a class
     literally named like the statistic cannot collide with it.
     """
-    counts = class_count(pairs, K, id_col, class_col).select(
-        F.lit("class").alias("kind"), "class", F.col("n").cast("long").alias("n"))
-    mx = max_partition_size(pairs, K, id_col).select(
-        F.lit("max_partition_size").alias("kind"), F.lit(None).cast("string").alias("class"),
-        F.col("max_partition_size").alias("n"))
+    # both statistics come from one (shard, class) aggregate, so the input is
+    # scanned and shuffled once and the exchange is reused by both branches
+    by_shard = class_count_by_shard(pairs, K, id_col, class_col)
+    counts = by_shard.groupBy("class").agg(F.sum("n").cast("long").alias("n")).select(
+        F.lit("class").alias("kind"), "class", "n")
+    mx = by_shard.groupBy("shard").agg(F.sum("n").alias("n")).agg(
+        F.coalesce(F.max("n"), F.lit(0)).cast("long").alias("n")).select(
+        F.lit("max_partition_size").alias("kind"), F.lit(None).cast("string").alias("class"), "n")
     return counts.unionByName(mx)
 
 
