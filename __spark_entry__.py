@@ -170,6 +170,10 @@ def q_two_approx_mpd(spark, sf):
     return D.two_approx_mpd(_emb(spark, sf), SAMPLE_K, SEED).select(_r("mpd_lb", "mpd_lb"))
 
 
+def q_exact_mpd_pruned_lineitem(spark, sf):
+    return D.exact_mpd_pruned(tables.lineitem_points(spark, sf)).select(_r("mpd", "mpd"))
+
+
 def q_sample_k(spark, sf):
     return D.sample_k(_emb(spark, sf), SAMPLE_K, SEED).select("id")
 
@@ -204,6 +208,11 @@ def q_k_center_coreset(spark, sf):
     return KC.k_center_coreset(_emb(spark, sf), CENTERS_K, CORESET_L).select("shard", "rank", "id")
 
 
+def q_k_center_coreset_lineitem(spark, sf):
+    pts = tables.lineitem_points(spark, sf)
+    return KC.k_center_coreset(pts, CENTERS_K, CORESET_L).select("shard", "rank", "id")
+
+
 def q_greedy_matching(spark, sf):
     return KC.greedy_matching(_emb(spark, sf), MATCH_K).select("round", "id")
 
@@ -282,6 +291,11 @@ def q_mr_kmedian(spark, sf):
     return obj.select(_r("objective", "objective"))
 
 
+def q_mr_kmedian_lineitem(spark, sf):
+    obj, _ = KM.mr_kmedian(tables.lineitem_points(spark, sf), CENTERS_K, CORESET_L, MR_ITERS, SEED)
+    return obj.select(_r("objective", "objective"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_pairs_rest": q_parse_pairs_rest,
     "parse_pairs_token": q_parse_pairs_token,
@@ -308,6 +322,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_distance_drop_last": q_pair_distance_drop_last,
     "exact_mpd": q_exact_mpd,
     "exact_mpd_pruned": q_exact_mpd_pruned,
+    "exact_mpd_pruned_lineitem": q_exact_mpd_pruned_lineitem,
     "two_approx_mpd": q_two_approx_mpd,
     "sample_k": q_sample_k,
     "avg_pairwise_distance": q_avg_pairwise_distance,
@@ -317,6 +332,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k_center_distances": q_k_center_distances,
     "k_center_mpd": q_k_center_mpd,
     "k_center_coreset": q_k_center_coreset,
+    "k_center_coreset_lineitem": q_k_center_coreset_lineitem,
     "greedy_matching": q_greedy_matching,
     "diversity_max": q_diversity_max,
     "diversity_score": q_diversity_score,
@@ -329,6 +345,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "center_weights": q_center_weights,
     "kmedian_coreset": q_kmedian_coreset,
     "mr_kmedian": q_mr_kmedian,
+    "mr_kmedian_lineitem": q_mr_kmedian_lineitem,
 }
 
 
@@ -444,6 +461,11 @@ def _oracle() -> dict[str, str]:
         kctes, f"SELECT CAST(shard AS INTEGER) AS shard, cid, w, j, round(x, 6) AS x FROM (SELECT shard, cid, w, "
                f"generate_subscripts(v, 1) - 1 AS j, unnest(v) AS x FROM {kcore})")
     q["mr_kmedian"] = O.mr_kmedian(O.EMB, CENTERS_K, CORESET_L, MR_ITERS, SEED)
+    q["exact_mpd_pruned_lineitem"] = O.pruned_mpd(O.LINEITEM, 4)
+    lctes, lnames = O.k_center(O.LINEITEM, CENTERS_K, CORESET_L)
+    q["k_center_coreset_lineitem"] = O.with_(
+        lctes, f"SELECT CAST(shard AS INTEGER) AS shard, rank, id FROM ({O.centers_union(lnames)})")
+    q["mr_kmedian_lineitem"] = O.mr_kmedian(O.LINEITEM, CENTERS_K, CORESET_L, MR_ITERS, SEED)
     return q
 
 

@@ -12,6 +12,10 @@ TWO_48 = "281474976710656.0"
 
 EMB = "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings"
 PART = "SELECT p_partkey AS id, [CAST(p_size AS DOUBLE), p_retailprice] AS v FROM part"
+LINEITEM = ("SELECT ('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
+            "CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_quantity AS VARCHAR), "
+            "CAST(l_extendedprice AS VARCHAR), CAST(l_discount AS VARCHAR), CAST(l_tax AS VARCHAR))), 1, 15))::BIGINT "
+            "AS id, [l_quantity, l_extendedprice, l_discount, l_tax] AS v FROM lineitem")
 LINES = ("SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no, "
          "unnest(string_split(text, chr(10))) AS text FROM documents")
 PAIR_LINES = "SELECT concat_ws(' ', CAST(event_id AS VARCHAR), event_type) AS line FROM events"
@@ -177,3 +181,14 @@ def mr_kmedian(points_sql: str, k: int, L: int, iters: int, seed: int) -> str:
     ctes.append(_m("ap", "SELECT id, v, 0 AS shard, 1.0 AS w FROM (" + points_sql + ")"))
     ctes += assign_ctes("r3", "ap", cen)
     return with_(ctes, "SELECT round(avg(d), 6) AS objective FROM r3a")
+
+
+def pruned_mpd(points_sql: str, dim: int) -> str:
+    """Exact MPD with the centroid-pivot pruning, then all pairs of the survivors."""
+    cen = ", ".join(f"avg(v[{i + 1}])" for i in range(dim))
+    return (f"WITH p AS MATERIALIZED ({points_sql}), c AS (SELECT [{cen}] AS c FROM p), "
+            f"r AS MATERIALIZED (SELECT p.id, p.v, list_distance(p.v, c.c) AS r FROM p, c), "
+            f"far AS (SELECT v, r FROM r ORDER BY r DESC, id LIMIT 1), "
+            f"lb AS (SELECT coalesce(max(list_distance(r.v, far.v)), 0) AS lb FROM r, far), "
+            f"s AS MATERIALIZED (SELECT r.id, r.v FROM r, far, lb WHERE r.r + far.r >= lb.lb - 1e-9 * greatest(lb.lb, 1.0)) "
+            f"SELECT round(coalesce(max(list_distance(a.v, b.v)), 0), 6) AS mpd FROM s a JOIN s b ON a.id < b.id")

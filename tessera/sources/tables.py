@@ -48,15 +48,20 @@ def part_points(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array(F.col("p_size").cast("double"), F.col("p_retailprice")).alias("v"))
 
 
+# fixed values: the columns that identify a lineitem row, in id-string order
+LINEITEM_ID_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                       "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """4-D points from ``lineitem`` measures.
+    """4-D points ``(id, [l_quantity, l_extendedprice, l_discount, l_tax])``.
 
     ``(l_orderkey, l_linenumber)`` is not unique in the driver data, so the id
-    is a 64-bit hash of the key columns and the point; ties between equal
-    points are broken by it.
+    is the first 60 bits of md5 over the '|'-joined key and measure columns:
+    deterministic, layout-independent, and computed the same way by DuckDB.
     """
     li = table(spark, sf_dir, "lineitem")
     v = F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    ident = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                       "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in LINEITEM_ID_COLUMNS])
+    ident = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
     return li.select(ident.alias("id"), v.alias("v"))
