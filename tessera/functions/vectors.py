@@ -162,3 +162,24 @@ def distances_to_centers(v: str | Column, centers: Column, dim: int | None,
         bad = F.size(v) != F.lit(dim)
         arr = F.when(bad, F.raise_error(F.lit("points of unequal dimension"))).otherwise(arr)
     return arr
+
+
+def distance_to_literal(v_col: str, vec, metric: str = "euclidean") -> Column:
+    """Distance from column ``v_col`` to one literal vector, as a single SQL expression.
+
+    Unrolled into ``sqrt((v[0]-c0)*(v[0]-c0) + ...)`` and parsed once, so the
+    plan is built in one call and compiles into whole-stage codegen. Points of
+    another dimension raise.
+    """
+    vec = [float(x) for x in vec]
+    n = len(vec) - 1 if metric == "sq_drop_last" else len(vec)
+    if len(vec) > UNROLL_LIMIT:
+        lit = vector_literal_sql(vec)
+        body = (f"aggregate(zip_with(`{v_col}`, {lit}, (x, y) -> (x - y) * (x - y)), 0D, (a, t) -> a + t)")
+    else:
+        terms = [f"(`{v_col}`[{i}] - {double_literal(c)}) * (`{v_col}`[{i}] - {double_literal(c)})"
+                 for i, c in enumerate(vec[:n])]
+        body = " + ".join(terms) if terms else "0D"
+    expr = body if metric == "sq_drop_last" else f"sqrt({body})"
+    return F.expr(f"CASE WHEN size(`{v_col}`) != {len(vec)} THEN raise_error('points of unequal dimension') "
+                  f"ELSE {expr} END")

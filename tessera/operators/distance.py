@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import euclidean, metric_distance, seeded_key
-from tessera.plans.blocks import block_pair_max, block_pair_sums, farthest_pair
-from tessera.plans.centers import DRIVER_LIMIT, max_distance_to, nearest, vector_dim
+from tessera.functions.vectors import distance_to_literal, euclidean, metric_distance, seeded_key
+from tessera.plans.blocks import block_count_for, block_pair_max, block_pair_sums, farthest_pair
+from tessera.plans.centers import DRIVER_LIMIT, max_distance_to, spread_and_persist, vector_dim
 
 
 def pair_distance(points: DataFrame, pairs: DataFrame, a_col: str = "id_a", b_col: str = "id_b",
@@ -55,6 +55,7 @@ def pruned_survivors(points: DataFrame, dim: int | None = None) -> DataFrame:
     LB = max_y d(p, y), a real pair distance. Any pair at distance >= LB has
     both ends with r(x) + r_max >= LB, so the others are dropped. Exact; a
     tolerance of 1e-9 relative keeps rounding from dropping a true end.
+    Three one-row aggregates and a filter, all JVM expressions.
     """
     if dim is None:
         dim = vector_dim(points)
@@ -64,18 +65,31 @@ def pruned_survivors(points: DataFrame, dim: int | None = None) -> DataFrame:
         raise ValueError("dimension too large")
     cen = points.agg(*[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).collect()[0]
     c = [float(cen[f"c{i}"]) for i in range(dim)]
-    with_r = nearest(points, {0: [c]}, dim, None, d_name="r", cid_name=None, keep=["id", "v"])
+    with_r = points.withColumn("r", distance_to_literal("v", c))
     far = with_r.agg(F.max_by(F.struct("id", "v", "r"), F.struct("r", -F.col("id"))).alias("p")).collect()[0]["p"]
     r_max, p_vec = float(far["r"]), list(far["v"])
-    lb = max_distance_to(points, [p_vec], dim).collect()[0]["m"]
+    lb = points.agg(F.max(distance_to_literal("v", p_vec)).alias("lb")).collect()[0]["lb"]
     lb = float(lb or 0.0)
     tol = 1e-9 * max(lb, 1.0)
     return with_r.where(F.col("r") + F.lit(r_max) >= F.lit(lb - tol)).drop("r")
 
 
 def exact_mpd_pruned(points: DataFrame, dim: int | None = None) -> DataFrame:
-    """Exact MPD after triangle-inequality pruning; same answer as ``exact_mpd``."""
-    return exact_mpd(pruned_survivors(points, dim))
+    """Exact MPD after triangle-inequality pruning; same answer as ``exact_mpd``.
+
+    The input is persisted for its four passes; the survivors (few in low
+    dimension) feed the block plan.
+    """
+    pts = spread_and_persist(points.select("id", "v"))
+    try:
+        surv = pruned_survivors(pts, dim).persist()
+        n = surv.count()
+        out = exact_mpd(surv, blocks=block_count_for(surv, n)).persist()
+        out.count()
+        surv.unpersist()
+        return out
+    finally:
+        pts.unpersist()
 
 
 def sample_k(points: DataFrame, k: int, seed: int = 42) -> DataFrame:

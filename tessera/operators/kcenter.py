@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.plans.blocks import farthest_pair
-from tessera.plans.centers import center_rounds, centers_frame, nearest, vector_dim
+from tessera.plans.centers import center_rounds, centers_frame, nearest, spread_and_persist, vector_dim
 
 
 def _prep(points: DataFrame, shards: int | None, id_col: str = "id", v_col: str = "v") -> DataFrame:
@@ -37,11 +37,14 @@ def farthest_first(points: DataFrame, k: int, shards: int | None = None, dim: in
     far, ties to the smallest id. Stops early when every remaining point equals
     a centre, so at most min(k, distinct points) centres come back.
     """
-    pts = _prep(points, shards, id_col, v_col)
-    if dim is None:
-        dim = vector_dim(pts)
-    return center_rounds(pts, k, _first_by_min_id, "farthest", dim, metric=metric,
-                         checkpoint_every=checkpoint_every)
+    pts = spread_and_persist(_prep(points, shards, id_col, v_col))
+    try:
+        if dim is None:
+            dim = vector_dim(pts)
+        return center_rounds(pts, k, _first_by_min_id, "farthest", dim, metric=metric,
+                             checkpoint_every=checkpoint_every, persisted=True)
+    finally:
+        pts.unpersist()
 
 
 def k_center(points: DataFrame, k: int, **kw) -> DataFrame:

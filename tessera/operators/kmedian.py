@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import seeded_key
-from tessera.plans.centers import argmin_by_shard, center_rounds, lloyd_sums, nearest, vector_dim
+from tessera.plans.centers import (
+    argmin_by_shard, center_rounds, lloyd_sums, nearest, spread_and_persist, vector_dim,
+)
 from tessera.plans.kernels import COUNT, SUM_W
 
 
@@ -44,7 +46,8 @@ def kmedian_seed(points: DataFrame, k: int, seed: int = 42, shards: int | None =
     if dim is None:
         dim = vector_dim(pts)
     return center_rounds(pts, k, _first_uniform(seed), "seed", dim,
-                         checkpoint_every=checkpoint_every, extra_cols=("w",), seed=seed)
+                         checkpoint_every=checkpoint_every, extra_cols=("w",), seed=seed,
+                         persisted=prepared and points.is_cached)
 
 
 def _vectors(chosen) -> dict[int, list[list[float]]]:
@@ -92,12 +95,15 @@ def kmedian_cluster(points: DataFrame, k: int, iters: int, seed: int = 42,
                     shards: int | None = None, w_col: str | None = None,
                     checkpoint_every: int = 8) -> dict[int, list[list[float]]]:
     """Seeding plus ``iters`` Lloyd rounds; ``{shard: [centre vectors]}``."""
-    pts = prepare(points, shards, w_col)
-    dim = vector_dim(pts)
-    if dim is None:
-        return {}
-    chosen = kmedian_seed(pts, k, seed, shards, dim, checkpoint_every, prepared=True)
-    return lloyd(pts, _vectors(chosen), dim, iters, bool(shards))
+    pts = spread_and_persist(prepare(points, shards, w_col))
+    try:
+        dim = vector_dim(pts)
+        if dim is None:
+            return {}
+        chosen = kmedian_seed(pts, k, seed, shards, dim, checkpoint_every, prepared=True)
+        return lloyd(pts, _vectors(chosen), dim, iters, bool(shards))
+    finally:
+        pts.unpersist()
 
 
 def centers_to_frame(spark, centers: dict[int, list[list[float]]]) -> DataFrame:
@@ -149,9 +155,16 @@ def mr_kmedian(points: DataFrame, k: int, L: int, iters: int, seed: int = 42,
                checkpoint_every: int = 8) -> tuple[DataFrame, dict]:
     """Three rounds: weighted coreset per shard, clustering of the k·L weighted
     rows, objective over all points. Returns ``(objective_df, centers)``."""
-    core = coreset_points(kmedian_coreset(points, k, L, iters, seed, checkpoint_every), k)
+    pts = spread_and_persist(points.select("id", "v"))
+    core = coreset_points(kmedian_coreset(pts, k, L, iters, seed, checkpoint_every), k)
+    core = core.persist()
+    core.count()
     centers = kmedian_cluster(core, k, iters, seed, None, "w", checkpoint_every)
-    return kmedian_objective(points, centers), centers
+    objective = kmedian_objective(pts, centers).persist()
+    objective.count()
+    core.unpersist()
+    pts.unpersist()
+    return objective, centers
 
 
 def weighted_points(points: DataFrame, weight: Column) -> DataFrame:

@@ -27,6 +27,31 @@ from tessera.session import ensure_checkpoint_dir
 DRIVER_LIMIT = 1 << 25
 
 
+def spread_and_persist(df: DataFrame) -> DataFrame:
+    """Persist a loop input, spread over at least ``defaultParallelism`` partitions.
+
+    A loop reads its input once per round; a source with few splits (a small
+    file with few row groups) would otherwise run every round on a few cores.
+    Inputs that already have enough partitions are not shuffled.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par and _estimated_bytes(df) > SPREAD_MIN_BYTES:
+        df = df.repartition(par)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+# Inputs estimated below this size are not worth a repartition before a loop.
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (planning only, no job)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimates are advisory
+        return SPREAD_MIN_BYTES + 1
+
+
 def vector_dim(points: DataFrame, v_col: str = "v") -> int | None:
     """Dimension of the first point (None for an empty table)."""
     row = points.select(F.size(F.col(v_col)).alias("d")).limit(1).collect()
@@ -75,7 +100,7 @@ PICK_SCHEMA = "shard int, id long, v array<double>, score double"
 def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
                   dim: int | None, shard_col: str = "shard", v_col: str = "v",
                   metric: str = "euclidean", checkpoint_every: int = 8,
-                  extra_cols: tuple[str, ...] = (), seed: int = 0,
+                  extra_cols: tuple[str, ...] = (), seed: int = 0, persisted: bool = False,
                   ) -> dict[int, list[tuple[int, list[float]]]]:
     """Pick up to k centres per shard, one per round.
 
@@ -99,7 +124,9 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
         raise ValueError(mode)
     cols = ["id", "v", "shard", *extra_cols]
     pts = points.select(F.col("id"), F.col(v_col).alias("v"), F.col(shard_col).alias("shard"),
-                        *extra_cols).persist(StorageLevel.MEMORY_AND_DISK)
+                        *extra_cols)
+    if not persisted:
+        pts = spread_and_persist(pts)
     chosen: dict[int, list[tuple[int, list[float]]]] = {}
     pending: dict[int, list[list[float]]] = {}
     base = pts.withColumn("d0", F.lit(float("inf")))
@@ -134,7 +161,8 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
                 base = nxt.checkpoint(eager=True)
                 pending = {}
     finally:
-        pts.unpersist()
+        if not persisted:
+            pts.unpersist()
     return chosen
 
 
