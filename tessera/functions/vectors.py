@@ -99,29 +99,6 @@ def vector_literal_sql(vec: Sequence[float]) -> str:
     return "array(" + ", ".join(double_literal(x) for x in vec) + ")"
 
 
-def nested_literal(nested) -> Column:
-    """A literal nested array of doubles, parsed once as SQL text.
-
-    ``nested`` is a list (of lists ...) of floats; empty lists become typed
-    empty arrays.
-    """
-    def sql(node, depth):
-        if depth == 0:
-            return double_literal(node)
-        if len(node) == 0:
-            inner = "double" if depth == 1 else "array<" * (depth - 1) + "double" + ">" * (depth - 1)
-            return f"CAST(array() AS array<{inner}>)"
-        return "array(" + ", ".join(sql(n, depth - 1) for n in node) + ")"
-
-    depth, probe = 0, nested
-    while isinstance(probe, (list, tuple)):
-        depth += 1
-        if len(probe) == 0:
-            break
-        probe = probe[0]
-    return F.expr(sql(nested, depth))
-
-
 # fixed values: the seeded uniform uses the first 12 hex digits (48 bits) of md5
 UNIFORM_HEX_DIGITS = 12
 UNIFORM_SCALE = float(2 ** 48)
@@ -139,31 +116,6 @@ def seeded_uniform(seed: int, *parts: str | Column) -> Column:
     return (F.conv(hexpart, 16, 10).cast("double") + F.lit(0.5)) / F.lit(UNIFORM_SCALE)
 
 
-def distances_to_centers(v: str | Column, centers: Column, dim: int | None,
-                         k_max: int | None, metric: str = "euclidean") -> Column:
-    """Array of distances from ``v`` to every vector of ``centers``.
-
-    ``centers`` is an ``ARRAY<ARRAY<DOUBLE>>`` column or literal; positions past
-    its size yield NULL, which ``array_min`` skips.
-    """
-    v = _c(v)
-    if dim is not None and k_max is not None and k_max * dim <= UNROLL_LIMIT:
-        items = []
-        for j in range(k_max):
-            c = centers[j]
-            d = metric_distance(v, c, metric, dim, check=False)
-            items.append(F.when(F.size(centers) > j, d))
-        if not items:
-            return F.array().cast("array<double>")
-        arr = F.array(*items)
-    else:
-        arr = F.transform(centers, lambda c: metric_distance(v, c, metric, None, check=False))
-    if dim is not None:
-        bad = F.size(v) != F.lit(dim)
-        arr = F.when(bad, F.raise_error(F.lit("points of unequal dimension"))).otherwise(arr)
-    return arr
-
-
 def distance_to_literal(v_col: str, vec, metric: str = "euclidean") -> Column:
     """Distance from column ``v_col`` to one literal vector, as a single SQL expression.
 

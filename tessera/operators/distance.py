@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import distance_to_literal, euclidean, metric_distance, seeded_key
+from tessera.functions.vectors import distance_to_literal, metric_distance, seeded_key
 from tessera.plans.blocks import block_count_for, block_pair_max, block_pair_sums, farthest_pair
 from tessera.plans.centers import DRIVER_LIMIT, max_distance_to, spread_and_persist, vector_dim
 
@@ -45,6 +45,7 @@ def exact_mpd(points: DataFrame, blocks: int | None = None) -> DataFrame:
 
 
 def farthest_pair_of(points: DataFrame, metric: str = "euclidean", blocks: int | None = None) -> DataFrame:
+    """``(id_a, id_b, d)``: the single farthest pair (block plan)."""
     return farthest_pair(points, metric, blocks=blocks)
 
 
@@ -137,5 +138,6 @@ def point_count(points: DataFrame) -> DataFrame:
     return points.agg(F.count(F.lit(1)).alias("n_points"))
 
 
-def with_distance(points: DataFrame, other_v, dim: int | None = None):
-    return points.withColumn("d", euclidean("v", other_v, dim))
+def with_distance(points: DataFrame, vec, dim: int | None = None) -> DataFrame:
+    """Add ``d``: the distance of every point to one literal vector."""
+    return points.withColumn("d", distance_to_literal("v", vec))

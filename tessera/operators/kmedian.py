@@ -10,7 +10,7 @@ smallest ``-ln(u)/(w·d)`` wins, ``u`` a seeded md5 uniform of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import seeded_key
@@ -108,7 +108,8 @@ def kmedian_cluster(points: DataFrame, k: int, iters: int, seed: int = 42,
 
 def centers_to_frame(spark, centers: dict[int, list[list[float]]]) -> DataFrame:
     rows = [(s, c, list(map(float, v))) for s, vs in sorted(centers.items()) for c, v in enumerate(vs)]
-    return spark.createDataFrame(rows, "shard int, cid int, v array<double>")
+    # k·L rows, bounded by the parameters: one partition
+    return spark.createDataFrame(rows, "shard int, cid int, v array<double>").coalesce(1)
 
 
 def kmedian_objective(points: DataFrame, centers: dict[int, list[list[float]]],
@@ -165,7 +166,3 @@ def mr_kmedian(points: DataFrame, k: int, L: int, iters: int, seed: int = 42,
     core.unpersist()
     pts.unpersist()
     return objective, centers
-
-
-def weighted_points(points: DataFrame, weight: Column) -> DataFrame:
-    return points.withColumn("w", weight)

@@ -173,7 +173,8 @@ def rows_by_shard(chosen: dict[int, list[tuple[int, list[float]]]]) -> list[tupl
 
 def centers_frame(spark, chosen, with_shard: bool = True) -> DataFrame:
     rows = rows_by_shard(chosen)
-    df = spark.createDataFrame(rows, "shard int, rank int, id long, v array<double>")
+    # k·L rows, bounded by the parameters: one partition
+    df = spark.createDataFrame(rows, "shard int, rank int, id long, v array<double>").coalesce(1)
     return df if with_shard else df.drop("shard")
 
 

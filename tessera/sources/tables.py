@@ -10,6 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan with fewer splits than cores before costly per-row work.
+
+    A small file with few row groups reads as a few partitions; a large input
+    already has many and is left alone (no shuffle).
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -60,7 +70,7 @@ def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     is the first 60 bits of md5 over the '|'-joined key and measure columns:
     deterministic, layout-independent, and computed the same way by DuckDB.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select(*LINEITEM_ID_COLUMNS))
     v = F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in LINEITEM_ID_COLUMNS])
     ident = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
