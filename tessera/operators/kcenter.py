@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.blocks import farthest_pair
+from tessera.plans.blocks import block_count_for, farthest_pair
 from tessera.plans.centers import center_rounds, centers_frame, nearest, spread_and_persist, vector_dim
 
 
@@ -95,8 +95,9 @@ def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean") -> Dat
     picked: list[tuple[int, int]] = []
     used: list[int] = []
     remaining = pts
+    blocks = block_count_for(pts, n)
     for r in range(k // 2):
-        row = farthest_pair(remaining, metric).collect()
+        row = farthest_pair(remaining, metric, blocks=blocks).collect()
         if not row:
             break
         a, b = int(row[0]["id_a"]), int(row[0]["id_b"])
