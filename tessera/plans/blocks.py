@@ -1,9 +1,9 @@
 """All-pairs work over a point set without emitting pair rows.
 
 Points are hashed into B blocks by id. Each unordered block pair (bi <= bj)
-becomes one cogroup: the left side carries block bi, the right side block bj
-(empty on the diagonal, where the left block is paired with itself). Rows are
-replicated B times in total, groups hold about 2n/B points, and every group
+becomes one group: side 0 carries block bi, side 1 block bj (empty on the
+diagonal, where block bi is paired with itself). Rows are replicated B times
+in total and shuffled once, groups hold about 2n/B points, and every group
 reduces its pairs in numpy to one small row (a maximum with its pair, or a sum
 and a count). Block ids come from a hash of the id, so no value skew can make
 one group large.
@@ -87,12 +87,18 @@ def _finish(sq: np.ndarray, metric: str) -> np.ndarray:
     return sq if metric == "sq_drop_last" else np.sqrt(sq)
 
 
+def _sides(tbl: pa.Table) -> tuple[pa.Table, pa.Table]:
+    side = tbl.column("side").to_numpy(zero_copy_only=False)
+    return tbl.filter(pa.array(side == 0)), tbl.filter(pa.array(side == 1))
+
+
 def _pairs_max_kernel(metric: str, v_col: str):
-    def kernel(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def kernel(key, tbl):
         bi, bj = int(key[0].as_py()), int(key[1].as_py())
+        left, right = _sides(tbl)
         ids_x, X = _vectors(left, v_col)
         diagonal = bi == bj
-        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, "v2", "id2")
+        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, v_col)
         best = None  # (sq, id_a, id_b)
         if len(ids_x) and len(ids_y):
             for s, Xc, mask in _pair_chunks(X, Y, diagonal):
@@ -120,11 +126,12 @@ def _pairs_max_kernel(metric: str, v_col: str):
 
 
 def _pairs_sum_kernel(metric: str, v_col: str):
-    def kernel(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def kernel(key, tbl):
         bi, bj = int(key[0].as_py()), int(key[1].as_py())
+        left, right = _sides(tbl)
         ids_x, X = _vectors(left, v_col)
         diagonal = bi == bj
-        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, "v2", "id2")
+        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, v_col)
         total, count = 0.0, 0
         if len(ids_x) and len(ids_y):
             for s, Xc, mask in _pair_chunks(X, Y, diagonal):
@@ -139,15 +146,25 @@ def _pairs_sum_kernel(metric: str, v_col: str):
     return kernel
 
 
-def _block_sides(points: DataFrame, B: int, id_col: str, v_col: str):
+def _block_rows(points: DataFrame, B: int, id_col: str, v_col: str) -> DataFrame:
+    """Rows ``(bi, bj, side, id, v)``: side 0 carries block bi, side 1 block bj.
+
+    A point of block b is sent as side 0 to pairs (b, b..B-1) and as side 1 to
+    pairs (0..b-1, b); each point is sent B times. The rows are hash-partitioned
+    on (bi, bj) into at most one partition per block pair, so the grouping that
+    follows needs no second exchange.
+    """
     b = F.pmod(F.xxhash64(F.col(id_col)), F.lit(B)).cast("int")
     base = points.select(F.col(id_col).alias("id"), F.col(v_col).alias("v"), b.alias("b"))
-    left = base.select(F.col("b").alias("bi"),
-                       F.explode(F.sequence(F.col("b"), F.lit(B - 1))).alias("bj"), "id", "v")
+    left = base.select(F.col("b").alias("bi"), F.explode(F.sequence(F.col("b"), F.lit(B - 1))).alias("bj"),
+                       F.lit(0).alias("side"), "id", "v")
     right = base.where(F.col("b") > 0).select(
-        F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("bi2"),
-        F.col("b").alias("bj2"), F.col("id").alias("id2"), F.col("v").alias("v2"))
-    return left, right
+        F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("bi"), F.col("b").alias("bj"),
+        F.lit(1).alias("side"), "id", "v")
+    spark = points.sparkSession
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nparts = max(1, min(B * (B + 1) // 2, max(shuffle, _parallelism(points))))
+    return left.unionByName(right).repartition(nparts, "bi", "bj")
 
 
 def _parallelism(points: DataFrame) -> int:
@@ -168,20 +185,18 @@ def block_pair_max(points: DataFrame, metric: str = "euclidean", id_col: str = "
     or the squared distance without the last coordinate for ``sq_drop_last``.
     """
     B = blocks or block_count_for(points)
-    left, right = _block_sides(points, B, id_col, v_col)
+    rows = _block_rows(points, B, id_col, v_col)
     schema = "id_a long, id_b long, d double"
-    return (left.groupBy("bi", "bj").cogroup(right.groupBy("bi2", "bj2"))
-            .applyInArrow(_pairs_max_kernel(metric, "v"), schema=schema))
+    return rows.groupBy("bi", "bj").applyInArrow(_pairs_max_kernel(metric, "v"), schema=schema)
 
 
 def block_pair_sums(points: DataFrame, metric: str = "euclidean", id_col: str = "id",
                     v_col: str = "v", blocks: int | None = None) -> DataFrame:
     """Per block pair, ``(sum_d, n_pairs)`` over its unordered pairs."""
     B = blocks or block_count_for(points)
-    left, right = _block_sides(points, B, id_col, v_col)
+    rows = _block_rows(points, B, id_col, v_col)
     schema = "sum_d double, n_pairs long"
-    return (left.groupBy("bi", "bj").cogroup(right.groupBy("bi2", "bj2"))
-            .applyInArrow(_pairs_sum_kernel(metric, "v"), schema=schema))
+    return rows.groupBy("bi", "bj").applyInArrow(_pairs_sum_kernel(metric, "v"), schema=schema)
 
 
 def farthest_pair(points: DataFrame, metric: str = "euclidean", id_col: str = "id",
