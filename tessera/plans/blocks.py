@@ -156,15 +156,14 @@ def _block_rows(points: DataFrame, B: int, id_col: str, v_col: str) -> DataFrame
     """
     b = F.pmod(F.xxhash64(F.col(id_col)), F.lit(B)).cast("int")
     base = points.select(F.col(id_col).alias("id"), F.col(v_col).alias("v"), b.alias("b"))
-    left = base.select(F.col("b").alias("bi"), F.explode(F.sequence(F.col("b"), F.lit(B - 1))).alias("bj"),
-                       F.lit(0).alias("side"), "id", "v")
-    right = base.where(F.col("b") > 0).select(
-        F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("bi"), F.col("b").alias("bj"),
-        F.lit(1).alias("side"), "id", "v")
+    # one scan, one generate: partner block j gives the pair (min, max) and the side
+    rows = base.select("id", "v", "b", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("j")).select(
+        F.least("b", "j").alias("bi"), F.greatest("b", "j").alias("bj"),
+        (F.col("j") < F.col("b")).cast("int").alias("side"), "id", "v")
     spark = points.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nparts = max(1, min(B * (B + 1) // 2, max(shuffle, _parallelism(points))))
-    return left.unionByName(right).repartition(nparts, "bi", "bj")
+    return rows.repartition(nparts, "bi", "bj")
 
 
 def _parallelism(points: DataFrame) -> int:
