@@ -110,8 +110,6 @@ def two_approx_mpd(points: DataFrame, k: int, seed: int = 42, dim: int | None =
     At least half the diameter. The sample (k vectors, size-checked) travels
     in the task closure of an Arrow kernel, so the pass over S is one scan.
     """
-    if dim is None:
-        dim = vector_dim(points)
     sample = [list(r["v"]) for r in sample_k(points, k, seed).select("v").collect()]
     if not sample:
         return points.sparkSession.createDataFrame([(0.0,)], "mpd_lb double")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.plans.blocks import block_count_for, farthest_pair
-from tessera.plans.centers import center_rounds, centers_frame, nearest, spread_and_persist, vector_dim
+from tessera.plans.centers import center_rounds, centers_frame, nearest, spread_and_persist
 
 
 def _prep(points: DataFrame, shards: int | None, id_col: str = "id", v_col: str = "v") -> DataFrame:
@@ -39,8 +39,6 @@ def farthest_first(points: DataFrame, k: int, shards: int | None = None, dim: in
     """
     pts = spread_and_persist(_prep(points, shards, id_col, v_col))
     try:
-        if dim is None:
-            dim = vector_dim(pts)
         return center_rounds(pts, k, _first_by_min_id, "farthest", dim, metric=metric,
                              checkpoint_every=checkpoint_every, persisted=True)
     finally:
@@ -55,8 +53,6 @@ def k_center(points: DataFrame, k: int, **kw) -> DataFrame:
 
 def k_center_distances(points: DataFrame, k: int, dim: int | None = None, **kw) -> DataFrame:
     """``(id, d)``: each point's distance to its nearest farthest-first centre."""
-    if dim is None:
-        dim = vector_dim(points)
     chosen = farthest_first(points, k, None, dim=dim, **kw)
     centers = {0: [v for _, v in chosen.get(0, [])]}
     return nearest(points, centers, dim, None, cid_name=None, keep=["id"])

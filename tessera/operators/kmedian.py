@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import seeded_key
 from tessera.plans.centers import (
-    argmin_by_shard, center_rounds, lloyd_sums, nearest, spread_and_persist, vector_dim,
+    argmin_by_shard, center_rounds, lloyd_sums, nearest, spread_and_persist,
 )
 from tessera.plans.kernels import COUNT, SUM_W
 
@@ -43,8 +43,6 @@ def kmedian_seed(points: DataFrame, k: int, seed: int = 42, shards: int | None =
     probability proportional to ``w·d`` among points at positive distance.
     """
     pts = points if prepared else prepare(points, shards)
-    if dim is None:
-        dim = vector_dim(pts)
     return center_rounds(pts, k, _first_uniform(seed), "seed", dim,
                          checkpoint_every=checkpoint_every, extra_cols=("w",), seed=seed,
                          persisted=prepared and points.is_cached)
@@ -57,8 +55,6 @@ def _vectors(chosen) -> dict[int, list[list[float]]]:
 def assign_nearest(points: DataFrame, centers: dict[int, list[list[float]]], dim: int | None = None,
                    shard_col: str | None = None) -> DataFrame:
     """``(id, cid, d)``: nearest centre, ties to the lowest centre index."""
-    if dim is None:
-        dim = vector_dim(points)
     keep = (["shard"] if shard_col else []) + ["id"]
     return nearest(points, centers, dim, shard_col, keep=keep)
 
@@ -97,11 +93,12 @@ def kmedian_cluster(points: DataFrame, k: int, iters: int, seed: int = 42,
     """Seeding plus ``iters`` Lloyd rounds; ``{shard: [centre vectors]}``."""
     pts = spread_and_persist(prepare(points, shards, w_col))
     try:
-        dim = vector_dim(pts)
-        if dim is None:
+        chosen = kmedian_seed(pts, k, seed, shards, None, checkpoint_every, prepared=True)
+        if not chosen:
             return {}
-        chosen = kmedian_seed(pts, k, seed, shards, dim, checkpoint_every, prepared=True)
-        return lloyd(pts, _vectors(chosen), dim, iters, bool(shards))
+        centers = _vectors(chosen)
+        dim = len(next(iter(centers.values()))[0])
+        return lloyd(pts, centers, dim, iters, bool(shards))
     finally:
         pts.unpersist()
 
@@ -115,8 +112,6 @@ def centers_to_frame(spark, centers: dict[int, list[list[float]]]) -> DataFrame:
 def kmedian_objective(points: DataFrame, centers: dict[int, list[list[float]]],
                       dim: int | None = None) -> DataFrame:
     """One row ``objective``: mean distance of every point to its nearest centre."""
-    if dim is None:
-        dim = vector_dim(points)
     d = nearest(points, centers, dim, None, cid_name=None, keep=[])
     return d.agg(F.avg("d").alias("objective"))
 
@@ -125,8 +120,6 @@ def center_weights(points: DataFrame, centers: dict[int, list[list[float]]],
                    shards: int | None = None, dim: int | None = None) -> DataFrame:
     """``(shard, cid, n)``: points nearest each centre; centres with none show 0."""
     pts = prepare(points, shards)
-    if dim is None:
-        dim = vector_dim(pts)
     assigned = nearest(pts, centers, dim, "shard" if shards else None, keep=["shard"])
     counts = assigned.groupBy("shard", "cid").agg(F.count(F.lit(1)).alias("n"))
     allc = points.sparkSession.createDataFrame(

@@ -62,6 +62,14 @@ def _size(centers: dict[int, list]) -> int:
     return sum(len(vs) * (len(vs[0]) if len(vs) else 0) for vs in centers.values())
 
 
+def _width(arrays: dict[int, np.ndarray]) -> int | None:
+    """The centres' dimension; points of another dimension are then refused."""
+    widths = {a.shape[1] for a in arrays.values()}
+    if len(widths) > 1:
+        raise ValueError("centres of unequal dimension")
+    return widths.pop() if widths else None
+
+
 def center_arrays(centers: dict[int, list[list[float]]]) -> dict[int, np.ndarray]:
     """Centre vectors as numpy matrices, refused past ``DRIVER_LIMIT`` doubles."""
     total = _size(centers)
@@ -83,6 +91,7 @@ def nearest(points: DataFrame, centers: dict[int, list[list[float]]], dim: int |
     if keep is None:
         keep = list(points.columns)
     arrays = center_arrays(centers)
+    dim = dim if dim is not None else _width(arrays)
     need = list(dict.fromkeys(keep + [v_col] + ([shard_col] if shard_col else [])))
     src = points.select(*need)
     fields = [src.schema[c] for c in keep]
@@ -135,6 +144,8 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
             s = int(row["shard"])
             chosen.setdefault(s, []).append((int(row["id"]), list(row["v"])))
             pending.setdefault(s, []).append(list(row["v"]))
+        if dim is None:
+            dim = _width(center_arrays(pending))
         for r in range(1, k):
             if not chosen:
                 break
@@ -189,6 +200,8 @@ def max_distance_to(points: DataFrame, centers: list[list[float]], dim: int | No
                     metric: str = "euclidean") -> DataFrame:
     """One row ``m``: the largest distance from any point to any of ``centers``."""
     arr = center_arrays({0: centers}).get(0)
+    if arr is not None and dim is None:
+        dim = arr.shape[1]
     if arr is None:
         return points.sparkSession.createDataFrame([], "m double").agg(F.max("m").alias("m"))
     part = points.select("v").mapInArrow(K.max_dist_kernel(arr, metric, dim), "m double")
@@ -204,6 +217,7 @@ def lloyd_sums(points: DataFrame, centers: dict[int, list[list[float]]], dim: in
     points still ships one row per coordinate per batch.
     """
     arrays = center_arrays(centers)
+    dim = dim if dim is not None else _width(arrays)
     cols = ["v", "w"] + ([shard_col] if shard_col else [])
     part = points.select(*cols).mapInArrow(K.lloyd_kernel(arrays, shard_col, metric, dim),
                                            "shard int, cid int, j int, s double")

@@ -88,3 +88,11 @@ def test_diversity_is_layout_independent(spark):
     assert a == b and len(a) == 6
     score = KC.diversity_score(df, 6, 3).collect()[0]["avg_d"]
     assert score > 0
+
+
+def test_unequal_dimensions_raise(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    bad = spark.createDataFrame([(0, [0.0, 0.0]), (1, [1.0, 2.0, 3.0])], "id long, v array<double>")
+    with pytest.raises(PySparkException):
+        KC.k_center(bad, 2)
