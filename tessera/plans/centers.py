@@ -35,23 +35,11 @@ def spread_and_persist(df: DataFrame) -> DataFrame:
     Inputs that already have enough partitions are not shuffled.
     """
     par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par and _estimated_bytes(df) > SPREAD_MIN_BYTES:
+    if df.rdd.getNumPartitions() < par:
         df = df.repartition(par)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-# Inputs estimated below this size are not worth a repartition before a loop.
-SPREAD_MIN_BYTES = 4 << 20
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (planning only, no job)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimates are advisory
-        return SPREAD_MIN_BYTES + 1
-
-
 def vector_dim(points: DataFrame, v_col: str = "v") -> int | None:
     """Dimension of the first point (None for an empty table)."""
     row = points.select(F.size(F.col(v_col)).alias("d")).limit(1).collect()

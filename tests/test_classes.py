@@ -79,3 +79,16 @@ def test_empty_input(spark):
     assert C.max_partition_size(empty, 3).collect()[0][0] == 0
     assert C.class_count(empty, 3).count() == 0
     assert C.class_count_line(C.class_count(empty, 3)).collect()[0]["line"] == ""
+
+
+def test_physical_partition_statistic(spark):
+    # K=None measures the physical partitions (layout-dependent by design)
+    pairs = spark.createDataFrame([(i, "a") for i in range(10)], "id long, class string").coalesce(1)
+    assert C.max_partition_size(pairs, None).collect()[0][0] == 10
+    sizes = [r["n"] for r in C.shard_sizes(pairs.repartition(2), None).collect()]
+    assert sum(sizes) == 10 and len(sizes) == 2
+
+
+def test_checkpoint_dir_is_read_from_session(spark):
+    from tessera.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
