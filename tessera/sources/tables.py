@@ -42,7 +42,9 @@ def lineitem_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """``(doc_id, text)``; spread when the file has fewer splits than cores,
+    since tokenizing costs far more per row than the shuffle."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
