@@ -254,13 +254,13 @@ def q_assign_nearest(spark, sf):
 
 def q_lloyd_step(spark, sf):
     pts, centers, _ = _seeds(spark, sf)
-    new = KM.lloyd(KM.prepare(pts), centers, 64, 1)
+    new = KM.lloyd(KM.prepare(pts), centers, None, 1)
     return _centers_rows(spark, new)
 
 
 def q_lloyd(spark, sf):
     pts, centers, _ = _seeds(spark, sf)
-    new = KM.lloyd(KM.prepare(pts), centers, 64, LLOYD_ITERS)
+    new = KM.lloyd(KM.prepare(pts), centers, None, LLOYD_ITERS)
     return _centers_rows(spark, new)
 
 

@@ -59,13 +59,15 @@ def assign_nearest(points: DataFrame, centers: dict[int, list[list[float]]], dim
     return nearest(points, centers, dim, shard_col, keep=keep)
 
 
-def lloyd_step(points: DataFrame, centers: dict[int, list[list[float]]], dim: int,
+def lloyd_step(points: DataFrame, centers: dict[int, list[list[float]]], dim: int | None = None,
                sharded: bool = False):
     """One Lloyd round on prepared points ``(id, v, shard, w)``.
 
     Returns ``(new_centers, sizes)``: weighted means per (shard, centre) and
     ``{(shard, cid): (sum_w, n)}``. An empty cluster keeps its previous centre.
     """
+    if dim is None:
+        dim = len(next(v for vs in centers.values() for v in vs))
     rows = lloyd_sums(points, centers, dim, "shard" if sharded else None).collect()
     sums: dict[tuple[int, int], dict[int, float]] = {}
     for row in rows:
@@ -80,7 +82,7 @@ def lloyd_step(points: DataFrame, centers: dict[int, list[list[float]]], dim: in
     return new, sizes
 
 
-def lloyd(points: DataFrame, centers, dim: int, iters: int, sharded: bool = False):
+def lloyd(points: DataFrame, centers, dim: int | None, iters: int, sharded: bool = False):
     """``iters`` Lloyd rounds, no convergence test (as specified)."""
     for _ in range(iters):
         centers, _sizes = lloyd_step(points, centers, dim, sharded)
