@@ -22,9 +22,12 @@ from tessera.functions.vectors import seeded_uniform
 from tessera.plans import kernels as K
 from tessera.session import ensure_checkpoint_dir
 
-# Centres beyond this many doubles (256 MB) are refused: the driver holds them
-# and every task receives them.
+# Centres beyond this many doubles (256 MB) are refused: they were collected
+# on the driver.
 DRIVER_LIMIT = 1 << 25
+# At most this many centre doubles (32 MB) travel in one task closure; larger
+# sets are split into chunks, one pass each, merged by a per-point minimum.
+KERNEL_LIMIT = 1 << 22
 
 
 def spread_and_persist(df: DataFrame) -> DataFrame:
@@ -68,25 +71,83 @@ def center_arrays(centers: dict[int, list[list[float]]]) -> dict[int, np.ndarray
             for s, vs in centers.items() if len(vs)}
 
 
+def center_chunks(centers: dict[int, list[list[float]]], limit: int | None = None):
+    """Split per-shard centre lists into chunks of at most ``limit`` doubles.
+
+    Returns ``[(centres, offsets)]``: each chunk maps shard -> a contiguous run
+    of that shard's centres, and ``offsets[shard]`` is the run's first index.
+    """
+    limit = KERNEL_LIMIT if limit is None else limit
+    chunks, cur, offs, size = [], {}, {}, 0
+    for s in sorted(centers):
+        for j, v in enumerate(centers[s]):
+            if size and size + len(v) > limit:
+                chunks.append((cur, offs))
+                cur, offs, size = {}, {}, 0
+            if s not in cur:
+                offs[s] = j
+            cur.setdefault(s, []).append(v)
+            size += len(v)
+    if cur or not chunks:
+        chunks.append((cur, offs))
+    return chunks
+
+
+def _nearest_pass(src: DataFrame, arrays, offsets, shard_col, v_col, keep, d_name, cid_name,
+                  metric, dim) -> DataFrame:
+    fields = [src.schema[c] for c in keep]
+    schema = T.StructType(fields + [T.StructField(d_name, T.DoubleType())] +
+                          ([T.StructField(cid_name, T.IntegerType())] if cid_name else []))
+    return src.mapInArrow(K.nearest_kernel(arrays, shard_col, v_col, keep, d_name, cid_name,
+                                           metric, dim, offsets), schema)
+
+
 def nearest(points: DataFrame, centers: dict[int, list[list[float]]], dim: int | None,
             shard_col: str | None = None, v_col: str = "v", metric: str = "euclidean",
             d_name: str = "d", cid_name: str | None = "cid", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns plus the distance to the nearest centre of the row's
     shard and its index (ties to the lowest). No centre gives NULLs.
 
-    One Arrow-batched pass (``mapInArrow``); nothing is shuffled.
+    Centres within ``KERNEL_LIMIT``: one Arrow-batched pass (``mapInArrow``),
+    nothing shuffled. Beyond it: one pass per chunk of centres, then a
+    ``min_by(distance, index)`` per point id (the rows need an ``id``).
     """
     if keep is None:
         keep = list(points.columns)
     arrays = center_arrays(centers)
     dim = dim if dim is not None else _width(arrays)
     need = list(dict.fromkeys(keep + [v_col] + ([shard_col] if shard_col else [])))
-    src = points.select(*need)
-    fields = [src.schema[c] for c in keep]
-    schema = T.StructType(fields + [T.StructField(d_name, T.DoubleType())] +
-                          ([T.StructField(cid_name, T.IntegerType())] if cid_name else []))
-    return src.mapInArrow(K.nearest_kernel(arrays, shard_col, v_col, keep, d_name, cid_name,
-                                           metric, dim), schema)
+    chunks = center_chunks(centers)
+    if len(chunks) == 1:
+        return _nearest_pass(points.select(*need), arrays, None, shard_col, v_col, keep,
+                             d_name, cid_name, metric, dim)
+    if "id" not in points.columns:
+        raise ValueError("chunked nearest-centre passes need an id column")
+    need = list(dict.fromkeys(need + ["id"]))
+    carry = list(dict.fromkeys(keep + ["id"]))
+    parts = []
+    for cs, offs in chunks:
+        src = points.select(*need)
+        if shard_col:
+            src = src.where(F.col(shard_col).isin(list(cs)))
+        parts.append(_nearest_pass(src, center_arrays(cs), offs, shard_col, v_col, carry,
+                                   "_d", "_c", metric, dim))
+    if shard_col:
+        rest = points.select(*need).where(~F.col(shard_col).isin(list(centers)))
+        parts.append(rest.select(*carry, F.lit(None).cast("double").alias("_d"),
+                                 F.lit(None).cast("int").alias("_c")))
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    others = [c for c in carry if c != "id"]
+    best = F.min_by(F.struct(*[F.col(c) for c in others] + [F.col("_d"), F.col("_c")]),
+                    F.struct(F.coalesce(F.col("_d"), F.lit(float("inf"))), F.col("_c")))
+    merged = allp.groupBy("id").agg(best.alias("_b"))
+    cols = [F.col("id") if c == "id" else F.col(f"_b.{c}").alias(c) for c in keep]
+    cols.append(F.col("_b._d").alias(d_name))
+    if cid_name:
+        cols.append(F.col("_b._c").alias(cid_name))
+    return merged.select(*cols)
 
 
 PickFn = Callable[[DataFrame, int], DataFrame]
@@ -192,8 +253,12 @@ def max_distance_to(points: DataFrame, centers: list[list[float]], dim: int | No
         dim = arr.shape[1]
     if arr is None:
         return points.sparkSession.createDataFrame([], "m double").agg(F.max("m").alias("m"))
-    part = points.select("v").mapInArrow(K.max_dist_kernel(arr, metric, dim), "m double")
-    return part.agg(F.max("m").alias("m"))
+    parts = [points.select("v").mapInArrow(K.max_dist_kernel(center_arrays(cs)[0], metric, dim), "m double")
+             for cs, _ in center_chunks({0: centers})]
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    return allp.agg(F.max("m").alias("m"))
 
 
 def lloyd_sums(points: DataFrame, centers: dict[int, list[list[float]]], dim: int | None,
@@ -206,6 +271,17 @@ def lloyd_sums(points: DataFrame, centers: dict[int, list[list[float]]], dim: in
     """
     arrays = center_arrays(centers)
     dim = dim if dim is not None else _width(arrays)
+    if len(center_chunks(centers)) > 1:
+        # beyond one closure: chunked assignment, then JVM sums per coordinate
+        keep = ["id", "v", "w"] + ([shard_col] if shard_col else [])
+        a = nearest(points, centers, dim, shard_col, metric=metric, keep=keep).where(F.col("cid").isNotNull())
+        a = a.withColumn("_s", F.col(shard_col).cast("int") if shard_col else F.lit(0))
+        coords = (a.select("_s", "cid", "w", F.posexplode("v").alias("j", "x"))
+                  .groupBy("_s", "cid", "j").agg(F.sum(F.col("w") * F.col("x")).alias("s")))
+        tot = a.groupBy("_s", "cid").agg(F.sum("w").alias("sw"), F.count(F.lit(1)).cast("double").alias("n"))
+        out = coords.unionByName(tot.select("_s", "cid", F.lit(K.SUM_W).alias("j"), F.col("sw").alias("s")))
+        out = out.unionByName(tot.select("_s", "cid", F.lit(K.COUNT).alias("j"), F.col("n").alias("s")))
+        return out.select(F.col("_s").alias("shard"), "cid", F.col("j").cast("int").alias("j"), "s")
     cols = ["v", "w"] + ([shard_col] if shard_col else [])
     part = points.select(*cols).mapInArrow(K.lloyd_kernel(arrays, shard_col, metric, dim),
                                            "shard int, cid int, j int, s double")

@@ -64,10 +64,11 @@ def metric_value(sq: np.ndarray, metric: str) -> np.ndarray:
 
 
 def nearest_arrays(X: np.ndarray, shards: np.ndarray, centers: dict[int, np.ndarray],
-                   metric: str) -> tuple[np.ndarray, np.ndarray]:
+                   metric: str, offsets: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distance to and index of the nearest centre of each row's shard.
 
     Ties go to the lowest index; rows whose shard has no centre get NaN / -1.
+    ``offsets`` shifts the indices of a shard (centres split into chunks).
     """
     n = X.shape[0]
     d = np.full(n, np.nan)
@@ -79,7 +80,7 @@ def nearest_arrays(X: np.ndarray, shards: np.ndarray, centers: dict[int, np.ndar
         rows = np.nonzero(shards == s)[0]
         sq = sq_dists(X[rows], C, metric)
         j = np.argmin(sq, axis=1)
-        cid[rows] = j
+        cid[rows] = j + (offsets.get(int(s), 0) if offsets else 0)
         d[rows] = metric_value(sq[np.arange(len(rows)), j], metric)
     return d, cid
 
@@ -91,12 +92,13 @@ def _shards(batch: pa.RecordBatch, shard_col: str | None) -> np.ndarray:
 
 
 def nearest_kernel(centers: dict[int, np.ndarray], shard_col: str | None, v_col: str,
-                   keep: list[str], d_name: str, cid_name: str | None, metric: str, dim: int | None):
+                   keep: list[str], d_name: str, cid_name: str | None, metric: str, dim: int | None,
+                   offsets: dict[int, int] | None = None):
     """Rows of ``keep`` plus the nearest-centre distance (and index)."""
     def run(batches):
         for b in batches:
             X = vectors(b.column(v_col), dim)
-            d, cid = nearest_arrays(X, _shards(b, shard_col), centers, metric)
+            d, cid = nearest_arrays(X, _shards(b, shard_col), centers, metric, offsets)
             cols = [b.column(c) for c in keep]
             names = list(keep)
             cols.append(pa.array(d, pa.float64(), mask=np.isnan(d)))
