@@ -16,7 +16,7 @@ def data(spark):
     # an exact tie: point 1000 is equidistant from centres 0 and 1 below
     rows.append((1000, [0.5, 0.5, 0.5]))
     df = spark.createDataFrame(rows, "id long, v array<double>")
-    centers = {0: [[0.0, 0.5, 0.5], [1.0, 0.5, 0.5], [0.2, 0.9, 0.1], [0.7, 0.1, 0.3], [0.4, 0.4, 0.9]]}
+    centers = {0: [[0.0, 0.5, 0.5], [1.0, 0.5, 0.5], [0.2, 0.9, 1.1], [0.7, -0.2, 0.3], [-0.1, 0.4, 0.9]]}
     sharded = {s: [[rng.random() for _ in range(3)] for _ in range(3)] for s in range(3)}
     return df, centers, sharded
 
