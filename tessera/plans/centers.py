@@ -93,6 +93,43 @@ def center_chunks(centers: dict[int, list[list[float]]], limit: int | None = Non
     return chunks
 
 
+def shard_chunks(centers: dict[int, list[list[float]]], limit: int | None = None) -> list[dict]:
+    """Pack whole shards into chunks of at most ``limit`` centre doubles.
+
+    A point only meets the centres of its own shard, so a pass per chunk over
+    the points of that chunk's shards needs no merge.
+    """
+    limit = KERNEL_LIMIT if limit is None else limit
+    chunks, cur, size = [], {}, 0
+    for s in sorted(centers):
+        n = sum(len(v) for v in centers[s])
+        if n > limit:
+            raise ValueError(f"shard {s} alone has {n} centre coordinates, over {limit}")
+        if size and size + n > limit:
+            chunks.append(cur)
+            cur, size = {}, 0
+        cur[s] = centers[s]
+        size += n
+    chunks.append(cur)
+    return chunks
+
+
+def _map_by_shard_chunks(df: DataFrame, centers: dict[int, list[list[float]]], make_kernel, schema) -> DataFrame:
+    """``mapInArrow`` with the centres of each row's shard, one pass per chunk of shards."""
+    chunks = shard_chunks(centers)
+    if len(chunks) == 1:
+        return df.mapInArrow(make_kernel(center_arrays(chunks[0])), schema)
+    parts, covered = [], []
+    for cs in chunks:
+        covered += list(cs)
+        parts.append(df.where(F.col("shard").isin(list(cs))).mapInArrow(make_kernel(center_arrays(cs)), schema))
+    parts.append(df.where(~F.col("shard").isin(covered)).mapInArrow(make_kernel({}), schema))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _nearest_pass(src: DataFrame, arrays, offsets, shard_col, v_col, keep, d_name, cid_name,
                   metric, dim) -> DataFrame:
     fields = [src.schema[c] for c in keep]
@@ -174,7 +211,9 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
     shard and batch; a ``max_by``/``min_by`` aggregate picks the winner. Every
     ``checkpoint_every`` rounds ``d0`` is written with a reliable checkpoint,
     so the plan never nests and a lost executor recomputes from the last
-    checkpoint or the source.
+    checkpoint or the source. A checkpoint is also taken early when the
+    pending centres outgrow one task closure (``KERNEL_LIMIT``); shards are
+    packed into chunks so each pass carries a bounded set.
     """
     if k <= 0:
         raise ValueError("k must be positive")
@@ -201,7 +240,8 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
             src = base
             if mode == "seed":
                 src = base.withColumn("u", seeded_uniform(seed, F.lit(r), F.col("id")))
-            cand = src.mapInArrow(K.pick_kernel(center_arrays(pending), mode, metric, dim), PICK_SCHEMA)
+            cand = _map_by_shard_chunks(src, pending, lambda arr: K.pick_kernel(arr, mode, metric, dim),
+                                        PICK_SCHEMA)
             if mode == "farthest":
                 best = F.max_by(F.struct("id", "v"), F.struct(F.col("score"), -F.col("id")))
             else:
@@ -213,11 +253,12 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
                 s = int(row["shard"])
                 chosen.setdefault(s, []).append((int(row["id"]), list(row["v"])))
                 pending.setdefault(s, []).append(list(row["v"]))
-            if checkpoint_every and r % checkpoint_every == 0 and r < k - 1:
+            due = checkpoint_every and r % checkpoint_every == 0
+            if (due or _size(pending) > KERNEL_LIMIT) and r < k - 1:
                 ensure_checkpoint_dir(points.sparkSession)
                 schema = T.StructType([base.schema[c] for c in cols] + [T.StructField("d0", T.DoubleType())])
-                nxt = base.select(*cols, "d0").mapInArrow(
-                    K.update_kernel(center_arrays(pending), metric, dim, cols), schema)
+                nxt = _map_by_shard_chunks(base.select(*cols, "d0"), pending,
+                                           lambda arr: K.update_kernel(arr, metric, dim, cols), schema)
                 base = nxt.checkpoint(eager=True)
                 pending = {}
     finally:

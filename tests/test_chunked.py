@@ -51,3 +51,16 @@ def test_chunked_equals_single(spark, data, monkeypatch):
     assert chunked[5] == single[5]
     tie = [r for r in single[0] if r[0] == 1000][0]
     assert tie[1] == 0  # ties go to the lowest centre index, also across chunks
+
+
+def test_chunked_rounds_equal_single(spark, monkeypatch):
+    from tessera.operators import kcenter as KC
+    rng = random.Random(23)
+    df = spark.createDataFrame([(i, [rng.random(), rng.random()]) for i in range(400)], "id long, v array<double>")
+    want = KC.k_center_coreset(df, 5, 6).collect()
+    seeds = KM.kmedian_seed(df, 4, 42, shards=6)
+    monkeypatch.setattr(PC, "KERNEL_LIMIT", 5)  # two shards' pending centres per chunk
+    got = KC.k_center_coreset(df, 5, 6).collect()
+    assert sorted((r["shard"], r["rank"], r["id"]) for r in got) == \
+        sorted((r["shard"], r["rank"], r["id"]) for r in want)
+    assert KM.kmedian_seed(df, 4, 42, shards=6) == seeds
