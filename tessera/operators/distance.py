@@ -1,8 +1,9 @@
 """Distance operators over points ``(id, v ARRAY<DOUBLE>)``.
 
 Pair distances are Catalyst expressions. All-pairs statistics (exact diameter,
-average distance) run on the block-pair plan: B hashed blocks, one cogroup per
-block pair, reduced in numpy to one row each — no pair rows are materialized.
+average distance) run on the block-pair plan: B hashed blocks, one group per
+block pair after a single exchange, reduced in numpy to one row each — no pair
+rows are materialized.
 """
 
 from __future__ import annotations
