@@ -32,3 +32,15 @@ def test_read_points_comma_and_space(spark):
         back = read_points(spark, os.path.join(d, sub), sep=sep)
         assert sorted(tuple(r["v"]) for r in back.collect()) == want
         assert back.select("id").distinct().count() == len(want)
+
+
+def test_sinks_round_trip(spark):
+    from tessera.sources.sinks import write_parquet, write_report_line
+    d = tempfile.mkdtemp(prefix="tessera-sink-")
+    counts = C.class_count_by_shard(tables.event_pairs(spark, SF), 4)
+    write_parquet(counts, os.path.join(d, "cc"), partition_by=["shard"])
+    back = spark.read.parquet(os.path.join(d, "cc"))
+    assert sorted(map(tuple, back.select("shard", "class", "n").collect())) == \
+        sorted(map(tuple, counts.select("shard", "class", "n").collect()))
+    write_report_line(C.class_count_line(C.class_count(tables.event_pairs(spark, SF), 4)), os.path.join(d, "line"))
+    assert spark.read.text(os.path.join(d, "line")).collect()[0][0].startswith("('click', ")
