@@ -23,3 +23,19 @@ def test_streaming_word_count_equals_batch(spark):
     batch_lines = spark.read.text(src).selectExpr("0L AS doc_id", "0 AS line_no", "value AS text")
     want = {r["word"]: r["n"] for r in T.word_count(batch_lines).collect()}
     assert got == want and len(got) > 100
+
+
+def test_streaming_class_count_equals_batch(spark):
+    from tessera.operators import classes as C
+    from tessera.sources.text import pair_lines
+    base = tempfile.mkdtemp(prefix="tessera-stream-cc-")
+    src = os.path.join(base, "in")
+    pair_lines(tables.event_pairs(spark, SF), "id", "class").repartition(4).write.text(src)
+    q = S.start(S.class_count_stream(spark, src), os.path.join(base, "ckpt"), name="cc_stream")
+    try:
+        q.processAllAvailable()
+        got = {r["class"]: r["n"] for r in spark.sql("SELECT * FROM cc_stream").collect()}
+    finally:
+        q.stop()
+    want = {r["class"]: r["n"] for r in C.class_count_direct(tables.event_pairs(spark, SF)).collect()}
+    assert got == want
