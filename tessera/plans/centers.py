@@ -240,8 +240,18 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
             src = base
             if mode == "seed":
                 src = base.withColumn("u", seeded_uniform(seed, F.lit(r), F.col("id")))
-            cand = _map_by_shard_chunks(src, pending, lambda arr: K.pick_kernel(arr, mode, metric, dim),
-                                        PICK_SCHEMA)
+            jvm = use_jvm(dim, pending)
+            if jvm:
+                # low dimension: the whole round stays in whole-stage codegen
+                cur = with_jvm_distance(src, pending, dim, metric, "d")
+                if mode == "farthest":
+                    cand = cur.where(F.col("d") > 0).select("shard", "id", "v", F.col("d").alias("score"))
+                else:
+                    cand = cur.where((F.col("d") > 0) & (F.col("w") > 0)).select(
+                        "shard", "id", "v", (-F.ln("u") / (F.col("w") * F.col("d"))).alias("score"))
+            else:
+                cand = _map_by_shard_chunks(src, pending, lambda arr: K.pick_kernel(arr, mode, metric, dim),
+                                            PICK_SCHEMA)
             if mode == "farthest":
                 best = F.max_by(F.struct("id", "v"), F.struct(F.col("score"), -F.col("id")))
             else:
@@ -254,11 +264,16 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
                 chosen.setdefault(s, []).append((int(row["id"]), list(row["v"])))
                 pending.setdefault(s, []).append(list(row["v"]))
             due = checkpoint_every and r % checkpoint_every == 0
-            if (due or _size(pending) > KERNEL_LIMIT) and r < k - 1:
+            over = _size(pending) > KERNEL_LIMIT or (jvm and not use_jvm(dim, pending, ahead=1))
+            if (due or over) and r < k - 1:
                 ensure_checkpoint_dir(points.sparkSession)
-                schema = T.StructType([base.schema[c] for c in cols] + [T.StructField("d0", T.DoubleType())])
-                nxt = _map_by_shard_chunks(base.select(*cols, "d0"), pending,
-                                           lambda arr: K.update_kernel(arr, metric, dim, cols), schema)
+                if use_jvm(dim, pending):
+                    nxt = with_jvm_distance(base.select(*cols, "d0"), pending, dim, metric, "_d").select(
+                        *cols, F.col("_d").alias("d0"))
+                else:
+                    schema = T.StructType([base.schema[c] for c in cols] + [T.StructField("d0", T.DoubleType())])
+                    nxt = _map_by_shard_chunks(base.select(*cols, "d0"), pending,
+                                               lambda arr: K.update_kernel(arr, metric, dim, cols), schema)
                 base = nxt.checkpoint(eager=True)
                 pending = {}
     finally:
@@ -267,6 +282,52 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
     return chosen
 
 
+# Rounds on points of at most this dimension run as JVM expressions, with at
+# most JVM_TERMS unrolled squared differences per row (codegen method size).
+JVM_DIM_LIMIT = 16
+JVM_TERMS = 128
+
+
+def use_jvm(dim: int | None, pending: dict[int, list], ahead: int = 0) -> bool:
+    """Whether the next round's distances fit the unrolled JVM expression."""
+    if dim is None or dim > JVM_DIM_LIMIT or not pending:
+        return False
+    m = max(len(v) for v in pending.values()) + ahead
+    return m * dim <= JVM_TERMS and _size(pending) <= KERNEL_LIMIT
+
+
+def with_jvm_distance(df: DataFrame, pending: dict[int, list[list[float]]], dim: int, metric: str,
+                      out_col: str) -> DataFrame:
+    """Add ``out_col = least(d0, distance to each pending centre of the row's shard)``.
+
+    The centres are one array literal indexed by shard and looked up once per
+    row (column ``_P``; NULL for a shard outside it). Shards with fewer
+    centres are padded with NaN vectors: their distance is NaN, which
+    ``least`` never picks (Spark orders NaN above every number), and NULLs
+    are skipped. Everything compiles into whole-stage codegen.
+    """
+    from tessera.functions.vectors import double_literal
+    L = max(pending) + 1
+    m = max(len(v) for v in pending.values())
+    nan = [float("nan")] * dim
+    rows = []
+    for s in range(L):
+        vs = pending.get(s, [])
+        padded = [vs[j] if j < len(vs) else nan for j in range(m)]
+        rows.append("array(" + ", ".join("array(" + ", ".join(double_literal(x) for x in v) + ")"
+                                         for v in padded) + ")")
+    lit = "array(" + ", ".join(rows) + ")"
+    n = dim - 1 if metric == "sq_drop_last" else (min(2, dim) if metric == "euclidean_2d" else dim)
+    dists = []
+    for j in range(m):
+        body = " + ".join(f"(v[{i}] - _P[{j}][{i}]) * (v[{i}] - _P[{j}][{i}])" for i in range(n)) or "0D"
+        dists.append(body if metric == "sq_drop_last" else f"sqrt({body})")
+    guard = f"CASE WHEN size(v) != {dim} THEN raise_error('points of unequal dimension') END"
+    out = df.withColumn("_P", F.expr(f"try_element_at({lit}, shard + 1)"))
+    out = out.withColumn(out_col, F.expr(f"least(d0, {', '.join(dists)}, {guard})"))
+    return out.drop("_P")
+
+
 def rows_by_shard(chosen: dict[int, list[tuple[int, list[float]]]]) -> list[tuple[int, int, int, list[float]]]:
     """Flatten to ``(shard, rank, id, v)`` tuples."""
     return [(s, r, i, v) for s, lst in sorted(chosen.items()) for r, (i, v) in enumerate(lst)]

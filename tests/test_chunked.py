@@ -64,3 +64,24 @@ def test_chunked_rounds_equal_single(spark, monkeypatch):
     assert sorted((r["shard"], r["rank"], r["id"]) for r in got) == \
         sorted((r["shard"], r["rank"], r["id"]) for r in want)
     assert KM.kmedian_seed(df, 4, 42, shards=6) == seeds
+
+
+def test_jvm_rounds_equal_kernel_rounds(spark, monkeypatch):
+    from tessera.operators import kcenter as KC
+    rng = random.Random(29)
+    rows = [(i, [round(rng.random(), 2), round(rng.random(), 2), rng.random()]) for i in range(500)]
+    rows += [(1000 + i, rows[i][1]) for i in range(40)]  # duplicates
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+
+    def picks():
+        return (
+            [(r["shard"], r["rank"], r["id"]) for r in KC.k_center_coreset(df, 6, 5, checkpoint_every=2).collect()],
+            KC.farthest_first(df, 7, None, metric="sq_drop_last"),
+            KM.kmedian_seed(df, 5, 42, shards=5, checkpoint_every=3),
+            KM.kmedian_seed(df, 5, 7),
+        )
+
+    jvm = picks()
+    monkeypatch.setattr(PC, "JVM_DIM_LIMIT", 0)  # force the Arrow kernel path
+    kernel = picks()
+    assert jvm == kernel
