@@ -242,21 +242,27 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
                 src = base.withColumn("u", seeded_uniform(seed, F.lit(r), F.col("id")))
             jvm = use_jvm(dim, pending)
             if jvm:
-                # low dimension: the whole round stays in whole-stage codegen
+                # low dimension: the whole round stays in whole-stage codegen.
+                # No Filter node: a filter on d would be pushed below the
+                # projection and compute every distance twice; invalid rows
+                # get an ignorable score and are counted out instead.
                 cur = with_jvm_distance(src, pending, dim, metric, "d")
                 if mode == "farthest":
-                    cand = cur.where(F.col("d") > 0).select("shard", "id", "v", F.col("d").alias("score"))
+                    ok = F.col("d") > 0
+                    score = F.when(ok, F.col("d")).otherwise(F.lit(-1.0))
                 else:
-                    cand = cur.where((F.col("d") > 0) & (F.col("w") > 0)).select(
-                        "shard", "id", "v", (-F.ln("u") / (F.col("w") * F.col("d"))).alias("score"))
+                    ok = (F.col("d") > 0) & (F.col("w") > 0)
+                    score = F.when(ok, -F.ln("u") / (F.col("w") * F.col("d"))).otherwise(F.lit(float("inf")))
+                cand = cur.select("shard", "id", "v", score.alias("score"), ok.cast("int").alias("ok"))
             else:
                 cand = _map_by_shard_chunks(src, pending, lambda arr: K.pick_kernel(arr, mode, metric, dim),
-                                            PICK_SCHEMA)
+                                            PICK_SCHEMA).withColumn("ok", F.lit(1))
             if mode == "farthest":
-                best = F.max_by(F.struct("id", "v"), F.struct(F.col("score"), -F.col("id")))
+                best = F.max_by(F.struct("id", "v"), F.struct(F.col("ok"), F.col("score"), -F.col("id")))
             else:
-                best = F.min_by(F.struct("id", "v"), F.struct(F.col("score"), F.col("id")))
-            rows = cand.groupBy("shard").agg(best.alias("p")).select("shard", "p.id", "p.v").collect()
+                best = F.min_by(F.struct("id", "v"), F.struct(-F.col("ok"), F.col("score"), F.col("id")))
+            rows = (cand.groupBy("shard").agg(best.alias("p"), F.max("ok").alias("any"))
+                    .where(F.col("any") == 1).select("shard", "p.id", "p.v").collect())
             if not rows:
                 break
             for row in rows:
