@@ -2,10 +2,11 @@
 
 Centres are few (k per shard, bounded by the caller's parameters and checked
 against ``DRIVER_LIMIT``) and are the only thing that reaches the driver: one
-row per shard per round. They go back to the executors inside the task closure
-of an Arrow-batched numpy kernel, which compares every batch of points with the
-centres of the row's shard. Each round is one scan with per-batch partial
-results and L rows of shuffle.
+row per shard per round. They go back to the executors either inside a
+whole-stage-codegen expression (low dimension: an array literal looked up by
+shard, distances unrolled) or inside the task closure of an Arrow-batched
+numpy kernel (at most ``KERNEL_LIMIT`` doubles per closure, chunked beyond).
+Each round is one scan with partial aggregates and L rows of shuffle.
 """
 
 from __future__ import annotations
