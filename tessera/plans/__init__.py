@@ -1,0 +1,14 @@
+"""Physical building blocks: the block-pair plan, centre plans, Arrow kernels.
+
+Functions of ``kernels`` and ``blocks`` run inside Python workers. They are
+registered for pickling by value, so every task carries their code and the
+executors need no copy of this package (no ``--py-files`` required).
+"""
+
+from pyspark import cloudpickle
+
+from tessera.plans import blocks as _blocks
+from tessera.plans import kernels as _kernels
+
+cloudpickle.register_pickle_by_value(_kernels)
+cloudpickle.register_pickle_by_value(_blocks)
