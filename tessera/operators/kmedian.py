@@ -138,8 +138,9 @@ def kmedian_coreset(points: DataFrame, k: int, L: int, iters: int, seed: int = 4
     centers = kmedian_cluster(points, k, iters, seed, L, checkpoint_every=checkpoint_every)
     weights = center_weights(points, centers, L)
     cf = centers_to_frame(points.sparkSession, centers)
+    # k·L rows, bounded by the parameters: one partition for the next round
     return cf.join(weights, ["shard", "cid"]).select(
-        "shard", "cid", "v", F.col("n").alias("w"))
+        "shard", "cid", "v", F.col("n").alias("w")).coalesce(1)
 
 
 def coreset_points(coreset: DataFrame, k: int) -> DataFrame:
