@@ -91,9 +91,14 @@ def lloyd(points: DataFrame, centers, dim: int | None, iters: int, sharded: bool
 
 def kmedian_cluster(points: DataFrame, k: int, iters: int, seed: int = 42,
                     shards: int | None = None, w_col: str | None = None,
-                    checkpoint_every: int = 8) -> dict[int, list[list[float]]]:
-    """Seeding plus ``iters`` Lloyd rounds; ``{shard: [centre vectors]}``."""
-    pts = spread_and_persist(prepare(points, shards, w_col))
+                    checkpoint_every: int = 8, spread: bool = True) -> dict[int, list[list[float]]]:
+    """Seeding plus ``iters`` Lloyd rounds; ``{shard: [centre vectors]}``.
+
+    ``spread=False`` keeps the input's partitioning (for a small bounded input
+    such as a k·L-row coreset, where a repartition costs more than it saves).
+    """
+    prepared = prepare(points, shards, w_col)
+    pts = spread_and_persist(prepared) if spread else prepared.persist()
     try:
         chosen = kmedian_seed(pts, k, seed, shards, None, checkpoint_every, prepared=True)
         if not chosen:
@@ -156,7 +161,7 @@ def mr_kmedian(points: DataFrame, k: int, L: int, iters: int, seed: int = 42,
     core = coreset_points(kmedian_coreset(pts, k, L, iters, seed, checkpoint_every), k)
     core = core.persist()
     core.count()
-    centers = kmedian_cluster(core, k, iters, seed, None, "w", checkpoint_every)
+    centers = kmedian_cluster(core, k, iters, seed, None, "w", checkpoint_every, spread=False)
     objective = kmedian_objective(pts, centers).persist()
     objective.count()
     core.unpersist()
