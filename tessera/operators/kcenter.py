@@ -75,7 +75,8 @@ def k_center_coreset(points: DataFrame, k: int, L: int, **kw) -> DataFrame:
     return centers_frame(points.sparkSession, chosen, with_shard=True)
 
 
-def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean") -> DataFrame:
+def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean",
+                    n: int | None = None) -> DataFrame:
     """``(round, id, v)``: floor(k/2) rounds of the farthest unused pair, plus the
     smallest unused id when k is odd; all points when k >= n.
 
@@ -84,7 +85,8 @@ def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean") -> Dat
     also settles rounds where every remaining distance is 0.
     """
     pts = points.select("id", "v")
-    n = pts.count()
+    if n is None:
+        n = pts.count()
     spark = points.sparkSession
     if k >= n:
         return pts.select(F.lit(None).cast("int").alias("round"), "id", "v")
@@ -110,11 +112,16 @@ def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean") -> Dat
 
 def diversity_max(points: DataFrame, k: int, L: int, metric: str = "euclidean", **kw) -> DataFrame:
     """Two rounds: k-center coreset per shard, then greedy matching on the k·L rows."""
-    core = k_center_coreset(points, k, L, **kw).select("id", "v")
-    return greedy_matching(core, k, metric)
+    chosen = farthest_first(points, k, L, **kw)
+    core = centers_frame(points.sparkSession, chosen).select("id", "v")
+    # the coreset size is known on the driver: no count job
+    return greedy_matching(core, k, metric, n=sum(len(v) for v in chosen.values()))
 
 
 def diversity_score(points: DataFrame, k: int, L: int, **kw) -> DataFrame:
     """One row ``avg_d``: average pairwise distance of the diversity solution."""
     from tessera.operators.distance import avg_pairwise_distance
-    return avg_pairwise_distance(diversity_max(points, k, L, **kw).select("id", "v"))
+    from tessera.plans.blocks import block_count_for
+    sol = diversity_max(points, k, L, **kw).select("id", "v")
+    # at most k rows: the block count follows from k, no count job
+    return avg_pairwise_distance(sol, blocks=block_count_for(sol, k))
