@@ -62,3 +62,24 @@ def test_matching_returns_min_k_n_distinct(spark):
     for k in (1, 3, 6, 7, 9):
         ids = [r["id"] for r in KC.greedy_matching(pts, k).collect()]
         assert len(ids) == len(set(ids)) == min(k, 7)
+
+
+def test_coreset_with_one_hot_shard(spark):
+    # every id is a multiple of L, so one shard holds all rows: the shard-keyed
+    # loop must still give exactly the global farthest-first centres there
+    rng = random.Random(31)
+    df = spark.createDataFrame([(4 * i, [rng.random(), rng.random()]) for i in range(600)],
+                               "id long, v array<double>")
+    core = KC.k_center_coreset(df, 5, 4).collect()
+    assert {r["shard"] for r in core} == {0}
+    want = [r["id"] for r in KC.k_center(df, 5).orderBy("rank").collect()]
+    assert [r["id"] for r in sorted(core, key=lambda r: r["rank"])] == want
+
+
+def test_kmedian_seed_with_a_third_in_one_shard(spark):
+    rng = random.Random(37)
+    rows = [(i, [rng.random(), rng.random()]) for i in range(900)]
+    rows = [(r[0] * 3 if r[0] < 300 else r[0] * 3 + 1 + r[0] % 2, r[1]) for r in rows]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    seeds = KM.kmedian_seed(df, 4, 42, shards=3)
+    assert sorted(seeds) == [0, 1, 2] and all(len(v) == 4 for v in seeds.values())
