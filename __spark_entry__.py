@@ -7,6 +7,7 @@ are rounded to 6 places on both sides; vectors are reported exploded as
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -349,6 +350,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+_ORACLES: dict[str, str] = {}
+
+# The training-data operators and their pipeline are a part that can be taken out.
+if importlib.util.find_spec("tessera.llm"):
+    from tessera.llm import queries as _llm
+
+    _QUERIES.update(_llm.QUERIES)
+    _ORACLES.update(_llm.ORACLE_SQL)
+    if importlib.util.find_spec("corpus_pipeline"):
+        import corpus_pipeline as _pipeline
+
+        _QUERIES["pipeline"] = _pipeline.run
+        if _pipeline.ORACLE_SQL:
+            _ORACLES["pipeline"] = _pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: class counts plus the largest deterministic shard, events sf0.001."""
     return q_class_count_with_max(spark, "/root/testdata/sf0.001")
@@ -470,5 +487,5 @@ def _oracle() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = _oracle()
+    sql = _oracle() | _ORACLES
     return {k: v for k, v in sql.items() if k in _QUERIES}
