@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, langid, packing, pii, simhash
+from tessera.llm import decontam, embdedup, langid, packing, pii, simhash
 from tessera.llm.common import table
 
 #: Words of the contracts of operators 1 and 7.
@@ -31,6 +31,10 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("component").alias("component_id"))
 
 
+def op3_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return embdedup.near_duplicates(table(spark, sf, "embeddings"), threshold=0.9)
+
+
 def op4_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(langid.fold() != 2))
@@ -51,6 +55,7 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
+    "op3_embeddings": op3_embeddings,
     "op4_language": op4_language,
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
