@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, embdedup, langid, packing, pii, simhash
+from tessera.llm import decontam, embdedup, langid, packing, pii, sadedup, simhash
 from tessera.llm.common import table
 
 #: Words of the contracts of operators 1 and 7.
@@ -43,6 +43,11 @@ def op4_language(spark: SparkSession, sf: str) -> DataFrame:
         F.col("lang_score").alias("score"))
 
 
+def op6_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    out = sadedup.remove_repeats(table(spark, sf, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return pii.pseudonymize(docs, key=PII_KEY).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_embeddings": op3_embeddings,
     "op4_language": op4_language,
+    "op6_repeats": op6_repeats,
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
 }
