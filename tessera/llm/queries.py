@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, embdedup, langid, packing, pii, sadedup, simhash
+from tessera.llm import decontam, embdedup, langid, licenses, packing, pii, sadedup, secrets, simhash
 from tessera.llm.common import table
 
 #: Words of the contracts of operators 1 and 7.
@@ -43,11 +43,29 @@ def op4_language(spark: SparkSession, sf: str) -> DataFrame:
         F.col("lang_score").alias("score"))
 
 
+def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", *(count(k) for k, *_ in secrets.BASE), F.sha2(secrets.as_text(F.col("base")), 256).alias("base_sha256"),
+                      secrets.as_text(F.col("spans")).alias("spans"))
+
+
 def op6_repeats(spark: SparkSession, sf: str) -> DataFrame:
     out = sadedup.remove_repeats(table(spark, sf, "documents"), length=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    labels = F.array_sort(F.array_union("base_labels", F.transform("found", lambda s: s["label"])))
+    return out.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+                      F.array_min("places").alias("first_word"), F.array_max("places").alias("last_word"),
+                      F.array_join("base_labels", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), "score")
+
+
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return pii.pseudonymize(docs, key=PII_KEY).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
@@ -62,7 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_embeddings": op3_embeddings,
     "op4_language": op4_language,
+    "op5_secrets": op5_secrets,
     "op6_repeats": op6_repeats,
+    "op7_licenses": op7_licenses,
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
 }
