@@ -7,5 +7,5 @@ from importlib import import_module
 
 from pyspark import cloudpickle
 
-for _name in ("common", "decontam", "embdedup", "simhash", "langid", "packing", "sadedup"):
+for _name in ("common", "decontam", "embdedup", "simhash", "langid", "packing", "quality", "sadedup"):
     cloudpickle.register_pickle_by_value(import_module(f"tessera.llm.{_name}"))

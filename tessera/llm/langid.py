@@ -119,11 +119,13 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
     language. Ties go to the first language in sorted order. Input columns named like the results are replaced.
     """
     keep = passed_columns(docs, ["lang_pred", "lang_score"])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most buckets x max_langs floats
+    # plain values: at most buckets x max_langs floats
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logp, model.prior, model.orders))
 
     def run(batches):
+        held = LanguageModel(*shared.value)
         for b in sliced(batches, 1 << 25, text):
-            langs, scores = score_texts(shared.value, binary_list(b.column(text)))
+            langs, scores = score_texts(held, binary_list(b.column(text)))
             yield with_columns(b, keep, {"lang_pred": pa.array(langs, pa.string()), "lang_score": pa.array(scores)})
 
     return docs.mapInArrow(run, schema_of(docs, keep, "lang_pred string, lang_score double"))

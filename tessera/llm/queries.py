@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, embdedup, langid, licenses, packing, pii, sadedup, secrets, simhash
+from tessera.llm import decontam, embdedup, langid, licenses, packing, pii, quality, sadedup, secrets, simhash
 from tessera.llm.common import table
 
 #: Words of the contracts of operators 1 and 7.
@@ -75,6 +75,11 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), packing.tokenizer_file()).drop("ids")
 
 
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    out = quality.classify(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_licenses": op7_licenses,
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
