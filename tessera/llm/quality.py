@@ -45,11 +45,13 @@ class Text:
 
     raw: bytes
     words: list[bytes]
+    #: Distinct words in lower case without the signs around them.
+    plain: frozenset[bytes]
 
     @classmethod
     def of(cls, raw: bytes | None) -> Text:
         raw = raw or b""
-        return cls(raw, raw.split())
+        return cls(raw, raw.split(), frozenset(w.strip(_TRIM) for w in raw.lower().split()))
 
     def share(self, chars: bytes) -> float:
         return (len(self.raw) - len(self.raw.translate(None, chars))) / max(1, len(self.raw))
@@ -105,15 +107,39 @@ def by_length(t: Text) -> int:
 QUALITY = (by_symbols, by_capitals, by_marked_words, by_stutter, by_commonest_word, by_variety, by_sentences, by_length)
 
 
-def _insulting(name: str):
-    def by_list(t: Text) -> int:
-        return GOOD if INSULTS[name].isdisjoint(w.strip(_TRIM) for w in t.raw.lower().split()) else BAD
-    by_list.__name__ = f"by_{name}"
-    return by_list
+def by_list(name: str, words: frozenset[bytes], least: int = 1):
+    """A labeller: bad with ``least`` of the words or more."""
+    def vote(t: Text) -> int:
+        return GOOD if len(words & t.plain) < least else BAD
+    vote.__name__ = f"by_{name}"
+    return vote
 
 
 #: A document that is "bad" here is toxic.
-TOXICITY = tuple(map(_insulting, INSULTS))
+TOXICITY = tuple(by_list(k, v) for k, v in INSULTS.items())
+
+
+def marked_words(docs: DataFrame, labels: DataFrame, flag: str, id_col: str = "doc_id", text: str = "text",
+                 share: float = 0.01, ratio: float = 50.0, most: int = 20_000, most_words: int = 2_000) -> frozenset[bytes]:
+    """Words that flagged documents have, and others hardly: a labeller's list, in any language.
+
+    Of the labelled documents about ``most`` with the flag and as many without it are read, by the hash of their id.
+    A word is listed if it is in a ``share`` of the flagged distinct texts at least, in three at least, and ``ratio``
+    times as often as in the others; there are ``most_words`` at most, the commonest ones. Rows with a NULL id, text
+    or flag say nothing.
+    """
+    of = labels.select(F.col(id_col).alias("i"), F.col(flag).alias("f")).dropna().dropDuplicates(["i"])
+    n = dict(of.groupBy("f").count().collect())
+    u = F.xxhash64(F.col("i").cast("string")).bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
+    of = of.where(u < F.when(F.col("f") == 1, most / max(1, n.get(1, 0))).otherwise(most / max(1, n.get(0, 0))))
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text).alias("t")).dropna().join(of, "i").select("f", "t").distinct()
+    size = dict(texts.groupBy("f").count().collect())
+    yes, no = size.get(1, 0), size.get(0, 0)
+    words = texts.select("f", F.explode(F.array_distinct(F.split(F.lower("t"), r"[\s.,;:!?\"'()\[\]]+"))).alias("w"))
+    hit = words.where(F.col("w") != "").groupBy("w").agg(F.sum((F.col("f") == 1).cast("long")).alias("y"),
+                                                       F.sum((F.col("f") != 1).cast("long")).alias("n"))
+    hit = hit.where((F.col("y") >= max(3.0, share * yes)) & (F.col("y") * no >= F.col("n") * yes * ratio))
+    return frozenset(r["w"].encode() for r in hit.orderBy(F.desc("y"), "w").limit(most_words).collect())
 
 
 def votes_of(t: Text, labellers) -> str:
@@ -122,7 +148,8 @@ def votes_of(t: Text, labellers) -> str:
 
 @dataclass(frozen=True)
 class WeakLabels:
-    """``table[j, y, v]``: probability that labeller j votes v on a document of class y; ``prior`` of good."""
+    """``table[j, y, v]``: probability that labeller j, if it votes, votes v on a document of class y (1 for
+    abstaining); ``prior`` of good."""
 
     table: np.ndarray
     prior: float
@@ -136,15 +163,19 @@ class WeakLabels:
 
 
 def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = 200) -> WeakLabels:
-    """Fit to vote patterns (rows) that ``n`` documents have each, from the majority's label on."""
+    """Fit to vote patterns (rows) that ``n`` documents have each.
+
+    Each labeller knows one kind of fault, so the first guess is that two bad votes mean a bad document, however
+    many see nothing wrong, and that one bad vote is open.
+    """
     m = votes.shape[1]
-    good, bad = (votes == GOOD).sum(1), (votes == BAD).sum(1)
-    p = (good + 0.5) / (good + bad + 1) if m else np.full(len(votes), 0.5)
+    p = 1 / (1 + np.exp(4.0 * ((votes == BAD).sum(1) - 1)))
     for _ in range(rounds):
         w = np.stack([(1 - p) * n, p * n])
-        table = np.stack([[np.bincount(votes[:, j], weights=w[y], minlength=3) + (0.5, 0.5, 0.5) for y in (BAD, GOOD)]
+        table = np.stack([[np.bincount(votes[:, j], weights=w[y], minlength=3) + 0.5 for y in (BAD, GOOD)]
                           for j in range(m)])
-        table /= table.sum(2, keepdims=True)
+        table /= table[:, :, :ABSTAIN].sum(2, keepdims=True)
+        table[:, :, ABSTAIN] = 1  # who abstains says nothing
         model = WeakLabels(table, float((w[GOOD].sum() + 1) / (w.sum() + 2)))
         new = model.posterior(votes)
         if np.abs(new - p).max(initial=0) < 1e-9:
@@ -155,7 +186,7 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, rounds: int = 200
 
 def features(t: Text, buckets: int) -> np.ndarray:
     """Distinct hashed features: lower-case words without their signs, shapes of words' ends, repeated words."""
-    found = {w.strip(_TRIM) for w in t.raw.lower().split()}
+    found = set(t.plain)
     found |= {b"\x01" + w[:1] + w[-2:] for w in t.raw.translate(_SHAPE).split()}
     again = sum(map(operator.eq, t.words, t.words[1:]))
     if again * 20 > len(t.words):
@@ -243,19 +274,26 @@ def fit(docs: DataFrame, labellers: dict[str, tuple], id_col: str = "doc_id", te
     return out
 
 
-TARGETS = {"quality": QUALITY, "clean": TOXICITY}
+def targets(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text: str = "text") -> dict[str, tuple]:
+    """The labellers of quality, and of being clean of insults; labelled toxic documents add words to the latter."""
+    toxic = TOXICITY
+    if labels is not None:
+        words = marked_words(docs, labels, "toxic", id_col, text)
+        toxic = (*TOXICITY, by_list("toxic_word", words), by_list("toxic_words", words, 2))
+    return {"quality": QUALITY, "clean": toxic}
 
 
-def classify(docs: DataFrame, scorers: dict[str, Scorer] | None = None, id_col: str = "doc_id", text: str = "text",
-             least: float = 0.5) -> DataFrame:
+def classify(docs: DataFrame, scorers: dict[str, Scorer] | None = None, labels: DataFrame | None = None,
+             id_col: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
     """``docs`` with ``score``, ``keep``, and for each target its ``<target>`` score and ``weak_<target>`` posterior.
 
     ``score`` is the product of the targets' scores: whether the document is good, and whether it is clean of
     insults. ``keep``: each target reaches ``least``. A target's score is the mean of the linear scorer's and the
     posterior's. NULL and empty texts, and those without a word, score 0. Repeated rows score alike. Without any
-    text to learn from all scores come from the labellers alone. Columns named like the results are replaced.
+    text to learn from all scores come from the labellers alone. ``labels`` (id, toxic) may name toxic documents
+    whose words one more labeller looks for. Columns named like the results are replaced.
     """
-    scorers = scorers or fit(docs, TARGETS, id_col, text)
+    scorers = scorers or fit(docs, targets(docs, labels, id_col, text), id_col, text)
     names = list(scorers)
     new = ["score", "keep", *names, *(f"weak_{k}" for k in names)]
     keep = passed_columns(docs, new)

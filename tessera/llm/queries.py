@@ -76,7 +76,7 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
-    out = quality.classify(table(spark, sf, "documents").select("doc_id", "text"))
+    out = quality.classify(table(spark, sf, "documents").select("doc_id", "text"), labels=table(spark, sf, "labels"))
     return out.drop("text")
 
 
