@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.llm.common import binary_list, kept_by_worker, sliced
 
@@ -180,30 +181,31 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
                 ids = np.concatenate([enc.encode(t), end])
                 if len(ids):
                     out.extend(packer.add(Example(key, ids, None, 0, len(ids))))
-            yield _pieces(out, base)
+            yield _pieces(out, base, key_type, id_col)
             out = []
         for p in packer.finish():
             out.append(p)
             if len(out) >= 4096:
-                yield _pieces(out, base)
+                yield _pieces(out, base, key_type, id_col)
                 out = []
-        yield _pieces(out, base)
+        yield _pieces(out, base, key_type, id_col)
 
     kind = dict(docs.dtypes)[id_col]
+    key_type = to_arrow_schema(docs.select(id_col).schema).field(0).type
     return docs.select(id_col, text).mapInArrow(run, PIECES.replace("doc_id long", f"{id_col} {kind}", 1))
 
 
-def _pieces(rows: list, base: int) -> pa.RecordBatch:
+def _pieces(rows: list, base: int, kind: pa.DataType, id_col: str) -> pa.RecordBatch:
     keys, totals, starts, ids, seqs, offs = zip(*rows) if rows else ((),) * 6
     sizes = [len(x) for x in ids]
     offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
     flat = np.concatenate([np.empty(0, "<u4"), *ids]).astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
+        [pa.array(keys, kind), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
          pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
          pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), pa.array(totals, pa.int64()),
          pa.array([base + s for s in seqs], pa.int64()), pa.array(offs, pa.int64())],
-        names=["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+        names=[id_col, "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
