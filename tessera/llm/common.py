@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared checkpoint folder, reread, and its path: the lineage ends here.
+
+    A table rather than a checkpoint: that would hand on the partitionings and constraints of its plan, which
+    multiply with each join of a loop.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there: the lineage ends here."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return written(df)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt to ``spark.sql.shuffle.partitions`` tasks: a small table may cause much work for each row."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def passed_columns(df: DataFrame, new: list[str]) -> list[str]:
@@ -73,14 +95,14 @@ def sliced(batches, max_bytes: int, text: str):
             yield b.slice(s, step)
 
 
-def _min_label(edges: DataFrame, key: str, value: str, n_edges: int) -> DataFrame:
+def _min_label(edges: DataFrame, key: str, value: str, n_edges: int, old: list[str]) -> DataFrame:
     """``edges`` with column ``m``, the smallest ``value`` of the row's ``key``.
 
     Keys of a high degree come by broadcast (there are at most 2 * HUBS of them), so that no task of
     the join gathers the edges of one hub; the others meet in an equality join.
     """
-    low = edges.groupBy(key).agg(F.min(value).alias("m"), F.count(F.lit(1)).alias("deg"))
-    low = materialize(low)
+    low, path = written(edges.groupBy(key).agg(F.min(value).alias("m"), F.count(F.lit(1)).alias("deg")))
+    old.append(path)
     limit = max(HUB_DEGREE, n_edges // HUBS)
     hubs = low.where(F.col("deg") > limit).select(F.col(key).alias("_hub"), F.col("m").alias("_hm"))
     first = edges.join(F.broadcast(hubs), F.col(key) == F.col("_hub"), "left")
@@ -95,26 +117,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating large-star and small-star rounds: each edge moves to the smallest neighbour, until the
     edges are stars around the smallest node. A round is a partial aggregate and an equality join; its
-    edges are written to the checkpoint folder, so a lost executor costs one round. NULL nodes and loops
-    are ignored. An empty table gives an empty result.
+    edges are written to the checkpoint folder, so a lost executor costs a round at most, and the tables of
+    the round before are deleted. NULL nodes and loops are ignored. An empty table gives an empty result.
     """
-    e = (edges.where(F.col(a) != F.col(b))
-         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    e = materialize(e)
+    spark = edges.sparkSession
+    u, v = F.col("u"), F.col("v")
+    e, path = written(edges.where(F.col(a) != F.col(b))
+                      .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     sign = None
     while True:
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == sign or not now[0]:
             break
-        sign, n = tuple(now), int(now[0])
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_min_label(both, "u", "v", 2 * n).where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
-        large = materialize(large)
-        small = _min_label(large, "u", "v", n)
-        small = (small.select(F.col("u"), F.col("m").alias("v"))
-                 .unionByName(small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"),
-                                                                            F.col("m").alias("v"))).distinct())
-        e = materialize(small)
-    roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+        sign, n, old = tuple(now), int(now[0]), [path]
+        both = e.unionByName(e.select(v.alias("u"), u.alias("v")))
+        large, path = written(_min_label(both, "u", "v", 2 * n, old).where(v > u)
+                              .select(v.alias("u"), F.least("m", "u").alias("v")).distinct())
+        old.append(path)
+        small = _min_label(large, "u", "v", n, old)
+        e, path = written(small.select(u, F.col("m").alias("v"))
+                          .unionByName(small.where(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))).distinct())
+        for x in old:
+            discard(spark, x)
+    roots = e.select(u.alias("node"), v.alias("root"))
+    return roots.unionByName(e.select(v.alias("node"), v.alias("root"))).distinct()

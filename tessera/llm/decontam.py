@@ -102,7 +102,8 @@ def build(items: list[list[bytes]], window: int) -> SuffixAutomaton:
 
 
 def match(sam: SuffixAutomaton, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int], int]:
-    """Hit spans of a document (merged, [start, end) in words), the items that hit, the longest match in words.
+    """Hit spans of a document (merged, [start, end) in words), the items that hit, the longest match of a
+    window or more, or whole short item, in words.
 
     The text streams through the automaton, which tracks the longest match that ends at each word. Words that
     no item has reset it, so runs of item words shorter than the shortest window are passed over.
@@ -138,13 +139,14 @@ def match(sam: SuffixAutomaton, words: list[bytes]) -> tuple[list[tuple[int, int
                     u = link[u]
                 hit |= sam.windows[u]
                 mark(i - window, i)
-            longest = max(longest, n)
+                longest = max(longest, n)
             u = sam.short[v]
             while u:
                 for m, k in sam.whole[u]:
                     if m <= n:
                         hit.add(k)
                         mark(i - m, i)
+                        longest = max(longest, m)
                 u = sam.short[link[u]]
     return spans, hit, longest
 
