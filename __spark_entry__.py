@@ -20,7 +20,7 @@ from tessera.operators import kmedian as KM
 from tessera.operators import text as T
 from tessera.oracle import sql as O
 from tessera.sources import tables
-from tessera.sources.text import line_documents, parse_pairs
+from tessera.sources.text import line_documents, parse_pairs, parse_points
 
 # fixed parameters of the registered queries
 K_SHARDS = 4          # class-count shards on events
@@ -49,6 +49,14 @@ def q_parse_pairs_token(spark, sf):
     return parse_pairs(tables.event_pair_lines(spark, sf), mode="token")
 
 
+def _point_query(sep):
+    """Points of ``part`` written as text lines and parsed back."""
+    def query(spark, sf):
+        lines = _part(spark, sf).select(F.array_join(F.transform("v", lambda x: x.cast("string")), sep).alias("value"))
+        return parse_points(lines, sep).select(F.col("v")[0].alias("x"), F.col("v")[1].alias("y"))
+    return query
+
+
 def _pairs(spark, sf):
     return parse_pairs(tables.event_pair_lines(spark, sf), mode="rest")
 
@@ -300,6 +308,8 @@ def q_mr_kmedian_lineitem(spark, sf):
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_pairs_rest": q_parse_pairs_rest,
     "parse_pairs_token": q_parse_pairs_token,
+    "parse_points_comma": _point_query(","),
+    "parse_points_space": _point_query(" "),
     "class_count_by_shard": q_class_count_by_shard,
     "class_count": q_class_count,
     "class_count_direct": q_class_count_direct,
@@ -396,6 +406,8 @@ def _oracle() -> dict[str, str]:
         "parse_pairs_rest": pairs,
         "parse_pairs_token": (f"SELECT CAST(string_split(line, ' ')[1] AS BIGINT) AS id, "
                               f"string_split(line, ' ')[2] AS class FROM ({O.PAIR_LINES})"),
+        "parse_points_comma": "SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FROM part",
+        "parse_points_space": "SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FROM part",
         "class_count_by_shard": (f"SELECT CAST({O.shard_expr(K_SHARDS)} AS INTEGER) AS shard, class, count(*) AS n "
                                  f"FROM ({pairs}) GROUP BY 1, 2"),
         "class_count": cc,

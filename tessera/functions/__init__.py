@@ -1,4 +1,4 @@
 from tessera.functions.vectors import (  # noqa: F401
-    as_vector, distance_to_literal, euclidean, euclidean_2d, metric_distance,
+    distance_to_literal, euclidean, euclidean_2d, metric_distance,
     seeded_key, seeded_uniform, sq_euclidean,
 )

@@ -20,16 +20,17 @@ from pyspark.sql import functions as F
 UNROLL_LIMIT = 4096
 
 
-def as_vector(col: str | Column) -> Column:
-    """Cast any numeric array column to ``ARRAY<DOUBLE>``."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("array<double>")
-
-
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def checked_point(col: str | Column = "v") -> Column:
+    """The vector itself; raises on a NULL point and on a NULL or NaN coordinate, at any dimension."""
+    v = _c(col)
+    bad = v.isNull() | F.exists(v, lambda x: x.isNull() | F.isnan(x))
+    return F.when(bad, F.raise_error(F.lit("NULL or NaN point"))).otherwise(v)
+
+
 def _checked(a: Column, b: Column, value: Column, dim: int | None) -> Column:
     """Raise on unequal sizes instead of returning NULL (which max/avg would skip)."""
     if dim is None:

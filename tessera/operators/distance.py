@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import distance_to_literal, metric_distance, seeded_key
-from tessera.plans.blocks import block_count_for, block_pair_max, block_pair_sums, farthest_pair
+from tessera.functions.vectors import checked_point, distance_to_literal, metric_distance, seeded_key
+from tessera.plans.blocks import block_count_for, block_pair_max, block_pair_sums
 from tessera.plans.centers import DRIVER_LIMIT, max_distance_to, spread_and_persist, vector_dim
 
 
@@ -45,11 +45,6 @@ def exact_mpd(points: DataFrame, blocks: int | None = None) -> DataFrame:
     return per_block.agg(F.coalesce(F.max("d"), F.lit(0.0)).alias("mpd"))
 
 
-def farthest_pair_of(points: DataFrame, metric: str = "euclidean", blocks: int | None = None) -> DataFrame:
-    """``(id_a, id_b, d)``: the single farthest pair (block plan)."""
-    return farthest_pair(points, metric, blocks=blocks)
-
-
 def pruned_survivors(points: DataFrame, dim: int | None = None) -> DataFrame:
     """Points that can still be an end of the farthest pair.
 
@@ -82,7 +77,7 @@ def exact_mpd_pruned(points: DataFrame, dim: int | None = None) -> DataFrame:
     The input is persisted for its four passes; the survivors (few in low
     dimension) feed the block plan.
     """
-    pts = spread_and_persist(points.select("id", "v"))
+    pts = spread_and_persist(points.select("id", checked_point("v").alias("v")))
     try:
         surv = pruned_survivors(pts, dim).persist()
         n = surv.count()
@@ -109,9 +104,13 @@ def two_approx_mpd(points: DataFrame, k: int, seed: int = 42, dim: int | None =
     """One row ``mpd_lb``: max over x in S and s in a k-sample of d(x, s).
 
     At least half the diameter. The sample (k vectors, size-checked) travels
-    in the task closure of an Arrow kernel, so the pass over S is one scan.
+    to an Arrow kernel as a broadcast, so the pass over S is one scan. k must be under the number of points.
     """
+    if k <= 0:
+        raise ValueError("k must be positive")
     sample = [list(r["v"]) for r in sample_k(points, k, seed).select("v").collect()]
+    if len(sample) == k and points.limit(k + 1).count() == k or 0 < len(sample) < k:
+        raise ValueError(f"the sample of {k} must be smaller than the point set")
     if not sample:
         return points.sparkSession.createDataFrame([(0.0,)], "mpd_lb double")
     return max_distance_to(points, sample, dim).select(F.coalesce("m", F.lit(0.0)).alias("mpd_lb"))
@@ -135,8 +134,3 @@ def distinct_points(points: DataFrame) -> DataFrame:
 
 def point_count(points: DataFrame) -> DataFrame:
     return points.agg(F.count(F.lit(1)).alias("n_points"))
-
-
-def with_distance(points: DataFrame, vec, dim: int | None = None) -> DataFrame:
-    """Add ``d``: the distance of every point to one literal vector."""
-    return points.withColumn("d", distance_to_literal("v", vec))

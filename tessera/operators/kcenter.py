@@ -2,9 +2,8 @@
 
 The traversal is a loop of k rounds over the whole point table. Each round is
 one scan: an Arrow-batched kernel lowers each point's distance to the nearest
-centre so far and emits one candidate per shard and batch, and a ``max_by``
-aggregate picks the next centre per shard, so only one row per shard reaches
-the driver. Shard-local
+centre so far and keeps one candidate per shard and task; the best of a shard's
+candidates is its next centre, so only one row per shard reaches the driver. Shard-local
 coresets run the same loop with the shard as the grouping key, so no shard is
 ever gathered into one task, however large.
 """
@@ -15,17 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.plans.blocks import block_count_for, farthest_pair
-from tessera.plans.centers import center_rounds, centers_frame, nearest, spread_and_persist
+from tessera.functions.vectors import checked_point
+from tessera.plans.centers import argmin_by_shard, center_rounds, centers_frame, nearest, spread_and_persist
 
 
 def _prep(points: DataFrame, shards: int | None, id_col: str = "id", v_col: str = "v") -> DataFrame:
     shard = F.pmod(F.col(id_col), F.lit(shards)).cast("int") if shards else F.lit(0)
-    return points.select(F.col(id_col).alias("id"), F.col(v_col).alias("v"), shard.alias("shard"))
+    return points.select(F.col(id_col).alias("id"), checked_point(v_col).alias("v"), shard.alias("shard"))
 
 
 def _first_by_min_id(df: DataFrame, _r: int) -> DataFrame:
-    return (df.groupBy("shard").agg(F.min_by(F.struct("id", "v"), F.col("id")).alias("p"))
-            .select("shard", "p.id", "p.v"))
+    return argmin_by_shard(df, F.col("id"), "long")
 
 
 def farthest_first(points: DataFrame, k: int, shards: int | None = None, dim: int | None = None,
@@ -107,7 +106,8 @@ def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean",
         if last is not None:
             picked.append((k // 2, int(last)))
     sel = spark.createDataFrame(picked, "round int, id long")
-    return sel.join(pts, "id").select("round", "id", "v")
+    # of rows that repeat a picked id one is the point
+    return sel.join(pts, "id").select("round", "id", "v").dropDuplicates(["round", "id"])
 
 
 def diversity_max(points: DataFrame, k: int, L: int, metric: str = "euclidean", **kw) -> DataFrame:

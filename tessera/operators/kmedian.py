@@ -1,8 +1,8 @@
 """Weighted k-median: distance-proportional seeding, Lloyd rounds, coresets.
 
 Every round is one scan of the points: an Arrow-batched kernel compares each
-batch with the centres and pre-aggregates it, and a Spark aggregate finishes
-the job; the k (or k·L) centres are the only rows that reach the driver. Seeding draws with
+batch with the centres and reduces its task to one row per cluster, and these are
+added up after an exchange; the k (or k·L) centres are the only rows that reach the driver. Seeding draws with
 probability proportional to ``w·d`` by exponential keys: the point with the
 smallest ``-ln(u)/(w·d)`` wins, ``u`` a seeded md5 uniform of
 ``seed:round:id`` — no prefix sums, no ordering, reproducible in SQL.
@@ -13,11 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import seeded_key
+from tessera.functions.vectors import checked_point, seeded_key
 from tessera.plans.centers import (
     argmin_by_shard, center_rounds, lloyd_sums, nearest, spread_and_persist,
 )
-from tessera.plans.kernels import COUNT, SUM_W
 
 
 def prepare(points: DataFrame, shards: int | None = None, w_col: str | None = None,
@@ -25,13 +24,13 @@ def prepare(points: DataFrame, shards: int | None = None, w_col: str | None = No
     """``(id, v, shard, w)`` with shard ``pmod(id, L)`` (0 without shards), w default 1."""
     shard = F.pmod(F.col(id_col), F.lit(shards)).cast("int") if shards else F.lit(0)
     w = F.col(w_col).cast("double") if w_col else F.lit(1.0)
-    return points.select(F.col(id_col).alias("id"), F.col(v_col).alias("v"),
+    return points.select(F.col(id_col).alias("id"), checked_point(v_col).alias("v"),
                          shard.alias("shard"), w.alias("w"))
 
 
 def _first_uniform(seed: int):
     def pick(df: DataFrame, _r: int) -> DataFrame:
-        return argmin_by_shard(df, seeded_key(seed, F.col("id")))
+        return argmin_by_shard(df, seeded_key(seed, F.col("id")), "string")
     return pick
 
 
@@ -68,17 +67,13 @@ def lloyd_step(points: DataFrame, centers: dict[int, list[list[float]]], dim: in
     """
     if dim is None:
         dim = len(next(v for vs in centers.values() for v in vs))
-    rows = lloyd_sums(points, centers, dim, "shard" if sharded else None).collect()
-    sums: dict[tuple[int, int], dict[int, float]] = {}
-    for row in rows:
-        sums.setdefault((int(row["shard"]), int(row["cid"])), {})[int(row["j"])] = float(row["s"])
     new = {s: [list(v) for v in vs] for s, vs in centers.items()}
     sizes = {}
-    for (s, c), vals in sums.items():
-        sw = vals.get(SUM_W, 0.0)
-        sizes[(s, c)] = (sw, int(vals.get(COUNT, 0)))
-        if sw > 0:
-            new[s][c] = [vals[i] / sw for i in range(dim)]
+    for r in lloyd_sums(points, centers, dim, "shard" if sharded else None).collect():
+        s, c = int(r["shard"]), int(r["cid"])
+        sizes[(s, c)] = (r["sw"], r["n"])
+        if r["sw"] > 0:
+            new[s][c] = [x / r["sw"] for x in r["s"]]
     return new, sizes
 
 

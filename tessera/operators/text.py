@@ -18,8 +18,19 @@ def tokens(lines: DataFrame, text_col: str = "text", keys=DOC_KEYS) -> DataFrame
 
 
 def doc_term_count(lines: DataFrame, text_col: str = "text", keys=DOC_KEYS) -> DataFrame:
-    """Per-document term counts ``(*keys, word, n)``."""
-    return tokens(lines, text_col, keys).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    """Per-document term counts ``(*keys, word, n)``; a document is one row, so nothing is shuffled.
+
+    Equal words of the sorted words of a row are runs; a run's length is its word's count.
+    """
+    words = F.array_sort(F.split(F.col(text_col), " "))
+    rows = lines.where(F.col(text_col).isNotNull()).select(*keys, words.alias("_words"))
+    w = F.col("_words")
+    starts = F.array_compact(F.transform(w, lambda x, i: F.when((i == 0) | (x != F.get(w, i - 1)), i)))
+    rows = rows.select(*keys, "_words", starts.alias("_starts"))
+    s = F.col("_starts")
+    runs = F.transform(s, lambda i, k: F.struct(
+        F.get(w, i).alias("word"), (F.coalesce(F.get(s, k + 1), F.size(w)) - i).cast("long").alias("n")))
+    return rows.select(*keys, F.inline(runs))
 
 
 def word_count(lines: DataFrame, text_col: str = "text", strategy: str = "combine",

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.vectors import checked_point
+
 # Rows per block: 4096 64-D points are 2 MB of doubles per side.
 BLOCK_ROWS = 4096
 # Blocks below this size are not split further just for parallelism.
@@ -155,7 +157,7 @@ def _block_rows(points: DataFrame, B: int, id_col: str, v_col: str) -> DataFrame
     follows needs no second exchange.
     """
     b = F.pmod(F.xxhash64(F.col(id_col)), F.lit(B)).cast("int")
-    base = points.select(F.col(id_col).alias("id"), F.col(v_col).alias("v"), b.alias("b"))
+    base = points.select(F.col(id_col).alias("id"), checked_point(v_col).alias("v"), b.alias("b"))
     # one scan, one generate: partner block j gives the pair (min, max) and the side
     rows = base.select("id", "v", "b", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("j")).select(
         F.least("b", "j").alias("bi"), F.greatest("b", "j").alias("bj"),

@@ -2,11 +2,10 @@
 
 Centres are few (k per shard, bounded by the caller's parameters and checked
 against ``DRIVER_LIMIT``) and are the only thing that reaches the driver: one
-row per shard per round. They go back to the executors either inside a
-whole-stage-codegen expression (low dimension: an array literal looked up by
-shard, distances unrolled) or inside the task closure of an Arrow-batched
-numpy kernel (at most ``KERNEL_LIMIT`` doubles per closure, chunked beyond).
-Each round is one scan with partial aggregates and L rows of shuffle.
+row per shard per round. They go back to the executors as a broadcast to an
+Arrow-batched numpy kernel. Each round is one scan; a task reduces its rows to
+one candidate per shard, and the candidates are reduced after an exchange by
+shard. No round sorts the points.
 """
 
 from __future__ import annotations
@@ -14,21 +13,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.vectors import seeded_uniform
+from tessera.functions.vectors import checked_point, seeded_uniform
 from tessera.plans import kernels as K
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import drop_table, write_table
 
 # Centres beyond this many doubles (256 MB) are refused: they were collected
 # on the driver.
 DRIVER_LIMIT = 1 << 25
-# At most this many centre doubles (32 MB) travel in one task closure; larger
-# sets are split into chunks, one pass each, merged by a per-point minimum.
-KERNEL_LIMIT = 1 << 22
+# A kernel compares at most this many centre doubles (512 KB) at once; a memory bound without effect on results.
+KERNEL_LIMIT = 1 << 16
 
 
 def spread_and_persist(df: DataFrame) -> DataFrame:
@@ -72,72 +71,14 @@ def center_arrays(centers: dict[int, list[list[float]]]) -> dict[int, np.ndarray
             for s, vs in centers.items() if len(vs)}
 
 
-def center_chunks(centers: dict[int, list[list[float]]], limit: int | None = None):
-    """Split per-shard centre lists into chunks of at most ``limit`` doubles.
+def share_centers(spark, arrays):
+    """Broadcast centres, of at most ``DRIVER_LIMIT`` doubles."""
+    return spark.sparkContext.broadcast(arrays)
 
-    Returns ``[(centres, offsets)]``: each chunk maps shard -> a contiguous run
-    of that shard's centres, and ``offsets[shard]`` is the run's first index.
-    """
-    limit = KERNEL_LIMIT if limit is None else limit
-    chunks, cur, offs, size = [], {}, {}, 0
-    for s in sorted(centers):
-        for j, v in enumerate(centers[s]):
-            if size and size + len(v) > limit:
-                chunks.append((cur, offs))
-                cur, offs, size = {}, {}, 0
-            if s not in cur:
-                offs[s] = j
-            cur.setdefault(s, []).append(v)
-            size += len(v)
-    if cur or not chunks:
-        chunks.append((cur, offs))
-    return chunks
-
-
-def shard_chunks(centers: dict[int, list[list[float]]], limit: int | None = None) -> list[dict]:
-    """Pack whole shards into chunks of at most ``limit`` centre doubles.
-
-    A point only meets the centres of its own shard, so a pass per chunk over
-    the points of that chunk's shards needs no merge.
-    """
-    limit = KERNEL_LIMIT if limit is None else limit
-    chunks, cur, size = [], {}, 0
-    for s in sorted(centers):
-        n = sum(len(v) for v in centers[s])
-        if n > limit:
-            raise ValueError(f"shard {s} alone has {n} centre coordinates, over {limit}")
-        if size and size + n > limit:
-            chunks.append(cur)
-            cur, size = {}, 0
-        cur[s] = centers[s]
-        size += n
-    chunks.append(cur)
-    return chunks
-
-
-def _map_by_shard_chunks(df: DataFrame, centers: dict[int, list[list[float]]], make_kernel, schema) -> DataFrame:
-    """``mapInArrow`` with the centres of each row's shard, one pass per chunk of shards."""
-    chunks = shard_chunks(centers)
-    if len(chunks) == 1:
-        return df.mapInArrow(make_kernel(center_arrays(chunks[0])), schema)
-    parts, covered = [], []
-    for cs in chunks:
-        covered += list(cs)
-        parts.append(df.where(F.col("shard").isin(list(cs))).mapInArrow(make_kernel(center_arrays(cs)), schema))
-    parts.append(df.where(~F.col("shard").isin(covered)).mapInArrow(make_kernel({}), schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _nearest_pass(src: DataFrame, arrays, offsets, shard_col, v_col, keep, d_name, cid_name,
-                  metric, dim) -> DataFrame:
-    fields = [src.schema[c] for c in keep]
-    schema = T.StructType(fields + [T.StructField(d_name, T.DoubleType())] +
-                          ([T.StructField(cid_name, T.IntegerType())] if cid_name else []))
-    return src.mapInArrow(K.nearest_kernel(arrays, shard_col, v_col, keep, d_name, cid_name,
-                                           metric, dim, offsets), schema)
+
+def _step(dim: int | None) -> int:
+    """Centres that a kernel compares at once."""
+    return max(1, KERNEL_LIMIT // max(1, dim or 1))
 
 
 def nearest(points: DataFrame, centers: dict[int, list[list[float]]], dim: int | None,
@@ -146,51 +87,24 @@ def nearest(points: DataFrame, centers: dict[int, list[list[float]]], dim: int |
     """``keep`` columns plus the distance to the nearest centre of the row's
     shard and its index (ties to the lowest). No centre gives NULLs.
 
-    Centres within ``KERNEL_LIMIT``: one Arrow-batched pass (``mapInArrow``),
-    nothing shuffled. Beyond it: one pass per chunk of centres, then a
-    ``min_by(distance, index)`` per point id (the rows need an ``id``).
+    One Arrow-batched pass (``mapInArrow``), nothing shuffled, every row kept whatever the number of centres.
+    NULL points and NULL or NaN coordinates raise.
     """
     if keep is None:
         keep = list(points.columns)
     arrays = center_arrays(centers)
     dim = dim if dim is not None else _width(arrays)
     need = list(dict.fromkeys(keep + [v_col] + ([shard_col] if shard_col else [])))
-    chunks = center_chunks(centers)
-    if len(chunks) == 1:
-        return _nearest_pass(points.select(*need), arrays, None, shard_col, v_col, keep,
-                             d_name, cid_name, metric, dim)
-    if "id" not in points.columns:
-        raise ValueError("chunked nearest-centre passes need an id column")
-    need = list(dict.fromkeys(need + ["id"]))
-    carry = list(dict.fromkeys(keep + ["id"]))
-    parts = []
-    for cs, offs in chunks:
-        src = points.select(*need)
-        if shard_col:
-            src = src.where(F.col(shard_col).isin(list(cs)))
-        parts.append(_nearest_pass(src, center_arrays(cs), offs, shard_col, v_col, carry,
-                                   "_d", "_c", metric, dim))
-    if shard_col:
-        rest = points.select(*need).where(~F.col(shard_col).isin(list(centers)))
-        parts.append(rest.select(*carry, F.lit(None).cast("double").alias("_d"),
-                                 F.lit(None).cast("int").alias("_c")))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    others = [c for c in carry if c != "id"]
-    best = F.min_by(F.struct(*[F.col(c) for c in others] + [F.col("_d"), F.col("_c")]),
-                    F.struct(F.coalesce(F.col("_d"), F.lit(float("inf"))), F.col("_c")))
-    merged = allp.groupBy("id").agg(best.alias("_b"))
-    cols = [F.col("id") if c == "id" else F.col(f"_b.{c}").alias(c) for c in keep]
-    cols.append(F.col("_b._d").alias(d_name))
-    if cid_name:
-        cols.append(F.col("_b._c").alias(cid_name))
-    return merged.select(*cols)
+    src = points.select(*need).withColumn(v_col, checked_point(v_col))
+    schema = T.StructType([src.schema[c] for c in keep] + [T.StructField(d_name, T.DoubleType())] +
+                          ([T.StructField(cid_name, T.IntegerType())] if cid_name else []))
+    return src.mapInArrow(K.nearest_kernel(share_centers(points.sparkSession, arrays), shard_col, v_col, keep, d_name,
+                                           cid_name, metric, dim, _step(dim)), schema)
 
 
 PickFn = Callable[[DataFrame, int], DataFrame]
 
-PICK_SCHEMA = "shard int, id long, v array<double>, score double"
+PICK_SCHEMA = "shard int, id long, v array<double>, key double"
 
 
 def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
@@ -207,19 +121,16 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
     probability proportional to ``w·d``). Only points at positive distance
     qualify, so a shard whose points all equal its centres stops.
 
-    Each round is one scan: the kernel lowers the carried distance ``d0`` by
-    the centres picked since the last checkpoint and emits one candidate per
-    shard and batch; a ``max_by``/``min_by`` aggregate picks the winner. Every
-    ``checkpoint_every`` rounds ``d0`` is written with a reliable checkpoint,
-    so the plan never nests and a lost executor recomputes from the last
-    checkpoint or the source. A checkpoint is also taken early when the
-    pending centres outgrow one task closure (``KERNEL_LIMIT``); shards are
-    packed into chunks so each pass carries a bounded set.
+    Each round is one scan: the kernel lowers the carried distance ``d0`` by the centres picked since it was
+    last written, and keeps one candidate per task and shard. Every ``checkpoint_every`` rounds ``d0`` is written
+    to the shared checkpoint folder, so a round compares with that many centres at most; the table written
+    before is deleted. A lost executor recomputes from the written table or the source.
     """
     if k <= 0:
         raise ValueError("k must be positive")
     if mode not in ("farthest", "seed"):
         raise ValueError(mode)
+    spark = points.sparkSession
     cols = ["id", "v", "shard", *extra_cols]
     pts = points.select(F.col("id"), F.col(v_col).alias("v"), F.col(shard_col).alias("shard"),
                         *extra_cols)
@@ -228,11 +139,15 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
     chosen: dict[int, list[tuple[int, list[float]]]] = {}
     pending: dict[int, list[list[float]]] = {}
     base = pts.withColumn("d0", F.lit(float("inf")))
+    written = None
     try:
-        for row in first_pick(pts, 0).collect():
-            s = int(row["shard"])
-            chosen.setdefault(s, []).append((int(row["id"]), list(row["v"])))
-            pending.setdefault(s, []).append(list(row["v"]))
+        def take(rows) -> None:
+            for row in rows:
+                s = int(row["shard"])
+                chosen.setdefault(s, []).append((int(row["id"]), list(row["v"])))
+                pending.setdefault(s, []).append(list(row["v"]))
+
+        take(first_pick(pts, 0).collect())
         if dim is None:
             dim = _width(center_arrays(pending))
         for r in range(1, k):
@@ -241,98 +156,32 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
             src = base
             if mode == "seed":
                 src = base.withColumn("u", seeded_uniform(seed, F.lit(r), F.col("id")))
-            jvm = use_jvm(dim, pending)
-            if jvm:
-                # low dimension: the whole round stays in whole-stage codegen.
-                # No Filter node: a filter on d would be pushed below the
-                # projection and compute every distance twice; invalid rows
-                # get an ignorable score and are counted out instead.
-                cur = with_jvm_distance(src, pending, dim, metric, "d")
-                if mode == "farthest":
-                    ok = F.col("d") > 0
-                    score = F.when(ok, F.col("d")).otherwise(F.lit(-1.0))
-                else:
-                    ok = (F.col("d") > 0) & (F.col("w") > 0)
-                    score = F.when(ok, -F.ln("u") / (F.col("w") * F.col("d"))).otherwise(F.lit(float("inf")))
-                cand = cur.select("shard", "id", "v", score.alias("score"), ok.cast("int").alias("ok"))
-            else:
-                cand = _map_by_shard_chunks(src, pending, lambda arr: K.pick_kernel(arr, mode, metric, dim),
-                                            PICK_SCHEMA).withColumn("ok", F.lit(1))
-            if mode == "farthest":
-                best = F.max_by(F.struct("id", "v"), F.struct(F.col("ok"), F.col("score"), -F.col("id")))
-            else:
-                best = F.min_by(F.struct("id", "v"), F.struct(-F.col("ok"), F.col("score"), F.col("id")))
-            rows = (cand.groupBy("shard").agg(best.alias("p"), F.max("ok").alias("any"))
-                    .where(F.col("any") == 1).select("shard", "p.id", "p.v").collect())
+            shared = share_centers(spark, center_arrays(pending))
+            cand = src.mapInArrow(K.pick_kernel(shared, mode, metric, dim, _step(dim)), PICK_SCHEMA)
+            rows = _winners(cand, PICK_SCHEMA).collect()
             if not rows:
                 break
-            for row in rows:
-                s = int(row["shard"])
-                chosen.setdefault(s, []).append((int(row["id"]), list(row["v"])))
-                pending.setdefault(s, []).append(list(row["v"]))
-            due = checkpoint_every and r % checkpoint_every == 0
-            over = _size(pending) > KERNEL_LIMIT or (jvm and not use_jvm(dim, pending, ahead=1))
-            if (due or over) and r < k - 1:
-                ensure_checkpoint_dir(points.sparkSession)
-                if use_jvm(dim, pending):
-                    nxt = with_jvm_distance(base.select(*cols, "d0"), pending, dim, metric, "_d").select(
-                        *cols, F.col("_d").alias("d0"))
-                else:
-                    schema = T.StructType([base.schema[c] for c in cols] + [T.StructField("d0", T.DoubleType())])
-                    nxt = _map_by_shard_chunks(base.select(*cols, "d0"), pending,
-                                               lambda arr: K.update_kernel(arr, metric, dim, cols), schema)
-                base = nxt.checkpoint(eager=True)
+            take(rows)
+            if checkpoint_every and r % checkpoint_every == 0 and r < k - 1:
+                schema = T.StructType([base.schema[c] for c in cols] + [T.StructField("d0", T.DoubleType())])
+                shared = share_centers(spark, center_arrays(pending))
+                nxt = base.select(*cols, "d0").mapInArrow(K.update_kernel(shared, metric, dim, cols, _step(dim)), schema)
+                before, (base, written) = written, write_table(nxt)
+                if before:
+                    drop_table(spark, before)
                 pending = {}
     finally:
+        if written:
+            drop_table(spark, written)
         if not persisted:
             pts.unpersist()
     return chosen
 
 
-# Rounds on points of at most this dimension run as JVM expressions, with at
-# most JVM_TERMS unrolled squared differences per row (codegen method size).
-JVM_DIM_LIMIT = 16
-JVM_TERMS = 128
-
-
-def use_jvm(dim: int | None, pending: dict[int, list], ahead: int = 0) -> bool:
-    """Whether the next round's distances fit the unrolled JVM expression."""
-    if dim is None or dim > JVM_DIM_LIMIT or not pending:
-        return False
-    m = max(len(v) for v in pending.values()) + ahead
-    return m * dim <= JVM_TERMS and _size(pending) <= KERNEL_LIMIT
-
-
-def with_jvm_distance(df: DataFrame, pending: dict[int, list[list[float]]], dim: int, metric: str,
-                      out_col: str) -> DataFrame:
-    """Add ``out_col = least(d0, distance to each pending centre of the row's shard)``.
-
-    The centres are one array literal indexed by shard and looked up once per
-    row (column ``_P``; NULL for a shard outside it). Shards with fewer
-    centres are padded with NaN vectors: their distance is NaN, which
-    ``least`` never picks (Spark orders NaN above every number), and NULLs
-    are skipped. Everything compiles into whole-stage codegen.
-    """
-    from tessera.functions.vectors import double_literal
-    L = max(pending) + 1
-    m = max(len(v) for v in pending.values())
-    nan = [float("nan")] * dim
-    rows = []
-    for s in range(L):
-        vs = pending.get(s, [])
-        padded = [vs[j] if j < len(vs) else nan for j in range(m)]
-        rows.append("array(" + ", ".join("array(" + ", ".join(double_literal(x) for x in v) + ")"
-                                         for v in padded) + ")")
-    lit = "array(" + ", ".join(rows) + ")"
-    n = dim - 1 if metric == "sq_drop_last" else (min(2, dim) if metric == "euclidean_2d" else dim)
-    dists = []
-    for j in range(m):
-        body = " + ".join(f"(v[{i}] - _P[{j}][{i}]) * (v[{i}] - _P[{j}][{i}])" for i in range(n)) or "0D"
-        dists.append(body if metric == "sq_drop_last" else f"sqrt({body})")
-    guard = f"CASE WHEN size(v) != {dim} THEN raise_error('points of unequal dimension') END"
-    out = df.withColumn("_P", F.expr(f"try_element_at({lit}, shard + 1)"))
-    out = out.withColumn(out_col, F.expr(f"least(d0, {', '.join(dists)}, {guard})"))
-    return out.drop("_P")
+def _winners(cand: DataFrame, schema: str) -> DataFrame:
+    """The best of the tasks' candidates of each shard: an exchange by shard and the same reduction, no sort."""
+    kind = pa.string() if "key string" in schema else pa.int64() if "key long" in schema else pa.float64()
+    return cand.repartition("shard").mapInArrow(K.first_kernel(kind), schema)
 
 
 def rows_by_shard(chosen: dict[int, list[tuple[int, list[float]]]]) -> list[tuple[int, int, int, list[float]]]:
@@ -347,51 +196,38 @@ def centers_frame(spark, chosen, with_shard: bool = True) -> DataFrame:
     return df if with_shard else df.drop("shard")
 
 
-def argmin_by_shard(df: DataFrame, key: Column, shard_col: str = "shard") -> DataFrame:
-    """Per shard the row with the smallest ``key``; ties to the smallest id."""
-    return (df.groupBy(F.col(shard_col).alias("shard"))
-            .agg(F.min_by(F.struct("id", "v"), F.struct(key, F.col("id"))).alias("p"))
-            .select("shard", "p.id", "p.v"))
+def argmin_by_shard(df: DataFrame, key: Column, kind: str) -> DataFrame:
+    """Per shard the row with the smallest ``key`` (a ``kind`` column); ties to the smallest id."""
+    schema = f"shard int, id long, v array<double>, key {kind}"
+    arrow = pa.string() if kind == "string" else pa.int64()
+    cand = df.select("shard", "id", "v", key.alias("key")).mapInArrow(K.first_kernel(arrow), schema)
+    return _winners(cand, schema).select("shard", "id", "v")
 
 
 def max_distance_to(points: DataFrame, centers: list[list[float]], dim: int | None,
                     metric: str = "euclidean") -> DataFrame:
     """One row ``m``: the largest distance from any point to any of ``centers``."""
     arr = center_arrays({0: centers}).get(0)
-    if arr is not None and dim is None:
-        dim = arr.shape[1]
     if arr is None:
         return points.sparkSession.createDataFrame([], "m double").agg(F.max("m").alias("m"))
-    parts = [points.select("v").mapInArrow(K.max_dist_kernel(center_arrays(cs)[0], metric, dim), "m double")
-             for cs, _ in center_chunks({0: centers})]
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    return allp.agg(F.max("m").alias("m"))
+    dim = arr.shape[1] if dim is None else dim
+    shared = share_centers(points.sparkSession, arr)
+    part = points.select(checked_point("v").alias("v")).mapInArrow(
+        K.max_dist_kernel(shared, metric, dim, _step(dim)), "m double")
+    return part.agg(F.max("m").alias("m"))
 
 
 def lloyd_sums(points: DataFrame, centers: dict[int, list[list[float]]], dim: int | None,
                shard_col: str | None, metric: str = "euclidean") -> DataFrame:
-    """``(shard, cid, j, s)`` totals: weighted coordinate sums (j >= 0), weight
-    sum (j = ``SUM_W``), count (j = ``COUNT``) per cluster.
+    """``(shard, cid, s, sw, n)``: weighted coordinate sums, weight sum and points of each cluster.
 
-    The kernel pre-aggregates each batch, so a cluster holding a third of all
-    points still ships one row per coordinate per batch.
+    A task sends one row per cluster, so a cluster that holds a third of all points costs no more than others.
     """
     arrays = center_arrays(centers)
     dim = dim if dim is not None else _width(arrays)
-    if len(center_chunks(centers)) > 1:
-        # beyond one closure: chunked assignment, then JVM sums per coordinate
-        keep = ["id", "v", "w"] + ([shard_col] if shard_col else [])
-        a = nearest(points, centers, dim, shard_col, metric=metric, keep=keep).where(F.col("cid").isNotNull())
-        a = a.withColumn("_s", F.col(shard_col).cast("int") if shard_col else F.lit(0))
-        coords = (a.select("_s", "cid", "w", F.posexplode("v").alias("j", "x"))
-                  .groupBy("_s", "cid", "j").agg(F.sum(F.col("w") * F.col("x")).alias("s")))
-        tot = a.groupBy("_s", "cid").agg(F.sum("w").alias("sw"), F.count(F.lit(1)).cast("double").alias("n"))
-        out = coords.unionByName(tot.select("_s", "cid", F.lit(K.SUM_W).alias("j"), F.col("sw").alias("s")))
-        out = out.unionByName(tot.select("_s", "cid", F.lit(K.COUNT).alias("j"), F.col("n").alias("s")))
-        return out.select(F.col("_s").alias("shard"), "cid", F.col("j").cast("int").alias("j"), "s")
-    cols = ["v", "w"] + ([shard_col] if shard_col else [])
-    part = points.select(*cols).mapInArrow(K.lloyd_kernel(arrays, shard_col, metric, dim),
-                                           "shard int, cid int, j int, s double")
-    return part.groupBy("shard", "cid", "j").agg(F.sum("s").alias("s"))
+    cols = ["w"] + ([shard_col] if shard_col else [])
+    schema = "shard int, cid int, s array<double>, sw double, n long"
+    shared = share_centers(points.sparkSession, arrays)
+    part = points.select(checked_point("v").alias("v"), *cols).mapInArrow(
+        K.lloyd_kernel(shared, shard_col, metric, dim, _step(dim)), schema)
+    return part.repartition("shard", "cid").mapInArrow(K.add_sums_kernel, schema)

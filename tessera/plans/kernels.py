@@ -2,10 +2,10 @@
 
 Spark partitions the points; each task receives Arrow record batches, views
 the vector column as an (n, d) float64 array without copying, and compares it
-with the centres of each row's shard (shipped in the task closure; their size
-is checked by the caller). Kernels that feed an aggregate emit per-batch
-partial results (one candidate per shard, or per-cluster partial sums), so the
-rows that go back to the JVM are few.
+with the centres of each row's shard (a broadcast whose size the caller checks).
+Kernels that reduce accumulate over the whole task and yield once: one candidate
+per shard, or one row of sums per cluster. The same kernels then reduce the tasks'
+rows after an exchange by shard, so no sort is planned.
 """
 
 from __future__ import annotations
@@ -15,9 +15,6 @@ import pyarrow as pa
 
 # Scalar differences held at once while comparing a batch with its centres.
 CHUNK_ELEMS = 1 << 22
-# Row ids of the special partial-sum rows of the Lloyd kernel.
-SUM_W = -1
-COUNT = -2
 
 
 def vectors(col: pa.ChunkedArray | pa.Array, dim: int | None = None) -> np.ndarray:
@@ -64,11 +61,11 @@ def metric_value(sq: np.ndarray, metric: str) -> np.ndarray:
 
 
 def nearest_arrays(X: np.ndarray, shards: np.ndarray, centers: dict[int, np.ndarray],
-                   metric: str, offsets: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+                   metric: str, step: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Distance to and index of the nearest centre of each row's shard.
 
     Ties go to the lowest index; rows whose shard has no centre get NaN / -1.
-    ``offsets`` shifts the indices of a shard (centres split into chunks).
+    ``step`` centres are compared at once, which bounds the memory and changes no result.
     """
     n = X.shape[0]
     d = np.full(n, np.nan)
@@ -78,10 +75,16 @@ def nearest_arrays(X: np.ndarray, shards: np.ndarray, centers: dict[int, np.ndar
         if C is None or len(C) == 0:
             continue
         rows = np.nonzero(shards == s)[0]
-        sq = sq_dists(X[rows], C, metric)
-        j = np.argmin(sq, axis=1)
-        cid[rows] = j + (offsets.get(int(s), 0) if offsets else 0)
-        d[rows] = metric_value(sq[np.arange(len(rows)), j], metric)
+        best = np.full(len(rows), np.inf)
+        at = np.zeros(len(rows), dtype=np.int32)
+        for k in range(0, len(C), step):
+            sq = sq_dists(X[rows], C[k:k + step], metric)
+            j = np.argmin(sq, axis=1)
+            near = sq[np.arange(len(rows)), j]
+            closer = near < best
+            best[closer], at[closer] = near[closer], k + j[closer]
+        cid[rows] = at
+        d[rows] = metric_value(best, metric)
     return d, cid
 
 
@@ -91,14 +94,14 @@ def _shards(batch: pa.RecordBatch, shard_col: str | None) -> np.ndarray:
     return batch.column(shard_col).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def nearest_kernel(centers: dict[int, np.ndarray], shard_col: str | None, v_col: str,
-                   keep: list[str], d_name: str, cid_name: str | None, metric: str, dim: int | None,
-                   offsets: dict[int, int] | None = None):
-    """Rows of ``keep`` plus the nearest-centre distance (and index)."""
+def nearest_kernel(shared, shard_col: str | None, v_col: str, keep: list[str], d_name: str,
+                   cid_name: str | None, metric: str, dim: int | None, step: int):
+    """Rows of ``keep`` plus the nearest-centre distance (and index); ``shared`` broadcasts the centres."""
     def run(batches):
+        centers = shared.value
         for b in batches:
             X = vectors(b.column(v_col), dim)
-            d, cid = nearest_arrays(X, _shards(b, shard_col), centers, metric, offsets)
+            d, cid = nearest_arrays(X, _shards(b, shard_col), centers, metric, step)
             cols = [b.column(c) for c in keep]
             names = list(keep)
             cols.append(pa.array(d, pa.float64(), mask=np.isnan(d)))
@@ -110,106 +113,145 @@ def nearest_kernel(centers: dict[int, np.ndarray], shard_col: str | None, v_col:
     return run
 
 
-def pick_kernel(pending: dict[int, np.ndarray], mode: str, metric: str, dim: int | None):
-    """One candidate per shard and batch for the next centre.
+def _lowered(b: pa.RecordBatch, pending: dict[int, np.ndarray], metric: str, dim: int | None, step: int):
+    """Vectors, shards and ``d0`` lowered by the pending centres of a batch."""
+    X = vectors(b.column("v"), dim)
+    sh = _shards(b, "shard")
+    d0 = b.column("d0").to_numpy(zero_copy_only=False).astype(np.float64)
+    dp, _ = nearest_arrays(X, sh, pending, metric, step)
+    return X, sh, np.where(np.isnan(dp), d0, np.minimum(d0, np.nan_to_num(dp, nan=np.inf)))
+
+
+class _Best:
+    """The row with the smallest (key, id) of each shard, over all batches of a task."""
+
+    def __init__(self):
+        self.rows: dict[int, tuple] = {}
+
+    def offer(self, shards: np.ndarray, keys: np.ndarray, ids: np.ndarray, vecs: pa.Array) -> None:
+        for s in np.unique(shards):
+            at = np.nonzero(shards == s)[0]
+            k = keys[at]
+            low = k.min()
+            tied = at[k == low]
+            r = tied[np.argmin(ids[tied])]
+            if s not in self.rows or (low, ids[r]) < self.rows[s][:2]:
+                self.rows[s] = (low, ids[r], vecs[int(r)].as_py())
+
+    def batch(self, key_type: pa.DataType) -> pa.RecordBatch:
+        out = sorted(self.rows.items())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(s) for s, _ in out], pa.int32()), pa.array([int(r[1]) for _, r in out], pa.int64()),
+             pa.array([r[2] for _, r in out], pa.list_(pa.float64())),
+             pa.array([r[0].item() if isinstance(r[0], np.generic) else r[0] for _, r in out], key_type)],
+            names=["shard", "id", "v", "key"])
+
+
+def first_kernel(key_type: pa.DataType):
+    """Per task and shard the row with the smallest (key, id): picks among rows, and among tasks' picks."""
+    def run(batches):
+        best = _Best()
+        for b in batches:
+            if b.num_rows:
+                keys = b.column("key")
+                keys = (np.array(keys.to_pylist(), dtype=object) if pa.types.is_string(key_type)
+                        else keys.to_numpy(zero_copy_only=False))
+                best.offer(_shards(b, "shard"), keys, b.column("id").to_numpy(zero_copy_only=False), b.column("v"))
+        yield best.batch(key_type)
+    return run
+
+
+def pick_kernel(shared, mode: str, metric: str, dim: int | None, step: int):
+    """Per task and shard one candidate for the next centre, as ``(shard, id, v, key)`` with the smallest key.
 
     Input columns: id, v, shard, w, d0 (and u for ``mode='seed'``).
-    ``farthest``: largest d > 0, ties to the smallest id.
-    ``seed``: smallest -ln(u)/(w·d) over d > 0 and w > 0, ties to the smallest id.
-    Output: shard, id, v, score (score is d or the key).
+    ``farthest``: key -d over d > 0. ``seed``: key -ln(u)/(w·d) over d > 0 and w > 0. Ties to the smallest id.
     """
     def run(batches):
+        pending, best = shared.value, _Best()
         for b in batches:
+            if not b.num_rows:
+                continue
             ids = b.column("id").to_numpy(zero_copy_only=False)
-            X = vectors(b.column("v"), dim)
-            sh = _shards(b, "shard")
-            d0 = b.column("d0").to_numpy(zero_copy_only=False).astype(np.float64)
-            dp, _ = nearest_arrays(X, sh, pending, metric)
-            d = np.where(np.isnan(dp), d0, np.minimum(d0, np.nan_to_num(dp, nan=np.inf)))
+            _, sh, d = _lowered(b, pending, metric, dim, step)
             if mode == "farthest":
-                ok = d > 0
-                score = d
+                ok, key = d > 0, -d
             else:
                 w = b.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
                 u = b.column("u").to_numpy(zero_copy_only=False).astype(np.float64)
                 ok = (d > 0) & (w > 0)
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    score = -np.log(u) / (w * d)
-            out_rows = []
-            for s in np.unique(sh[ok]):
-                rows = np.nonzero(ok & (sh == s))[0]
-                sc = score[rows]
-                best = sc.max() if mode == "farthest" else sc.min()
-                tied = rows[sc == best]
-                r = tied[np.argmin(ids[tied])]
-                out_rows.append(r)
-            idx = np.array(out_rows, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sh[idx].astype(np.int32)), pa.array(ids[idx].astype(np.int64)),
-                 b.column("v").take(pa.array(idx)), pa.array(score[idx], pa.float64())],
-                names=["shard", "id", "v", "score"])
+                    key = -np.log(u) / (w * d)
+            at = np.nonzero(ok)[0]
+            best.offer(sh[at], key[at], ids[at], b.column("v").take(pa.array(at)))
+        yield best.batch(pa.float64())
     return run
 
 
-def update_kernel(pending: dict[int, np.ndarray], metric: str, dim: int | None, cols: list[str]):
-    """Rows with ``d0`` lowered by the pending centres (for a checkpoint)."""
+def update_kernel(shared, metric: str, dim: int | None, cols: list[str], step: int):
+    """Rows with ``d0`` lowered by the pending centres (for a written table)."""
     def run(batches):
         for b in batches:
-            X = vectors(b.column("v"), dim)
-            sh = _shards(b, "shard")
-            d0 = b.column("d0").to_numpy(zero_copy_only=False).astype(np.float64)
-            dp, _ = nearest_arrays(X, sh, pending, metric)
-            d = np.where(np.isnan(dp), d0, np.minimum(d0, np.nan_to_num(dp, nan=np.inf)))
-            arrays = [b.column(c) for c in cols] + [pa.array(d, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=cols + ["d0"])
+            _, _, d = _lowered(b, shared.value, metric, dim, step)
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in cols] + [pa.array(d, pa.float64())], names=cols + ["d0"])
     return run
 
 
-def lloyd_kernel(centers: dict[int, np.ndarray], shard_col: str | None, metric: str, dim: int | None):
-    """Per batch and (shard, cluster): weighted coordinate sums, weight sum, count.
+def _sums(acc: dict) -> pa.RecordBatch:
+    rows = sorted(acc.items())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(k[0]) for k, _ in rows], pa.int32()), pa.array([int(k[1]) for k, _ in rows], pa.int32()),
+         pa.array([r[0].tolist() for _, r in rows], pa.list_(pa.float64())), pa.array([float(r[1]) for _, r in rows], pa.float64()),
+         pa.array([int(r[2]) for _, r in rows], pa.int64())], names=["shard", "cid", "s", "sw", "n"])
 
-    Output rows ``(shard, cid, j, s)``: j >= 0 a coordinate sum, ``SUM_W`` the
-    weight sum, ``COUNT`` the number of points.
-    """
+
+def lloyd_kernel(shared, shard_col: str | None, metric: str, dim: int | None, step: int):
+    """Per task and (shard, cluster) one row: weighted coordinate sums ``s``, weight sum ``sw``, points ``n``."""
     def run(batches):
+        centers, acc = shared.value, {}
         for b in batches:
             X = vectors(b.column("v"), dim)
             sh = _shards(b, shard_col)
             w = b.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
-            _, cid = nearest_arrays(X, sh, centers, metric)
-            ok = cid >= 0
-            if not ok.any():
+            _, cid = nearest_arrays(X, sh, centers, metric, step)
+            at = np.nonzero(cid >= 0)[0]
+            if not len(at):
                 continue
-            key = sh[ok] * (1 << 20) + cid[ok]
-            uk, inv = np.unique(key, return_inverse=True)
-            dd = X.shape[1]
-            sums = np.zeros((len(uk), dd))
-            np.add.at(sums, inv, X[ok] * w[ok, None])
-            sw = np.bincount(inv, weights=w[ok], minlength=len(uk))
-            cnt = np.bincount(inv, minlength=len(uk)).astype(np.float64)
-            s_ids = (uk >> 20).astype(np.int32)
-            c_ids = (uk & ((1 << 20) - 1)).astype(np.int32)
-            js = np.concatenate([np.tile(np.arange(dd, dtype=np.int32), len(uk)),
-                                 np.full(len(uk), SUM_W, np.int32), np.full(len(uk), COUNT, np.int32)])
-            ss = np.concatenate([np.repeat(s_ids, dd), s_ids, s_ids])
-            cc = np.concatenate([np.repeat(c_ids, dd), c_ids, c_ids])
-            vals = np.concatenate([sums.reshape(-1), sw, cnt])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ss), pa.array(cc), pa.array(js), pa.array(vals)],
-                names=["shard", "cid", "j", "s"])
+            order = at[np.lexsort((cid[at], sh[at]))]
+            new = np.concatenate([[True], (np.diff(sh[order]) != 0) | (np.diff(cid[order]) != 0)])
+            first = np.nonzero(new)[0]
+            wx = X[order] * w[order, None]
+            for f, s, sw, n in zip(order[first], np.add.reduceat(wx, first, axis=0),
+                                   np.add.reduceat(w[order], first), np.diff(np.append(first, len(order)))):
+                key = (int(sh[f]), int(cid[f]))
+                had = acc.get(key)
+                acc[key] = (s, sw, n) if had is None else (had[0] + s, had[1] + sw, had[2] + n)
+        yield _sums(acc)
     return run
 
 
-def max_dist_kernel(centers: np.ndarray, metric: str, dim: int | None):
-    """Per batch, the largest distance from any row to any of ``centers``."""
+def add_sums_kernel(batches):
+    """Add up the tasks' rows of each (shard, cluster)."""
+    acc: dict = {}
+    for b in batches:
+        for r in b.to_pylist():
+            key, s = (r["shard"], r["cid"]), np.array(r["s"])
+            had = acc.get(key)
+            acc[key] = (s, r["sw"], r["n"]) if had is None else (had[0] + s, had[1] + r["sw"], had[2] + r["n"])
+    yield _sums(acc)
+
+
+def max_dist_kernel(shared, metric: str, dim: int | None, step: int):
+    """Per task, the largest distance from any row to any of the centres."""
     def run(batches):
-        best = None
+        centers, best = shared.value, None
         for b in batches:
             if b.num_rows == 0:
                 continue
             X = vectors(b.column("v"), dim)
-            m = float(metric_value(sq_dists(X, centers, metric).max(), metric))
-            best = m if best is None else max(best, m)
+            for k in range(0, len(centers), step):
+                m = float(metric_value(sq_dists(X, centers[k:k + step], metric).max(), metric))
+                best = m if best is None else max(best, m)
         if best is not None:
             yield pa.RecordBatch.from_arrays([pa.array([best], pa.float64())], names=["m"])
     return run

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -58,3 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def write_table(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written to the shared checkpoint folder and reread, and its path: the lineage ends here."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -1,8 +1,7 @@
 """Sinks (S6). Operators return DataFrames; these write them out.
 
-The reference only prints to the console; a Spark job writes its result to a
-table instead. Writes are plain DataFrame writes, so a failed task is retried
-and the output is committed once.
+Writes are plain DataFrame writes, so a failed task is retried and the output is
+committed once.
 """
 
 from __future__ import annotations

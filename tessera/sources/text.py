@@ -18,14 +18,18 @@ def parse_points(lines: DataFrame, sep: str = ",", col: str = "value",
                  permissive: bool = False) -> DataFrame:
     """Lines of ``sep``-separated numbers to ``(id, v ARRAY<DOUBLE>)``.
 
-    The id is ``monotonically_increasing_id()``: stable for a given file and
-    split size. Bad numbers raise (ANSI cast) unless ``permissive``.
+    ``sep`` is taken literally. Strict: a blank line, an empty token or a bad number raises. ``permissive``: a line
+    with any of these is dropped whole. The id is a 64-bit hash of the line and of its number among equal lines, so it
+    does not depend on the file's splits; equal lines are counted, not gathered.
     """
-    cast = (lambda x: x.try_cast("double")) if permissive else (lambda x: x.cast("double"))
-    parts = F.split(F.trim(F.col(col)), F.lit(sep) if sep != " " else F.lit(" +"))
-    return (lines.where(F.length(F.trim(F.col(col))) > 0)
-            .select(F.monotonically_increasing_id().alias("id"),
-                    F.transform(parts, lambda x: cast(F.trim(x))).alias("v")))
+    line = F.col(col)
+    parts = F.transform(F.split(line, "\\Q" + sep + "\\E", -1), lambda x: F.trim(x).try_cast("double"))
+    bad = F.exists(parts, lambda x: x.isNull())
+    counted = lines.where(line.isNotNull()).groupBy(line.alias("_line")).agg(F.count(F.lit(1)).alias("_n"))
+    copies = counted.select(F.col("_line").alias(col), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_k"))
+    copies = copies.where(~bad) if permissive else copies
+    v = parts if permissive else F.when(bad, F.raise_error(F.concat(F.lit("bad point line: "), line))).otherwise(parts)
+    return copies.select(F.xxhash64(line, F.col("_k")).alias("id"), v.alias("v"))
 
 
 def read_points(spark: SparkSession, path: str, sep: str = ",",

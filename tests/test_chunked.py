@@ -1,4 +1,4 @@
-"""Centre sets beyond one task closure: chunked passes give the same results."""
+"""Centres compared in slices, and points in other layouts: the same results."""
 
 import random
 
@@ -37,8 +37,7 @@ def test_chunked_equals_single(spark, data, monkeypatch):
         )
 
     single = results()
-    monkeypatch.setattr(PC, "KERNEL_LIMIT", 4)  # one or two centres per chunk
-    assert len(PC.center_chunks(centers)) > 1
+    monkeypatch.setattr(PC, "KERNEL_LIMIT", 4)  # one centre at a time
     chunked = results()
     assert chunked[0] == single[0]
     assert abs(chunked[1] - single[1]) < 1e-12
@@ -59,21 +58,21 @@ def test_chunked_rounds_equal_single(spark, monkeypatch):
     df = spark.createDataFrame([(i, [rng.random(), rng.random()]) for i in range(400)], "id long, v array<double>")
     want = KC.k_center_coreset(df, 5, 6).collect()
     seeds = KM.kmedian_seed(df, 4, 42, shards=6)
-    monkeypatch.setattr(PC, "KERNEL_LIMIT", 5)  # two shards' pending centres per chunk
+    monkeypatch.setattr(PC, "KERNEL_LIMIT", 5)  # two centres at a time
     got = KC.k_center_coreset(df, 5, 6).collect()
     assert sorted((r["shard"], r["rank"], r["id"]) for r in got) == \
         sorted((r["shard"], r["rank"], r["id"]) for r in want)
     assert KM.kmedian_seed(df, 4, 42, shards=6) == seeds
 
 
-def test_jvm_rounds_equal_kernel_rounds(spark, monkeypatch):
+def test_rounds_do_not_depend_on_the_layout(spark):
     from tessera.operators import kcenter as KC
     rng = random.Random(29)
     rows = [(i, [round(rng.random(), 2), round(rng.random(), 2), rng.random()]) for i in range(500)]
     rows += [(1000 + i, rows[i][1]) for i in range(40)]  # duplicates
-    df = spark.createDataFrame(rows, "id long, v array<double>")
+    frame = spark.createDataFrame(rows, "id long, v array<double>")
 
-    def picks():
+    def picks(df):
         return (
             [(r["shard"], r["rank"], r["id"]) for r in KC.k_center_coreset(df, 6, 5, checkpoint_every=2).collect()],
             KC.farthest_first(df, 7, None, metric="sq_drop_last"),
@@ -81,7 +80,27 @@ def test_jvm_rounds_equal_kernel_rounds(spark, monkeypatch):
             KM.kmedian_seed(df, 5, 7),
         )
 
-    jvm = picks()
-    monkeypatch.setattr(PC, "JVM_DIM_LIMIT", 0)  # force the Arrow kernel path
-    kernel = picks()
-    assert jvm == kernel
+    assert picks(frame.coalesce(1)) == picks(frame.repartition(7))
+
+
+@pytest.mark.parametrize("dim", [2, 16, 17, 64])
+@pytest.mark.parametrize("bad", ["null", "coordinate", "nan"])
+def test_bad_points_raise_alike_at_any_dimension(spark, dim, bad):
+    from tessera.operators import kcenter as KC
+    rows = [(i, [float(i + j) for j in range(dim)]) for i in range(20)]
+    rows.append((50, None if bad == "null" else [None if bad == "coordinate" else float("nan")] + [1.0] * (dim - 1)))
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    good = {0: [rows[0][1], rows[5][1]]}
+    for job in (lambda: KC.k_center(df, 3), lambda: KM.kmedian_seed(df, 2), lambda: KM.kmedian_objective(df, good).collect(),
+                lambda: KM.lloyd_step(KM.prepare(df), good), lambda: D.exact_mpd(df).collect(), lambda: D.exact_mpd_pruned(df).collect(),
+                lambda: D.two_approx_mpd(df, 3).collect()):
+        with pytest.raises(Exception, match="NULL or NaN point"):
+            job()
+
+
+def test_more_centres_than_a_packed_index_and_repeated_ids(spark):
+    rows = [(7, [0.0]), (7, [9.0]), (8, [5.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    many = {0: [[1e6 + j] for j in range((1 << 20) + 1)] + [[5.0]]}
+    assert sorted((r["id"], r["cid"]) for r in KM.assign_nearest(df, many).collect()) == [(7, (1 << 20) + 1)] * 2 + [(8, (1 << 20) + 1)]
+    assert KM.lloyd_step(KM.prepare(df), many)[1] == {(0, (1 << 20) + 1): (3.0, 3)}

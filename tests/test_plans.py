@@ -39,3 +39,39 @@ def test_skewed_class_is_combined_map_side(spark):
     pairs = spark.createDataFrame(rows, "id long, class string").repartition(6)
     got = {r["class"]: r["n"] for r in C.class_count(pairs, 4).collect()}
     assert got["hot"] == 10_000 and sum(got.values()) == 30_000
+
+
+def test_no_round_sorts_the_points(spark, monkeypatch):
+    # the frames that the loops collect, not only the one they return
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+    from tessera.operators import kcenter as KC
+    from tessera.operators import kmedian as KM
+    plans = []
+    collect = Frame.collect
+    monkeypatch.setattr(Frame, "collect", lambda self: plans.append(plan_of(self)) or collect(self))
+    df = spark.createDataFrame([(i, [float(i * i % 17), float(i)]) for i in range(60)], "id long, v array<double>")
+    KC.farthest_first(df, 4, 2, checkpoint_every=2)
+    KM.kmedian_cluster(df, 3, 2, shards=2)
+    assert len(plans) >= 8
+    assert all("MapInArrow" in p and "Sort" not in p for p in plans)
+
+
+def test_class_counts_come_in_order(spark):
+    rows = [(i, f"c{i * 7 % 23:02}") for i in range(200)]
+    got = [r["class"] for r in C.class_count_sorted(spark.createDataFrame(rows, "id long, class string"), 4).collect()]
+    assert got == sorted(got) and len(got) == 23
+
+
+def test_sample_must_be_smaller_than_the_points(spark):
+    from tessera.operators import distance as D
+    df = spark.createDataFrame([(i, [float(i)]) for i in range(5)], "id long, v array<double>")
+    for k in (0, 5, 6):
+        with pytest.raises(ValueError):
+            D.two_approx_mpd(df, k)
+    assert D.two_approx_mpd(df, 4).first()[0] >= 2.0
+
+
+def test_matching_of_repeated_ids_has_k_rows(spark):
+    from tessera.operators import kcenter as KC
+    rows = [(1, [0.0]), (1, [0.1]), (1, [0.2]), (2, [9.0]), (3, [4.0])]
+    assert KC.greedy_matching(spark.createDataFrame(rows, "id long, v array<double>"), 3).count() == 3

@@ -44,3 +44,21 @@ def test_sinks_round_trip(spark):
         sorted(map(tuple, counts.select("shard", "class", "n").collect()))
     write_report_line(C.class_count_line(C.class_count(tables.event_pairs(spark, SF), 4)), os.path.join(d, "line"))
     assert spark.read.text(os.path.join(d, "line")).collect()[0][0].startswith("('click', ")
+
+
+def test_point_lines_strict_and_permissive(spark):
+    import pytest
+    from tessera.sources.text import parse_points
+    lines = lambda *x: spark.createDataFrame([(v,) for v in x], "value string")
+    assert [r["v"] for r in parse_points(lines("1|2.5"), sep="|").collect()] == [[1.0, 2.5]]
+    for bad, sep in (("", ","), ("1,,2", ","), ("1,x", ","), ("1  2", " ")):
+        with pytest.raises(Exception, match="bad point line"):
+            parse_points(lines("1,2" if sep == "," else "1 2", bad), sep=sep).collect()
+        assert parse_points(lines("3,4" if sep == "," else "3 4", bad), sep=sep, permissive=True).count() == 1
+
+
+def test_point_ids_do_not_depend_on_splits(spark):
+    from tessera.sources.text import parse_points
+    df = spark.createDataFrame([(f"{i % 50},{i % 3}",) for i in range(300)], "value string")
+    ids = [sorted((r["id"], tuple(r["v"])) for r in parse_points(df.repartition(n)).collect()) for n in (1, 9)]
+    assert ids[0] == ids[1] and len({i for i, _ in ids[0]}) == 300

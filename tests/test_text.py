@@ -33,3 +33,11 @@ def test_non_ascii_and_tabs(spark):
     df = lines_of(spark, [(0, "é\tx é")])
     got = {r["word"]: r["n"] for r in T.word_count(df).collect()}
     assert got == {"é\tx": 1, "é": 1}
+
+
+def test_doc_term_count_plans_no_exchange(spark):
+    from tessera.operators import text as T
+    df = spark.createDataFrame([(0, 0, "b a b  a"), (0, 1, ""), (1, 0, None)], "doc_id long, line_no int, text string")
+    out = T.doc_term_count(df)
+    assert sorted(map(tuple, out.collect())) == [(0, 0, "", 1), (0, 0, "a", 2), (0, 0, "b", 2), (0, 1, "", 1)]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
