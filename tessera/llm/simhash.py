@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (binary_list, components, materialize, passed_columns, schema_of, sliced,
+from tessera.llm.common import (binary_list, components, dealt, materialize, passed_columns, schema_of, sliced,
                                 with_columns)
 
 SEED = 42
@@ -127,7 +127,7 @@ def links(fps: DataFrame, distance: int = 3, block: int = BLOCK) -> DataFrame:
     A bucket of two is one comparison in the aggregate itself. Larger buckets are split into blocks of about
     ``block`` fingerprints; each pair of blocks is compared by one group of at most about 2 * ``block`` rows.
     """
-    index = fps.select("fp", F.explode(_keys(F.col("fp"), distance)).alias("k")).select("fp", "k.key", "k.side")
+    index = dealt(fps.select("fp"), "fp").select("fp", F.explode(_keys(F.col("fp"), distance)).alias("k")).select("fp", "k.key", "k.side")
     def of(*sides):
         return F.when(F.col("side").isin(*sides), F.col("fp"))
 
