@@ -7,11 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, embdedup, langid, licenses, packing, pii, quality, sadedup, secrets, simhash
+from tessera.llm import decontam, embdedup, langid, licenses, oracle, packing, pii, quality, sadedup, secrets, simhash
 from tessera.llm.common import table
 
-#: Words of the contracts of operators 1 and 7.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: The pseudonyms' key; a deployment hands in its own secret.
 PII_KEY = "documents"
@@ -21,8 +19,7 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     out = decontam.decontaminate(docs, table(spark, sf, "benchmark"), window=WINDOW)
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
-                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
-                      F.col("longest_match").cast("long").alias("longest_match"))
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,4 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": oracle.DECONTAMINATE,
+    "op3_embeddings": oracle.EMBEDDINGS,
+    "op6_repeats": oracle.REPEATS,
+}
