@@ -80,8 +80,7 @@ def exact_mpd_pruned(points: DataFrame, dim: int | None = None) -> DataFrame:
     pts = spread_and_persist(points.select("id", checked_point("v").alias("v")))
     try:
         surv = pruned_survivors(pts, dim).persist()
-        n = surv.count()
-        out = exact_mpd(surv, blocks=block_count_for(surv, n)).persist()
+        out = exact_mpd(surv, blocks=block_count_for(surv)).persist()
         out.count()
         surv.unpersist()
         return out

@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import checked_point
 
-# Rows per block: 4096 64-D points are 2 MB of doubles per side.
+# Bytes of a block's vectors; a block has that many rows of them, and BLOCK_ROWS at least.
+BLOCK_BYTES = 1 << 24
 BLOCK_ROWS = 4096
+# Block pairs in a partition at most.
+PAIRS_PER_PARTITION = 16
 # Blocks below this size are not split further just for parallelism.
 MIN_BLOCK_ROWS = 256
 # Pair-chunk size handled at once inside a kernel (scalar differences).
@@ -164,7 +167,8 @@ def _block_rows(points: DataFrame, B: int, id_col: str, v_col: str) -> DataFrame
         (F.col("j") < F.col("b")).cast("int").alias("side"), "id", "v")
     spark = points.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nparts = max(1, min(B * (B + 1) // 2, max(shuffle, _parallelism(points))))
+    pairs = B * (B + 1) // 2
+    nparts = max(1, min(pairs, max(shuffle, _parallelism(points), pairs // PAIRS_PER_PARTITION)))
     return rows.repartition(nparts, "bi", "bj")
 
 
@@ -172,10 +176,13 @@ def _parallelism(points: DataFrame) -> int:
     return points.sparkSession.sparkContext.defaultParallelism
 
 
-def block_count_for(points: DataFrame, n: int | None = None) -> int:
+def block_count_for(points: DataFrame, n: int | None = None, v_col: str = "v") -> int:
+    """Blocks for the points: by bytes, so that points of a low dimension need fewer of them."""
+    dim = 0
     if n is None:
-        n = points.count()
-    return choose_blocks(n, _parallelism(points))
+        n, dim = points.agg(F.count(F.lit(1)), F.max(F.size(v_col))).first()
+    rows = max(BLOCK_ROWS, BLOCK_BYTES // (8 * dim)) if dim else BLOCK_ROWS
+    return choose_blocks(n, _parallelism(points), rows)
 
 
 def block_pair_max(points: DataFrame, metric: str = "euclidean", id_col: str = "id",
@@ -185,7 +192,7 @@ def block_pair_max(points: DataFrame, metric: str = "euclidean", id_col: str = "
     Ties go to the smallest ``(id_a, id_b)``. ``d`` is the Euclidean distance,
     or the squared distance without the last coordinate for ``sq_drop_last``.
     """
-    B = blocks or block_count_for(points)
+    B = blocks or block_count_for(points, v_col=v_col)
     rows = _block_rows(points, B, id_col, v_col)
     schema = "id_a long, id_b long, d double"
     return rows.groupBy("bi", "bj").applyInArrow(_pairs_max_kernel(metric, "v"), schema=schema)
@@ -194,7 +201,7 @@ def block_pair_max(points: DataFrame, metric: str = "euclidean", id_col: str = "
 def block_pair_sums(points: DataFrame, metric: str = "euclidean", id_col: str = "id",
                     v_col: str = "v", blocks: int | None = None) -> DataFrame:
     """Per block pair, ``(sum_d, n_pairs)`` over its unordered pairs."""
-    B = blocks or block_count_for(points)
+    B = blocks or block_count_for(points, v_col=v_col)
     rows = _block_rows(points, B, id_col, v_col)
     schema = "sum_d double, n_pairs long"
     return rows.groupBy("bi", "bj").applyInArrow(_pairs_sum_kernel(metric, "v"), schema=schema)
