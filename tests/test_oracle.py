@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest driver tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -22,10 +23,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    # those of the training-data operators that SQL can't express are tested on their own
+    core = {n for n in E.queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert core <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     result = compare(spark, con, name, SF)
     assert result[1] == "ok", result
