@@ -43,7 +43,8 @@ def test_chunks_and_common_grams(spark, monkeypatch, length, chunk, hot):
 
 
 def test_null_and_repeated_ids_and_clashing_columns(spark):
-    t = "".join(random.Random(1).choice("abcdefgh") for _ in range(150))
+    rng = random.Random(1)
+    t = "".join(rng.choice("abcdefgh") for _ in range(150))
     rows = [(None, t, "x"), (7, t, None), (7, t, "y"), (None, "short", "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, kept string").coalesce(1)
     got = sorted((tuple(r)[:4] for r in S.remove_repeats(df).collect()), key=repr)
