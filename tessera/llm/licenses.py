@@ -66,17 +66,19 @@ def template_frame(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     return df.select("tpl", "label", words_of(F.col("text")).alias("words"))
 
 
-def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
-    """``docs`` with ``n_words``, ``places`` (word numbers of phrases, from 0), ``base_labels``, ``found`` and ``score``.
+def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases=PHRASES, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with ``n_words``, ``places`` (word numbers of phrases, from 0), ``base_labels``, ``found`` and ``score``.
 
     ``base_labels`` are the labels of phrases whose words stand consecutively. ``found`` has (label, share, first,
     last) of each verified template span: ``share`` of the template's words stand there, word by word, between the
     words ``first`` and ``last``. ``score`` is 1 with a phrase, else the largest share of a verified span, else 0.
     NULL and empty texts have no words; repeated rows give equal results; input columns named like the results are
-    replaced. The templates' grams are broadcast: there are as many as template words.
+    replaced. The templates' grams are broadcast: there are as many as template words. The kept columns travel
+    with the votes, and of texts with a template's gram the words; so leave texts out of ``keep`` where they
+    aren't asked for.
     """
     results = ["n_words", "places", "base_labels", "found", "score"]
-    keep = passed_columns(docs, results)
+    keep = [c for c in passed_columns(docs, results) if keep is None or c in keep]
     tpl = template_frame(docs.sparkSession, templates)
     n_grams = F.size("words") - (GRAM - 1)
     grams = tpl.select("tpl", F.posexplode(F.slice(F.transform("words", lambda w, i: _hash_at(F.col("words"), w, i)), F.lit(1),
@@ -105,7 +107,9 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases=PHRAS
     places = F.array_sort(F.concat(*(F.col(f"p{k}") for k in range(len(phrases)))))
     names = F.array_compact(F.array(*(F.when(F.size(f"p{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(phrases))))
     # one row that carries the document, then one for each gram
-    of = F.struct("kept", "words", places.alias("places"), F.array_sort(F.array_distinct(names)).alias("base_labels"))
+    held = F.array(*(F.lit(h) for h in sorted({r["th"] for r in grams.select("th").collect()})))
+    near = F.arrays_overlap(F.transform(words, lambda w, i: _hash_at(words, w, i)), held)
+    of = F.struct("kept", n.alias("n"), F.when(near, words).otherwise(F.array().cast("array<string>")).alias("words"), places.alias("places"), F.array_sort(F.array_distinct(names)).alias("base_labels"))
     carried = based.select("__row", "words", of.alias("doc"))
     none = F.lit(None).cast(carried.schema["doc"].dataType)
     first = F.array(F.struct(F.lit(-1).alias("i"), F.lit(None).cast("long").alias("h"), F.col("doc")))
@@ -141,6 +145,6 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases=PHRAS
     out = whole.select("doc.*", found.alias("found"))
     score = F.when(F.size("base_labels") > 0, F.lit(1.0)).otherwise(
         F.coalesce(F.array_max(F.transform("found", lambda s: s["share"])), F.lit(0.0)))
-    return out.select("kept.*", F.size("words").cast("long").alias("n_words"),
+    return out.select("kept.*", F.col("n").cast("long").alias("n_words"),
                       F.transform("places", lambda p: p.cast("long")).alias("places"), "base_labels", "found",
                       score.alias("score"))

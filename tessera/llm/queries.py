@@ -56,7 +56,7 @@ def op6_repeats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_licenses(spark: SparkSession, sf: str) -> DataFrame:
-    out = licenses.scan(table(spark, sf, "documents").select("doc_id", "text"))
+    out = licenses.scan(table(spark, sf, "documents"), keep=["doc_id"])
     labels = F.array_sort(F.array_union("base_labels", F.transform("found", lambda s: s["label"])))
     return out.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
                       F.array_min("places").alias("first_word"), F.array_max("places").alias("last_word"),
