@@ -120,7 +120,7 @@ TOXICITY = tuple(by_list(k, v) for k, v in INSULTS.items())
 
 
 def marked_words(docs: DataFrame, labels: DataFrame, flag: str, id_col: str = "doc_id", text: str = "text",
-                 share: float = 0.01, ratio: float = 50.0, most: int = 20_000, most_words: int = 2_000) -> frozenset[bytes]:
+                 share: float = 0.01, ratio: float = 50.0, most: int = 5_000, most_words: int = 2_000) -> frozenset[bytes]:
     """Words that flagged documents have, and others hardly: a labeller's list, in any language.
 
     Of the labelled documents about ``most`` with the flag and as many without it are read, by the hash of their id.
@@ -132,7 +132,8 @@ def marked_words(docs: DataFrame, labels: DataFrame, flag: str, id_col: str = "d
     n = dict(of.groupBy("f").count().collect())
     u = F.xxhash64(F.col("i").cast("string")).bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
     of = of.where(u < F.when(F.col("f") == 1, most / max(1, n.get(1, 0))).otherwise(most / max(1, n.get(0, 0))))
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text).alias("t")).dropna().join(of, "i").select("f", "t").distinct()
+    # about 2 * most ids and flags go to the texts, rather than the texts to them
+    texts = docs.select(F.col(id_col).alias("i"), F.col(text).alias("t")).dropna().join(F.broadcast(of), "i").select("f", "t").distinct()
     size = dict(texts.groupBy("f").count().collect())
     yes, no = size.get(1, 0), size.get(0, 0)
     words = texts.select("f", F.explode(F.array_distinct(F.split(F.lower("t"), r"[\s.,;:!?\"'()\[\]]+"))).alias("w"))
