@@ -3,6 +3,7 @@ join, scans read only the columns they need, and counting keeps a map-side
 partial aggregate before its shuffle."""
 
 import os
+import re
 
 import pytest
 
@@ -18,7 +19,11 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+# the training-data operators' inner jobs are looked at by the check tool, not by their last frame
+CORE = sorted(n for n in E.queries() if n != "pipeline" and not re.match(r"op\d+_", n))
+
+
+@pytest.mark.parametrize("name", CORE)
 def test_no_cross_or_nested_loop_join(spark, name):
     plan = plan_of(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan
