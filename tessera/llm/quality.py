@@ -236,10 +236,13 @@ def fit(docs: DataFrame, labellers: dict[str, tuple], id_col: str = "doc_id", te
 
     def vote(batches):
         for b in sliced(batches, 1 << 25, "t"):
-            texts = [Text.of(x) for x in binary_list(b.column("t"))]
-            votes = [[votes_of(t, v) for t in texts] for v in labellers.values()]
-            name = [k for k in labellers for _ in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(name, pa.string()), pa.array(sum(votes, []), pa.string())],
+            name, votes = [], []
+            for x in binary_list(b.column("t")):  # one text's words at a time
+                t = Text.of(x)
+                for k, v in labellers.items():
+                    name.append(k)
+                    votes.append(votes_of(t, v))
+            yield pa.RecordBatch.from_arrays([pa.array(name, pa.string()), pa.array(votes, pa.string())],
                                              names=["target", "votes"])
 
     counts = (rows.mapInArrow(vote, "target string, votes string").groupBy("target", "votes").count().collect())
@@ -307,15 +310,19 @@ def classify(docs: DataFrame, scorers: dict[str, Scorer] | None = None, labels:
         models = {k: Scorer(labellers[k], WeakLabels(t, p), w) for k, (t, p, w) in shared.value.items()}
         buckets = len(next(iter(models.values())).weights) - 1
         for b in sliced(batches, 1 << 25, text):
-            texts = [Text.of(x) for x in binary_list(b.column(text))]
-            some = np.array([bool(t.words) for t in texts])
-            at = [features(t, buckets) for t in texts]
+            some, votes, line = [], {k: [] for k in models}, {k: [] for k in models}
+            for x in binary_list(b.column(text)):  # one text's words at a time
+                t = Text.of(x)
+                some.append(bool(t.words))
+                at = features(t, buckets)
+                for k, m in models.items():
+                    votes[k].append([int(c) for c in votes_of(t, m.labellers)])
+                    line[k].append(m.score(at))
             out = {}
             for k, m in models.items():
-                votes = np.array([[int(c) for c in votes_of(t, m.labellers)] for t in texts])
-                weak = m.weak.posterior(votes)
-                line = np.array([m.score(x) for x in at]) if m.weights.any() else weak
-                out[k], out[f"weak_{k}"] = np.where(some, (weak + line) / 2, 0.0), np.where(some, weak, 0.0)
+                weak = m.weak.posterior(np.array(votes[k]))
+                both = (weak + np.array(line[k])) / 2 if m.weights.any() else weak
+                out[k], out[f"weak_{k}"] = np.where(some, both, 0.0), np.where(some, weak, 0.0)
             score = np.prod([out[k] for k in names], axis=0)
             ok = np.all([out[k] >= least for k in names], axis=0)
             cols = {"score": score, "keep": ok, **{k: out[k] for k in new[2:]}}
