@@ -16,9 +16,12 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
-#: Candidate strings of the entropy scan: pieces of this many characters at most, of runs without blanks.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,96}+"
+#: Candidate strings of the entropy scan: whole runs, however long.
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
 WINDOW = 20
+#: The stretches of a run that are measured, so that the work grows with its length: a stretch has 96 characters
+#: and the next one starts 77 = 96 - (WINDOW - 1) later, so each window of the run lies in one of them.
+STRETCH = r"(?=(.{20,96})).{1,77}+"
 #: Character classes of a candidate, most special first: name, whole pattern, bits a window must reach.
 CLASSES = (
     ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0),
@@ -29,7 +32,7 @@ CLASSES = (
 ALLOW = (
     r"^[A-Z]?[a-z]+$", r"^[A-Z]+$", r"^[0-9]+$",
     r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
-    r"^/?(?:[A-Za-z]{1,15}[-_/=+]+)*[A-Za-z]{0,15}/?$",
+    r"^/?(?:[A-Za-z]{1,15}[-_/=+]+)*+[A-Za-z]{0,15}/?$",  # possessive: no recursion over a long run
 )
 ENTROPY = "entropy"
 KINDS = (*(k for k, *_ in BASE), ENTROPY)
@@ -91,7 +94,8 @@ def _suspicious(s: Column) -> Column:
     allowed = F.lit(False)
     for p in ALLOW:
         allowed = allowed | s.rlike(p)
-    return F.when(allowed, F.lit(False)).otherwise(window_entropy(s) >= limit)
+    stretches = F.regexp_extract_all(s, F.lit(STRETCH), F.lit(1))
+    return F.when(allowed, F.lit(False)).otherwise(F.exists(stretches, lambda x: window_entropy(x) >= limit))
 
 
 def _spans(places: Column, kind: str, ok) -> Column:

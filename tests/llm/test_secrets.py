@@ -71,3 +71,23 @@ def test_window_entropy(spark):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     for r in df.select("s", S.window_entropy(S.F.col("s")).alias("h")).collect():
         assert abs(r.h - entropy(r.s)) < 1e-9
+
+
+def test_long_runs_are_measured_whole(spark):
+    key, low = "x8Kq2Lp9Zt4Vw7Rb1Nc5Md3F", "/" + "abab/" * 18
+    rng = random.Random(3)
+    runs = [low + key, low + "abab/" + key[:22], *("abab/" * 60 + "a" * k + key for k in range(0, 100, 7)),
+            *("ab" * 45 + "c" * k + key + "ab" * 45 for k in range(0, 20, 3)), low * 9, "word/" * 60_000, "word/" * 60_000 + key,
+            "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(200_000)),
+            *("".join(rng.choice("ab01" * 6 + "cdefghijkl") for _ in range(rng.randint(90, 400))) for _ in range(40))]
+    df = spark.createDataFrame([(k, f"é {t} é") for k, t in enumerate(runs)], "doc_id long, text string")
+    got = {r[0]: r[1] for r in S.scan(df).select("doc_id", S.F.expr("filter(spans, s -> s.kind = 'entropy')")).collect()}
+    found = 0
+    for k, t in enumerate(runs):
+        assert re.fullmatch("[A-Za-z0-9+/_=-]{20,}", t)
+        word = any(re.search(a, t) for a in S.ALLOW)
+        limit = next(bits for _, p, bits in S.CLASSES if re.search(p, t))
+        bad = not word and entropy(t) >= limit
+        found += bad
+        assert [(s.start, s.end) for s in got[k]] == ([(2, 2 + len(t))] if bad else []), (k, t[:200])
+    assert [(s.start, s.end) for s in got[0]] == [(2, 117)] and 20 < found < len(runs)
