@@ -61,7 +61,7 @@ def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed training sequences, with their ids."""
-    return packing.pack(docs, packing.tokenizer_file())
+    return packing.pack(docs, packing.tokenizer_file(), specials=True)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination),

@@ -37,21 +37,34 @@ def byte_ranks(path: str) -> dict[bytes, int]:
     return {bytes(of[c] for c in t): i for t, i in data["model"]["vocab"].items() if t not in special}
 
 
+def special_ids(path: str) -> dict[str, int]:
+    """Strings and ids of a file's added tokens; those that take their surroundings in are refused."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    names = [x["content"] for x in added]
+    if (any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in added)
+            or any(a != b and a in b for a in names for b in names)):
+        raise ValueError(f"{path}: added tokens that aren't plain strings")
+    return {x["content"]: x["id"] for x in added}
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE ``tokenizers`` file.
 
-    The file's vocabulary is run by ``tiktoken``, which gives the same ids in a seventh of the time; special
-    tokens' strings in a text are ordinary text.
+    The file's vocabulary is run by ``tiktoken``, which gives the same ids in a seventh of the time. With
+    ``specials`` a special token's string in a text is that token, as ``tokenizers`` has it by default; else it is
+    ordinary text (its ``encode_special_tokens``).
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials: bool = False):
         import tiktoken
-        self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=byte_ranks(path), special_tokens={})
+        self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=byte_ranks(path),
+                                     special_tokens=special_ids(path) if specials else {})
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, "<u4")
-        return np.array(self.bpe.encode_ordinary(text), "<u4")
+        return np.array(self.bpe.encode(text, allowed_special="all"), "<u4")
 
 
 @dataclass
@@ -155,12 +168,13 @@ PIECES = ("doc_id long, start long, length long, ids array<int>, ids_crc32 long,
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", tokens: int = 2048,
-         segments: int = 64, loss: int | None = None, end_id: int | None = 1, pool: int = 512) -> DataFrame:
+         segments: int = 64, loss: int | None = None, end_id: int | None = 1, pool: int = 512,
+         specials: bool = False) -> DataFrame:
     """Pieces of packed sequences: id, ``start``, ``length``, ``ids``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset``.
 
     Each row's whole text is encoded by the tokenizer file and closed by ``end_id``; NULL and empty texts are that
-    id alone. Examples are cut freely; each id is in exactly one piece. A sequence holds at most ``tokens``
+    id alone. With ``specials`` the strings of the file's special tokens are those tokens, else ordinary text. Examples are cut freely; each id is in exactly one piece. A sequence holds at most ``tokens``
     tokens, ``segments`` pieces and ``loss`` loss-bearing tokens (all tokens of a document bear loss). Each
     task packs the rows it reads, ``pool`` examples at a time, and numbers its sequences after its
     partition, so nothing is shuffled and a retried task repeats its result. Full sequences have ``tokens``
@@ -170,7 +184,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
     limit = tokens if loss is None else loss
 
     def run(batches):
-        enc = kept_by_worker("encoder", tokenizer, lambda: Encoder(tokenizer))
+        enc = kept_by_worker("encoder", (tokenizer, specials), lambda: Encoder(tokenizer, specials))
         packer = Packer(tokens, segments, limit, pool)
         base = TaskContext.get().partitionId() << 33
         end = np.array([] if end_id is None else [end_id], "<u4")

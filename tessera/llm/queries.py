@@ -69,7 +69,7 @@ def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack(table(spark, sf, "documents"), packing.tokenizer_file()).drop("ids")
+    return packing.pack(table(spark, sf, "documents"), packing.tokenizer_file(), specials=True).drop("ids")
 
 
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:

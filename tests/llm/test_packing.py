@@ -89,3 +89,24 @@ def test_limits_hold_together():
             assert s == at
             at += n
         assert at == len(want[k][0])
+
+
+def test_special_tokens_as_the_tokenizer_has_them(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    plain = Tokenizer.from_file(P.tokenizer_file())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "x  <|endoftext|>  \n y", "<|endoftext", "é<|endoftext|>é", None, ""]
+    enc = P.Encoder(P.tokenizer_file(), specials=True)
+    assert enc.encode(texts[0]).tolist() == [64, 220, 50256, 275]
+    rng = np.random.default_rng(2)
+    parts = ["<|endoftext|>", "<|", "|>", " ", "  ", "\n", "'s", "it", "12", "é", "中", "endoftext"]
+    texts += ["".join(rng.choice(parts, int(rng.integers(1, 20)))) for _ in range(200)]
+    for t in texts:
+        assert enc.encode(t).tolist() == plain.encode(t or "", add_special_tokens=False).ids, t
+    schema = table(spark, brute.SF, "documents").schema
+    rows = [tuple({"doc_id": i, "text": t}.get(f.name) for f in schema) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, schema)
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    for out in (op9_packing(spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, df, str(tmp_path))):
+        checked(out.collect(), list(enumerate(texts)), plain, segments=2048)
