@@ -21,6 +21,8 @@ from tessera.session import ensure_checkpoint_dir
 
 #: Contract of SimHash near-dedup: words in a shingle, most differing bits of a link.
 SHINGLE, DISTANCE = 3, 3
+#: Tokens of a packed sequence; as many pieces may be in it.
+TOKENS = 2048
 #: A document whose language has a posterior below this is rejected, as is one of unknown language.
 LEAST_SCORE = 0.5
 #: The pseudonyms' key; a deployment hands in its own secret.
@@ -61,7 +63,7 @@ def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed training sequences, with their ids."""
-    return packing.pack(docs, packing.tokenizer_file(), specials=True)
+    return packing.pack(docs, packing.tokenizer_file(), tokens=TOKENS, segments=TOKENS, specials=True)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination),

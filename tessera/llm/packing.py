@@ -92,8 +92,9 @@ class Packer:
     For an open sequence with remaining capacities r, the example of the largest dot product of its needs and
     r (each in units of its limit) among those that fit is placed next. If none fits whole, the one of the
     largest dot product is cut at what fits. A sequence closes when a capacity is used up. With a constant
-    loss share the dot product grows with the size, so the waiting examples are kept in order of size; at
-    most ``pool`` wait, whatever the input.
+    loss share the dot product grows with the size, so the waiting examples are kept in order of size. The last
+    segment that a sequence may have goes to an example that fills it, if there is one. ``pool`` examples wait, or
+    as many more as it takes to have a sequence's tokens (``tokens`` at most).
     """
 
     tokens: int = 2048
@@ -103,17 +104,20 @@ class Packer:
     waiting: list = field(default_factory=list)
     sizes: list = field(default_factory=list)
     sequence: int = -1
-    used: int = 0
+    held: int = 0
 
     def add(self, e: Example):
         at = bisect_right(self.sizes, e.size)
         self.sizes.insert(at, e.size)
         self.waiting.insert(at, e)
-        if len(self.waiting) > self.pool:
+        self.held += e.size
+        if len(self.waiting) > self.pool and self.held >= self.tokens:
             yield from self.fill(self.tokens)
 
     def _best(self, room: tuple[int, int, int]) -> tuple[int, int]:
         """Index of the example to place and the number of its tokens that fit."""
+        if room[1] == 1 and self.sizes[-1] > room[0] and self.waiting[-1].n_loss(room[0]) <= room[2]:
+            return len(self.waiting) - 1, room[0]
         r = (room[0] / self.tokens, room[1] / self.segments, room[2] / self.loss)
         best = (-1.0, 0, 0)
         hi = bisect_right(self.sizes, room[0])
@@ -150,6 +154,7 @@ class Packer:
             yield e.key, e.total, e.start, e.ids[:n], self.sequence, offset
             room = (room[0] - n, room[1] - 1, room[2] - e.n_loss(n))
             offset += n
+            self.held -= n
             if n < e.size:
                 rest = Example(e.key, e.ids[n:], None if e.loss is None else e.loss[n:], e.start + n, e.total)
                 at = bisect_left(self.sizes, rest.size)
@@ -157,9 +162,12 @@ class Packer:
                 self.waiting.insert(at, rest)
 
     def finish(self):
-        """Place what waits. The rest of under ``tokens`` goes to sequences of powers of two, which need no padding."""
+        """Place what waits. The rest of under ``tokens``, or what the longest examples have in as many segments as
+        a sequence may have, goes to sequences of powers of two, which need no padding unless the loss limit
+        closes them early.
+        """
         while self.waiting:
-            left = sum(self.sizes)
+            left = sum(self.sizes[-self.segments:])
             yield from self.fill(min(self.tokens, 1 << (left.bit_length() - 1)))
 
 
@@ -178,7 +186,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
     tokens, ``segments`` pieces and ``loss`` loss-bearing tokens (all tokens of a document bear loss). Each
     task packs the rows it reads, ``pool`` examples at a time, and numbers its sequences after its
     partition, so nothing is shuffled and a retried task repeats its result. Full sequences have ``tokens``
-    tokens; what a task has left goes to sequences whose length is a power of two. Repeated rows are packed as
+    tokens; what a task has left goes to sequences whose length is a power of two. ``segments=tokens`` is no
+    limit on pieces; a lower one closes sequences of many short texts before they are full. Repeated rows are packed as
     often as they occur; other columns don't matter. No rows, no sequences.
     """
     limit = tokens if loss is None else loss

@@ -11,6 +11,8 @@ from tessera.llm import decontam, embdedup, langid, licenses, oracle, packing, p
 from tessera.llm.common import table
 
 WINDOW = 13
+#: Tokens of a packed sequence; as many pieces may be in it.
+TOKENS = 2048
 #: The pseudonyms' key; a deployment hands in its own secret.
 PII_KEY = "documents"
 
@@ -69,7 +71,8 @@ def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack(table(spark, sf, "documents"), packing.tokenizer_file(), specials=True).drop("ids")
+    return packing.pack(table(spark, sf, "documents"), packing.tokenizer_file(), tokens=TOKENS, segments=TOKENS,
+                        specials=True).drop("ids")
 
 
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:

@@ -110,3 +110,32 @@ def test_special_tokens_as_the_tokenizer_has_them(spark, tmp_path):
     df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     for out in (op9_packing(spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, df, str(tmp_path))):
         checked(out.collect(), list(enumerate(texts)), plain, segments=2048)
+
+
+def test_short_texts_fill_their_sequences(spark, tok, tmp_path):
+    import corpus_pipeline
+    rng = np.random.default_rng(3)
+    texts = ["word " * int(rng.integers(4, 29)) + "end" for _ in range(3000)] + [None] * 5000
+    schema = table(spark, brute.SF, "documents").schema
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame([tuple({"doc_id": i, "text": t}.get(f.name) for f in schema) for i, t in docs], schema)
+    df.repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    df = table(spark, str(tmp_path), "documents")
+    for out in (op9_packing(spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, df, str(tmp_path))):
+        assert checked(out.collect(), docs, tok, segments=2048) == 0
+
+
+@pytest.mark.parametrize("segments", [1, 2, 5, 64, 2048])
+def test_what_is_left_needs_no_padding(segments):
+    rng = np.random.default_rng(segments)
+    for _ in range(200):
+        p = P.Packer(tokens=2048, segments=segments, pool=1 << 30)
+        sizes = rng.integers(1, rng.choice([3, 30, 300, 5000]), int(rng.integers(1, 200)))
+        for k, n in enumerate(sizes):
+            assert not list(p.add(P.Example(k, np.arange(n), None, 0, n)))
+        held, n_pieces = defaultdict(int), defaultdict(int)
+        for *_, ids, s, _ in p.finish():
+            held[s] += len(ids)
+            n_pieces[s] += 1
+        assert p.held == 0 and sum(held.values()) == sizes.sum()
+        assert all(n & (n - 1) == 0 and n <= 2048 for n in held.values()) and max(n_pieces.values()) <= segments
