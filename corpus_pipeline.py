@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, near-dedup, decontamination, PII, packing, over ``documents``.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame;
-all but the last return the columns of ``documents``. ``run`` writes each stage's rows as Parquet under the
+all but the last return the columns of ``documents``, also those named like an operator's results. ``run`` writes each stage's rows as Parquet under the
 checkpoint folder and hands the reread table to the next.
 
 Empty tables give empty tables. NULL ids, NULL texts, repeated rows and extra columns pass through the stages
@@ -29,6 +29,20 @@ LEAST_SCORE = 0.5
 KEY = "corpus-pipeline"
 
 
+#: The columns that the stages read.
+READ = ("doc_id", "text", "lang")
+
+
+def _hidden(docs: DataFrame) -> DataFrame:
+    """``docs`` with names for the other columns that no operator's result carries."""
+    return docs.toDF(*(c if c in READ else f"__doc_column_{k}" for k, c in enumerate(docs.columns)))
+
+
+def _restored(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` in ``out``, which an operator made of ``_hidden(docs)``."""
+    return out.select(*(F.col(h).alias(c) for h, c in zip(_hidden(docs).columns, docs.columns)))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language the model knows; NULL texts and texts without a letter go.
 
@@ -38,8 +52,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(langid.fold() != 2))
     if not model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    out = langid.predict(docs, model)
-    return out.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)).select(*docs.columns)
+    out = langid.predict(_hidden(docs), model)
+    return _restored(out.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE)), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,18 +61,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without an id are a group's survivor only if it has no other; of rows that repeat an id one stays.
     """
-    return simhash.keep_one(docs, shingle=SHINGLE, distance=DISTANCE)
+    return _restored(simhash.keep_one(_hidden(docs), shingle=SHINGLE, distance=DISTANCE), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents contaminated by ``benchmark``; all others stay as they are, NULL texts too."""
-    out = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return out.where(~F.col("contaminated")).select(*docs.columns)
+    out = decontam.decontaminate(_hidden(docs), table(spark, sf_dir, "benchmark"))
+    return _restored(out.where(~F.col("contaminated")), docs)
 
 
 def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data in ``text`` by pseudonyms of the same format (and length); no document goes."""
-    return pii.pseudonymize(docs, key=KEY).select(*docs.columns)
+    return _restored(pii.pseudonymize(_hidden(docs), key=KEY), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,3 +70,14 @@ def test_run_over_empty_and_odd_rows(spark, tmp_path):
         table(spark, SF, "benchmark").write.parquet(f"{tmp_path}/{k}/benchmark.parquet")
         got = C.run(spark, f"{tmp_path}/{k}").collect()
         assert (len(got) == 0) == (k == 0)
+
+
+def test_columns_named_like_results_pass(spark):
+    docs = table(spark, SF, "documents")
+    names = ["n_words", "N_Hit", "contaminated", "hit_spans", "lang_pred", "lang_score", "n_email", "n_ip", "root", "fp", "__fp"]
+    docs = docs.select("*", *(C.F.concat(C.F.lit(f"{n} of "), C.F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, f in C.STAGES[:-1]:
+        out = f(spark, docs, SF)
+        assert out.dtypes == docs.dtypes, name
+        rows = out.select("doc_id", *names).collect()
+        assert rows and all(tuple(r)[1:] == tuple(f"{n} of {r.doc_id}" for n in names) for r in rows), name
