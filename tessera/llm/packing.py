@@ -66,6 +66,14 @@ class Encoder:
             return np.empty(0, "<u4")
         return np.array(self.bpe.encode(text, allowed_special="all"), "<u4")
 
+    def bears(self, text: str | None, ids: np.ndarray, skip: int | None) -> np.ndarray | None:
+        """Which of ``ids``, those of ``text`` and of its end, have anything after the first ``skip`` characters."""
+        if not text or not skip or skip < 0:
+            return None
+        n = len(text[:skip].encode())
+        ends = np.cumsum([len(self.bpe.decode_single_token_bytes(i)) for i in self.encode(text).tolist()])
+        return np.concatenate([ends > n, np.ones(len(ids) - len(ends), bool)])
+
 
 @dataclass
 class Example:
@@ -94,7 +102,8 @@ class Packer:
     largest dot product is cut at what fits. A sequence closes when a capacity is used up. With a constant
     loss share the dot product grows with the size, so the waiting examples are kept in order of size. The last
     segment that a sequence may have goes to an example that fills it, if there is one. ``pool`` examples wait, or
-    as many more as it takes to have a sequence's tokens (``tokens`` at most).
+    as many more as it takes to have a sequence's tokens (``tokens`` at most); they hold the tokens of ``pool`` full
+    sequences at most, whatever the input.
     """
 
     tokens: int = 2048
@@ -111,7 +120,7 @@ class Packer:
         self.sizes.insert(at, e.size)
         self.waiting.insert(at, e)
         self.held += e.size
-        if len(self.waiting) > self.pool and self.held >= self.tokens:
+        while self.held >= self.tokens and (len(self.waiting) > self.pool or self.held > self.pool * self.tokens):
             yield from self.fill(self.tokens)
 
     def _best(self, room: tuple[int, int, int]) -> tuple[int, int]:
@@ -177,13 +186,15 @@ PIECES = ("doc_id long, start long, length long, ids array<int>, ids_crc32 long,
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", tokens: int = 2048,
          segments: int = 64, loss: int | None = None, end_id: int | None = 1, pool: int = 512,
-         specials: bool = False) -> DataFrame:
+         specials: bool = False, loss_from: str | None = None) -> DataFrame:
     """Pieces of packed sequences: id, ``start``, ``length``, ``ids``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset``.
 
     Each row's whole text is encoded by the tokenizer file and closed by ``end_id``; NULL and empty texts are that
     id alone. With ``specials`` the strings of the file's special tokens are those tokens, else ordinary text. Examples are cut freely; each id is in exactly one piece. A sequence holds at most ``tokens``
-    tokens, ``segments`` pieces and ``loss`` loss-bearing tokens (all tokens of a document bear loss). Each
+    tokens, ``segments`` pieces and ``loss`` loss-bearing tokens. All tokens of a document bear loss, unless the
+    column ``loss_from`` has the number of characters its text begins with that bear none (a prompt; NULL: 0); a
+    token that goes on after them bears loss, and so does ``end_id``. Each
     task packs the rows it reads, ``pool`` examples at a time, and numbers its sequences after its
     partition, so nothing is shuffled and a retried task repeats its result. Full sequences have ``tokens``
     tokens; what a task has left goes to sequences whose length is a power of two. ``segments=tokens`` is no
@@ -200,10 +211,11 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
         out: list = []
         for b in sliced(batches, 1 << 23, text):
             texts = [None if t is None else t.decode("utf-8", "replace") for t in binary_list(b.column(text))]
-            for key, t in zip(b.column(id_col).to_pylist(), texts):
+            skips = b.column(loss_from).to_pylist() if loss_from else [None] * len(texts)
+            for key, t, skip in zip(b.column(id_col).to_pylist(), texts, skips):
                 ids = np.concatenate([enc.encode(t), end])
                 if len(ids):
-                    out.extend(packer.add(Example(key, ids, None, 0, len(ids))))
+                    out.extend(packer.add(Example(key, ids, enc.bears(t, ids, skip), 0, len(ids))))
             yield _pieces(out, base, key_type, id_col)
             out = []
         for p in packer.finish():
@@ -215,7 +227,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
 
     kind = dict(docs.dtypes)[id_col]
     key_type = to_arrow_schema(docs.select(id_col).schema).field(0).type
-    return docs.select(id_col, text).mapInArrow(run, PIECES.replace("doc_id long", f"{id_col} {kind}", 1))
+    read = [id_col, text, *([loss_from] if loss_from else [])]
+    return docs.select(*read).mapInArrow(run, PIECES.replace("doc_id long", f"{id_col} {kind}", 1))
 
 
 def _pieces(rows: list, base: int, kind: pa.DataType, id_col: str) -> pa.RecordBatch:

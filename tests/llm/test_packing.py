@@ -139,3 +139,35 @@ def test_what_is_left_needs_no_padding(segments):
             n_pieces[s] += 1
         assert p.held == 0 and sum(held.values()) == sizes.sum()
         assert all(n & (n - 1) == 0 and n <= 2048 for n in held.values()) and max(n_pieces.values()) <= segments
+
+
+def test_long_examples_wait_in_bounded_memory():
+    p = P.Packer(tokens=64, segments=64, loss=64, pool=8)
+    for k in range(300):
+        list(p.add(P.Example(k, np.arange(1000), None, 0, 1000)))
+        assert p.held == sum(p.sizes) <= 8 * 64 and len(p.waiting) <= 64
+
+
+def test_loss_starts_where_the_column_says(spark):
+    enc = P.Encoder(P.tokenizer_file())
+    assert enc.bears("é one two", np.append(enc.encode("é one two"), 1), 5).tolist() == [False] * (len(enc.encode("é one"))) + [True, True]
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(rng.choice(["é", "word", "of", "中文"], 60)), int(rng.integers(0, 300)) if k % 5 else None) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, skip int")
+    mask = {}
+    for k, t, skip in rows:
+        at, ids, data = 0, enc.encode(t).tolist(), t.encode()
+        n, mask[k] = len(t[:skip or 0].encode()), []
+        for i in ids:
+            at += len(enc.bpe.decode_single_token_bytes(i))
+            mask[k].append(at > n)
+        assert at == len(data)
+        mask[k].append(True)
+    assert not all(map(all, mask.values()))
+    by_seq, seen = defaultdict(list), 0
+    for r in P.pack(df, P.tokenizer_file(), tokens=256, loss=100, loss_from="skip").collect():
+        by_seq[r.sequence_id].append((r.length, sum(mask[r.doc_id][r.start:r.start + r.length])))
+        seen += r.length
+    assert seen == sum(map(len, mask.values()))
+    assert all(sum(n for n, _ in x) <= 256 and sum(n for _, n in x) <= 100 for x in by_seq.values())
+    assert any(sum(n for n, _ in x) > 100 for x in by_seq.values())
