@@ -49,6 +49,28 @@ def dealt(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
+def looked_up(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left`` with the other columns of ``right`` (unique by ``key``); NULL where ``right`` has no such key.
+
+    ``left`` is read twice, so it should be a written table. Keys on over 1/HUBS of its rows (and on over HUB_DEGREE)
+    meet ``right`` by broadcast: there are HUBS of them at most, whatever the input. Rows without a key pass by both joins.
+    """
+    spark = left.sparkSession
+    found = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    n = int(found.agg(F.sum("__n")).first()[0] or 0)
+    hot = found.where(F.col("__n") > max(HUB_DEGREE, n // HUBS)).where(F.col(key).isNotNull()).select(key)
+    hot, path = written(hot)
+    new = [c for c in right.columns if c != key]
+    hot_rows, path2 = written(right.join(F.broadcast(hot), key))
+    discard(spark, path)
+    marked = left.join(F.broadcast(hot_rows.select(F.col(key).alias("__hot"), *(F.col(c).alias(f"__h_{c}") for c in new))),
+                       F.col(key) == F.col("__hot"), "left")
+    at_hot = marked.where(F.col("__hot").isNotNull()).select(*left.columns, *(F.col(f"__h_{c}").alias(c) for c in new))
+    rest = marked.where(F.col("__hot").isNull() & F.col(key).isNotNull()).select(*left.columns).join(right, key, "left")
+    bare = left.where(F.col(key).isNull()).select(*left.columns, *(F.lit(None).cast(right.schema[c].dataType).alias(c) for c in new))
+    return at_hot.unionByName(rest.select(*at_hot.columns)).unionByName(bare)
+
+
 def passed_columns(df: DataFrame, new: list[str]) -> list[str]:
     """Columns that an operator hands through: all but those that carry the name of one of its results."""
     low = {c.lower() for c in new}

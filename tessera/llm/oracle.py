@@ -55,3 +55,34 @@ SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS
        sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM b LEFT JOIN gone USING (doc_id)
 """
+
+FILTER_AUDIT = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             map(['A', 'B', 'C', 'D', 'E'],
+                 [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+                  100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t), regexp_matches(t, '[#$%&*|]'),
+                  coalesce(doc_id > least, false)]) AS fails
+      FROM w LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+o AS (SELECT '' AS filter_order UNION ALL
+      SELECT filter_order || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(filter_order, x)),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS earlier
+      FROM o, range(1, 6) AS r(step) WHERE length(filter_order) = 5),
+c AS (SELECT part, filter_order, step, x, n, good, toxic, fails[x] AS failed,
+             len(list_filter(string_split(earlier, ''), lambda y: y <> '' AND fails[y])) > 0 AS gone,
+             len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda y: fails[y])) AS n_fails
+      FROM m, s),
+r AS (SELECT part, filter_order, step, x, sum(n) FILTER (NOT failed AND NOT gone) AS kept, sum(n) FILTER (failed AND NOT gone) AS removed,
+             sum(n) FILTER (failed AND gone) AS redundant, sum(n) FILTER (failed AND n_fails = 1) AS unique_fails,
+             sum(good) FILTER (failed AND NOT gone) AS good_lost, sum(toxic) FILTER (failed AND NOT gone) AS toxic_lost
+      FROM c GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+"""
