@@ -106,6 +106,18 @@ def kept_by_worker(kind: str, key, make):
     return held[kind][1]
 
 
+def pieces(text: bytes, size: int, blank):
+    """``text`` in pieces of about ``size`` bytes, cut where the pattern ``blank`` matches, so that no word is cut."""
+    at = 0
+    while len(text) - at > size:
+        cut = blank.search(text, at + size)
+        if not cut:
+            break
+        yield text[at:cut.start()]
+        at = cut.end()
+    yield text[at:]
+
+
 def sliced(batches, max_bytes: int, text: str):
     """Cut record batches so that each holds about ``max_bytes`` of text at most (one row at least)."""
     for b in batches:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm.common import binary_list, looked_up, sliced, written
+from tessera.llm.common import binary_list, looked_up, pieces, sliced, written
 
 #: Filters in the order of their bits, the first one in the lowest bit.
 FILTERS = "ABCDE"
@@ -29,22 +29,10 @@ PIECE = 1 << 20
 BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def _pieces(text: bytes):
-    """``text`` in pieces that cut no word."""
-    at = 0
-    while len(text) - at > PIECE:
-        cut = BLANK.search(text, at + PIECE)
-        if not cut:
-            break
-        yield text[at:cut.start()]
-        at = cut.end()
-    yield text[at:]
-
-
 def text_mask(text: bytes) -> int:
     """Bits of the filters A to D that a whole text fails."""
     words, distinct = 0, set()
-    for piece in _pieces(text):
+    for piece in pieces(text, PIECE, BLANK):
         found = piece.split()
         words += len(found)
         distinct.update(found)

@@ -86,3 +86,22 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0)
        CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
 FROM r
 """
+
+_TERMS = r"regexp_extract_all(%s, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""
+WITH d AS (SELECT doc_id, translate(word, '{_UPPER}', '{_LOWER}') AS term
+           FROM (SELECT doc_id, unnest({_TERMS % "text"}) AS word FROM documents)),
+i AS (SELECT item_id, translate(word, '{_UPPER}', '{_LOWER}') AS term
+      FROM (SELECT item_id, unnest({_TERMS % "text"}) AS word FROM benchmark)),
+a AS (SELECT count(DISTINCT doc_id) AS n_docs, count(*) AS n_terms FROM d),
+m AS (SELECT doc_id, 25 + (75 * count(*) * any_value(n_docs)) // any_value(n_terms) AS m FROM d, a GROUP BY doc_id),
+q AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY item_id, term),
+p AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, a GROUP BY term),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10
+"""
