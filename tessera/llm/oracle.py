@@ -105,3 +105,12 @@ r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY scor
       FROM s WHERE score > 0)
 SELECT * FROM r WHERE rank <= 10
 """
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS least FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+FROM r
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, embdedup, filteraudit, langid, lexical, licenses, oracle, packing, pii, quality, sadedup, secrets, simhash
+from tessera.llm import decontam, embdedup, filteraudit, langid, lexical, licenses, oracle, packing, pii, quality, sadedup, secrets, simhash, warc
 from tessera.llm.common import table
 
 WINDOW = 13
@@ -80,6 +80,11 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return out.drop("text")
 
 
+def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
+    archive = warc.archive_pages(table(spark, sf, "pages"))
+    return warc.read_pages(archive).withColumnRenamed("id", "page_id")
+
+
 def op12_lexical(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_warc": op11_warc,
     "op12_lexical": op12_lexical,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -107,6 +113,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": oracle.DECONTAMINATE,
     "op3_embeddings": oracle.EMBEDDINGS,
     "op6_repeats": oracle.REPEATS,
+    "op11_warc": oracle.WARC,
     "op12_lexical": oracle.LEXICAL,
     "op13_filter_audit": oracle.FILTER_AUDIT,
 }
