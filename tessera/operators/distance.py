@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import checked_point, distance_to_literal, metric_distance, seeded_key
 from tessera.plans.blocks import block_count_for, block_pair_max, block_pair_sums
+from tessera.plans import kernels as K
 from tessera.plans.centers import DRIVER_LIMIT, max_distance_to, spread_and_persist, vector_dim
+from tessera.plans.hull import diameter
+from tessera.plans.pairs import PairIndex
+from tessera.session import write_table
+
+# So many points are compared without an index in space.
+FEW_POINTS = 4096
 
 
 def pair_distance(points: DataFrame, pairs: DataFrame, a_col: str = "id_a", b_col: str = "id_b",
@@ -39,8 +46,24 @@ def successor_pairs(points: DataFrame) -> DataFrame:
     return ids.join(nxt, F.col("id_b") == F.col("id_a") + 1)
 
 
-def exact_mpd(points: DataFrame, blocks: int | None = None) -> DataFrame:
-    """One row ``mpd``: the exact maximum pairwise distance, 0 for < 2 points."""
+def exact_mpd(points: DataFrame, blocks: int | None = None, stats: dict | None = None) -> DataFrame:
+    """One row ``mpd``: the exact maximum pairwise distance, 0 for < 2 points.
+
+    In the plane the ends are corners of the convex hull. Else few points are compared in blocks of any kind (also if
+    ``blocks`` says how many), and more by the index of blocks in space, which opens the pairs of blocks whose bound beats
+    the best pair; ``stats`` then tells the pairs ``compared`` and the ``jobs``.
+    """
+    if blocks is None:
+        n, dim = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+        if dim == 2:
+            return diameter(points)
+        if n > FEW_POINTS:
+            with PairIndex(points, n=n) as index:
+                far = index.farthest()
+                if stats is not None:
+                    stats.update(compared=index.compared, jobs=index.jobs)
+            return points.sparkSession.createDataFrame([(far[0],)], "mpd double")
+        blocks = block_count_for(points, n, dim=dim)
     per_block = block_pair_max(points, "euclidean", blocks=blocks)
     return per_block.agg(F.coalesce(F.max("d"), F.lit(0.0)).alias("mpd"))
 
@@ -79,11 +102,8 @@ def exact_mpd_pruned(points: DataFrame, dim: int | None = None) -> DataFrame:
     """
     pts = spread_and_persist(points.select("id", checked_point("v").alias("v")))
     try:
-        surv = pruned_survivors(pts, dim).persist()
-        out = exact_mpd(surv, blocks=block_count_for(surv)).persist()
-        out.count()
-        surv.unpersist()
-        return out
+        # one row, written so that the points can leave the cache
+        return write_table(exact_mpd(pruned_survivors(pts, dim)))[0]
     finally:
         pts.unpersist()
 
@@ -117,7 +137,17 @@ def two_approx_mpd(points: DataFrame, k: int, seed: int = 42, dim: int | None =
 
 def avg_pairwise_distance(points: DataFrame, blocks: int | None = None,
                           metric: str = "euclidean") -> DataFrame:
-    """One row ``avg_d``: mean distance over unordered pairs; NULL for < 2 points."""
+    """One row ``avg_d``: mean distance over unordered pairs; NULL for < 2 points.
+
+    The squared metric needs no pairs: their sum is n times the points' squared deviations from their mean, which
+    tasks add up without cancellation and no point is shuffled. The others compare all pairs of blocks.
+    """
+    if metric == "sq_drop_last" and blocks is None:
+        schema = "n long, mean array<double>, m2 double"
+        part = points.select(checked_point("v").alias("v")).mapInArrow(K.moments_kernel, schema)
+        # a row for each task
+        whole = part.repartition(1).mapInArrow(K.add_moments_kernel, schema)
+        return whole.agg(F.max(F.when(F.col("n") > 1, 2 * F.col("m2") / (F.col("n") - 1))).alias("avg_d"))
     sums = block_pair_sums(points, metric, blocks=blocks)
     return sums.agg((F.sum("sum_d") / F.nullif(F.sum("n_pairs"), F.lit(0))).alias("avg_d"))
 

@@ -3,9 +3,9 @@
 The traversal is a loop of k rounds over the whole point table. Each round is
 one scan: an Arrow-batched kernel lowers each point's distance to the nearest
 centre so far and keeps one candidate per shard and task; the best of a shard's
-candidates is its next centre, so only one row per shard reaches the driver. Shard-local
-coresets run the same loop with the shard as the grouping key, so no shard is
-ever gathered into one task, however large.
+candidates is its next centre, so only one row per round reaches the driver. Shard-local
+coresets run the same rounds over groups of their shards' points, and their centres
+stay in Spark; no shard is ever gathered into one task, however large.
 """
 
 from __future__ import annotations
@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.blocks import block_count_for, farthest_pair
 from tessera.functions.vectors import checked_point
 from tessera.plans.centers import argmin_by_shard, center_rounds, centers_frame, nearest, spread_and_persist
+from tessera.plans.pairs import PairIndex
+from tessera.plans.shards import ShardedPoints, centre_tables
 
 
 def _prep(points: DataFrame, shards: int | None, id_col: str = "id", v_col: str = "v") -> DataFrame:
@@ -63,25 +64,30 @@ def k_center_mpd(points: DataFrame, k: int, **kw) -> DataFrame:
     return exact_mpd(k_center(points, k, **kw).select("id", "v"))
 
 
-def k_center_coreset(points: DataFrame, k: int, L: int, **kw) -> DataFrame:
-    """``(shard, rank, id, v)``: k farthest-first centres inside each shard ``pmod(id, L)``.
+def k_center_coreset(points: DataFrame, k: int, L: int, metric: str = "euclidean", checkpoint_every: int = 8,
+                     id_col: str = "id", v_col: str = "v") -> DataFrame:
+    """``(shard, rank, id, v)``: k farthest-first centres inside each shard ``pmod(id, L)``, as a written table.
 
-    A shard with fewer than k distinct points returns all of them.
+    A shard with fewer than k distinct points returns all of them. The centres never leave Spark (``plans.shards``),
+    so neither k nor L is bounded by the driver.
     """
     if L <= 0:
         raise ValueError("L must be positive")
-    chosen = farthest_first(points, k, L, **kw)
-    return centers_frame(points.sparkSession, chosen, with_shard=True)
+    pts = _prep(points, L, id_col, v_col).withColumn("w", F.lit(1.0))
+    with ShardedPoints(pts) as groups:
+        centres, _ = centre_tables(groups, k, F.col("id"), "farthest", metric=metric, every=checkpoint_every)
+    return centres.select("shard", "rank", "id", "v")
 
 
 def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean",
-                    n: int | None = None) -> DataFrame:
+                    n: int | None = None, stats: dict | None = None) -> DataFrame:
     """``(round, id, v)``: floor(k/2) rounds of the farthest unused pair, plus the
     smallest unused id when k is odd; all points when k >= n.
 
-    Each round is the block-pair farthest-pair job over the unused points, so
-    no pair table is ever materialized. Ties go to the smallest ids, which
-    also settles rounds where every remaining distance is 0.
+    The points are written once as blocks in space (``plans.pairs``). The first round opens the block pairs whose
+    bound reaches the farthest pair, later ones only those that lost theirs or come into reach, so their cost
+    does not follow n². Ties go to the smallest ids, which also settles rounds where every
+    remaining distance is 0. ``stats`` tells the pairs ``compared`` and the ``jobs`` after each round.
     """
     pts = points.select("id", "v")
     if n is None:
@@ -90,32 +96,29 @@ def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean",
     if k >= n:
         return pts.select(F.lit(None).cast("int").alias("round"), "id", "v")
     picked: list[tuple[int, int]] = []
-    used: list[int] = []
-    remaining = pts
-    blocks = block_count_for(pts, n)
-    for r in range(k // 2):
-        row = farthest_pair(remaining, metric, blocks=blocks).collect()
-        if not row:
-            break
-        a, b = int(row[0]["id_a"]), int(row[0]["id_b"])
-        picked += [(r, a), (r, b)]
-        used += [a, b]
-        remaining = pts.where(~F.col("id").isin(used))
-    if k % 2:
-        last = remaining.agg(F.min("id").alias("id")).collect()[0]["id"]
-        if last is not None:
-            picked.append((k // 2, int(last)))
-    sel = spark.createDataFrame(picked, "round int, id long")
+    with PairIndex(pts, metric, n) as index:
+        for r in range(k // 2):
+            pair = index.farthest()
+            if stats is not None:
+                stats.setdefault("rounds", []).append((index.compared, index.jobs))
+            if pair is None:
+                break
+            picked += [(r, pair[1]), (r, pair[2])]
+            index.use(*pair[1:])
+        if k % 2:
+            used = F.broadcast(spark.createDataFrame([(i,) for _, i in picked], "id long"))
+            last = index.rows.join(used, "id", "left_anti").agg(F.min("id")).first()[0]
+            if last is not None:
+                picked.append((k // 2, int(last)))
+    sel = F.broadcast(spark.createDataFrame(picked, "round int, id long"))
     # of rows that repeat a picked id one is the point
-    return sel.join(pts, "id").select("round", "id", "v").dropDuplicates(["round", "id"])
+    return pts.join(sel, "id").select("round", "id", "v").dropDuplicates(["round", "id"])
 
 
 def diversity_max(points: DataFrame, k: int, L: int, metric: str = "euclidean", **kw) -> DataFrame:
     """Two rounds: k-center coreset per shard, then greedy matching on the k·L rows."""
-    chosen = farthest_first(points, k, L, **kw)
-    core = centers_frame(points.sparkSession, chosen).select("id", "v")
-    # the coreset size is known on the driver: no count job
-    return greedy_matching(core, k, metric, n=sum(len(v) for v in chosen.values()))
+    core = k_center_coreset(points, k, L, **kw).select("id", "v")
+    return greedy_matching(core, k, metric)
 
 
 def diversity_score(points: DataFrame, k: int, L: int, **kw) -> DataFrame:

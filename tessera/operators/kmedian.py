@@ -17,6 +17,8 @@ from tessera.functions.vectors import checked_point, seeded_key
 from tessera.plans.centers import (
     argmin_by_shard, center_rounds, lloyd_sums, nearest, spread_and_persist,
 )
+from tessera.plans.shards import ShardedPoints, centre_tables, cluster_sums, lloyd_tables
+from tessera.session import write_table
 
 
 def prepare(points: DataFrame, shards: int | None = None, w_col: str | None = None,
@@ -132,15 +134,21 @@ def center_weights(points: DataFrame, centers: dict[int, list[list[float]]],
 
 def kmedian_coreset(points: DataFrame, k: int, L: int, iters: int, seed: int = 42,
                     checkpoint_every: int = 8) -> DataFrame:
-    """Round 1: ``(shard, cid, v, w)`` — per-shard clustering with centre weights."""
+    """Round 1: ``(shard, cid, v, w)`` — per-shard clustering with centre weights, as a written table.
+
+    The same seeds and Lloyd rounds as ``kmedian_cluster`` with shards, but the centres never leave Spark
+    (``plans.shards``), so neither k nor L is bounded by the driver.
+    """
     if L <= 0:
         raise ValueError("L must be positive")
-    centers = kmedian_cluster(points, k, iters, seed, L, checkpoint_every=checkpoint_every)
-    weights = center_weights(points, centers, L)
-    cf = centers_to_frame(points.sparkSession, centers)
-    # k·L rows, bounded by the parameters: one partition for the next round
-    return cf.join(weights, ["shard", "cid"]).select(
-        "shard", "cid", "v", F.col("n").alias("w")).coalesce(1)
+    with ShardedPoints(prepare(points, L)) as groups:
+        seeds, path = centre_tables(groups, k, seeded_key(seed, F.col("id")), "seed", seed, every=checkpoint_every)
+        groups.tables.append(path)
+        centres = lloyd_tables(groups, seeds.withColumnRenamed("rank", "cid"), iters)
+        sizes = cluster_sums(groups, centres).select("shard", "cid", "n")
+        out = centres.join(sizes, ["shard", "cid"], "left").select(
+            "shard", "cid", "v", F.coalesce("n", F.lit(0)).cast("long").alias("w"))
+        return write_table(out)[0]
 
 
 def coreset_points(coreset: DataFrame, k: int) -> DataFrame:
@@ -153,12 +161,10 @@ def mr_kmedian(points: DataFrame, k: int, L: int, iters: int, seed: int = 42,
     """Three rounds: weighted coreset per shard, clustering of the k·L weighted
     rows, objective over all points. Returns ``(objective_df, centers)``."""
     pts = spread_and_persist(points.select("id", "v"))
-    core = coreset_points(kmedian_coreset(pts, k, L, iters, seed, checkpoint_every), k)
-    core = core.persist()
-    core.count()
-    centers = kmedian_cluster(core, k, iters, seed, None, "w", checkpoint_every, spread=False)
-    objective = kmedian_objective(pts, centers).persist()
-    objective.count()
-    core.unpersist()
-    pts.unpersist()
-    return objective, centers
+    try:
+        core = coreset_points(kmedian_coreset(pts, k, L, iters, seed, checkpoint_every), k)
+        centers = kmedian_cluster(core, k, iters, seed, None, "w", checkpoint_every, spread=False)
+        # one row, written so that the points can leave the cache
+        return write_table(kmedian_objective(pts, centers))[0], centers
+    finally:
+        pts.unpersist()

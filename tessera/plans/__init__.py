@@ -1,6 +1,6 @@
 """Physical building blocks: the block-pair plan, centre plans, Arrow kernels.
 
-Functions of ``kernels`` and ``blocks`` run inside Python workers. They are
+Functions of these modules run inside Python workers. They are
 registered for pickling by value, so every task carries their code and the
 executors need no copy of this package (no ``--py-files`` required).
 """
@@ -8,7 +8,10 @@ executors need no copy of this package (no ``--py-files`` required).
 from pyspark import cloudpickle
 
 from tessera.plans import blocks as _blocks
+from tessera.plans import hull as _hull
 from tessera.plans import kernels as _kernels
+from tessera.plans import pairs as _pairs
+from tessera.plans import shards as _shards
 
-cloudpickle.register_pickle_by_value(_kernels)
-cloudpickle.register_pickle_by_value(_blocks)
+for _module in (_kernels, _blocks, _shards, _pairs, _hull):
+    cloudpickle.register_pickle_by_value(_module)

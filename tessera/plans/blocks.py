@@ -23,6 +23,8 @@ from tessera.functions.vectors import checked_point
 # Bytes of a block's vectors; a block has that many rows of them, and BLOCK_ROWS at least.
 BLOCK_BYTES = 1 << 24
 BLOCK_ROWS = 4096
+# A group of two blocks compares at most the square of this many pairs (a billion), whatever the dimension.
+MOST_ROWS = 1 << 15
 # Block pairs in a partition at most.
 PAIRS_PER_PARTITION = 16
 # Blocks below this size are not split further just for parallelism.
@@ -176,12 +178,11 @@ def _parallelism(points: DataFrame) -> int:
     return points.sparkSession.sparkContext.defaultParallelism
 
 
-def block_count_for(points: DataFrame, n: int | None = None, v_col: str = "v") -> int:
-    """Blocks for the points: by bytes, so that points of a low dimension need fewer of them."""
-    dim = 0
-    if n is None:
+def block_count_for(points: DataFrame, n: int | None = None, v_col: str = "v", dim: int | None = None) -> int:
+    """Blocks for the points: by bytes, so that points of a low dimension need fewer of them, and by the work of a pair of blocks."""
+    if n is None or dim is None and n > BLOCK_ROWS:
         n, dim = points.agg(F.count(F.lit(1)), F.max(F.size(v_col))).first()
-    rows = max(BLOCK_ROWS, BLOCK_BYTES // (8 * dim)) if dim else BLOCK_ROWS
+    rows = max(BLOCK_ROWS, min(MOST_ROWS, BLOCK_BYTES // (8 * dim))) if dim else BLOCK_ROWS
     return choose_blocks(n, _parallelism(points), rows)
 
 

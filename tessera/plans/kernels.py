@@ -255,3 +255,38 @@ def max_dist_kernel(shared, metric: str, dim: int | None, step: int):
         if best is not None:
             yield pa.RecordBatch.from_arrays([pa.array([best], pa.float64())], names=["m"])
     return run
+
+
+def _merged_moments(a, n: int, mean: np.ndarray, m2: float):
+    """Count, mean and sum of squared deviations of two sets, from those of each."""
+    if a is None:
+        return n, mean, m2
+    if len(a[1]) != len(mean):
+        raise ValueError("points of unequal dimension")
+    total, gap = a[0] + n, mean - a[1]
+    return total, a[1] + gap * (n / total), a[2] + m2 + float(gap @ gap) * (a[0] * n / total)
+
+
+def _moments_batch(a) -> pa.RecordBatch:
+    cols = ([], [], []) if a is None else ([a[0]], [a[1].tolist()], [a[2]])
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.list_(pa.float64())), pa.array(cols[2], pa.float64())],
+                                      names=["n", "mean", "m2"])
+
+
+def moments_kernel(batches):
+    """A task's count, mean and sum of squared deviations of the points without their last coordinate."""
+    acc = None
+    for b in batches:
+        if b.num_rows:
+            X = vectors(b.column("v"))[:, :-1]
+            mean = X.mean(axis=0)
+            acc = _merged_moments(acc, len(X), mean, float(((X - mean) ** 2).sum()))
+    yield _moments_batch(acc)
+
+
+def add_moments_kernel(batches):
+    acc = None
+    for b in batches:
+        for r in b.to_pylist():
+            acc = _merged_moments(acc, r["n"], np.array(r["mean"]), r["m2"])
+    yield _moments_batch(acc)
