@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass, field
@@ -20,51 +21,75 @@ from tessera.llm.common import binary_list, kept_by_worker, sliced
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def byte_ranks(path: str) -> dict[bytes, int]:
-    """Byte strings and ids of a byte-level BPE file, whose ids are also the ranks of its merges.
+#: What the pattern's \s stands for.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space from this length on don't go through the pattern, whose matcher gives up at a million.
+LONG_RUN = 100_000
+_RUNS = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
+
+
+def byte_ranks(data: dict) -> dict[bytes, int]:
+    """Byte strings and ids of a byte-level BPE file; its ids must be in the order of its merges.
 
     Such a file writes the bytes that aren't printable as the characters from U+0100 on, in order.
     """
-    with open(path, encoding="utf-8") as f:
-        data = json.load(f)
-    pre = data["pre_tokenizer"]
+    pre, vocab = data["pre_tokenizer"], data["model"]["vocab"]
     if data["model"]["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or data["normalizer"]:
-        raise ValueError(f"{path}: not a plain byte-level BPE file")
+        raise ValueError("not a plain byte-level BPE file")
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     of = {chr(c): c for c in printable}
     of |= {chr(256 + k): c for k, c in enumerate(c for c in range(256) if c not in of.values())}
     special = {x["content"] for x in data["added_tokens"]}
-    return {bytes(of[c] for c in t): i for t, i in data["model"]["vocab"].items() if t not in special}
+    made = ["".join(m.split(" ") if isinstance(m, str) else m) for m in data["model"]["merges"]]
+    order = [vocab[c] for c in of] + [vocab[t] for t in made]
+    if sorted(order[:256]) + order[256:] != sorted(order) or set(vocab) - special != set(of) | set(made):
+        raise ValueError("ids that aren't in the order of the merges")
+    return {bytes(of[c] for c in t): i for t, i in vocab.items() if t not in special}
 
 
-def special_ids(path: str) -> dict[str, int]:
+def special_ids(data: dict) -> dict[str, int]:
     """Strings and ids of a file's added tokens; those that take their surroundings in are refused."""
-    with open(path, encoding="utf-8") as f:
-        added = json.load(f)["added_tokens"]
+    added = data["added_tokens"]
     names = [x["content"] for x in added]
     if (any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] for x in added)
             or any(a != b and a in b for a in names for b in names)):
-        raise ValueError(f"{path}: added tokens that aren't plain strings")
+        raise ValueError("added tokens that aren't plain strings")
     return {x["content"]: x["id"] for x in added}
 
 
+def file_bytes(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
 class Encoder:
-    """Ids of texts by a byte-level BPE ``tokenizers`` file.
+    """Ids of texts by a byte-level BPE ``tokenizers`` file, given as its path or bytes.
 
     The file's vocabulary is run by ``tiktoken``, which gives the same ids in a seventh of the time. With
     ``specials`` a special token's string in a text is that token, as ``tokenizers`` has it by default; else it is
     ordinary text (its ``encode_special_tokens``).
     """
 
-    def __init__(self, path: str, specials: bool = False):
+    def __init__(self, file: str | bytes, specials: bool = False):
         import tiktoken
-        self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=byte_ranks(path),
-                                     special_tokens=special_ids(path) if specials else {})
+        data = json.loads(file_bytes(file) if isinstance(file, str) else file)
+        self.specials = special_ids(data) if specials else {}
+        self.bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=byte_ranks(data), special_tokens=self.specials)
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, "<u4")
-        return np.array(self.bpe.encode(text, allowed_special="all"), "<u4")
+        ids: list[int] = []
+        at = 0
+        for run in _RUNS.finditer(text):
+            # the pattern takes a run of white space but for its last character, if text of no special token follows
+            end = run.end()
+            if end < len(text) and not text.startswith(tuple(self.specials), end):
+                end -= 1
+            ids += self.bpe.encode(text[at:run.start()], allowed_special="all")
+            ids += self.bpe._encode_single_piece(text[run.start():end].encode())
+            at = end
+        return np.array(ids + self.bpe.encode(text[at:], allowed_special="all"), "<u4")
 
     def bears(self, text: str | None, ids: np.ndarray, skip: int | None) -> np.ndarray | None:
         """Which of ``ids``, those of ``text`` and of its end, have anything after the first ``skip`` characters."""
@@ -199,12 +224,16 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
     partition, so nothing is shuffled and a retried task repeats its result. Full sequences have ``tokens``
     tokens; what a task has left goes to sequences whose length is a power of two. ``segments=tokens`` is no
     limit on pieces; a lower one closes sequences of many short texts before they are full. Repeated rows are packed as
-    often as they occur; other columns don't matter. No rows, no sequences.
+    often as they occur; other columns don't matter. No rows, no sequences. A text of any length or makeup (runs of millions of
+    blanks too) is encoded whole, in one worker's memory. The tokenizer file is read on the driver.
     """
     limit = tokens if loss is None else loss
+    # read here alone: executors need no file; a vocabulary's size doesn't follow the data
+    data = file_bytes(tokenizer)
+    shared, key = docs.sparkSession.sparkContext.broadcast(data), (zlib.crc32(data), len(data), specials)
 
     def run(batches):
-        enc = kept_by_worker("encoder", (tokenizer, specials), lambda: Encoder(tokenizer, specials))
+        enc = kept_by_worker("encoder", key, lambda: Encoder(shared.value, specials))
         packer = Packer(tokens, segments, limit, pool)
         base = TaskContext.get().partitionId() << 33
         end = np.array([] if end_id is None else [end_id], "<u4")
@@ -212,10 +241,10 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "t
         for b in sliced(batches, 1 << 23, text):
             texts = [None if t is None else t.decode("utf-8", "replace") for t in binary_list(b.column(text))]
             skips = b.column(loss_from).to_pylist() if loss_from else [None] * len(texts)
-            for key, t, skip in zip(b.column(id_col).to_pylist(), texts, skips):
+            for doc, t, skip in zip(b.column(id_col).to_pylist(), texts, skips):
                 ids = np.concatenate([enc.encode(t), end])
                 if len(ids):
-                    out.extend(packer.add(Example(key, ids, enc.bears(t, ids, skip), 0, len(ids))))
+                    out.extend(packer.add(Example(doc, ids, enc.bears(t, ids, skip), 0, len(ids))))
             yield _pieces(out, base, key_type, id_col)
             out = []
         for p in packer.finish():

@@ -8,7 +8,8 @@ halves of the value, A in [0, a) and B in [0, b): ten rounds add a keyed hash of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import passed_columns
@@ -24,44 +25,59 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}"
             r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])",
-    "date": r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9A-Za-z])",
+    "date": r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9]{2}:|(?![0-9A-Za-z]))|[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z]))",
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z])(?!\.[0-9])",
 }
 KINDS = tuple(PATTERNS)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Dates from this day on, so many: 200 whole years.
 FIRST_DAY, DAYS = "1900-01-01", 73_049
-DAY_HALVES = (271, 270)
+DAY_HALVES = (17, 4297)
+#: Strings NN/NN/YYYY that are a date of those years: MM/DD (one for each day), and DD/MM with a day above 12.
+SLASH_DATES, SLASH_HALVES, MONTHS = 117_298, (263, 446), 2400
+#: A deployment's key: a setting whose name Spark redacts in its own output.
+KEY_SETTING = "spark.tessera.pii.secret"
 
 
-def _hash(key: str, kind: str, i: Column, half: Column) -> Column:
+def _of(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
+
+def key_of(spark: SparkSession, otherwise: str) -> str:
+    """The session's key, or ``otherwise`` where none is set (tests, demonstrations)."""
+    return spark.conf.get(KEY_SETTING, otherwise)
+
+
+def _hash(key, kind, i: Column, half: Column) -> Column:
     """48 keyed bits of a half, as a long."""
-    made = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), half.cast("string")), 256)
+    made = F.sha2(F.concat_ws("|", _of(key), _of(kind), i.cast("string"), half.cast("string")), 256)
     return F.conv(F.substring(made, 1, 12), 16, 10).cast("long")
 
 
-def feistel(value: Column, a: int, b: int, key: str, kind: str) -> Column:
-    """Keyed permutation of the longs in [0, a * b): ten Feistel rounds on (value div b, value mod b)."""
+def feistel(value: Column, a, b, key, kind) -> Column:
+    """Keyed permutation of the longs in [0, a * b): ten Feistel rounds on (value div b, value mod b). All may be columns."""
+    a, b = _of(a), _of(b)
+
     def step(acc: Column, i: Column) -> Column:
         even = i % 2 == 0
         return F.struct(
-            F.when(even, F.pmod(acc["a"] + _hash(key, kind, i, acc["b"]), F.lit(a))).otherwise(acc["a"]).alias("a"),
-            F.when(even, acc["b"]).otherwise(F.pmod(acc["b"] + _hash(key, kind, i, acc["a"]), F.lit(b))).alias("b"))
+            F.when(even, F.pmod(acc["a"] + _hash(key, kind, i, acc["b"]), a)).otherwise(acc["a"]).alias("a"),
+            F.when(even, acc["b"]).otherwise(F.pmod(acc["b"] + _hash(key, kind, i, acc["a"]), b)).alias("b"))
 
-    low = F.pmod(value, F.lit(b))
-    halves = F.struct(((value - low) / F.lit(b)).cast("long").alias("a"), low.alias("b"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), halves, step,
-                       lambda acc: acc["a"] * F.lit(b) + acc["b"])
+    low = F.pmod(value, b.cast("long"))
+    halves = F.struct(((value - low) / b).cast("long").alias("a"), low.alias("b"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), halves, step, lambda acc: acc["a"] * b + acc["b"])
 
 
 def _digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
 
-def _permuted_digits(d: Column, n: int, key: str, kind: str) -> Column:
+def _permuted_digits(d: Column, n: Column, key: Column, kind) -> Column:
     """A string of n digits, permuted among those."""
-    a, b = 10 ** (n // 2), 10 ** (n - n // 2)
-    return F.lpad(feistel(d.cast("long"), a, b, key, kind).cast("string"), n, "0")
+    half = F.floor(n / 2)
+    a, b = (F.pow(F.lit(10), x).cast("long") for x in (half, n - half))
+    return F.lpad(feistel(d.cast("long"), a, b, key, kind).cast("string"), n, F.lit("0"))
 
 
 def _refilled(m: Column, digits: Column) -> Column:
@@ -78,34 +94,30 @@ def _luhn(d: Column, doubled: int) -> Column:
         .otherwise(c.cast("int"))), F.lit(0), lambda x, y: x + y)
 
 
-def _card(m: Column, key: str) -> Column:
+def _card(m: Column, key: Column) -> Column:
     d = _digits(m)
     n = F.length(d)
-    body = F.lit(None).cast("string")
-    for k in range(13, 20):
-        inner = _permuted_digits(F.substring(d, 2, k - 2), k - 2, key, f"card{k}")
-        body = F.when(n == k, F.concat(F.substring(d, 1, 1), inner)).otherwise(body)
+    inner = _permuted_digits(F.substring(d, F.lit(2), n - 2), n - 2, key, F.concat(F.lit("card"), n.cast("string")))
+    body = F.concat(F.substring(d, 1, 1), inner)
     check = F.pmod(-_luhn(body, 1), F.lit(10)).cast("string")
     return F.when(F.pmod(_luhn(d, 0), F.lit(10)) == 0, _refilled(m, F.concat(body, check))).otherwise(m)
 
 
-def _phone(m: Column, key: str) -> Column:
+def _phone(m: Column, key: Column) -> Column:
     """Country code, and first digits of area and exchange, stay; eight digits (all after the third of E.164) move."""
     d = _digits(m)
     n = F.length(d)
     tail = F.right(d, F.lit(10))
     moved = F.concat(F.substring(tail, 2, 2), F.substring(tail, 5, 6))
-    p = _permuted_digits(moved, 8, key, "phone")
+    p = _permuted_digits(moved, F.lit(8), key, "phone")
     local = F.concat(F.substring(tail, 1, 1), F.substring(p, 1, 2), F.substring(tail, 4, 1), F.substring(p, 3, 6))
-    other = d
-    for k in range(8, 16):
-        q = _permuted_digits(F.substring(d, 4, k - 3), k - 3, key, f"phone{k}")
-        other = F.when(n == k, F.concat(F.substring(d, 1, 3), q)).otherwise(other)
+    q = _permuted_digits(F.substring(d, F.lit(4), n - 3), n - 3, key, F.concat(F.lit("phone"), n.cast("string")))
+    other = F.concat(F.substring(d, 1, 3), q)
     nanp = (n == 10) | ((n == 11) & d.startswith("1"))
     return _refilled(m, F.when(nanp, F.concat(F.substring(d, F.lit(1), n - 10), local)).otherwise(other))
 
 
-def _ssn(m: Column, key: str) -> Column:
+def _ssn(m: Column, key: Column) -> Column:
     """Area 001-899 but 666, group 01-99, serial 0001-9999."""
     area, group, serial = (F.substring(m, i, n).cast("long") for i, n in ((1, 3), (5, 2), (8, 4)))
     ok = (area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0)
@@ -118,30 +130,52 @@ def _ssn(m: Column, key: str) -> Column:
     return F.when(ok, F.concat_ws("-", *parts)).otherwise(m)
 
 
-def _date(m: Column, key: str) -> Column:
-    """ISO dates, DD.MM.YYYY and MM/DD/YYYY (DD/MM/YYYY if that alone is a date) from 1900 to 2099."""
-    out = m
+def _date(m: Column, key: Column) -> Column:
+    """ISO dates, DD.MM.YYYY and MM/DD/YYYY (DD/MM/YYYY if that alone is a date) from 1900 to 2099.
+
+    The first two are permuted among the days. The slash dates are numbered, first MM/DD by their day, then DD/MM with a
+    day above 12 by their place among such days, and permuted among all of these strings.
+    """
     first = F.to_date(F.lit(FIRST_DAY))
-    forms = [("-", "yyyy-MM-dd"), (r"\.", "dd.MM.yyyy"), ("/", "dd/MM/yyyy"), ("/", "MM/dd/yyyy")]
-    for sign, form in forms:
+
+    def parsed(form: str) -> Column:
         day = F.try_to_timestamp(m, F.lit(form)).cast("date")
-        at = F.datediff(day, first).cast("long")
-        # the halves hold 121 values that are no day; a walk leaves them after as many steps at most
-        walk = F.aggregate(F.sequence(F.lit(0), F.lit(DAY_HALVES[0] * DAY_HALVES[1] - DAYS)),
-                           feistel(at, *DAY_HALVES, key, "date"),
-                           lambda x, _: F.when(x < DAYS, x).otherwise(feistel(x, *DAY_HALVES, key, "date")))
-        moved = F.date_format(F.date_add(first, walk.cast("int")), form)
-        out = F.when(m.rlike(sign) & day.isNotNull() & at.between(0, DAYS - 1), moved).otherwise(out)
-    return out
+        return F.when(F.datediff(day, first).between(0, DAYS - 1), day)
+
+    def number(day: Column) -> Column:
+        return F.datediff(day, first).cast("long")
 
+    def on(n: Column, form: str) -> Column:
+        return F.date_format(F.date_add(first, n.cast("int")), form)
 
-def _ip(m: Column, key: str) -> Column:
+    out = m
+    for sign, form in (("-", "yyyy-MM-dd"), (r"\.", "dd.MM.yyyy")):
+        day = parsed(form)
+        out = F.when(m.rlike(sign) & day.isNotNull(), on(feistel(number(day), *DAY_HALVES, key, "date"), form)).otherwise(out)
+    by_month, by_day = parsed("MM/dd/yyyy"), parsed("dd/MM/yyyy")
+    months = (F.year(by_day) - 1900) * 12 + F.month(by_day)
+    index = F.coalesce(number(by_month), DAYS + number(by_day) - 12 * months)
+    # one element: the network is one expression, its result is used several times
+    moved = F.transform(F.array(feistel(index, *SLASH_HALVES, key, "slash")), lambda x: _slash(x, first, on))
+    return F.when(m.rlike("/") & index.isNotNull(), moved[0]).otherwise(out)
+
+
+def _slash(x: Column, first: Column, on) -> Column:
+    """The slash date of number x."""
+    rest = x - DAYS
+    guess = F.floor(rest * MONTHS / (SLASH_DATES - DAYS))
+    near = F.sequence(F.greatest(guess - 3, F.lit(0)), F.least(guess + 3, F.lit(MONTHS - 1)))
+    month = F.element_at(F.filter(near, lambda q: F.datediff(F.add_months(first, q.cast("int")), first) - 12 * q <= rest), -1)
+    return F.when(x < DAYS, on(x, "MM/dd/yyyy")).otherwise(on(rest + 12 * (month + 1), "dd/MM/yyyy"))
+
+
+def _ip(m: Column, key: Column) -> Column:
     value = F.aggregate(F.split(m, r"\."), F.lit(0).cast("long"), lambda x, o: x * 256 + o.cast("long"))
     moved = feistel(value, 1 << 16, 1 << 16, key, "ip")
     return F.concat_ws(".", *(F.pmod(F.shiftright(moved, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)))
 
 
-def _email(m: Column, key: str) -> Column:
+def _email(m: Column, key: Column) -> Column:
     """Letters and digits of the name and the host move within their class; the last label and signs stay.
 
     A Feistel network on two halves of the string: a round turns each character of one half, within a-z, A-Z or
@@ -183,17 +217,23 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     E-mail addresses, phone numbers (NANP and +E.164), US social security numbers, payment cards (Luhn), dates
     and IPv4 addresses that pass their kind's check are permuted within their format; others stay. NULL texts
     stay NULL with counts 0, empty ones empty. Columns named like the counts are replaced, others stay; each
-    row is mapped by itself, so repeated rows map alike and nothing is shuffled.
+    row is mapped by itself, so repeated rows map alike, and nothing is shuffled. Texts of any length are mapped whole, in a
+    row's memory. An empty table gives an empty one with the same columns. Columns named ``__found``, ``__moved``,
+    ``__one`` or ``__key`` are dropped. The key comes by a broadcast row, so it is in no plan.
     """
+    spark = docs.sparkSession
     counts = [f"n_{k}" for k in KINDS]
-    keep = passed_columns(docs, [*counts, "__found", "__moved"])
+    keep = passed_columns(docs, [*counts, "__found", "__moved", "__one", "__key"])
     some = F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)))
-    found = docs.select(*keep, some.alias("__found"))
+    held = spark.createDataFrame(pa.table({"__one": pa.array([0], pa.int32()), "__key": [key]}))
+    # always 0, but no constant: an equality join with one row
+    found = (docs.select(*keep, some.alias("__found")).withColumn("__one", F.pmod(F.coalesce(F.size("__found"), F.lit(0)), F.lit(1)))
+             .join(F.broadcast(held), "__one"))
 
     def move(m: Column) -> Column:
         to, kind = m, _kind(m)
         for k, f in _MOVES.items():
-            to = F.when(kind == k, f(m, key)).otherwise(to)
+            to = F.when(kind == k, f(m, F.col("__key"))).otherwise(to)
         return F.struct(kind.alias("kind"), to.alias("to"), (to != m).alias("moved"))
 
     moved = found.withColumn("__moved", F.when(F.size("__found") > 0, F.transform("__found", move)))

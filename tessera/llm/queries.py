@@ -13,7 +13,7 @@ from tessera.llm.common import table
 WINDOW = 13
 #: Tokens of a packed sequence; as many pieces may be in it.
 TOKENS = 2048
-#: The pseudonyms' key; a deployment hands in its own secret.
+#: The pseudonyms' key where the session sets none.
 PII_KEY = "documents"
 
 
@@ -67,7 +67,7 @@ def op7_licenses(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return pii.pseudonymize(docs, key=PII_KEY).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
+    return pii.pseudonymize(docs, key=pii.key_of(spark, PII_KEY)).select("doc_id", "text", *(f"n_{k}" for k in pii.KINDS))
 
 
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:

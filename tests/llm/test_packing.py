@@ -171,3 +171,30 @@ def test_loss_starts_where_the_column_says(spark):
     assert seen == sum(map(len, mask.values()))
     assert all(sum(n for n, _ in x) <= 256 and sum(n for _, n in x) <= 100 for x in by_seq.values())
     assert any(sum(n for n, _ in x) > 100 for x in by_seq.values())
+
+
+def test_runs_of_blanks_and_letters_of_any_length(spark, monkeypatch):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(P.tokenizer_file())
+    enc = P.Encoder(P.tokenizer_file(), specials=True)
+    n = 1_200_000
+    for t in (" " * n + "a", "\n" * n, "x" + "\t \u3000" * (n // 3) + " 12", " " * n + "<|endoftext|> " + "\n" * n, "a" * n, " \x1c" * n):
+        assert enc.encode(t).tolist() == plain.encode(t, add_special_tokens=False).ids
+    rows = [(0, "head" + " " * n + "tail"), (1, "b")]
+    got = P.pack(spark.createDataFrame(rows, "doc_id long, text string"), P.tokenizer_file(), segments=2048, specials=True).collect()
+    assert checked(got, rows, plain, segments=2048) == 0
+    # the same cut, at every place and length
+    monkeypatch.setattr(P, "_RUNS", P.re.compile(f"[{P.WHITE}]{{2,}}"))
+    rng = np.random.default_rng(7)
+    parts = ["<|endoftext|>", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x85", "\xa0", "\u2003", "\x1c", "'s", "it", "12", "é", "中", "!?"]
+    for _ in range(2000):
+        t = "".join(rng.choice(parts, int(rng.integers(1, 12))))
+        assert enc.encode(t).tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_ids_must_follow_the_merges():
+    data = P.json.loads(P.file_bytes(P.tokenizer_file()))
+    merges = data["model"]["merges"]
+    merges[5], merges[900] = merges[900], merges[5]
+    with pytest.raises(ValueError, match="order of the merges"):
+        P.Encoder(P.json.dumps(data).encode())

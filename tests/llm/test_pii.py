@@ -60,19 +60,28 @@ def ssn(m, key):
     return f"{a + (a >= 666):03}-{x // 9999 % 99 + 1:02}-{x % 9999 + 1:04}"
 
 
+FIRST = datetime.date(1900, 1, 1)
+
+
+def slash_dates():
+    """All slash dates by their number, written out."""
+    days = [FIRST + datetime.timedelta(n) for n in range(pii.DAYS)]
+    return [d.strftime("%m/%d/%Y") for d in days] + [d.strftime("%d/%m/%Y") for d in days if d.day > 12]
+
+
+SLASH = slash_dates()
+NUMBER = {t: i for i, t in enumerate(SLASH)}
+
+
 def date(m, key):
-    first = datetime.date(1900, 1, 1)
-    for form in (["%Y-%m-%d"] if "-" in m else ["%d.%m.%Y"] if "." in m else ["%m/%d/%Y", "%d/%m/%Y"] if "/" in m else []):
-        try:
-            x = (datetime.datetime.strptime(m, form).date() - first).days
-        except ValueError:
-            continue
-        if 0 <= x < pii.DAYS:
-            x = feistel(x, *pii.DAY_HALVES, key, "date")
-            while x >= pii.DAYS:
-                x = feistel(x, *pii.DAY_HALVES, key, "date")
-            return (first + datetime.timedelta(x)).strftime(form)
-    return m
+    if "/" in m and m in NUMBER:
+        return SLASH[feistel(NUMBER[m], *pii.SLASH_HALVES, key, "slash")]
+    form = "%Y-%m-%d" if "-" in m else "%d.%m.%Y"
+    try:
+        x = (datetime.datetime.strptime(m, form).date() - FIRST).days
+    except ValueError:
+        return m
+    return (FIRST + datetime.timedelta(feistel(x, *pii.DAY_HALVES, key, "date"))).strftime(form) if 0 <= x < pii.DAYS else m
 
 
 def ip(m, key):
@@ -125,11 +134,12 @@ def test_query_matches_brute_force(spark):
     assert sum(sum(v[1:]) for v in want.values()) > 0
 
 
-TEXTS = ["mail a.b.12@Mail9.example.com and +1 (640) 555-0953, 4041894974608795 ip 70.123.182.155.", None, "", "nothing here", "no 123 @ all",
+TEXTS = ["mail a.b.12@Mail9.example.com and +1 (640) 555-0953, 4041894974608795 ip 70.123.182.155.", None, "", "nothing here", "no 123 @ all", "13-19 digits: 4222222222222 6304000000000000000 30569309025904",
          "2024-02-29 2023-02-29 31.12.1999 02/13/2001 31/12/2001 99/99/2000 1899-12-31 2100-01-01 1900-01-01 2099-12-31",
          "123-45-6789 666-12-1234 900-11-1111 665-01-0001 667-99-9999 000-11-1111", "4041-8949-7460-8795 4041 8949 7460 8795 4041894974608796 378282246310005 3782 822463 10005",
          "+491711234567 640-555-0953 1 640 555 0953 (640)555-0953 12345678", "1.2.3.4.5 256.1.1.1 0.0.0.0 255.255.255.255 v1.2.3.4", "a@b a@b.c x@y.zz A.B@C.Org.UK ünï@ex.com",
-         "4041894974608795 " * 2000, "a" * 50_000 + "@", "é4041894974608795é 4041894974608795"]
+         "4041894974608795 " * 2000, "a" * 50_000 + "@", "é4041894974608795é 4041894974608795",
+         "2024-03-05T10:00:00Z 2024-03-05T10 2024-03-05X 2024-03-05 at 25/12/2020, 12/25/2020 30/02/2020 02/29/2023"]
 
 
 def test_edges(spark):
@@ -155,3 +165,28 @@ def test_feistel_is_a_permutation(spark, a, b):
     n = min(a * b, 3000)
     assert [r.x for r in spark.range(n).select(x).collect()] == [feistel(i, a, b, "k", "t") for i in range(n)]
     assert len({feistel(i, a, b, "k", "t") for i in range(a * b)}) == a * b
+
+
+def test_every_slash_date_has_a_pseudonym_of_its_own(spark):
+    assert len(SLASH) == len(NUMBER) == pii.SLASH_DATES == pii.SLASH_HALVES[0] * pii.SLASH_HALVES[1]
+    df = spark.createDataFrame([(t,) for t in SLASH], "m string").repartition(8)
+    got = df.select("m", pii._date(pii.F.col("m"), pii.F.lit("k")).alias("to")).collect()
+    assert {r.to for r in got} == set(SLASH)
+    assert all(r.to == date(r.m, "k") for r in got[::50])
+
+
+def test_days_are_permuted():
+    assert len({feistel(i, *pii.DAY_HALVES, "k", "date") for i in range(pii.DAYS)}) == pii.DAYS
+
+
+def test_the_key_is_in_no_plan_and_comes_from_a_setting(spark):
+    df = spark.createDataFrame([("on 2020-05-06",)], "text string")
+    out = pii.pseudonymize(df, "a-very-secret-key")
+    assert out.first().text == "on " + date("2020-05-06", "a-very-secret-key")
+    plan = out._jdf.queryExecution().toString() + out._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended"))
+    assert "a-very-secret-key" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    spark.conf.set(pii.KEY_SETTING, "set")
+    assert pii.key_of(spark, "other") == "set"
+    spark.conf.unset(pii.KEY_SETTING)
+    assert pii.key_of(spark, "other") == "other"
