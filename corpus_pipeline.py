@@ -25,7 +25,7 @@ SHINGLE, DISTANCE = 3, 3
 TOKENS = 2048
 #: A document whose language has a posterior below this is rejected, as is one of unknown language.
 LEAST_SCORE = 0.5
-#: The pseudonyms' key; a deployment hands in its own secret.
+#: The pseudonyms' key where the session sets none (``pii.KEY_SETTING``).
 KEY = "corpus-pipeline"
 
 
@@ -72,7 +72,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data in ``text`` by pseudonyms of the same format (and length); no document goes."""
-    return _restored(pii.pseudonymize(_hidden(docs), key=KEY), docs)
+    return _restored(pii.pseudonymize(_hidden(docs), key=pii.key_of(spark, KEY)), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
