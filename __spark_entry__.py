@@ -7,7 +7,6 @@ are rounded to 6 places on both sides; vectors are reported exploded as
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -363,14 +362,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _ORACLES: dict[str, str] = {}
 
 # The training-data operators and their pipeline are a part that can be taken out.
-if importlib.util.find_spec("tessera.llm"):
+try:
     from tessera.llm import queries as _llm
-
+except ImportError:
+    _llm = None
+if _llm:
     _QUERIES.update(_llm.QUERIES)
     _ORACLES.update(_llm.ORACLE_SQL)
-    if importlib.util.find_spec("corpus_pipeline"):
+    try:
         import corpus_pipeline as _pipeline
-
+    except ImportError:
+        _pipeline = None
+    if _pipeline:
         _QUERIES["pipeline"] = _pipeline.run
         if _pipeline.ORACLE_SQL:
             _ORACLES["pipeline"] = _pipeline.ORACLE_SQL
