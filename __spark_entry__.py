@@ -7,6 +7,7 @@ are rounded to 6 places on both sides; vectors are reported exploded as
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,10 @@ from tessera.operators import kcenter as KC
 from tessera.operators import kmedian as KM
 from tessera.operators import text as T
 from tessera.oracle import sql as O
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources import tables
-from tessera.sources.text import line_documents, parse_pairs, parse_points
+from tessera.sources.sinks import write_parquet
+from tessera.sources.text import line_documents, parse_pairs, parse_points, read_lines, read_points
 
 # fixed parameters of the registered queries
 K_SHARDS = 4          # class-count shards on events
@@ -56,6 +59,34 @@ def _point_query(sep):
     return query
 
 
+def _written(spark, kind, write):
+    """A new path in the shared folder, written by ``write(path)``."""
+    path = f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    write(path)
+    return path
+
+
+def q_read_lines(spark, sf):
+    """Pair lines written as text files and read back in at least K splits."""
+    path = _written(spark, "lines", lambda p: tables.event_pair_lines(spark, sf).write.text(p))
+    return parse_pairs(read_lines(spark, path, K_SHARDS), mode="rest")
+
+
+def _point_file_query(sep):
+    """Points of ``part`` written as text files and read back with ids by place."""
+    def query(spark, sf):
+        lines = _part(spark, sf).select(F.array_join(F.transform("v", lambda x: x.cast("string")), sep).alias("value"))
+        points = read_points(spark, _written(spark, "points", lambda p: lines.write.text(p)), sep)
+        return points.select(F.col("v")[0].alias("x"), F.col("v")[1].alias("y"), F.col("id")).groupBy("x", "y").agg(F.count_distinct("id").alias("n"))
+    return query
+
+
+def q_sink_round_trip(spark, sf):
+    counts = C.class_count_by_shard(_pairs(spark, sf), K_SHARDS)
+    path = _written(spark, "counts", lambda p: write_parquet(counts, p, partition_by=["shard"]))
+    return spark.read.parquet(path).select("shard", "class", "n")
+
+
 def _pairs(spark, sf):
     return parse_pairs(tables.event_pair_lines(spark, sf), mode="rest")
 
@@ -309,6 +340,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_pairs_token": q_parse_pairs_token,
     "parse_points_comma": _point_query(","),
     "parse_points_space": _point_query(" "),
+    "read_lines": q_read_lines,
+    "read_points_comma": _point_file_query(","),
+    "read_points_space": _point_file_query(" "),
+    "sink_round_trip": q_sink_round_trip,
     "class_count_by_shard": q_class_count_by_shard,
     "class_count": q_class_count,
     "class_count_direct": q_class_count_direct,
@@ -411,6 +446,11 @@ def _oracle() -> dict[str, str]:
                               f"string_split(line, ' ')[2] AS class FROM ({O.PAIR_LINES})"),
         "parse_points_comma": "SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FROM part",
         "parse_points_space": "SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FROM part",
+        "read_lines": pairs,
+        "read_points_comma": "SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, count(*) AS n FROM part GROUP BY 1, 2",
+        "read_points_space": "SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, count(*) AS n FROM part GROUP BY 1, 2",
+        "sink_round_trip": (f"SELECT CAST({O.shard_expr(K_SHARDS)} AS INTEGER) AS shard, class, count(*) AS n "
+                            f"FROM ({pairs}) GROUP BY 1, 2"),
         "class_count_by_shard": (f"SELECT CAST({O.shard_expr(K_SHARDS)} AS INTEGER) AS shard, class, count(*) AS n "
                                  f"FROM ({pairs}) GROUP BY 1, 2"),
         "class_count": cc,

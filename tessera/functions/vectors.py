@@ -120,6 +120,11 @@ def seeded_key(seed: int, *parts: str | Column) -> Column:
     return F.md5(F.concat_ws(":", *cols))
 
 
+def seeded_number(seed: int, *parts: str | Column) -> Column:
+    """The first 60 bits of ``seeded_key`` as a long, in the same order."""
+    return F.conv(F.substring(seeded_key(seed, *parts), 1, 15), 16, 10).cast("long")
+
+
 def seeded_uniform(seed: int, *parts: str | Column) -> Column:
     """Uniform in (0, 1) from md5 of ``seed:parts``; identical in DuckDB."""
     hexpart = F.substring(seeded_key(seed, *parts), 1, UNIFORM_HEX_DIGITS)

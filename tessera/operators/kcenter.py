@@ -25,7 +25,7 @@ def _prep(points: DataFrame, shards: int | None, id_col: str = "id", v_col: str
 
 
 def _first_by_min_id(df: DataFrame, _r: int) -> DataFrame:
-    return argmin_by_shard(df, F.col("id"), "long")
+    return argmin_by_shard(df, F.col("id"))
 
 
 def farthest_first(points: DataFrame, k: int, shards: int | None = None, dim: int | None = None,

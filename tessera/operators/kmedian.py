@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import checked_point, seeded_key
+from tessera.functions.vectors import checked_point, seeded_key, seeded_number
 from tessera.plans.centers import (
     argmin_by_shard, center_rounds, lloyd_sums, nearest, spread_and_persist,
 )
@@ -32,7 +32,7 @@ def prepare(points: DataFrame, shards: int | None = None, w_col: str | None = No
 
 def _first_uniform(seed: int):
     def pick(df: DataFrame, _r: int) -> DataFrame:
-        return argmin_by_shard(df, seeded_key(seed, F.col("id")), "string")
+        return argmin_by_shard(df, seeded_number(seed, F.col("id")), seed)
     return pick
 
 

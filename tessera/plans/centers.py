@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.vectors import checked_point, seeded_uniform
 from tessera.plans import kernels as K
-from tessera.session import drop_table, write_table
+from tessera.session import drop_table, scan_partitions, write_table
 
 # Centres beyond this many doubles (256 MB) are refused: they were collected
 # on the driver.
@@ -35,10 +35,11 @@ def spread_and_persist(df: DataFrame) -> DataFrame:
 
     A loop reads its input once per round; a source with few splits (a small
     file with few row groups) would otherwise run every round on a few cores.
-    Inputs that already have enough partitions are not shuffled.
+    Inputs that already have enough partitions are not shuffled, nor those behind an exchange, whose
+    partitions only a run of it would tell.
     """
     par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
+    if (scan_partitions(df) or par) < par:
         df = df.repartition(par)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -178,10 +179,10 @@ def center_rounds(points: DataFrame, k: int, first_pick: PickFn, mode: str,
     return chosen
 
 
-def _winners(cand: DataFrame, schema: str) -> DataFrame:
+def _winners(cand: DataFrame, schema: str, seed: int | None = None) -> DataFrame:
     """The best of the tasks' candidates of each shard: an exchange by shard and the same reduction, no sort."""
-    kind = pa.string() if "key string" in schema else pa.int64() if "key long" in schema else pa.float64()
-    return cand.repartition("shard").mapInArrow(K.first_kernel(kind), schema)
+    kind = pa.int64() if "key long" in schema else pa.float64()
+    return cand.repartition("shard").mapInArrow(K.first_kernel(kind, seed), schema)
 
 
 def rows_by_shard(chosen: dict[int, list[tuple[int, list[float]]]]) -> list[tuple[int, int, int, list[float]]]:
@@ -196,12 +197,11 @@ def centers_frame(spark, chosen, with_shard: bool = True) -> DataFrame:
     return df if with_shard else df.drop("shard")
 
 
-def argmin_by_shard(df: DataFrame, key: Column, kind: str) -> DataFrame:
-    """Per shard the row with the smallest ``key`` (a ``kind`` column); ties to the smallest id."""
-    schema = f"shard int, id long, v array<double>, key {kind}"
-    arrow = pa.string() if kind == "string" else pa.int64()
-    cand = df.select("shard", "id", "v", key.alias("key")).mapInArrow(K.first_kernel(arrow), schema)
-    return _winners(cand, schema).select("shard", "id", "v")
+def argmin_by_shard(df: DataFrame, key: Column, seed: int | None = None) -> DataFrame:
+    """Per shard the row with the smallest ``key`` (a long); ties to the smallest md5 of ``seed:id``, if given, then the smallest id."""
+    schema = "shard int, id long, v array<double>, key long"
+    cand = df.select("shard", "id", "v", key.alias("key")).mapInArrow(K.first_kernel(pa.int64(), seed), schema)
+    return _winners(cand, schema, seed).select("shard", "id", "v")
 
 
 def max_distance_to(points: DataFrame, centers: list[list[float]], dim: int | None,

@@ -10,6 +10,8 @@ rows after an exchange by shard, so no sort is planned.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -70,11 +72,13 @@ def nearest_arrays(X: np.ndarray, shards: np.ndarray, centers: dict[int, np.ndar
     n = X.shape[0]
     d = np.full(n, np.nan)
     cid = np.full(n, -1, dtype=np.int32)
-    for s in np.unique(shards):
-        C = centers.get(int(s))
+    order = np.argsort(shards, kind="stable")
+    start = np.flatnonzero(np.concatenate([[True], np.diff(shards[order]) != 0])) if n else np.zeros(0, np.int64)
+    for a, b in zip(start, np.append(start[1:], n)):
+        C = centers.get(int(shards[order[a]]))
         if C is None or len(C) == 0:
             continue
-        rows = np.nonzero(shards == s)[0]
+        rows = order[a:b]
         best = np.full(len(rows), np.inf)
         at = np.zeros(len(rows), dtype=np.int32)
         for k in range(0, len(C), step):
@@ -123,40 +127,50 @@ def _lowered(b: pa.RecordBatch, pending: dict[int, np.ndarray], metric: str, dim
 
 
 class _Best:
-    """The row with the smallest (key, id) of each shard, over all batches of a task."""
+    """The row with the smallest (key, id) of each shard, over all batches of a task.
+
+    With a ``seed`` the md5 of ``seed:id`` decides between equal keys first; it is only made for those.
+    """
 
-    def __init__(self):
+    def __init__(self, seed: int | None = None):
         self.rows: dict[int, tuple] = {}
+        self.seed = seed
+
+    def _tie(self, i) -> str:
+        return "" if self.seed is None else hashlib.md5(f"{self.seed}:{int(i)}".encode()).hexdigest()
 
     def offer(self, shards: np.ndarray, keys: np.ndarray, ids: np.ndarray, vecs: pa.Array) -> None:
-        for s in np.unique(shards):
-            at = np.nonzero(shards == s)[0]
-            k = keys[at]
-            low = k.min()
-            tied = at[k == low]
-            r = tied[np.argmin(ids[tied])]
-            if s not in self.rows or (low, ids[r]) < self.rows[s][:2]:
-                self.rows[s] = (low, ids[r], vecs[int(r)].as_py())
+        if not len(keys):
+            return
+        # the rows of a shard together, the smallest (key, id) first
+        order = np.lexsort((ids, keys, shards))
+        start = np.flatnonzero(np.concatenate([[True], np.diff(shards[order]) != 0]))
+        for a, b in zip(start, np.append(start[1:], len(order))):
+            s, low = int(shards[order[a]]), keys[order[a]]
+            if s in self.rows and self.rows[s][0] < low:
+                continue
+            tied = order[a:a + 1] if self.seed is None else order[a:b][keys[order[a:b]] == low]
+            mark, i, r = min((self._tie(ids[r]), ids[r], r) for r in tied)
+            if s not in self.rows or (low, mark, i) < self.rows[s][:3]:
+                self.rows[s] = (low, mark, i, vecs[int(r)].as_py())
 
     def batch(self, key_type: pa.DataType) -> pa.RecordBatch:
         out = sorted(self.rows.items())
         return pa.RecordBatch.from_arrays(
-            [pa.array([int(s) for s, _ in out], pa.int32()), pa.array([int(r[1]) for _, r in out], pa.int64()),
-             pa.array([r[2] for _, r in out], pa.list_(pa.float64())),
-             pa.array([r[0].item() if isinstance(r[0], np.generic) else r[0] for _, r in out], key_type)],
+            [pa.array([int(s) for s, _ in out], pa.int32()), pa.array([int(r[2]) for _, r in out], pa.int64()),
+             pa.array([r[3] for _, r in out], pa.list_(pa.float64())),
+             pa.array([r[0].item() for _, r in out], key_type)],
             names=["shard", "id", "v", "key"])
 
 
-def first_kernel(key_type: pa.DataType):
+def first_kernel(key_type: pa.DataType, seed: int | None = None):
     """Per task and shard the row with the smallest (key, id): picks among rows, and among tasks' picks."""
     def run(batches):
-        best = _Best()
+        best = _Best(seed)
         for b in batches:
             if b.num_rows:
-                keys = b.column("key")
-                keys = (np.array(keys.to_pylist(), dtype=object) if pa.types.is_string(key_type)
-                        else keys.to_numpy(zero_copy_only=False))
-                best.offer(_shards(b, "shard"), keys, b.column("id").to_numpy(zero_copy_only=False), b.column("v"))
+                best.offer(_shards(b, "shard"), b.column("key").to_numpy(zero_copy_only=False),
+                           b.column("id").to_numpy(zero_copy_only=False), b.column("v"))
         yield best.batch(key_type)
     return run
 

@@ -61,6 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scan_partitions(df: DataFrame) -> int | None:
+    """Partitions of a plan without exchanges; None for others, whose shuffles would run as a job of their own to tell."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return None if "Exchange" in plan else df.rdd.getNumPartitions()
+
+
 def write_table(df: DataFrame) -> tuple[DataFrame, str]:
     """``df`` written to the shared checkpoint folder and reread, and its path: the lineage ends here."""
     spark = df.sparkSession

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import scan_partitions
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan with fewer splits than cores before costly per-row work.
@@ -17,7 +19,7 @@ def spread(df: DataFrame) -> DataFrame:
     already has many and is left alone (no shuffle).
     """
     par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    return df.repartition(par) if (scan_partitions(df) or par) < par else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

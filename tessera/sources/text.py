@@ -5,37 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import scan_partitions
+from tessera.sources.splits import lines_with_place
+
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per text line (column ``value``), at least ``min_partitions`` splits."""
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and scan_partitions(df) < min_partitions:
         df = df.repartition(min_partitions)
     return df
 
 
 def parse_points(lines: DataFrame, sep: str = ",", col: str = "value",
-                 permissive: bool = False) -> DataFrame:
+                 permissive: bool = False, id_col: str | None = None) -> DataFrame:
     """Lines of ``sep``-separated numbers to ``(id, v ARRAY<DOUBLE>)``.
 
     ``sep`` is taken literally. Strict: a blank line, an empty token or a bad number raises. ``permissive``: a line
-    with any of these is dropped whole. The id is a 64-bit hash of the line and of its number among equal lines, so it
-    does not depend on the file's splits; equal lines are counted, not gathered.
+    with any of these is dropped whole. The id is that of ``id_col``; nothing is shuffled then. Without one it is a 64-bit
+    hash of the line and of its number among equal lines, so it does not depend on the splits; equal lines are counted, not
+    gathered, and of n lines two share an id with a probability of n²/2^65.
     """
     line = F.col(col)
     parts = F.transform(F.split(line, "\\Q" + sep + "\\E", -1), lambda x: F.trim(x).try_cast("double"))
     bad = F.exists(parts, lambda x: x.isNull())
+    raw = parts if permissive else F.when(bad, F.raise_error(F.concat(F.lit("bad point line: "), line))).otherwise(parts)
+    if id_col:
+        some = lines.where(line.isNotNull())
+        return (some.where(~bad) if permissive else some).select(F.col(id_col).alias("id"), raw.alias("v"))
     counted = lines.where(line.isNotNull()).groupBy(line.alias("_line")).agg(F.count(F.lit(1)).alias("_n"))
     copies = counted.select(F.col("_line").alias(col), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_k"))
     copies = copies.where(~bad) if permissive else copies
-    v = parts if permissive else F.when(bad, F.raise_error(F.concat(F.lit("bad point line: "), line))).otherwise(parts)
-    return copies.select(F.xxhash64(line, F.col("_k")).alias("id"), v.alias("v"))
+    return copies.select(F.xxhash64(line, F.col("_k")).alias("id"), raw.alias("v"))
 
 
 def read_points(spark: SparkSession, path: str, sep: str = ",",
                 permissive: bool = False) -> DataFrame:
-    """Comma- (or space-) separated point file to ``(id, v)``."""
-    return parse_points(spark.read.text(path), sep=sep, permissive=permissive)
+    """Comma- (or space-) separated point file to ``(id, v)``; the id is the line's file and byte offset (``sources.splits``)."""
+    return parse_points(lines_with_place(spark, path), sep=sep, permissive=permissive, id_col="id")
 
 
 def parse_pairs(lines: DataFrame, mode: str = "rest", col: str = "value",
