@@ -49,13 +49,13 @@ def successor_pairs(points: DataFrame) -> DataFrame:
 def exact_mpd(points: DataFrame, blocks: int | None = None, stats: dict | None = None) -> DataFrame:
     """One row ``mpd``: the exact maximum pairwise distance, 0 for < 2 points.
 
-    In the plane the ends are corners of the convex hull. Else few points are compared in blocks of any kind (also if
-    ``blocks`` says how many), and more by the index of blocks in space, which opens the pairs of blocks whose bound beats
+    Few points are compared in blocks of any kind (also if ``blocks`` says how many). Of more points in the plane the
+    ends are corners of the convex hull; others go by the index of blocks in space, which opens the pairs of blocks whose bound beats
     the best pair; ``stats`` then tells the pairs ``compared`` and the ``jobs``.
     """
     if blocks is None:
         n, dim = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-        if dim == 2:
+        if n > FEW_POINTS and dim == 2:
             return diameter(points)
         if n > FEW_POINTS:
             with PairIndex(points, n=n) as index:
