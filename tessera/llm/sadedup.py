@@ -3,16 +3,19 @@
 A byte goes if a ``length``-byte string that covers it also starts earlier in the corpus. Only the first
 ``length`` bytes of a suffix matter, so suffixes are compared on those.
 
-1. *Cover sample.* The offsets whose residue modulo v is in a difference cover. Whatever their distance, two
+1. *Suspects.* The offsets whose residue modulo v is in a difference cover are sampled. Whatever their distance, two
    equal strings of ``length`` bytes have a pair of sampled suffixes, at one shift under v, that agree on the
-   ``length - v + 1`` bytes that are left. So the sample is ranked by those bytes first: a suffix without a
-   repeated sampled suffix in reach is the only one of its kind, and is done.
+   ``length - v + 1`` bytes that are left. A suffix without a sampled suffix in reach whose hash is met again is the
+   only one of its kind, and is done. (Hashes that meet by chance only make suspects.)
 2. *Buckets.* The other suffixes are dealt to buckets, one sorted at a time. A bucket's key is the least gram
    (by hash) in the suffix's first ``length`` bytes, rather than its first bytes: neighbouring suffixes then
    share a bucket and travel as one piece of text. Suffixes of a gram that is so common that its bucket would
-   stand out travel as their own hashes, dealt by those.
-3. *Ties* of a bucket are resolved by 128-bit names of the whole strings; the first by (id, offset) stays.
+   stand out travel as strings of their own, dealt by their hashes.
+3. *Sorting.* A bucket's suffixes are sorted by their bytes. Its own cover sample is ranked first; suffixes that
+   tie on their first bytes are then told apart by the ranks of the sampled suffixes at their common shift, and by the few
+   bytes after those. What still ties is equal byte by byte; the first by (id, offset) stays.
 
+Hashes only choose suspects and buckets: no byte goes without a comparison of bytes.
 Texts are read three times from a table of chunks, bucketed by chunk: replies meet it without moving a text.
 """
 
@@ -34,8 +37,9 @@ COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8
           57: (0, 1, 3, 13, 32, 36, 43, 52)}
 #: Bytes of text in a chunk (a longer text is a chunk of its own), and of suffix data in a bucket.
 CHUNK = 4 << 20
-BUCKET = 16 << 20
-#: A gram is common if its suffixes are over a HOT-th of all; a chunk reports those with LOCAL suffixes or more.
+BUCKET = 8 << 20
+#: A gram is common if its suffixes are over a HOT-th of all; a chunk reports those with LOCAL suffixes or more, or with
+#: fewer where so many chunks might add up to a bucket.
 HOT = 2000
 LOCAL = 256
 _SLICE = 1 << 20
@@ -84,6 +88,10 @@ def _rolling(seed: int, size: int) -> Rolling:
     return kept_by_worker(f"rolling{seed}", size, lambda: Rolling(seed, _SLICE + size))
 
 
+def _words(n: int) -> int:
+    return -(-n // 8)
+
+
 class Plan:
     """Sizes that follow from the length of the strings."""
 
@@ -94,6 +102,9 @@ class Plan:
         self.length, self.v = length, max(fit)
         self.gram = length - self.v + 1
         self.sampled = np.isin(np.arange(self.v), COVERS[self.v])
+        # the cover of the sort: the one that compares the fewest words
+        self.sort_v = min((v for v in COVERS if v < length), key=lambda v: (
+            _words(v) + len(COVERS[v]) / v * _words(length - v + 1) + _words(v - 1)))
 
 
 def _squeezed(sorted_keys: np.ndarray) -> bytes:
@@ -208,20 +219,22 @@ def _ask(plan: Plan, parts: int):
     return run
 
 
-def _rank(key, table):
-    """For each chunk the bits of those of its keys of this bucket that another chunk has too."""
-    keys = [_unsqueezed(x) for x in table.column("keys").to_pylist()]
+def _rank(batches):
+    """One bucket's keys: for each chunk the bits of those that another chunk has too."""
+    rows = [r for b in batches for r in b.to_pylist()]
+    if not rows:
+        return
+    keys = [_unsqueezed(r["keys"]) for r in rows]
     sizes = np.array([len(k) for k in keys], np.int64)
     _, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
     again = np.split(n[at] > 1, np.cumsum(sizes)[:-1])
     some = [k for k, x in enumerate(again) if x.any()]
-    chunks = table.column("chunk").to_pylist()
-    return pa.table({"chunk": pa.array([chunks[k] for k in some], pa.int64()),
-                     "part": pa.array([key[0].as_py()] * len(some), pa.int32()),
-                     "bits": pa.array([np.packbits(again[k]).tobytes() for k in some], pa.binary())})
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([rows[k]["chunk"] for k in some], pa.int64()), pa.array([rows[k]["part"] for k in some], pa.int32()),
+         pa.array([np.packbits(again[k]).tobytes() for k in some], pa.binary())], names=["chunk", "part", "bits"])
 
 
-def _count(plan: Plan, parts: int):
+def _count(plan: Plan, parts: int, least: int):
     """Grams with many suffixes in a chunk, and (gram NULL) all suffixes."""
     def run(batches):
         for b in batches:
@@ -229,27 +242,48 @@ def _count(plan: Plan, parts: int):
                 c = Chunk(row)
                 at = c.suspects(plan, parts, row["replies"])
                 g, n = np.unique(c.least_grams(plan, at), return_counts=True)
-                g, m = g[n >= LOCAL].view(np.int64), n[n >= LOCAL]
+                g, m = g[n >= least].view(np.int64), n[n >= least]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([*g.tolist(), None], pa.int64()), pa.array([*m.tolist(), len(at)], pa.int64())],
                     names=["gram", "n"])
     return run
 
 
-def _distinct(names: np.ndarray, pos: np.ndarray):
-    """First of each name in order of position; the positions of its further places, one after the other."""
-    order = np.lexsort((pos, names[:, 1], names[:, 0]))
-    same = np.concatenate([[False], (names[order][1:] == names[order][:-1]).all(1)])
-    first = order[~same]
-    group = np.cumsum(~same) - 1
-    return first, np.bincount(group, minlength=len(first)) - 1, pos[order[same]]
-
+def _distinct(c: Chunk, pos: np.ndarray, length: int):
+    """Which of the strings of ``length`` bytes at ``pos`` differ; how often each comes again; where, one after the other.
 
-_SENT = ("part int, chunk long, kind int, sizes binary, data binary, ids binary, pos binary, n_more binary, more binary")
+    Strings are brought together by a hash and compared byte by byte; one that only shares the hash stands for itself.
+    """
+    h = _rolling(2, length).at(c.data, pos, length)
+    order = np.lexsort((pos, h))
+    same = np.concatenate([[False], h[order][1:] == h[order][:-1]])[:len(pos)]
+    first, group = order[~same], np.cumsum(~same) - 1
+    again, of = order[same], group[same]
+    equal = np.ones(len(again), bool)
+    text = Words(c.data)
+    for skip in range(0, length, 8):
+        size = min(8, length - skip)
+        equal &= text.at(pos[again] + skip, size) == text.at(pos[first][of] + skip, size)
+    n_more = np.bincount(of[equal], minlength=len(first))
+    odd = again[~equal]
+    return np.append(first, odd), np.append(n_more, np.zeros(len(odd), int)), pos[again[equal]], h
+
+
+def _distinct_pieces(raw: bytes, pos: np.ndarray, size: np.ndarray):
+    """As ``_distinct``, of the pieces of ``size`` bytes at ``pos``."""
+    places: dict = {}
+    for k, (p, n) in enumerate(zip(pos.tolist(), size.tolist())):
+        places.setdefault(raw[p:p + n], []).append(k)
+    first = np.array([x[0] for x in places.values()], np.int64)
+    n_more = np.array([len(x) - 1 for x in places.values()], np.int64)
+    return first, n_more, pos[[k for x in places.values() for k in x[1:]]]
+
+
+_SENT = ("part int, chunk long, sizes binary, data binary, ids binary, pos binary, n_more binary, more binary")
 
 
 def _send(plan: Plan, parts: int, common: np.ndarray):
-    """Each chunk's suspect suffixes by bucket: pieces of text (kind 0), or names of single suffixes (kind 1)."""
+    """Each chunk's suspect suffixes by bucket, as pieces of text; those of common grams as a piece each."""
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
@@ -264,24 +298,20 @@ def _send(plan: Plan, parts: int, common: np.ndarray):
                 first = np.flatnonzero(cut)
                 size = np.diff(np.append(first, len(at))) + plan.length - 1
                 plain = ~hot[first]
-                yield from _rows(c, ids, at[first[plain]], size[plain], gram[first[plain]] % np.uint64(parts), 0)
-                h = _rolling(2, plan.length).at(c.data, at[hot], plan.length)
-                yield from _rows(c, ids, at[hot], np.full(int(hot.sum()), plan.length), h % np.uint64(parts), 1, h,
-                                 _rolling(3, plan.length).at(c.data, at[hot], plan.length))
+                pos, size, part = at[first[plain]], size[plain], gram[first[plain]] % np.uint64(parts)
+                yield from _rows(c, ids, pos, size, part, *_distinct_pieces(row["data"], pos, size))
+                pos = at[hot]
+                kept, n_more, more, h = _distinct(c, pos, plan.length)
+                yield from _rows(c, ids, pos, np.full(len(pos), plan.length), h % np.uint64(parts), kept, n_more, more)
     return run
 
 
-def _rows(c: Chunk, ids: np.ndarray, pos: np.ndarray, size: np.ndarray, part: np.ndarray, kind: int, *names):
+def _rows(c: Chunk, ids: np.ndarray, pos: np.ndarray, size: np.ndarray, part: np.ndarray, first: np.ndarray,
+          n_more: np.ndarray, more: np.ndarray):
+    """A row for each bucket: the pieces ``first``, and the further places of each."""
     if not len(pos):
         return
-    if kind:
-        name = np.stack(names, 1)
-    else:  # pieces of text are told apart by their bytes
-        import xxhash
-        raw = c.data.tobytes()
-        name = np.array([(d & 0xFFFFFFFFFFFFFFFF, d >> 64) for d in (
-            xxhash.xxh3_128_intdigest(raw[p:p + n]) for p, n in zip(pos.tolist(), size.tolist()))], np.uint64)
-    first, n_more, more = _distinct(name, pos)
+    raw = c.data.tobytes()
     order = np.argsort(part[first], kind="stable")
     ends = np.cumsum(n_more)
     first, n_of, end_of = first[order], n_more[order], ends[order]
@@ -290,54 +320,154 @@ def _rows(c: Chunk, ids: np.ndarray, pos: np.ndarray, size: np.ndarray, part: np
     for p in np.flatnonzero(np.diff(edges)):
         s = slice(edges[p], edges[p + 1])
         f = first[s]
-        if kind:
-            data = name[f].astype("<u8").tobytes()
-        else:
-            data = b"".join(raw[x:x + n] for x, n in zip(pos[f].tolist(), size[f].tolist()))
+        data = b"".join(raw[x:x + n] for x, n in zip(pos[f].tolist(), size[f].tolist()))
         further = [more[e - n:e] for e, n in zip(end_of[s].tolist(), n_of[s].tolist()) if n]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([p], pa.int32()), pa.array([c.id], pa.int64()), pa.array([kind], pa.int32()),
+            [pa.array([p], pa.int32()), pa.array([c.id], pa.int64()),
              *(pa.array([x], pa.binary()) for x in (
                  size[f].astype("<u4").tobytes(), data, ids[doc[s]].astype("<i8").tobytes(), pos[f].astype("<u4").tobytes(),
                  n_of[s].astype("<u4").tobytes(), np.concatenate([np.empty(0, np.int64), *further]).astype("<u4").tobytes()))],
-            names=["part", "chunk", "kind", "sizes", "data", "ids", "pos", "n_more", "more"])
+            names=["part", "chunk", "sizes", "data", "ids", "pos", "n_more", "more"])
+
+
+class Words:
+    """The bytes at any places of a text as numbers that compare as the bytes do."""
+
+    def __init__(self, data: np.ndarray):
+        self.bytes = np.concatenate([data, np.zeros(8, np.uint8)])
+        self.words = np.ndarray(len(data) + 1, ">u8", self.bytes, strides=(1,))
+
+    def at(self, pos: np.ndarray, size: int = 8) -> np.ndarray:
+        """The ``size`` bytes (8 at most) at each place."""
+        return self.words[pos].astype(np.uint64) >> np.uint64(64 - 8 * size)
+
+
+def _regroup(order: np.ndarray, cut: np.ndarray, at: np.ndarray, key: np.ndarray) -> None:
+    """Sort the members ``at`` of whole groups by ``key`` within their group, and cut the groups where it changes."""
+    group = np.cumsum(cut[at])
+    mixed = np.zeros(len(at), bool)
+    mixed[1:] = (group[1:] == group[:-1]) & (key[1:] != key[:-1])
+    if not mixed.any():
+        return
+    some = np.zeros(group[-1] + 1, bool)
+    some[group[mixed]] = True
+    here = np.flatnonzero(some[group])
+    by = here[np.lexsort((key[here], group[here]))]
+    order[at[here]] = order[at[by]]
+    key[here] = key[by]
+    cut[at[1:][key[1:] != key[:-1]]] = True
+
+
+def _tied(cut: np.ndarray) -> np.ndarray:
+    """Places of the members of groups of two and more."""
+    tied = ~cut
+    tied[:-1] |= ~cut[1:]
+    return np.flatnonzero(tied)
+
+
+def _sort_words(text: Words, pos: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the places ``pos`` by their first ``size`` bytes, and where in it another string begins."""
+    key = text.at(pos, min(8, size))
+    order = np.argsort(key)
+    key = key[order]
+    cut = np.concatenate([[True], key[1:] != key[:-1]])[:len(pos)]
+    for skip in range(8, size, 8):
+        at = _tied(cut)
+        if not len(at):
+            break
+        _regroup(order, cut, at, text.at(pos[order[at]] + skip, min(8, size - skip)))
+    return order, cut
+
+
+def sort_suffixes(data: np.ndarray, pos: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes at the ascending places ``pos`` by their first ``length`` bytes, and its cuts.
+
+    Each has ``length`` bytes from its place on. Suffixes that tie on v bytes are sorted by the ranks of the
+    cover sample (a quicksort of all tied groups at once: whatever the pivot, both it and the other have a sampled
+    suffix at one shift under v) and, if those tie as well, by the last v - 1 bytes.
+    """
+    v = plan.sort_v
+    depth = plan.length - v + 1
+    cover = np.array(COVERS[v])
+    text = Words(data)
+    order, cut = _sort_words(text, pos, v)
+    live = _tied(cut)
+    if not len(live):
+        return order, cut
+    # the sampled suffixes in reach of a suffix that ties, and their ranks
+    step = np.zeros(len(data) + v + 1, np.int32)
+    np.add.at(step, pos[order[live]], 1)
+    np.add.at(step, pos[order[live]] + v, -1)
+    where = np.flatnonzero(np.cumsum(step) > 0)
+    slot = np.full(v, -1)
+    slot[cover] = np.arange(len(cover))
+    where = where[slot[where % v] >= 0]
+    by, new = _sort_words(text, where, depth)
+    rank = np.zeros((len(data) // v + 2) * len(cover), np.int32)
+    rank[where[by] // v * len(cover) + slot[where[by] % v]] = np.cumsum(new)
+    inside = np.isin(np.arange(v), cover)
+    shift = np.array([[next(s for s in range(v) if inside[(a + s) % v] and inside[(b + s) % v]) for b in range(v)]
+                      for a in range(v)])
+    while len(live):
+        starts = np.flatnonzero(cut[live])
+        size = np.diff(np.append(starts, len(live)))
+        mine = pos[order[live]]
+        pivot = np.repeat(mine[starts + size // 2], size)
+        s = shift[mine % v, pivot % v]
+        one, two = mine + s, pivot + s
+        side = np.sign(rank[one // v * len(cover) + slot[one % v]] - rank[two // v * len(cover) + slot[two % v]])
+        for skip in range(depth, plan.length, 8):
+            same = np.flatnonzero(side == 0)
+            n = min(8, plan.length - skip)
+            one, two = text.at(mine[same] + skip, n), text.at(pivot[same] + skip, n)
+            side[same] = (one > two).astype(np.int32) - (one < two)
+        _regroup(order, cut, live, side)
+        # the pivot's equals are done; of the others groups of two and more go on
+        more = live[side != 0]
+        if not len(more):
+            break
+        alone = cut.copy()
+        alone[:-1] &= cut[1:]
+        live = more[~alone[more]]
+    return order, cut
 
 
 def _sort(plan: Plan):
     """Sort one bucket: the stretches of each chunk that suffixes with an earlier equal cover."""
-    def run(key, table):
-        size, ids, pos, n_more, more, names, chunk = [], [], [], [], [], [], []
-        for r in table.to_pylist():
-            n = np.frombuffer(r["sizes"], "<u4").astype(np.int64)
-            size.append(n)
-            ids.append(np.frombuffer(r["ids"], "<i8"))
-            pos.append(np.frombuffer(r["pos"], "<u4").astype(np.int64))
-            n_more.append(np.frombuffer(r["n_more"], "<u4").astype(np.int64))
-            more.append(np.frombuffer(r["more"], "<u4").astype(np.int64))
-            chunk.append(np.full(len(n), r["chunk"], np.int64))
-            if r["kind"]:
-                names.append(np.frombuffer(r["data"], "<u8").reshape(-1, 2))
-            else:
-                data = np.frombuffer(r["data"], np.uint8)
-                starts = np.cumsum(n) - n
-                at = np.repeat(starts, n - plan.length + 1) + _ramp(n - plan.length + 1)
-                names.append(np.stack([_rolling(k, plan.length).at(data, at, plan.length) for k in (2, 3)], 1))
-        size, ids, pos, n_more, more, chunk = (np.concatenate(x) for x in (size, ids, pos, n_more, more, chunk))
-        name = np.concatenate(names)
-        n = size - plan.length + 1
-        owner = np.repeat(np.arange(len(size)), n)
-        place = np.repeat(pos, n) + _ramp(n)
-        # in corpus order, then by name: all but the first of a name go
-        rank = np.lexsort((place, chunk[owner], ids[owner]))
-        by = rank[np.argsort(name[rank, 0], kind="stable")]
-        tied = name[by[1:], 0] == name[by[:-1], 0]
-        if (name[by[1:], 1] != name[by[:-1], 1])[tied].any():
-            by = rank[np.lexsort((name[rank, 1], name[rank, 0]))]
-            tied = (name[by[1:]] == name[by[:-1]]).all(1)
-        again = by[1:][tied]
-        to = np.concatenate([chunk[owner[again]], np.repeat(chunk, n_more)])
-        start = np.concatenate([place[again], more])
-        end = np.concatenate([place[again] + plan.length, more + np.repeat(size, n_more)])
+    def run(batches):
+        rows = [r for b in batches for r in b.to_pylist()]
+        if not rows:
+            return
+        size, pos, n_more, more = (np.concatenate([np.frombuffer(r[c], "<u4").astype(np.int64) for r in rows])
+                                   for c in ("sizes", "pos", "n_more", "more"))
+        ids = np.concatenate([np.frombuffer(r["ids"], "<i8") for r in rows])
+        chunk = np.repeat([r["chunk"] for r in rows], [len(r["sizes"]) // 4 for r in rows])
+        raw = b"".join(r["data"] for r in rows)
+        rows.clear()
+        starts = (np.cumsum(size) - size).tolist()
+        # pieces in corpus order; of equal ones only the first is sorted, as all of the others goes
+        pieces: dict = {}
+        other = []
+        for k in np.lexsort((pos, chunk, ids)).tolist():
+            if pieces.setdefault(raw[starts[k]:starts[k] + int(size[k])], k) != k:
+                other.append(k)
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        first = np.fromiter(pieces.values(), np.int64, len(pieces))
+        pieces.clear()
+        n = size[first] - plan.length + 1
+        ends = np.cumsum(size[first])
+        owner = np.repeat(np.arange(len(first)), n)
+        at = np.repeat(ends - size[first], n) + _ramp(n)
+        order, cut = sort_suffixes(data, at, plan)
+        tied = _tied(cut)
+        begin = np.flatnonzero(cut[tied])
+        order = order[tied]
+        keeps = np.minimum.reduceat(order, begin) if len(begin) else order
+        again = order[order != np.repeat(keeps, np.diff(np.append(begin, len(order))))]
+        place = pos[first][owner[again]] + at[again] - (ends - size[first])[owner[again]]
+        to = np.concatenate([chunk[first][owner[again]], chunk[other], np.repeat(chunk, n_more)])
+        start = np.concatenate([place, pos[other], more])
+        end = np.concatenate([place + plan.length, pos[other] + size[other], more + np.repeat(size, n_more)])
         out = []
         order = np.lexsort((start, to))
         to, start, end = to[order], start[order], end[order]
@@ -345,10 +475,10 @@ def _sort(plan: Plan):
         for i, j in zip(edges, np.append(edges[1:], len(to))):
             top = np.maximum.accumulate(end[i:j])
             new = np.concatenate([[True], start[i:j][1:] > top[:-1]])
-            last = np.append(np.flatnonzero(new)[1:] - 1, j - i - 1)
-            out.append((int(to[i]), np.stack([start[i:j][new], top[last]], 1).astype("<u4").tobytes()))
-        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()),
-                         "cuts": pa.array([x[1] for x in out], pa.binary())})
+            until = np.append(np.flatnonzero(new)[1:] - 1, j - i - 1)
+            out.append((int(to[i]), np.stack([start[i:j][new], top[until]], 1).astype("<u4").tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()),
+                                          pa.array([x[1] for x in out], pa.binary())], names=["chunk", "cuts"])
     return run
 
 
@@ -395,6 +525,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     total = int(rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least, -(-total // bucket_bytes))
+    local = max(1, min(LOCAL, bucket_bytes // (total // chunk_bytes + 1)))
     name = f"texts_{uuid.uuid4().hex}"
     (rows.mapInArrow(_chunks(chunk_bytes), "chunk long, ids array<long>, sizes array<long>, data binary")
      .write.bucketBy(parts, "chunk").option("path", f"{ensure_checkpoint_dir(spark)}/{name}")
@@ -406,14 +537,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         return chunks.join(gathered, "chunk", "left")
 
     asked = chunks.mapInArrow(_ask(plan, parts), "part int, chunk long, keys binary")
-    ranks = materialize(asked.groupBy("part").applyInArrow(_rank, "chunk long, part int, bits binary"))
+    # a task for each bucket: dealt by number, as buckets dealt by hash fall together
+    ranks = materialize(asked.repartitionById(parts, F.col("part")).mapInArrow(_rank, "chunk long, part int, bits binary"))
     marked = met(ranks, F.struct("part", "bits"))
-    counted = (marked.mapInArrow(_count(plan, parts), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    counted = marked.mapInArrow(_count(plan, parts, local), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n")).limit(hot + 1).collect()  # the number of all suspects comes first
     most = next((r["n"] for r in top if r["gram"] is None), 0)
     common = np.array([r["gram"] for r in top if r["gram"] is not None and r["n"] * hot > most], np.int64).view(np.uint64)
     sent = marked.mapInArrow(_send(plan, parts, common), _SENT)
-    cuts = materialize(sent.groupBy("part").applyInArrow(_sort(plan), "chunk long, cuts binary"))
+    cuts = materialize(sent.repartitionById(parts, F.col("part")).mapInArrow(_sort(plan), "chunk long, cuts binary"))
     out = met(cuts, F.col("cuts")).mapInArrow(
         _apply, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
