@@ -3,11 +3,13 @@
 Unit vectors are rounded to int8 with one scale each, and the norm e of what the rounding lost is kept. For two
 vectors u = a + x and w = b + y (a, b rounded; |x| = e, |y| = f) the int8 product differs from the cosine by
 at most |a| f + e |b| + e f. Tiles of two blocks of vectors are multiplied in int8; only pairs whose product
-plus bound reaches the threshold are computed again, in double precision.
+plus bound reaches the threshold are computed again, in double precision, unless the product less bound reaches it too.
 """
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +25,8 @@ EXACT = 1024
 #: Covers the rounding of the float32 scale factors.
 SLACK = 1e-5
 _PAIRS = 1 << 15
+#: Tasks that tiles are dealt to, at most (or the number of shuffle partitions, if that is more).
+MOST_TASKS = 1 << 14
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -63,25 +67,30 @@ def linked_pairs(a, b, threshold: float, same: bool):
         ok = near + bound >= threshold
         if same:
             ok &= i < j
+        sure = near[ok] - bound[ok] >= threshold
         i, j = i[ok], j[ok]
         for t in range(0, len(i), _PAIRS):
-            x, y = i[t:t + _PAIRS], j[t:t + _PAIRS]
-            hit = np.einsum("ij,ij->i", ua[x], ub[y]) >= threshold
+            x, y, hit = i[t:t + _PAIRS], j[t:t + _PAIRS], sure[t:t + _PAIRS].copy()
+            open_ = np.flatnonzero(~hit)
+            hit[open_] = np.einsum("ij,ij->i", ua[x[open_]], ub[y[open_]]) >= threshold
             yield x[hit], y[hit]
 
 
-def _labels(n: int, pairs: list) -> np.ndarray:
-    """Smallest index that each of n nodes reaches over the pairs."""
-    label = np.arange(n)
+def _join(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label`` (the smallest index that each node reaches) after the pairs (i, j) have linked too."""
     while True:
-        old = label.copy()
-        for i, j in pairs:
-            low = np.minimum(label[i], label[j])
-            np.minimum.at(label, i, low)
-            np.minimum.at(label, j, low)
-        label = label[label]
-        if (label == old).all():
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
             return label
+        i, j = i[apart], j[apart]
+        a, b = a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
 
 
 def _pack(kind: str):
@@ -96,28 +105,28 @@ def _pack(kind: str):
     return run
 
 
-def _tile(kind: str, threshold: float):
-    def run(key, table):
-        dim = key[0].as_py()
-        rows = {r["blk"]: r for r in table.to_pylist()}
-        sides = []
-        for blk in sorted(rows):
-            r = rows[blk]
-            x = np.frombuffer(r["vectors"], kind).reshape(-1, dim).astype(np.float64)
-            sides.append((np.frombuffer(r["nodes"], "<i8"), np.frombuffer(r["copies"], "<i8"), quantise(x)))
-        (na, ca, a), (nb, cb, b) = sides[0], sides[-1]
-        same = len(sides) == 1
-        n = np.zeros(len(na) + (0 if same else len(nb)), np.int64)
-        shift = 0 if same else len(na)
-        pairs = []
-        for i, j in linked_pairs(a, b, threshold, same):
-            np.add.at(n, i, cb[j])
-            np.add.at(n, j + shift, ca[i])
-            pairs.append((i, j + shift))
-        at = np.flatnonzero(n)
-        nodes = na if same else np.concatenate([na, nb])
-        root = nodes[_labels(len(nodes), pairs)[at]]
-        return pa.table({"node": nodes[at], "n": n[at], "root": root})
+def _tiles(kind: str, threshold: float):
+    """Stream rows sorted by tile: of each tile one row per linked vector, its links and its smallest linked node."""
+    def run(batches):
+        rows = (r for b in batches for k in range(b.num_rows) for r in b.slice(k, 1).to_pylist())
+        for (dim, _, _), blocks in groupby(rows, lambda r: (r["dim"], r["i"], r["j"])):
+            sides = []
+            for r in sorted(blocks, key=lambda r: r["blk"]):
+                x = np.frombuffer(r["vectors"], kind).reshape(-1, dim).astype(np.float64)
+                sides.append((np.frombuffer(r["nodes"], "<i8"), np.frombuffer(r["copies"], "<i8"), quantise(x)))
+            (na, ca, a), (nb, cb, b) = sides[0], sides[-1]
+            same = len(sides) == 1
+            nodes = na if same else np.concatenate([na, nb])
+            n = np.zeros(len(nodes), np.int64)
+            shift = 0 if same else len(na)
+            label = np.arange(len(nodes))
+            for i, j in linked_pairs(a, b, threshold, same):
+                np.add.at(n, i, cb[j])
+                np.add.at(n, j + shift, ca[i])
+                label = _join(label, i, j + shift)
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[at]), pa.array(n[at]), pa.array(nodes[label[at]])],
+                                             names=["node", "n", "root"])
     return run
 
 
@@ -157,7 +166,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     tiles = packed.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
     tiles = tiles.select("dim", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "nodes",
                          "copies", "vectors")
-    found = materialize(tiles.groupBy("dim", "i", "j").applyInArrow(_tile(kind, threshold), "node long, n long, root long"))
+    # tiles are dealt one by one to tasks of their own: their bytes say nothing of their work
+    n_tiles = int(blocks.agg(F.sum(F.col("nb").cast("long") * (F.col("nb") + 1) / 2)).first()[0] or 1)
+    tasks = min(n_tiles, max(MOST_TASKS, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    number = F.col("j").cast("long") * (F.col("j") + 1) / 2 + F.col("i") + F.col("dim")
+    tiles = tiles.repartitionById(tasks, F.pmod(number.cast("long"), F.lit(tasks)).cast("int")).sortWithinPartitions("dim", "i", "j")
+    found = materialize(tiles.mapInArrow(_tiles(kind, threshold), "node long, n long, root long"))
     links = found.groupBy("node").agg(F.sum("n").alias("links"))
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     of = (distinct.join(links, "node", "left").join(roots, "node", "left")

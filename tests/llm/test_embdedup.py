@@ -1,3 +1,6 @@
+import subprocess
+import sys
+
 import numpy as np
 
 from tessera.llm import embdedup
@@ -49,3 +52,35 @@ def test_error_bound_holds_in_high_dimension():
     for t in (0.8, 0.9, 0.95):
         got = {(int(i), int(j)) for x, y in embdedup.linked_pairs(qa, qb, t, False) for i, j in zip(x, y)}
         assert got == set(zip(*(z.tolist() for z in np.nonzero(exact >= t))))
+
+
+def test_dense_tiles_keep_no_pairs():
+    code = """
+import resource, numpy as np, pyarrow as pa
+from tessera.llm import embdedup as E
+rng = np.random.default_rng(1)
+x = (rng.normal(size=64) + rng.normal(size=(6000, 64)) * 0.05).astype("<f4")
+one, two = x[:3000], x[3000:]
+row = lambda blk, v: dict(dim=64, i=0, j=1, blk=blk, nodes=(np.arange(3000) + 3000 * blk).astype("<i8").tobytes(),
+                          copies=np.ones(3000, "<i8").tobytes(), vectors=v.tobytes())
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+out = pa.Table.from_batches(E._tiles("<f4", 0.9)([pa.RecordBatch.from_pylist([row(0, one), row(1, two)])]))
+assert out.num_rows == 6000 and set(out["root"].to_pylist()) == {0} and set(out["n"].to_pylist()) == {3000}
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 300
+
+
+def test_labels_of_streamed_pairs():
+    rng = np.random.default_rng(3)
+    for n, m in ((50, 30), (300, 290), (40, 400)):
+        i, j = rng.integers(0, n, (2, m))
+        label = np.arange(n)
+        for s in range(0, m, 7):
+            label = embdedup._join(label, i[s:s + 7], j[s:s + 7])
+        want = np.arange(n)
+        for _ in range(n):
+            for a, b in zip(i, j):
+                want[a] = want[b] = min(want[a], want[b])
+        assert (label == want).all()
