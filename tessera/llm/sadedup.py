@@ -250,40 +250,47 @@ def _count(plan: Plan, parts: int, least: int):
 
 
 def _distinct(c: Chunk, pos: np.ndarray, length: int):
-    """Which of the strings of ``length`` bytes at ``pos`` differ; how often each comes again; where, one after the other.
+    """Which of the strings of ``length`` bytes at ``pos`` differ, the places of the others, and all hashes.
 
     Strings are brought together by a hash and compared byte by byte; one that only shares the hash stands for itself.
     """
     h = _rolling(2, length).at(c.data, pos, length)
     order = np.lexsort((pos, h))
     same = np.concatenate([[False], h[order][1:] == h[order][:-1]])[:len(pos)]
-    first, group = order[~same], np.cumsum(~same) - 1
-    again, of = order[same], group[same]
+    first, again = order[~same], order[same]
+    of = first[(np.cumsum(~same) - 1)[same]]
     equal = np.ones(len(again), bool)
     text = Words(c.data)
     for skip in range(0, length, 8):
         size = min(8, length - skip)
-        equal &= text.at(pos[again] + skip, size) == text.at(pos[first][of] + skip, size)
-    n_more = np.bincount(of[equal], minlength=len(first))
-    odd = again[~equal]
-    return np.append(first, odd), np.append(n_more, np.zeros(len(odd), int)), pos[again[equal]], h
+        equal &= text.at(pos[again] + skip, size) == text.at(pos[of] + skip, size)
+    return np.append(first, again[~equal]), pos[again[equal]], h
 
 
 def _distinct_pieces(raw: bytes, pos: np.ndarray, size: np.ndarray):
-    """As ``_distinct``, of the pieces of ``size`` bytes at ``pos``."""
-    places: dict = {}
-    for k, (p, n) in enumerate(zip(pos.tolist(), size.tolist())):
-        places.setdefault(raw[p:p + n], []).append(k)
-    first = np.array([x[0] for x in places.values()], np.int64)
-    n_more = np.array([len(x) - 1 for x in places.values()], np.int64)
-    return first, n_more, pos[[k for x in places.values() for k in x[1:]]]
+    """Which of the pieces of ``size`` bytes at ``pos`` differ, and which others there are."""
+    first: dict = {}
+    other = [k for k, (p, n) in enumerate(zip(pos.tolist(), size.tolist())) if first.setdefault(raw[p:p + n], k) != k]
+    return np.fromiter(first.values(), np.int64, len(first)), np.array(other, np.int64)
 
 
-_SENT = ("part int, chunk long, sizes binary, data binary, ids binary, pos binary, n_more binary, more binary")
+def _merged(start: np.ndarray, end: np.ndarray) -> bytes:
+    """The stretches that the given ones cover together."""
+    order = np.argsort(start, kind="stable")
+    start, top = start[order], np.maximum.accumulate(end[order])
+    new = np.concatenate([[True], start[1:] > top[:-1]])
+    last = np.append(np.flatnonzero(new)[1:] - 1, len(start) - 1)
+    return np.stack([start[new], top[last]], 1).astype("<u4").tobytes()
+
+
+_SENT = ("part int, chunk long, sizes binary, data binary, ids binary, pos binary, cuts binary")
 
 
 def _send(plan: Plan, parts: int, common: np.ndarray):
-    """Each chunk's suspect suffixes by bucket, as pieces of text; those of common grams as a piece each."""
+    """Each chunk's suspect suffixes by bucket, as pieces of text; those of common grams as a piece each.
+
+    What occurs in the chunk before goes whatever the buckets say: its stretches go to a task of the chunk's own.
+    """
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
@@ -299,35 +306,38 @@ def _send(plan: Plan, parts: int, common: np.ndarray):
                 size = np.diff(np.append(first, len(at))) + plan.length - 1
                 plain = ~hot[first]
                 pos, size, part = at[first[plain]], size[plain], gram[first[plain]] % np.uint64(parts)
-                yield from _rows(c, ids, pos, size, part, *_distinct_pieces(row["data"], pos, size))
+                kept, other = _distinct_pieces(row["data"], pos, size)
+                yield from _rows(c, ids, pos[kept], size[kept], part[kept])
+                start, end = pos[other], pos[other] + size[other]
                 pos = at[hot]
-                kept, n_more, more, h = _distinct(c, pos, plan.length)
-                yield from _rows(c, ids, pos, np.full(len(pos), plan.length), h % np.uint64(parts), kept, n_more, more)
+                kept, more, h = _distinct(c, pos, plan.length)
+                yield from _rows(c, ids, pos[kept], np.full(len(kept), plan.length), h[kept] % np.uint64(parts))
+                start, end = np.append(start, more), np.append(end, more + plan.length)
+                if len(start):
+                    yield _sent(((c.id >> 32) + c.id) % parts, c.id, b"", b"", b"", b"", _merged(start, end))
     return run
 
 
-def _rows(c: Chunk, ids: np.ndarray, pos: np.ndarray, size: np.ndarray, part: np.ndarray, first: np.ndarray,
-          n_more: np.ndarray, more: np.ndarray):
-    """A row for each bucket: the pieces ``first``, and the further places of each."""
+def _sent(part: int, chunk: int, *parts: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.array([chunk], pa.int64()), *(pa.array([x], pa.binary()) for x in parts)],
+        names=["part", "chunk", "sizes", "data", "ids", "pos", "cuts"])
+
+
+def _rows(c: Chunk, ids: np.ndarray, pos: np.ndarray, size: np.ndarray, part: np.ndarray):
+    """A row for each bucket: the pieces at ``pos``."""
     if not len(pos):
         return
     raw = c.data.tobytes()
-    order = np.argsort(part[first], kind="stable")
-    ends = np.cumsum(n_more)
-    first, n_of, end_of = first[order], n_more[order], ends[order]
-    edges = np.searchsorted(part[first], np.arange(int(part.max()) + 2, dtype=np.uint64))
-    doc = np.searchsorted(c.starts, pos[first], "right") - 1
+    order = np.argsort(part, kind="stable")
+    pos, size, part = pos[order], size[order], part[order]
+    edges = np.searchsorted(part, np.arange(int(part[-1]) + 2, dtype=np.uint64))
+    doc = np.searchsorted(c.starts, pos, "right") - 1
     for p in np.flatnonzero(np.diff(edges)):
         s = slice(edges[p], edges[p + 1])
-        f = first[s]
-        data = b"".join(raw[x:x + n] for x, n in zip(pos[f].tolist(), size[f].tolist()))
-        further = [more[e - n:e] for e, n in zip(end_of[s].tolist(), n_of[s].tolist()) if n]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p], pa.int32()), pa.array([c.id], pa.int64()),
-             *(pa.array([x], pa.binary()) for x in (
-                 size[f].astype("<u4").tobytes(), data, ids[doc[s]].astype("<i8").tobytes(), pos[f].astype("<u4").tobytes(),
-                 n_of[s].astype("<u4").tobytes(), np.concatenate([np.empty(0, np.int64), *further]).astype("<u4").tobytes()))],
-            names=["part", "chunk", "sizes", "data", "ids", "pos", "n_more", "more"])
+        data = b"".join(raw[x:x + n] for x, n in zip(pos[s].tolist(), size[s].tolist()))
+        yield _sent(p, c.id, size[s].astype("<u4").tobytes(), data, ids[doc[s]].astype("<i8").tobytes(),
+                    pos[s].astype("<u4").tobytes(), b"")
 
 
 class Words:
@@ -435,11 +445,17 @@ def sort_suffixes(data: np.ndarray, pos: np.ndarray, plan: Plan) -> tuple[np.nda
 def _sort(plan: Plan):
     """Sort one bucket: the stretches of each chunk that suffixes with an earlier equal cover."""
     def run(batches):
-        rows = [r for b in batches for r in b.to_pylist()]
+        rows, out = [], []
+        for b in batches:
+            for r in b.to_pylist():
+                if r["cuts"]:
+                    out.append((r["chunk"], r["cuts"]))
+                else:
+                    rows.append(r)
+        yield _cuts(out)
         if not rows:
             return
-        size, pos, n_more, more = (np.concatenate([np.frombuffer(r[c], "<u4").astype(np.int64) for r in rows])
-                                   for c in ("sizes", "pos", "n_more", "more"))
+        size, pos = (np.concatenate([np.frombuffer(r[c], "<u4").astype(np.int64) for r in rows]) for c in ("sizes", "pos"))
         ids = np.concatenate([np.frombuffer(r["ids"], "<i8") for r in rows])
         chunk = np.repeat([r["chunk"] for r in rows], [len(r["sizes"]) // 4 for r in rows])
         raw = b"".join(r["data"] for r in rows)
@@ -452,6 +468,7 @@ def _sort(plan: Plan):
             if pieces.setdefault(raw[starts[k]:starts[k] + int(size[k])], k) != k:
                 other.append(k)
         data = np.frombuffer(b"".join(pieces), np.uint8)
+        other = np.array(other, np.int64)
         first = np.fromiter(pieces.values(), np.int64, len(pieces))
         pieces.clear()
         n = size[first] - plan.length + 1
@@ -465,23 +482,20 @@ def _sort(plan: Plan):
         keeps = np.minimum.reduceat(order, begin) if len(begin) else order
         again = order[order != np.repeat(keeps, np.diff(np.append(begin, len(order))))]
         place = pos[first][owner[again]] + at[again] - (ends - size[first])[owner[again]]
-        to = np.concatenate([chunk[first][owner[again]], chunk[other], np.repeat(chunk, n_more)])
-        start = np.concatenate([place, pos[other], more])
-        end = np.concatenate([place + plan.length, pos[other] + size[other], more + np.repeat(size, n_more)])
-        out = []
-        order = np.lexsort((start, to))
-        to, start, end = to[order], start[order], end[order]
-        edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else np.empty(0, int)
-        for i, j in zip(edges, np.append(edges[1:], len(to))):
-            top = np.maximum.accumulate(end[i:j])
-            new = np.concatenate([[True], start[i:j][1:] > top[:-1]])
-            until = np.append(np.flatnonzero(new)[1:] - 1, j - i - 1)
-            out.append((int(to[i]), np.stack([start[i:j][new], top[until]], 1).astype("<u4").tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()),
-                                          pa.array([x[1] for x in out], pa.binary())], names=["chunk", "cuts"])
+        to = np.concatenate([chunk[first][owner[again]], chunk[other]])
+        start = np.concatenate([place, pos[other]])
+        end = np.concatenate([place + plan.length, pos[other] + size[other]])
+        by = np.argsort(to, kind="stable")
+        edges = np.flatnonzero(np.diff(to[by], prepend=-1))
+        yield _cuts([(int(to[k[0]]), _merged(start[k], end[k])) for k in np.split(by, edges[1:]) if len(k)])
     return run
 
 
+def _cuts(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()),
+                                       pa.array([x[1] for x in rows], pa.binary())], names=["chunk", "cuts"])
+
+
 def _ramp(n: np.ndarray) -> np.ndarray:
     """0, 1, .. n[0] - 1, 0, 1, .. n[1] - 1, and so on."""
     return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
