@@ -175,7 +175,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     NULL and empty texts have no words. Items with a NULL id or without words match nothing; items of one id
     count once. Repeated rows are judged alike; input columns named like the results are replaced. Items come to
     the driver in shards of about ``shard_bytes`` (one item at least), so each automaton is bounded; with more
-    than one shard the documents stream past one after another, and are written in between.
+    than one shard the documents stream past one after another, and are written in between. Texts of any length are read
+    whole, in the task that reads their row. An empty table of documents gives an empty one, one of items no hits.
     """
     spark = docs.sparkSession
     named = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where(

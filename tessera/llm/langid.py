@@ -117,6 +117,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
 
     NULL texts and texts without a letter are ``und`` with score 0, as are all texts under a model of no
     language. Ties go to the first language in sorted order. Input columns named like the results are replaced.
+    Repeated rows score alike. Texts of any length are scored whole, one at a time. Empty in, empty out.
     """
     keep = passed_columns(docs, ["lang_pred", "lang_score"])
     # plain values: at most buckets x max_langs floats

@@ -75,7 +75,7 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases=PHRAS
     NULL and empty texts have no words; repeated rows give equal results; input columns named like the results are
     replaced. The templates' grams are broadcast: there are as many as template words. The kept columns travel
     with the votes, and of texts with a template's gram the words; so leave texts out of ``keep`` where they
-    aren't asked for.
+    aren't asked for. Texts of any length are read whole. Empty in, empty out.
     """
     results = ["n_words", "places", "base_labels", "found", "score"]
     keep = [c for c in passed_columns(docs, results) if keep is None or c in keep]

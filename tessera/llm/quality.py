@@ -296,6 +296,7 @@ def classify(docs: DataFrame, scorers: dict[str, Scorer] | None = None, labels:
     posterior's. NULL and empty texts, and those without a word, score 0. Repeated rows score alike. Without any
     text to learn from all scores come from the labellers alone. ``labels`` (id, toxic) may name toxic documents
     whose words one more labeller looks for. Columns named like the results are replaced.
+    Texts of any length are scored whole. Empty in, empty out.
     """
     scorers = scorers or fit(docs, targets(docs, labels, id_col, text), id_col, text)
     names = list(scorers)

@@ -111,7 +111,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     ``base`` has the leftmost non-overlapping matches of each base kind whose measured group is long enough;
     ``spans`` has those and the candidate strings that the entropy scan finds. NULL and empty texts have none.
     Everything happens in the row, so repeated rows give equal results and nothing is shuffled; input columns named
-    like the results are replaced.
+    like the results are replaced, and one named ``__entropy`` is dropped. Texts of any length are scanned whole, but the
+    work grows with the square of a text's matches. Empty in, empty out.
     """
     keep = passed_columns(docs, ["base", "spans", "__entropy"])
     t = F.coalesce(F.col(text), F.lit(""))
