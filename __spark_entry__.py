@@ -30,6 +30,7 @@ K_LINEITEM = 7        # shard count for the largest-shard statistic on lineitem
 SEED = 42
 SAMPLE_K = 10
 CENTERS_K = 4
+LAZY_K = 12           # centres that are picked by lazily opened blocks of part
 CORESET_L = 4
 MATCH_K = 5
 LLOYD_ITERS = 2
@@ -235,6 +236,14 @@ def q_k_center(spark, sf):
     return KC.k_center(_emb(spark, sf), CENTERS_K).select("rank", "id")
 
 
+def q_k_center_lazy(spark, sf):
+    return KC.k_center_lazy(_part(spark, sf), LAZY_K).select("rank", "id")
+
+
+def q_k_center_lazy_lineitem(spark, sf):
+    return KC.k_center_lazy(tables.lineitem_points(spark, sf), CENTERS_K).select("rank", "id")
+
+
 def q_k_center_distances(spark, sf):
     return KC.k_center_distances(_emb(spark, sf), CENTERS_K).select("id", _r("d", "d"))
 
@@ -374,6 +383,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_points": q_distinct_points,
     "point_count": q_point_count,
     "k_center": q_k_center,
+    "k_center_lazy": q_k_center_lazy,
+    "k_center_lazy_lineitem": q_k_center_lazy_lineitem,
     "k_center_distances": q_k_center_distances,
     "k_center_mpd": q_k_center_mpd,
     "k_center_coreset": q_k_center_coreset,
@@ -491,6 +502,9 @@ def _oracle() -> dict[str, str]:
     ctes, names = O.k_center(O.EMB, CENTERS_K)
     kc = O.centers_union(names)
     q["k_center"] = O.with_(ctes, f"SELECT rank, id FROM ({kc})")
+    for name, points, k in (("k_center_lazy", O.PART, LAZY_K), ("k_center_lazy_lineitem", O.LINEITEM, CENTERS_K)):
+        zctes, znames = O.k_center(points, k)
+        q[name] = O.with_(zctes, f"SELECT rank, id FROM ({O.centers_union(znames)})")
     last = f"kfd{CENTERS_K - 1}"
     q["k_center_distances"] = O.with_(
         ctes, f"SELECT p.id, round(least(p.d, coalesce({O.dist('p.v', 'c.v')}, p.d)), 6) AS d FROM {last} p "

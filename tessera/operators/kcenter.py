@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import checked_point
 from tessera.plans.centers import argmin_by_shard, center_rounds, centers_frame, nearest, spread_and_persist
+from tessera.plans.lazy import LazyCenters
 from tessera.plans.pairs import PairIndex
 from tessera.plans.shards import ShardedPoints, centre_tables
 
@@ -45,6 +46,33 @@ def farthest_first(points: DataFrame, k: int, shards: int | None = None, dim: in
         pts.unpersist()
 
 
+def lazy_farthest_first(points: DataFrame, k: int, metric: str = "euclidean", blocks: int | None = None,
+                        stats: dict | None = None) -> list[tuple[int, list[float]]]:
+    """The centres of ``farthest_first`` without shards, ``[(id, v), ...]``, by rounds that open few blocks (``plans.lazy``).
+
+    For many points with structure in space and many centres: a round there reads the blocks that may hold the next
+    centre, here and there all of them if boxes tell nothing (high dimension). ``stats`` tells after each round
+    the ``(rows, compared, jobs)`` so far. Each point is read once more to be written by block.
+    """
+    if k <= 0:
+        raise ValueError("k must be positive")
+    with LazyCenters(points, metric, blocks=blocks) as lazy:
+        pick = lazy.first()
+        while pick is not None:
+            lazy.add(*pick)
+            if len(lazy.centers) == k:
+                break
+            pick = lazy.farthest()
+            if stats is not None:
+                stats.setdefault("rounds", []).append((lazy.rows, lazy.compared, lazy.jobs))
+        return lazy.centers
+
+
+def k_center_lazy(points: DataFrame, k: int, **kw) -> DataFrame:
+    """``(rank, id, v)``: the farthest-first centres by lazily opened blocks."""
+    return centers_frame(points.sparkSession, {0: lazy_farthest_first(points, k, **kw)}, with_shard=False)
+
+
 def k_center(points: DataFrame, k: int, **kw) -> DataFrame:
     """``(rank, id, v)``: the farthest-first centres."""
     chosen = farthest_first(points, k, None, **kw)

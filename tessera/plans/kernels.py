@@ -15,8 +15,12 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 
+from tessera.plans.cells import CentreCells
+
 # Scalar differences held at once while comparing a batch with its centres.
 CHUNK_ELEMS = 1 << 22
+# More centres of a shard than these are searched by cells, which changes no row.
+MANY_CENTERS = 256
 
 
 def vectors(col: pa.ChunkedArray | pa.Array, dim: int | None = None) -> np.ndarray:
@@ -62,12 +66,17 @@ def metric_value(sq: np.ndarray, metric: str) -> np.ndarray:
     return sq if metric == "sq_drop_last" else np.sqrt(sq)
 
 
+def searched(centers: dict[int, np.ndarray], metric: str) -> dict:
+    """Centres by shard, those of shards with many in cells; for a task's batches."""
+    return {s: CentreCells(C, metric, sq_dists) if len(C) > MANY_CENTERS else C for s, C in centers.items()}
+
+
 def nearest_arrays(X: np.ndarray, shards: np.ndarray, centers: dict[int, np.ndarray],
                    metric: str, step: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Distance to and index of the nearest centre of each row's shard.
 
     Ties go to the lowest index; rows whose shard has no centre get NaN / -1.
-    ``step`` centres are compared at once, which bounds the memory and changes no result.
+    ``step`` centres are compared at once, which bounds the memory and changes no result. Centres may come in cells (``searched``).
     """
     n = X.shape[0]
     d = np.full(n, np.nan)
@@ -79,6 +88,10 @@ def nearest_arrays(X: np.ndarray, shards: np.ndarray, centers: dict[int, np.ndar
         if C is None or len(C) == 0:
             continue
         rows = order[a:b]
+        if isinstance(C, CentreCells):
+            best, cid[rows] = C.nearest(X[rows], step)
+            d[rows] = metric_value(best, metric)
+            continue
         best = np.full(len(rows), np.inf)
         at = np.zeros(len(rows), dtype=np.int32)
         for k in range(0, len(C), step):
@@ -102,7 +115,7 @@ def nearest_kernel(shared, shard_col: str | None, v_col: str, keep: list[str], d
                    cid_name: str | None, metric: str, dim: int | None, step: int):
     """Rows of ``keep`` plus the nearest-centre distance (and index); ``shared`` broadcasts the centres."""
     def run(batches):
-        centers = shared.value
+        centers = searched(shared.value, metric)
         for b in batches:
             X = vectors(b.column(v_col), dim)
             d, cid = nearest_arrays(X, _shards(b, shard_col), centers, metric, step)
@@ -222,7 +235,7 @@ def _sums(acc: dict) -> pa.RecordBatch:
 def lloyd_kernel(shared, shard_col: str | None, metric: str, dim: int | None, step: int):
     """Per task and (shard, cluster) one row: weighted coordinate sums ``s``, weight sum ``sw``, points ``n``."""
     def run(batches):
-        centers, acc = shared.value, {}
+        centers, acc = searched(shared.value, metric), {}
         for b in batches:
             X = vectors(b.column("v"), dim)
             sh = _shards(b, shard_col)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.vectors import checked_point
 from tessera.plans import kernels as K
+from tessera.plans.cells import SLACK, cell_of, farthest_sq, kd_cuts, used_coordinates
 from tessera.session import drop_table, write_table
 
 # Blocks at most: 2 million block pairs on the driver.
@@ -31,40 +32,6 @@ SIDE_POINTS = 1 << 15
 BATCH_PAIRS = 1 << 34
 # Scalar differences held at once.
 CHUNK_ELEMS = 1 << 22
-# Bounds are rounded up by this factor.
-SLACK = 1 + 1e-12
-
-
-def used_coordinates(X: np.ndarray, metric: str) -> np.ndarray:
-    """The coordinates that the metric looks at; a column of zeros if it looks at none."""
-    part = X[:, {"euclidean": slice(None), "sq_drop_last": slice(0, -1), "euclidean_2d": slice(0, 2)}[metric]]
-    return np.ascontiguousarray(part) if part.shape[1] else np.zeros((len(X), 1))
-
-
-def kd_cuts(X: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray]:
-    """Dimension and value of each inner node's cut, in heap order; ``leaves`` is a power of two.
-
-    A node cuts the dimension in which its points spread most, at their median.
-    """
-    dim, cut = np.zeros(max(0, leaves - 1), np.int64), np.zeros(max(0, leaves - 1))
-    rows = {0: np.arange(len(X))}
-    for node in range(leaves - 1):
-        at = rows.pop(node)
-        if len(at):
-            spread = X[at].max(axis=0) - X[at].min(axis=0)
-            dim[node] = int(np.argmax(spread))
-            cut[node] = np.median(X[at, dim[node]])
-        right = X[at, dim[node]] > cut[node]
-        rows[2 * node + 1], rows[2 * node + 2] = at[~right], at[right]
-    return dim, cut
-
-
-def cell_of(X: np.ndarray, dim: np.ndarray, cut: np.ndarray) -> np.ndarray:
-    node = np.zeros(len(X), np.int64)
-    at = np.arange(len(X))
-    for _ in range((len(dim) + 1).bit_length() - 1):
-        node = 2 * node + 1 + (X[at, dim[node]] > cut[node])
-    return node - len(dim)
 
 
 def _reached(X: np.ndarray) -> float:
@@ -79,12 +46,6 @@ def _reached(X: np.ndarray) -> float:
     return best / SLACK
 
 
-def farthest_sq(X: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Squared distance from each row to the farthest point of a box."""
-    far = np.maximum(np.abs(X - lo), np.abs(X - hi))
-    return np.einsum("ij,ij->i", far, far) * SLACK
-
-
 def box_bounds(lo: np.ndarray, hi: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Largest squared distance of points in boxes a and b."""
     out = np.empty(len(a))
@@ -224,6 +185,38 @@ def _open_kernel(within: frozenset[int]):
     return kernel
 
 
+def space_cuts(pts: DataFrame, metric: str, n: int, blocks: int | None = None):
+    """The k-d tree's cuts (dimension, value) of ``n`` points into ``blocks``, and the sampled vectors and ids that placed them."""
+    if blocks is None:
+        blocks = 1 << max(0, min(MAX_BLOCKS, -(-n // BLOCK_POINTS)) - 1).bit_length()
+    sample, ids = np.zeros((0, 1)), np.zeros(0, np.int64)
+    if blocks > 1:
+        rows = pts.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_BLOCK * blocks).toArrow()
+        sample, ids = used_coordinates(K.vectors(rows.column("v")), metric), rows.column("id").to_numpy()
+    return *kd_cuts(sample, blocks), sample, ids
+
+
+def written_blocks(pts: DataFrame, n: int, kernel, dim: np.ndarray, cut: np.ndarray, metric: str) -> tuple[DataFrame, str]:
+    """A table ``(block, id, v)`` of the points by ``kernel``, sorted, so that a batch skips the row groups of other blocks; and its path."""
+    spark = pts.sparkSession
+    cuts = spark.sparkContext.broadcast((dim, cut))
+    par = spark.sparkContext.defaultParallelism
+    if n < par << 20:
+        pts = pts.repartition(par)
+    return write_table(pts.mapInArrow(kernel(cuts, metric), "block int, id long, v array<double>").sortWithinPartitions("block"))
+
+
+def block_boxes(rows: DataFrame) -> list:
+    """Count and bounding box of each block, by block: one row for each."""
+    boxes = rows.mapInArrow(boxes_kernel, BOX).repartition("block").mapInArrow(add_boxes_kernel, BOX).collect()
+    return sorted(boxes, key=lambda r: r["block"])
+
+
+def of_blocks(rows: DataFrame, blocks: list[int]) -> DataFrame:
+    """The rows of some blocks, and others among them if there are many."""
+    return rows.where(F.col("block").isin(blocks) if len(blocks) <= 64 else F.col("block").between(min(blocks), max(blocks)))
+
+
 class PairIndex:
     """Farthest pairs of points ``(id, v)``; a context manager, since it keeps a table of the points by block.
 
@@ -236,23 +229,11 @@ class PairIndex:
         pts = points.select(F.col("id").cast("long").alias("id"), checked_point("v").alias("v"))
         if n is None:
             n = pts.count()
-        if blocks is None:
-            blocks = 1 << max(0, min(MAX_BLOCKS, -(-n // BLOCK_POINTS)) - 1).bit_length()
         self.used: list[int] = []
-        sample, self.sample_ids = np.zeros((0, 1)), np.zeros(0, np.int64)
-        if blocks > 1:
-            rows = pts.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_BLOCK * blocks).toArrow()
-            sample, self.sample_ids = used_coordinates(K.vectors(rows.column("v")), metric), rows.column("id").to_numpy()
-        self.sample = sample
-        cuts = self.spark.sparkContext.broadcast(kd_cuts(sample, blocks))
+        dim, cut, self.sample, self.sample_ids = space_cuts(pts, metric, n, blocks)
         self.par = self.spark.sparkContext.defaultParallelism
-        if n < self.par << 20:
-            pts = pts.repartition(self.par)
-        cells = pts.mapInArrow(_assign_kernel(cuts, metric), "block int, id long, v array<double>")
-        # sorted, so that a batch skips the row groups of other blocks
-        self.rows, self.path = write_table(cells.sortWithinPartitions("block"))
-        boxes = self.rows.mapInArrow(boxes_kernel, BOX).repartition("block").mapInArrow(add_boxes_kernel, BOX).collect()
-        boxes.sort(key=lambda r: r["block"])
+        self.rows, self.path = written_blocks(pts, n, _assign_kernel, dim, cut, metric)
+        boxes = block_boxes(self.rows)
         self.block = np.array([r["block"] for r in boxes], np.int64)
         self.size = np.array([r["n"] for r in boxes], np.int64)
         if len({len(r["lo"]) for r in boxes}) > 1:
@@ -312,8 +293,7 @@ class PairIndex:
         place[self.block] = np.arange(len(self.block))
         shared = self.spark.sparkContext.broadcast((opened, self.lo, self.hi, subs, np.array(self.used, np.int64), place))
         blocks = [int(self.block[i]) for i in opened]
-        rows = self.rows.where(F.col("block").isin(blocks) if len(blocks) <= 64 else F.col("block").between(min(blocks), max(blocks)))
-        sides = rows.mapInArrow(_sides_kernel(shared, floor), SIDE)
+        sides = of_blocks(self.rows, blocks).mapInArrow(_sides_kernel(shared, floor), SIDE)
         groups = int((subs[self.a[pairs]] * subs[self.b[pairs]]).sum())
         within = frozenset(pairs[self.a[pairs] == self.b[pairs]].tolist())
         best = sides.repartition(max(1, min(groups, 16 * self.par + groups // 16)), "pair", "a", "b").groupBy("pair", "a", "b").applyInArrow(_open_kernel(within), FOUND)
