@@ -34,6 +34,7 @@ LAZY_K = 12           # centres that are picked by lazily opened blocks of part
 CORESET_L = 4
 MATCH_K = 5
 LLOYD_ITERS = 2
+CARRIED_ITERS = 6     # Lloyd rounds with carried bounds
 MR_ITERS = 1
 PART_K = 5
 
@@ -317,6 +318,11 @@ def q_kmedian_cluster(spark, sf):
     return _centers_rows(spark, centers)
 
 
+def q_kmedian_cluster_carried(spark, sf):
+    centers = KM.kmedian_cluster(_part(spark, sf), PART_K, CARRIED_ITERS, SEED, carry=True)
+    return _centers_rows(spark, centers)
+
+
 def q_kmedian_objective(spark, sf):
     pts = _emb(spark, sf)
     centers = KM.kmedian_cluster(pts, CENTERS_K, LLOYD_ITERS, SEED)
@@ -397,6 +403,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lloyd_step": q_lloyd_step,
     "lloyd": q_lloyd,
     "kmedian_cluster": q_kmedian_cluster,
+    "kmedian_cluster_carried": q_kmedian_cluster_carried,
     "kmedian_objective": q_kmedian_objective,
     "center_weights": q_center_weights,
     "kmedian_coreset": q_kmedian_coreset,
@@ -536,6 +543,8 @@ def _oracle() -> dict[str, str]:
     q["lloyd"] = O.with_(seed_ctes + l2, O.explode_centers(c2))
     pk, pc = O.kmedian_cluster("pk", "pp", PART_K, LLOYD_ITERS, SEED)
     q["kmedian_cluster"] = O.with_([O.points_cte("pp", O.PART)] + pk, O.explode_centers(pc))
+    ck, cc = O.kmedian_cluster("pk", "pp", PART_K, CARRIED_ITERS, SEED)
+    q["kmedian_cluster_carried"] = O.with_([O.points_cte("pp", O.PART)] + ck, O.explode_centers(cc))
     q["kmedian_objective"] = O.with_(seed_ctes + l2 + O.assign_ctes("no", "np", c2),
                                      "SELECT round(avg(d), 6) AS objective FROM noa")
     q["center_weights"] = O.with_(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import checked_point, seeded_key, seeded_number
+from tessera.plans.bounds import carried_lloyd
 from tessera.plans.centers import (
     argmin_by_shard, center_rounds, lloyd_sums, nearest, spread_and_persist,
 )
@@ -79,17 +80,29 @@ def lloyd_step(points: DataFrame, centers: dict[int, list[list[float]]], dim: in
     return new, sizes
 
 
-def lloyd(points: DataFrame, centers, dim: int | None, iters: int, sharded: bool = False):
-    """``iters`` Lloyd rounds, no convergence test (as specified)."""
+def lloyd(points: DataFrame, centers, dim: int | None, iters: int, sharded: bool = False, carry: bool = False,
+          stats: dict | None = None):
+    """``iters`` Lloyd rounds, no convergence test (as specified).
+
+    ``carry`` keeps bounds with the points (``plans.bounds``): the same centres, but after the first round only points
+    that may have changed their cluster are compared with the centres. It pays a written table for that, so it is for many rounds or
+    centres. ``stats`` tells the rows ``compared`` in each round (with ``carry``) and the last round's ``sizes``,
+    ``{(shard, cid): (sum_w, n)}``; a cluster without an entry is empty and kept its centre.
+    """
+    if carry:
+        return carried_lloyd(points, centers, iters, sharded, stats)
     for _ in range(iters):
-        centers, _sizes = lloyd_step(points, centers, dim, sharded)
+        centers, sizes = lloyd_step(points, centers, dim, sharded)
+        if stats is not None:
+            stats["sizes"] = sizes
     return centers
 
 
 def kmedian_cluster(points: DataFrame, k: int, iters: int, seed: int = 42,
                     shards: int | None = None, w_col: str | None = None,
-                    checkpoint_every: int = 8, spread: bool = True) -> dict[int, list[list[float]]]:
-    """Seeding plus ``iters`` Lloyd rounds; ``{shard: [centre vectors]}``.
+                    checkpoint_every: int = 8, spread: bool = True, carry: bool = False,
+                    stats: dict | None = None) -> dict[int, list[list[float]]]:
+    """Seeding plus ``iters`` Lloyd rounds; ``{shard: [centre vectors]}``. ``carry`` and ``stats`` as in ``lloyd``.
 
     ``spread=False`` keeps the input's partitioning (for a small bounded input
     such as a k·L-row coreset, where a repartition costs more than it saves).
@@ -102,7 +115,7 @@ def kmedian_cluster(points: DataFrame, k: int, iters: int, seed: int = 42,
             return {}
         centers = _vectors(chosen)
         dim = len(next(iter(centers.values()))[0])
-        return lloyd(pts, centers, dim, iters, bool(shards))
+        return lloyd(pts, centers, dim, iters, bool(shards), carry, stats)
     finally:
         pts.unpersist()
 

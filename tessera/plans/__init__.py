@@ -8,6 +8,7 @@ executors need no copy of this package (no ``--py-files`` required).
 from pyspark import cloudpickle
 
 from tessera.plans import blocks as _blocks
+from tessera.plans import bounds as _bounds
 from tessera.plans import cells as _cells
 from tessera.plans import hull as _hull
 from tessera.plans import kernels as _kernels
@@ -15,5 +16,5 @@ from tessera.plans import lazy as _lazy
 from tessera.plans import pairs as _pairs
 from tessera.plans import shards as _shards
 
-for _module in (_cells, _kernels, _blocks, _shards, _pairs, _hull, _lazy):
+for _module in (_cells, _kernels, _blocks, _shards, _pairs, _hull, _lazy, _bounds):
     cloudpickle.register_pickle_by_value(_module)

@@ -86,18 +86,28 @@ class CentreCells:
         rows_at_once = max(1, CHUNK_ELEMS // len(self.members))
         for s in range(0, len(X), rows_at_once):
             part = slice(s, s + rows_at_once)
-            self._search(X[part], best[part], at[part], step)
+            self._search(X[part], best[part], at[part], None, step)
         return best, at
 
-    def _search(self, X: np.ndarray, best: np.ndarray, at: np.ndarray, step: int) -> None:
+    def nearest_two(self, X: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``nearest`` and the squared distance to the nearest of the other centres (infinite without any)."""
+        best, at, second = np.full(len(X), np.inf), np.zeros(len(X), np.int64), np.full(len(X), np.inf)
+        rows_at_once = max(1, CHUNK_ELEMS // len(self.members))
+        for s in range(0, len(X), rows_at_once):
+            part = slice(s, s + rows_at_once)
+            self._search(X[part], best[part], at[part], second[part], step)
+        return best, at, second
+
+    def _search(self, X: np.ndarray, best: np.ndarray, at: np.ndarray, second: np.ndarray | None, step: int) -> None:
         low = nearest_sq(used_coordinates(X, self.metric), self.lo, self.hi)
         home = low.argmin(axis=1)
         for c in np.unique(home):
-            self._look(X, np.flatnonzero(home == c), c, best, at, step)
+            self._look(X, np.flatnonzero(home == c), c, best, at, second, step)
+        limit = best if second is None else second
         for c in range(len(self.members)):
-            self._look(X, np.flatnonzero((low[:, c] <= best) & (home != c)), c, best, at, step)
+            self._look(X, np.flatnonzero((low[:, c] <= limit) & (home != c)), c, best, at, second, step)
 
-    def _look(self, X, rows, cell, best, at, step) -> None:
+    def _look(self, X, rows, cell, best, at, second, step) -> None:
         if not len(rows):
             return
         for k in range(0, len(self.members[cell]), step):
@@ -106,5 +116,9 @@ class CentreCells:
             self.compared += sq.size
             j = sq.argmin(axis=1)
             near, which = sq[np.arange(len(rows)), j], index[j]
+            if second is not None:
+                # of the two best so far and the two best here the second
+                other = np.partition(sq, 1, axis=1)[:, 1] if sq.shape[1] > 1 else np.inf
+                second[rows] = np.minimum(np.maximum(best[rows], near), np.minimum(second[rows], other))
             closer = (near < best[rows]) | ((near == best[rows]) & (which < at[rows]))
             best[rows[closer]], at[rows[closer]] = near[closer], which[closer]

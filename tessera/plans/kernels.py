@@ -232,6 +232,22 @@ def _sums(acc: dict) -> pa.RecordBatch:
          pa.array([int(r[2]) for _, r in rows], pa.int64())], names=["shard", "cid", "s", "sw", "n"])
 
 
+def add_to_sums(acc: dict, X: np.ndarray, sh: np.ndarray, cid: np.ndarray, w: np.ndarray) -> None:
+    """Add a batch to a task's sums ``{(shard, cluster): (s, sw, n)}``; rows of cluster -1 have none."""
+    at = np.nonzero(cid >= 0)[0]
+    if not len(at):
+        return
+    order = at[np.lexsort((cid[at], sh[at]))]
+    new = np.concatenate([[True], (np.diff(sh[order]) != 0) | (np.diff(cid[order]) != 0)])
+    first = np.nonzero(new)[0]
+    wx = X[order] * w[order, None]
+    for f, s, sw, n in zip(order[first], np.add.reduceat(wx, first, axis=0),
+                           np.add.reduceat(w[order], first), np.diff(np.append(first, len(order)))):
+        key = (int(sh[f]), int(cid[f]))
+        had = acc.get(key)
+        acc[key] = (s, sw, n) if had is None else (had[0] + s, had[1] + sw, had[2] + n)
+
+
 def lloyd_kernel(shared, shard_col: str | None, metric: str, dim: int | None, step: int):
     """Per task and (shard, cluster) one row: weighted coordinate sums ``s``, weight sum ``sw``, points ``n``."""
     def run(batches):
@@ -241,18 +257,7 @@ def lloyd_kernel(shared, shard_col: str | None, metric: str, dim: int | None, st
             sh = _shards(b, shard_col)
             w = b.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
             _, cid = nearest_arrays(X, sh, centers, metric, step)
-            at = np.nonzero(cid >= 0)[0]
-            if not len(at):
-                continue
-            order = at[np.lexsort((cid[at], sh[at]))]
-            new = np.concatenate([[True], (np.diff(sh[order]) != 0) | (np.diff(cid[order]) != 0)])
-            first = np.nonzero(new)[0]
-            wx = X[order] * w[order, None]
-            for f, s, sw, n in zip(order[first], np.add.reduceat(wx, first, axis=0),
-                                   np.add.reduceat(w[order], first), np.diff(np.append(first, len(order)))):
-                key = (int(sh[f]), int(cid[f]))
-                had = acc.get(key)
-                acc[key] = (s, sw, n) if had is None else (had[0] + s, had[1] + sw, had[2] + n)
+            add_to_sums(acc, X, sh, cid, w)
         yield _sums(acc)
     return run
 
