@@ -19,6 +19,8 @@ BASE = (
 #: Candidate strings of the entropy scan: whole runs, however long.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
 WINDOW = 20
+#: Matches whose places are added up one after the other; a text's blocks are added up in the same way.
+BLOCK = 256
 #: The stretches of a run that are measured, so that the work grows with its length: a stretch has 96 characters
 #: and the next one starts 77 = 96 - (WINDOW - 1) later, so each window of the run lies in one of them.
 STRETCH = r"(?=(.{20,96})).{1,77}+"
@@ -38,20 +40,41 @@ ENTROPY = "entropy"
 KINDS = (*(k for k, *_ in BASE), ENTROPY)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is made once: within a lambda an expression would be made anew for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _appended(xs: Column, of) -> Column:
+    """Running totals of ``of`` each element; every step copies the ones before, so ``xs`` should be short."""
+    return F.aggregate(xs, F.array().cast("array<int>"),
+                       lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + of(x))))
+
+
+def _totals(xs: Column) -> Column:
+    """Running totals of an array of ints: within blocks of ``BLOCK``, and of the blocks' totals."""
+    starts = F.when(F.size(xs) > 0, F.sequence(F.lit(1), F.size(xs), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    inner = F.transform(starts, lambda s: _appended(F.slice(xs, s, F.lit(BLOCK)), lambda x: x))
+
+    def joined(blocks: Column) -> Column:
+        ends = _appended(blocks, lambda b: F.element_at(b, -1))
+        return F.flatten(F.zip_with(blocks, ends, lambda b, e: _bound(e - F.element_at(b, -1), lambda before: F.transform(b, lambda x: x + before))))
+    return _bound(inner, joined)
+
+
 def _places(text: Column, pattern: str) -> Column:
     """Array of (start, match) of the leftmost non-overlapping matches, in code points.
 
-    The text is cut at the matches; a match starts after all the pieces and matches before it.
+    The text is cut at the matches; a match ends after all the pieces and matches up to it.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    sizes = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size")))
-    starts = F.aggregate(
-        sizes, F.struct(F.lit(0).alias("end"), F.array().cast("array<int>").alias("at")),
-        lambda acc, x: F.struct((acc["end"] + x["gap"] + x["size"]).alias("end"),
-                                F.concat(acc["at"], F.array(acc["end"] + x["gap"])).alias("at")),
-        lambda acc: acc["at"])
-    return F.zip_with(starts, found, lambda s, m: F.struct(s.alias("start"), m.alias("match")))
+    both = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("match")))
+
+    def placed(pieces: Column) -> Column:
+        ends = _bound(F.transform(pieces, lambda p: p["gap"] + F.length(p["match"])), _totals)
+        return F.zip_with(ends, pieces, lambda e, p: F.struct((e - F.length(p["match"])).alias("start"), p["match"].alias("match")))
+    return _bound(both, placed)
 
 
 def _part(n: Column) -> Column:
@@ -111,8 +134,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     ``base`` has the leftmost non-overlapping matches of each base kind whose measured group is long enough;
     ``spans`` has those and the candidate strings that the entropy scan finds. NULL and empty texts have none.
     Everything happens in the row, so repeated rows give equal results and nothing is shuffled; input columns named
-    like the results are replaced, and one named ``__entropy`` is dropped. Texts of any length are scanned whole, but the
-    work grows with the square of a text's matches. Empty in, empty out.
+    like the results are replaced, and one named ``__entropy`` is dropped. Texts of any length are scanned whole; up to
+    some hundred thousand matches the work grows with them. Empty in, empty out.
     """
     keep = passed_columns(docs, ["base", "spans", "__entropy"])
     t = F.coalesce(F.col(text), F.lit(""))
