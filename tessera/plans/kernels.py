@@ -10,6 +10,8 @@ rows after an exchange by shard, so no sort is planned.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
 
 import numpy as np
@@ -62,6 +64,54 @@ def sq_dists(X: np.ndarray, C: np.ndarray, metric: str = "euclidean") -> np.ndar
     return out
 
 
+def paired_sq(X: np.ndarray, Y: np.ndarray) -> np.ndarray:
+    """Exact squared distances of rows one by one, as ``sq_dists`` computes them."""
+    diff = X - Y
+    if X.shape[1] > 8:
+        return np.einsum("ij,ij->i", diff, diff)
+    out = np.zeros(len(X))
+    for j in range(X.shape[1]):
+        out += diff[:, j] * diff[:, j]
+    return out
+
+
+@functools.cache
+def one_thread() -> None:
+    """Let numpy's matrix products run in the task's own thread: Spark has a task for each core, and threads of all of them would wait for each other."""
+    try:
+        with open("/proc/self/maps") as maps:
+            paths = {line.split(maxsplit=5)[5].strip() for line in maps if "openblas" in line}
+    except OSError:
+        return
+    for path in paths:
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(ctypes.c_int(1))
+                break
+
+
+class SqProducts:
+    """Squared distances of the rows of X and Y by a matrix product of the points less ``shift``: fast, and off by at most ``exact_to``.
+
+    That is None if norms are no finite numbers; then only differences tell.
+    """
+
+    def __init__(self, X: np.ndarray, Y: np.ndarray, shift: np.ndarray):
+        one_thread()
+        with np.errstate(all="ignore"):
+            X, Y = X - shift, Y - shift
+            x, y = np.einsum("ij,ij->i", X, X), np.einsum("ij,ij->i", Y, Y)
+            reach = (np.sqrt(x.max(initial=0.0)) + np.sqrt(y.max(initial=0.0))) ** 2
+        self.exact_to = float(4 * (X.shape[1] + 8) * np.finfo(float).eps * reach) if np.isfinite(reach) and reach < 1e300 else None
+        if self.exact_to is not None:
+            self.X = np.column_stack([-2 * X, x, np.ones(len(X))])
+            self.Y = np.column_stack([Y, np.ones(len(Y)), y])
+
+    def sq(self, rows: slice, columns: slice) -> np.ndarray:
+        return self.X[rows] @ self.Y[columns].T
+
+
 def metric_value(sq: np.ndarray, metric: str) -> np.ndarray:
     return sq if metric == "sq_drop_last" else np.sqrt(sq)
 

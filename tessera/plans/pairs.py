@@ -3,7 +3,9 @@
 A k-d tree over a bounded sample cuts space into cells; the points of a cell are a block, with its bounding box. The boxes
 bound the distance of any two points of two blocks. Pairs of blocks are opened from the largest bound down, a batch of
 them as one job, until no bound reaches the best pair found; of an opened pair only points travel whose distance
-to the other block's box reaches that pair. The table of block pairs stays on the driver (``MAX_BLOCKS`` bounds it whatever
+to the other block's box reaches that pair. Neighbouring blocks form bands, and a point travels once to each pair of bands
+that opens a pair of its block. Boxes that tell little (many dimensions) open all pairs of blocks: then that is once for each
+band, and a batch that would move most of it opens all that is left. The table of block pairs stays on the driver (``MAX_BLOCKS`` bounds it whatever
 the points): their bounds, and the farthest pair of those that were opened. So the next farthest pair without some
 points, as greedy matching needs it, only opens pairs that lost theirs.
 """
@@ -26,10 +28,8 @@ MAX_BLOCKS = 2048
 BLOCK_POINTS = 512
 # Sampled points for each block; they place the cuts and decide no result.
 SAMPLE_PER_BLOCK = 16
-# Points of a side in a task's group at most, about: a group compares a billion pairs.
+# Points of a side in a task's group at most, about: a group compares a billion pairs. A point travels once for each side.
 SIDE_POINTS = 1 << 15
-# Pairs of points that a batch opens at most while it has more than one block pair for each core.
-BATCH_PAIRS = 1 << 34
 # Scalar differences held at once.
 CHUNK_ELEMS = 1 << 22
 
@@ -111,77 +111,159 @@ def add_boxes_kernel(batches):
     yield _box_batch(boxes)
 
 
-SIDE = "pair int, a int, b int, side int, id long, v array<double>"
+SIDE = "task int, p int, q int, a int, b int, side int, block int, id long, v array<double>"
 
 
-def _sides_kernel(shared, floor: float):
-    """Rows of the opened block pairs: each point that can be an end of a pair of at least ``floor`` (squared).
+def _all_reach(lo: np.ndarray, hi: np.ndarray, i: int, js: np.ndarray, floor: float) -> np.ndarray:
+    """Which boxes of ``js`` have a point at least ``floor`` (squared) away from wherever in box i."""
+    centre, half = (lo[js] + hi[js]) / 2, (hi[js] - lo[js]) / 2
+    least = np.maximum(np.maximum(lo[i] - centre, centre - hi[i]), 0.0) + half
+    return np.einsum("ij,ij->i", least, least) >= floor * SLACK
 
-    A block of many points is dealt to sub-blocks by id; a row goes to the groups (pair, a, b) of its own.
+
+class _Opened:
+    """What the tasks of a batch know: the opened block pairs, the blocks' boxes and bands, and the points that are used."""
+
+    def __init__(self, index: PairIndex, pairs: np.ndarray, floor: float):
+        self.lo, self.hi, self.band, self.subs, self.floor = index.lo, index.hi, index.band, index.subs, floor
+        self.used = np.array(index.used, np.int64)
+        self.place = np.full(int(index.block.max()) + 1, -1, np.int64)
+        self.place[index.block] = np.arange(len(index.block))
+        opened = np.zeros((len(self.band), len(self.band)), bool)
+        opened[index.a[pairs], index.b[pairs]] = opened[index.b[pairs], index.a[pairs]] = True
+        self.bits = np.packbits(opened, axis=1)
+        # groups of a pair of bands are numbered from ``first`` on
+        p, q = np.unique(np.stack([self.band[index.a[pairs]], self.band[index.b[pairs]]]), axis=1)
+        size = self.subs[p] * self.subs[q]
+        self.first = np.zeros((len(self.subs), len(self.subs)), np.int64)
+        self.first[p, q] = np.cumsum(size) - size
+        self.groups = int(size.sum())
+
+    def of(self, i: int) -> np.ndarray:
+        """Blocks that are opened with block i."""
+        return np.flatnonzero(np.unpackbits(self.bits[i], count=len(self.band)))
+
+
+def _sides_kernel(shared, parts: int):
+    """Rows of the opened pairs of bands: each point that can be an end of a pair of at least ``floor`` (squared).
+
+    A block of many points is dealt to sub-blocks by id; a row goes to the groups (p, q, a, b) of its own.
     """
     def run(batches):
-        opened, lo, hi, subs, used, place = shared.value
+        o = shared.value
         for b in batches:
             if not b.num_rows:
                 continue
-            block, ids = place[b.column("block").to_numpy()], b.column("id").to_numpy()
+            block, ids = o.place[b.column("block").to_numpy()], b.column("id").to_numpy()
             X = K.vectors(b.column("v"))
-            free = ~np.isin(ids, used)
+            free = ~np.isin(ids, o.used)
             sub_key = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            sent: dict[tuple[int, int], list] = {}
             for i in np.unique(block):
-                mine = np.flatnonzero((block == i) & free)
-                for pair, j, side in opened.get(int(i), ()):
-                    at = mine[farthest_sq(X[mine], lo[j], hi[j]) >= floor]
-                    if not len(at):
-                        continue
-                    sub = (sub_key[at] % np.uint64(subs[i])).astype(np.int64)
-                    for other in range(subs[j]):
-                        if i == j:
-                            # within a block: sub-blocks (a, b) with a <= b
-                            a, c, s = np.minimum(sub, other), np.maximum(sub, other), (other < sub).astype(np.int32)
-                        else:
-                            a, c = (sub, np.full(len(at), other)) if side == 0 else (np.full(len(at), other), sub)
-                            s = np.full(len(at), side, np.int32)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(at), pair), pa.int32()), pa.array(a, pa.int32()), pa.array(c, pa.int32()), pa.array(s, pa.int32()),
-                             b.column("id").take(pa.array(at)), b.column("v").take(pa.array(at))], names=["pair", "a", "b", "side", "id", "v"])
+                mine, js = np.flatnonzero((block == i) & free), o.of(i)
+                whole = _all_reach(o.lo, o.hi, i, js, o.floor)
+                for band in np.unique(o.band[js]):
+                    there = o.band[js] == band
+                    if whole[there].any():
+                        at = mine
+                    else:
+                        reach = np.zeros(len(mine), bool)
+                        for j in js[there]:
+                            reach |= farthest_sq(X[mine], o.lo[j], o.hi[j]) >= o.floor
+                        at = mine[reach]
+                    if len(at):
+                        sent.setdefault((int(o.band[i]), int(band)), []).append(at)
+            for (own, band), rows in sent.items():
+                at = np.concatenate(rows)
+                sub = (sub_key[at] % np.uint64(o.subs[own])).astype(np.int64)
+                p, q = min(own, band), max(own, band)
+                for other in range(o.subs[band]):
+                    if own == band:
+                        # within a band: sub-blocks (a, c) with a <= c
+                        a, c, side = np.minimum(sub, other), np.maximum(sub, other), (other < sub).astype(np.int32)
+                    else:
+                        a, c = (sub, np.full(len(at), other)) if own == p else (np.full(len(at), other), sub)
+                        side = np.full(len(at), int(own == q), np.int32)
+                    task = (o.first[p, q] + a * o.subs[q] + c) % parts
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(task, pa.int32()), pa.array(np.full(len(at), p), pa.int32()), pa.array(np.full(len(at), q), pa.int32()),
+                         pa.array(a, pa.int32()), pa.array(c, pa.int32()), pa.array(side, pa.int32()), pa.array(block[at], pa.int32()),
+                         b.column("id").take(pa.array(at)), b.column("v").take(pa.array(at))],
+                        names=["task", "p", "q", "a", "b", "side", "block", "id", "v"])
     return run
 
 
 FOUND = "pair int, id_a long, id_b long, sq double, compared long"
 
 
-def _open_kernel(within: frozenset[int]):
-    """The farthest pair (smallest ids among equals) of a group; ``within`` are the pairs of a block with itself."""
+def farthest_of(X: np.ndarray, x_ids: np.ndarray, Y: np.ndarray, y_ids: np.ndarray, same: bool, shift: np.ndarray) -> tuple[float, int, int] | None:
+    """``(sq, low id, high id)`` of the farthest pair of a row of each (``same``: of two rows), the smallest ids among equals.
+
+    A matrix product of the points less ``shift`` tells which pairs can be farthest; those are compared by their differences.
+    """
+    if not len(X) or not len(Y):
+        return None
+    products = K.SqProducts(X, Y, shift)
+    best = None
+    step = max(1, CHUNK_ELEMS // len(Y))
+    for s in range(0, len(X), step):
+        sq = products.sq(slice(s, s + step), slice(None)) if products.exact_to is not None else K.sq_dists(X[s:s + step], Y)
+        doubt = products.exact_to or 0.0
+        if same:
+            sq[np.arange(len(Y))[None, :] <= np.arange(s, s + len(sq))[:, None]] = -np.inf
+        top = sq.max()
+        if top == -np.inf or best is not None and top + doubt < best[0]:
+            continue
+        i, j = np.nonzero(sq >= top - 2 * doubt)
+        pieces = max(1, CHUNK_ELEMS // X.shape[1])
+        for t in range(0, len(i), pieces):
+            p, q = i[t:t + pieces] + s, j[t:t + pieces]
+            exact = K.paired_sq(X[p], Y[q])
+            far = exact == exact.max()
+            low, high = np.minimum(x_ids[p[far]], y_ids[q[far]]), np.maximum(x_ids[p[far]], y_ids[q[far]])
+            o = np.lexsort((high, low))[0]
+            cand = (float(exact.max()), int(low[o]), int(high[o]))
+            if best is None or cand[0] > best[0] or cand[0] == best[0] and cand[1:] < best[1:]:
+                best = cand
+    return best
+
+
+def _by_block(tbl: pa.Table, side: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of each block on a side."""
+    block, ids, X = tbl.column("block").to_numpy(), tbl.column("id").to_numpy(), K.vectors(tbl.column("v"))
+    order = side[np.argsort(block[side], kind="stable")]
+    start = np.flatnonzero(np.concatenate([[True], np.diff(block[order]) != 0])) if len(order) else np.zeros(0, np.int64)
+    return {int(block[order[f]]): (ids[order[f:e]], X[order[f:e]]) for f, e in zip(start, np.append(start[1:], len(order)))}
+
+
+def _open_kernel(shared):
+    """The farthest pair of each opened block pair in a group, and how many pairs were compared for it."""
     def kernel(key, tbl):
-        pair, a, b = (k.as_py() for k in key)
+        o = shared.value
+        p, q, a, b = (k.as_py() for k in key[1:])
         side = tbl.column("side").to_numpy()
-        ids, X = tbl.column("id").to_numpy(), K.vectors(tbl.column("v"))
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        same = pair in within and a == b
-        if same:
-            right = left
-        best, compared = None, 0
-        if len(left) and len(right):
-            step = max(1, CHUNK_ELEMS // max(1, len(right) * X.shape[1]))
-            for s in range(0, len(left), step):
-                sq = K.sq_dists(X[left[s:s + step]], X[right])
-                if same:
-                    sq[np.arange(len(right))[None, :] <= np.arange(s, s + len(sq))[:, None]] = -1.0
-                compared += int((sq >= 0).sum())
-                top = sq.max()
-                if top < 0 or best is not None and top < best[0]:
-                    continue
-                i, j = np.nonzero(sq == top)
-                p, q = ids[left[i + s]], ids[right[j]]
-                low, high = np.minimum(p, q), np.maximum(p, q)
-                o = np.lexsort((high, low))[0]
-                cand = (float(top), int(low[o]), int(high[o]))
-                if best is None or cand[0] > best[0] or cand[1:] < best[1:]:
-                    best = cand
-        out = [[]] * 4 if best is None else [[best[1]], [best[2]], [best[0]], [compared]]
-        return pa.table({"pair": pa.array([pair] * len(out[0]), pa.int32()), "id_a": pa.array(out[0], pa.int64()), "id_b": pa.array(out[1], pa.int64()),
-                         "sq": pa.array(out[2], pa.float64()), "compared": pa.array(out[3], pa.int64())})
+        left = _by_block(tbl, np.flatnonzero(side == 0))
+        same = p == q and a == b
+        right = left if same else _by_block(tbl, np.flatnonzero(side == 1))
+        blocks = len(o.band)
+        out: list[list] = [[], [], [], [], []]
+        for i, (x_ids, X) in left.items():
+            js = o.of(i)
+            js = js[(js >= i) & np.isin(js, list(right))]
+            whole = _all_reach(o.lo, o.hi, i, js, o.floor)
+            for j, all_here in zip(js.tolist(), whole):
+                y_ids, Y = right[j]
+                x_keep = slice(None) if all_here else farthest_sq(X, o.lo[j], o.hi[j]) >= o.floor
+                within = same and i == j
+                y_keep = x_keep if within else farthest_sq(Y, o.lo[i], o.hi[i]) >= o.floor
+                u, v = X[x_keep], Y[y_keep]
+                best = farthest_of(u, x_ids[x_keep], v, y_ids[y_keep], within, (o.lo[i] + o.hi[i]) / 2)
+                if best is not None:
+                    compared = len(u) * (len(u) - 1) // 2 if within else len(u) * len(v)
+                    for column, value in zip(out, (i * blocks - i * (i - 1) // 2 + j - i, best[1], best[2], best[0], compared)):
+                        column.append(value)
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(("pair", "id_a", "id_b", "sq", "compared"), out, kinds)})
     return kernel
 
 
@@ -220,12 +302,12 @@ def of_blocks(rows: DataFrame, blocks: list[int]) -> DataFrame:
 class PairIndex:
     """Farthest pairs of points ``(id, v)``; a context manager, since it keeps a table of the points by block.
 
-    ``compared`` counts the pairs of points whose distance was computed, ``jobs`` the batches.
+    ``compared`` counts the pairs of points whose distance was computed, ``moved`` the rows that travelled for it at most, ``jobs`` the batches.
     """
 
     def __init__(self, points: DataFrame, metric: str = "euclidean", n: int | None = None, blocks: int | None = None):
         self.spark, self.metric = points.sparkSession, metric
-        self.compared = self.jobs = 0
+        self.compared = self.moved = self.jobs = 0
         pts = points.select(F.col("id").cast("long").alias("id"), checked_point("v").alias("v"))
         if n is None:
             n = pts.count()
@@ -244,6 +326,9 @@ class PairIndex:
         self.bound = box_bounds(self.lo, self.hi, self.a, self.b) if len(boxes) else np.zeros(0)
         alone = (self.a == self.b) & (self.size[self.a] < 2) if len(boxes) else np.zeros(0, bool)
         self.bound[alone] = -1.0
+        # points that are not used
+        self.free = self.size.copy()
+        self.band, self.subs = self._bands()
         # farthest pair of an opened block pair; -1: none is known
         self.sq = np.full(len(self.a), -1.0)
         self.ends = np.zeros((len(self.a), 2), np.int64)
@@ -254,11 +339,34 @@ class PairIndex:
     def __exit__(self, *_):
         drop_table(self.spark, self.path)
 
+    def _bands(self) -> tuple[np.ndarray, np.ndarray]:
+        """The band of each block, and the sub-blocks of each band: blocks side by side of at most ``SIDE_POINTS`` points, or one with more."""
+        side = int(np.ceil(np.sqrt(8 * self.par)))
+        most = min(SIDE_POINTS, max(BLOCK_POINTS, -(-int(self.size.sum()) // side)))
+        band, points = np.zeros(len(self.size), np.int64), []
+        for i, n in enumerate(self.size.tolist()):
+            if points and points[-1] + n <= most:
+                points[-1] += n
+            else:
+                points.append(n)
+            band[i] = len(points) - 1
+        return band, np.maximum(1, -(-np.array(points, np.int64) // SIDE_POINTS))
+
     def use(self, *ids: int) -> None:
         """Leave these points out from now on. Block pairs that lose their farthest pair keep its distance as their bound."""
         self.used.extend(ids)
         lost = (self.sq >= 0) & np.isin(self.ends, ids).any(axis=1)
         self.bound[lost], self.sq[lost] = self.sq[lost], -1.0
+        # an id can have several rows
+        for r in self.rows.where(F.col("id").isin([int(i) for i in ids])).groupBy("block").count().collect():
+            self.free[np.searchsorted(self.block, r["block"])] -= r["count"]
+
+    def _moved(self, pairs: np.ndarray) -> float:
+        """Rows that travel at most if these block pairs are opened."""
+        a, b = self.a[pairs], self.b[pairs]
+        to = np.zeros((len(self.size), len(self.subs)), bool)
+        to[a, self.band[b]] = to[b, self.band[a]] = True
+        return float((to * self.size[:, None] * self.subs).sum())
 
     def farthest(self) -> tuple[float, int, int] | None:
         """``(distance, id_a, id_b)`` of the farthest pair of unused points, the smallest ids among equals; None without two."""
@@ -270,9 +378,9 @@ class PairIndex:
             todo = np.flatnonzero((self.sq < 0) & (self.bound >= max(floor, 0.0)))
             if not len(todo):
                 break
-            todo = todo[np.argsort(-self.bound[todo], kind="stable")][:batch]
-            work = np.cumsum(self.size[self.a[todo]].astype(float) * self.size[self.b[todo]])
-            self._open(todo[:max(self.par, int(np.searchsorted(work, BATCH_PAIRS)))], floor)
+            some = todo[np.argsort(-self.bound[todo], kind="stable")][:batch]
+            # all that is left, if a batch moves most of that
+            self._open(todo if 2 * self._moved(some) >= self._moved(todo) else some, floor)
             batch *= 4
         if best < 0:
             return None
@@ -281,29 +389,27 @@ class PairIndex:
         return (best if self.metric == "sq_drop_last" else float(np.sqrt(best)), *ends)
 
     def _open(self, pairs: np.ndarray, floor: float) -> None:
-        """Farthest pairs of some block pairs, where they reach ``floor``; the others get a bound below it."""
-        opened: dict[int, list] = {}
-        for k in pairs.tolist():
-            i, j = int(self.a[k]), int(self.b[k])
-            opened.setdefault(i, []).append((k, j, 0))
-            if i != j:
-                opened.setdefault(j, []).append((k, i, 1))
-        subs = np.maximum(1, -(-self.size // SIDE_POINTS))
-        place = np.full(int(self.block.max()) + 1, -1, np.int64)
-        place[self.block] = np.arange(len(self.block))
-        shared = self.spark.sparkContext.broadcast((opened, self.lo, self.hi, subs, np.array(self.used, np.int64), place))
-        blocks = [int(self.block[i]) for i in opened]
-        sides = of_blocks(self.rows, blocks).mapInArrow(_sides_kernel(shared, floor), SIDE)
-        groups = int((subs[self.a[pairs]] * subs[self.b[pairs]]).sum())
-        within = frozenset(pairs[self.a[pairs] == self.b[pairs]].tolist())
-        best = sides.repartition(max(1, min(groups, 16 * self.par + groups // 16)), "pair", "a", "b").groupBy("pair", "a", "b").applyInArrow(_open_kernel(within), FOUND)
-        found = best.groupBy("pair").agg(F.min(F.struct((-F.col("sq")).alias("sq"), "id_a", "id_b")).alias("m"), F.sum("compared").alias("compared")).collect()
+        """Farthest pairs of some block pairs, where they reach ``floor`` or all points were compared; the others get a bound below it."""
+        opened = _Opened(self, pairs, floor)
+        shared = self.spark.sparkContext.broadcast(opened)
+        # groups are dealt one by one: each is a task's work
+        parts = max(1, min(opened.groups, 16 * self.par + opened.groups // 16))
+        blocks = self.block[np.unique([self.a[pairs], self.b[pairs]])].tolist()
+        sides = of_blocks(self.rows, blocks).mapInArrow(_sides_kernel(shared, parts), SIDE)
+        best = sides.repartitionById(parts, F.col("task")).groupBy("task", "p", "q", "a", "b").applyInArrow(_open_kernel(shared), FOUND)
+        found = best.groupBy("pair").agg(F.min(F.struct((-F.col("sq")).alias("sq"), "id_a", "id_b")).alias("m"), F.sum("compared").alias("compared"))
+        found = found.select("pair", (-F.col("m.sq")).alias("sq"), "m.id_a", "m.id_b", "compared").toArrow()
         self.jobs += 1
+        self.moved += self._moved(pairs)
+        i, j = self.a[pairs], self.b[pairs]
         self.bound[pairs] = np.nextafter(floor, -1.0) if floor > 0 else -1.0
-        for r in found:
-            self.compared += r["compared"]
-            sq = -r["m"]["sq"]
-            if sq >= floor:
-                self.sq[r["pair"]] = self.bound[r["pair"]] = sq
-                self.ends[r["pair"]] = r["m"]["id_a"], r["m"]["id_b"]
-
+        self.bound[pairs[self._pairs_of(i, j) == 0]] = -1.0
+        pair, sq, id_a, id_b, compared = (found.column(c).to_numpy() for c in ("pair", "sq", "id_a", "id_b", "compared"))
+        self.compared += int(compared.sum())
+        known = (sq >= floor) | (compared == self._pairs_of(self.a[pair], self.b[pair]))
+        self.sq[pair[known]] = self.bound[pair[known]] = sq[known]
+        self.ends[pair[known]] = np.stack([id_a[known], id_b[known]], axis=1)
+
+    def _pairs_of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Pairs of unused points of blocks i and j."""
+        return np.where(i == j, self.free[i] * (self.free[i] - 1) // 2, self.free[i] * self.free[j])
