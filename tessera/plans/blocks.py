@@ -6,7 +6,7 @@ diagonal, where block bi is paired with itself). Rows are replicated B times
 in total and shuffled once, groups hold about 2n/B points, and every group
 reduces its pairs in numpy to one small row (a maximum with its pair, or a sum
 and a count). Block ids come from a hash of the id, so no value skew can make
-one group large.
+one group large. Groups are dealt to tasks one by one, so no task gets many by chance.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import checked_point
+from tessera.plans import kernels as K
+from tessera.plans.cells import used_coordinates
 
 # Bytes of a block's vectors; a block has that many rows of them, and BLOCK_ROWS at least.
 BLOCK_BYTES = 1 << 24
@@ -31,6 +33,10 @@ PAIRS_PER_PARTITION = 16
 MIN_BLOCK_ROWS = 256
 # Pair-chunk size handled at once inside a kernel (scalar differences).
 CHUNK_ELEMS = 1 << 22
+# Pairs whose distances a matrix product gives at once: (rows, columns).
+PRODUCT_TILE = (256, 256)
+# A squared distance under so many times the product's error is taken from differences instead.
+PRODUCT_MARGIN = 1e10
 
 
 def choose_blocks(n: int, parallelism: int, block_rows: int = BLOCK_ROWS) -> int:
@@ -101,7 +107,7 @@ def _sides(tbl: pa.Table) -> tuple[pa.Table, pa.Table]:
 
 def _pairs_max_kernel(metric: str, v_col: str):
     def kernel(key, tbl):
-        bi, bj = int(key[0].as_py()), int(key[1].as_py())
+        bi, bj = int(key[1].as_py()), int(key[2].as_py())
         left, right = _sides(tbl)
         ids_x, X = _vectors(left, v_col)
         diagonal = bi == bj
@@ -132,34 +138,64 @@ def _pairs_max_kernel(metric: str, v_col: str):
     return kernel
 
 
+def _sum_by_differences(X: np.ndarray, Y: np.ndarray, diagonal: bool, metric: str) -> float:
+    total = 0.0
+    for _, Xc, mask in _pair_chunks(X, Y, diagonal):
+        dist = _finish(_sq_dists(Xc, Y, "euclidean"), metric)
+        total += float(dist.sum() if mask is None else dist[mask].sum())
+    return total
+
+
+def sum_of_distances(X: np.ndarray, Y: np.ndarray, diagonal: bool, metric: str) -> float:
+    """Sum over all pairs of a row of each (``diagonal``: i < j within X), by matrix products.
+
+    Pairs so near that a product's error could show in their distance are compared by their differences.
+    """
+    X, Y = used_coordinates(X, metric), used_coordinates(Y, metric)
+    products = K.SqProducts(X, Y, X.mean(axis=0))
+    if products.exact_to is None:
+        return _sum_by_differences(X, Y, diagonal, metric)
+    near = products.exact_to * PRODUCT_MARGIN
+    total = 0.0
+    for s in range(0, len(X), PRODUCT_TILE[0]):
+        for t in range(0, len(Y), PRODUCT_TILE[1]):
+            rows, columns = slice(s, s + PRODUCT_TILE[0]), slice(t, t + PRODUCT_TILE[1])
+            if diagonal and t + PRODUCT_TILE[1] <= s:
+                continue
+            sq = products.sq(rows, columns)
+            if diagonal and t < s + len(sq):
+                # pairs (i, j) with i < j only
+                sq[np.arange(t, t + sq.shape[1])[None, :] <= np.arange(s, s + len(sq))[:, None]] = np.inf
+            if sq.min() <= near:
+                i, j = np.nonzero(sq <= near)
+                sq[i, j] = K.paired_sq(X[s + i], Y[t + j])
+            dist = _finish(sq, metric)
+            total += float(dist.sum(where=dist < np.inf) if diagonal and t < s + len(sq) else dist.sum())
+    return total
+
+
 def _pairs_sum_kernel(metric: str, v_col: str):
     def kernel(key, tbl):
-        bi, bj = int(key[0].as_py()), int(key[1].as_py())
         left, right = _sides(tbl)
-        ids_x, X = _vectors(left, v_col)
-        diagonal = bi == bj
-        ids_y, Y = (ids_x, X) if diagonal else _vectors(right, v_col)
+        _, X = _vectors(left, v_col)
+        diagonal = key[1].as_py() == key[2].as_py()
+        Y = X if diagonal else _vectors(right, v_col)[1]
         total, count = 0.0, 0
-        if len(ids_x) and len(ids_y):
-            for s, Xc, mask in _pair_chunks(X, Y, diagonal):
-                dist = _finish(_sq_dists(Xc, Y, metric), metric)
-                if mask is not None:
-                    total += float(dist[mask].sum())
-                    count += int(mask.sum())
-                else:
-                    total += float(dist.sum())
-                    count += dist.size
+        if len(X) and len(Y):
+            if X.shape[1] != Y.shape[1]:
+                raise ValueError("points of unequal dimension")
+            total = sum_of_distances(X, Y, diagonal, metric)
+            count = len(X) * (len(X) - 1) // 2 if diagonal else len(X) * len(Y)
         return pa.table({"sum_d": [total], "n_pairs": [count]})
     return kernel
 
 
 def _block_rows(points: DataFrame, B: int, id_col: str, v_col: str) -> DataFrame:
-    """Rows ``(bi, bj, side, id, v)``: side 0 carries block bi, side 1 block bj.
+    """Rows ``(task, bi, bj, side, id, v)``: side 0 carries block bi, side 1 block bj.
 
     A point of block b is sent as side 0 to pairs (b, b..B-1) and as side 1 to
-    pairs (0..b-1, b); each point is sent B times. The rows are hash-partitioned
-    on (bi, bj) into at most one partition per block pair, so the grouping that
-    follows needs no second exchange.
+    pairs (0..b-1, b); each point is sent B times. The block pairs are dealt by their number to at most
+    one partition per block pair, so the grouping on (task, bi, bj) that follows needs no second exchange.
     """
     b = F.pmod(F.xxhash64(F.col(id_col)), F.lit(B)).cast("int")
     base = points.select(F.col(id_col).alias("id"), checked_point(v_col).alias("v"), b.alias("b"))
@@ -171,7 +207,9 @@ def _block_rows(points: DataFrame, B: int, id_col: str, v_col: str) -> DataFrame
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = B * (B + 1) // 2
     nparts = max(1, min(pairs, max(shuffle, _parallelism(points), pairs // PAIRS_PER_PARTITION)))
-    return rows.repartition(nparts, "bi", "bj")
+    number = F.expr("bj * CAST(bj + 1 AS BIGINT) DIV 2 + bi")
+    rows = rows.withColumn("task", F.pmod(number, F.lit(nparts)).cast("int"))
+    return rows.repartitionById(nparts, F.col("task"))
 
 
 def _parallelism(points: DataFrame) -> int:
@@ -196,7 +234,7 @@ def block_pair_max(points: DataFrame, metric: str = "euclidean", id_col: str = "
     B = blocks or block_count_for(points, v_col=v_col)
     rows = _block_rows(points, B, id_col, v_col)
     schema = "id_a long, id_b long, d double"
-    return rows.groupBy("bi", "bj").applyInArrow(_pairs_max_kernel(metric, "v"), schema=schema)
+    return rows.groupBy("task", "bi", "bj").applyInArrow(_pairs_max_kernel(metric, "v"), schema=schema)
 
 
 def block_pair_sums(points: DataFrame, metric: str = "euclidean", id_col: str = "id",
@@ -205,7 +243,7 @@ def block_pair_sums(points: DataFrame, metric: str = "euclidean", id_col: str =
     B = blocks or block_count_for(points, v_col=v_col)
     rows = _block_rows(points, B, id_col, v_col)
     schema = "sum_d double, n_pairs long"
-    return rows.groupBy("bi", "bj").applyInArrow(_pairs_sum_kernel(metric, "v"), schema=schema)
+    return rows.groupBy("task", "bi", "bj").applyInArrow(_pairs_sum_kernel(metric, "v"), schema=schema)
 
 
 def farthest_pair(points: DataFrame, metric: str = "euclidean", id_col: str = "id",

@@ -1,7 +1,14 @@
 """Farthest pairs and mean distances of points in many dimensions: few rows travel, products agree with differences."""
 
+import itertools
+import math
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
+from tessera.operators import distance as D
+from tessera.plans import blocks as B
 from tessera.plans import kernels as K
 from tessera.plans import pairs as P
 
@@ -40,3 +47,29 @@ def test_farthest_by_products_is_that_by_differences():
             i, j = np.nonzero((sq == sq[np.triu_indices(200, 1)].max()) & (low < high))
             got = P.farthest_of(X, ids, X, ids, True, X[0])
         assert got[0] == sq[i[0], j[0]] and got[1:] == min(zip(low[i, j], high[i, j]))
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "sq_drop_last", "euclidean_2d"])
+@pytest.mark.parametrize("shape", ["sphere", "far", "copies", "huge"])
+def test_sums_by_products(monkeypatch, metric, shape):
+    monkeypatch.setattr(B, "PRODUCT_TILE", (16, 32))
+    X = {"sphere": sphere(90, 20, 1), "far": 1e6 + sphere(90, 20, 1), "copies": np.repeat(sphere(30, 20, 1), 3, axis=0), "huge": 1e160 * sphere(90, 20, 1)}[shape]
+    Y = X[40:] + (0 if shape == "copies" else 1e-9)
+    with np.errstate(over="ignore"):
+        for Z, diagonal in ((X, True), (Y, False)):
+            sq = B._sq_dists(X, Z, metric)
+            d = sq if metric == "sq_drop_last" else np.sqrt(sq)
+            want = float(d[np.triu_indices(90, 1)].sum() if diagonal else d.sum())
+            assert B.sum_of_distances(X, Z, diagonal, metric) == pytest.approx(want, rel=1e-9)
+
+
+def test_block_pairs_are_dealt_one_by_one(spark):
+    df = frame(spark, sphere(300, 5, 6))
+    rows = B._block_rows(df, 9, "id", "v")
+    held = rows.select("bi", "bj", F.spark_partition_id().alias("p")).distinct().groupBy("p").count().collect()
+    assert sum(r["count"] for r in held) == 45 and max(r["count"] for r in held) == math.ceil(45 / len(held))
+    out = D.avg_pairwise_distance(df, blocks=9)
+    want = np.mean([math.dist(v, w) for v, w in itertools.combinations(sphere(300, 5, 6).tolist(), 2)])
+    assert out.first()[0] == pytest.approx(want, rel=1e-12)
+    pairs = B.block_pair_sums(df, blocks=9)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
