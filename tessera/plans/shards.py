@@ -21,8 +21,10 @@ from tessera.functions.vectors import seeded_uniform
 from tessera.plans import kernels as K
 from tessera.session import drop_table, ensure_checkpoint_dir, write_table
 
-# A group's vectors take about this many bytes.
-GROUP_BYTES = 1 << 24
+# A group's vectors take about this many bytes. A task holds a group with all its columns, and several arrays as large while it works.
+GROUP_BYTES = 1 << 21
+# A partition's vectors take about this many bytes.
+PARTITION_BYTES = 1 << 26
 # Groups are not made smaller than this many points just for parallelism.
 LEAST_ROWS = 1024
 # Shards of more than one group, at most; groups grow beyond that (16 MB of (shard, groups) rows are broadcast then).
@@ -33,6 +35,11 @@ STEP_DOUBLES = 1 << 16
 CENTRE = "shard int, subs int, id long, v array<double>"
 
 
+def group_rows(n: int, dim: int, par: int) -> int:
+    """Rows of a group, about, if a shard of ``n`` points has several: the same for all large ``n``, up to ``LARGE_SHARDS`` groups."""
+    return max(LEAST_ROWS, min(GROUP_BYTES // (8 * dim), -(-n // (4 * par))), -(-n // LARGE_SHARDS))
+
+
 class ShardedPoints:
     """Points ``(id, v, shard, w)`` in groups ``(shard, sub)``, cached in that partitioning and order.
 
@@ -47,10 +54,10 @@ class ShardedPoints:
         self.tables.append(path)
         total, dim = sizes.agg(F.sum("n"), F.max("dim")).first()
         n, par = int(total or 0), self.spark.sparkContext.defaultParallelism
-        rows = max(LEAST_ROWS, min(GROUP_BYTES // (8 * max(1, dim or 1)), -(-n // (4 * par))), -(-n // LARGE_SHARDS))
+        rows = group_rows(n, max(1, dim or 1), par)
         large = sizes.where(F.col("n") > rows).select("shard", F.ceil(F.col("n") / rows).cast("int").alias("subs"))
         subs = F.coalesce("subs", F.lit(1))
-        self.partitions = max(par, -(-8 * n * max(1, dim or 1) // (4 * GROUP_BYTES)))
+        self.partitions = max(par, -(-8 * n * max(1, dim or 1) // PARTITION_BYTES))
         dealt = points.join(F.broadcast(large), "shard", "left").select(
             "id", "v", "shard", "w", subs.alias("subs"), F.pmod(F.xxhash64("id"), subs).cast("int").alias("sub"), F.lit(float("inf")).alias("d0"))
         self.rows = self._grouped(dealt)
