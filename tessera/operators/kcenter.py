@@ -94,7 +94,7 @@ def k_center_mpd(points: DataFrame, k: int, **kw) -> DataFrame:
 
 def k_center_coreset(points: DataFrame, k: int, L: int, metric: str = "euclidean", checkpoint_every: int = 8,
                      id_col: str = "id", v_col: str = "v") -> DataFrame:
-    """``(shard, rank, id, v)``: k farthest-first centres inside each shard ``pmod(id, L)``, as a written table.
+    """``(shard, rank, id, v)``: k farthest-first centres inside each shard ``pmod(id, L)``, as a written table in order of shard and rank.
 
     A shard with fewer than k distinct points returns all of them. The centres never leave Spark (``plans.shards``),
     so neither k nor L is bounded by the driver.
@@ -104,7 +104,7 @@ def k_center_coreset(points: DataFrame, k: int, L: int, metric: str = "euclidean
     pts = _prep(points, L, id_col, v_col).withColumn("w", F.lit(1.0))
     with ShardedPoints(pts) as groups:
         centres, _ = centre_tables(groups, k, F.col("id"), "farthest", metric=metric, every=checkpoint_every)
-    return centres.select("shard", "rank", "id", "v")
+    return centres.select("shard", "rank", "id", "v").orderBy("shard", "rank")
 
 
 def greedy_matching(points: DataFrame, k: int, metric: str = "euclidean",
